@@ -4,54 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+STRING, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
 MONEY = T.DecimalType(18, 2)
+LIMIT = T.DecimalType(28, 4)
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-ITEM = "STRUCT<item: STRING, item_type: STRING>"
-
 # User-activity log.  `start` stays raw text: only its emptiness matters.
-LOG = _struct(
-    "common STRUCT<mid: STRING, vc: STRING, ch: STRING, ar: STRING, is_new: STRING>,"
-    "page STRUCT<page_id: STRING, last_page_id: STRING, during_time: BIGINT,"
-    " item: STRING, item_type: STRING>,"
-    f"displays ARRAY<{ITEM}>,"
-    "start STRING, ts BIGINT")
+LOG = record(
+    common=record(mid=STRING, vc=STRING, ch=STRING, ar=STRING, is_new=STRING),
+    page=record(page_id=STRING, last_page_id=STRING, during_time=LONG, item=STRING,
+                item_type=STRING),
+    displays=T.ArrayType(record(item=STRING, item_type=STRING)),
+    start=STRING, ts=LONG)
 
 # Database change as it arrives; `data` stays raw text until it is known to be non-empty.
-CHANGE = _struct("database STRING, table STRING, type STRING, data STRING")
-CHANGE_DATA = T.MapType(T.StringType(), T.StringType())
-
-ORDER_INFO = _struct(
-    "id BIGINT, province_id BIGINT, order_status STRING, user_id BIGINT,"
-    "total_amount DECIMAL(18,2), activity_reduce_amount DECIMAL(18,2),"
-    "coupon_reduce_amount DECIMAL(18,2), original_total_amount DECIMAL(18,2),"
-    "feight_fee DECIMAL(18,2), expire_time STRING, create_time STRING, operate_time STRING")
-
-ORDER_DETAIL = _struct(
-    "id BIGINT, order_id BIGINT, sku_id BIGINT, order_price DECIMAL(18,2), sku_num BIGINT,"
-    "sku_name STRING, create_time STRING, split_total_amount DECIMAL(18,2),"
-    "split_activity_amount DECIMAL(18,2), split_coupon_amount DECIMAL(18,2)")
-
-PAYMENT_INFO = _struct(
-    "id BIGINT, order_id BIGINT, user_id BIGINT, total_amount DECIMAL(18,2),"
-    "subject STRING, payment_type STRING, create_time STRING, callback_time STRING")
-
-TABLE_PROCESS = _struct(
-    "source_table STRING, operate_type STRING, sink_type STRING, sink_table STRING,"
-    "sink_columns STRING, sink_pk STRING, sink_extend STRING")
-
-RULE_JSON = _struct(
-    "ruleId INT, ruleState STRING, groupingKeyNames ARRAY<STRING>, `unique` ARRAY<STRING>,"
-    "aggregateFieldName STRING, aggregatorFunctionType STRING, limitOperatorType STRING,"
-    "limit DECIMAL(28,4), windowMinutes INT, controlType STRING")
-
-TRANSACTION_JSON = _struct(
-    "transactionId BIGINT, eventTime BIGINT, payeeId BIGINT, beneficiaryId BIGINT,"
-    "paymentAmount DECIMAL(18,2), paymentType STRING, ingestionTimestamp BIGINT")
+CHANGE = record(database=STRING, table=STRING, type=STRING, data=STRING)
+CHANGE_DATA = T.MapType(STRING, STRING)
+
+ORDER_INFO = record(
+    id=LONG, province_id=LONG, order_status=STRING, user_id=LONG, total_amount=MONEY,
+    activity_reduce_amount=MONEY, coupon_reduce_amount=MONEY, original_total_amount=MONEY,
+    feight_fee=MONEY, expire_time=STRING, create_time=STRING, operate_time=STRING)
+
+ORDER_DETAIL = record(
+    id=LONG, order_id=LONG, sku_id=LONG, order_price=MONEY, sku_num=LONG, sku_name=STRING,
+    create_time=STRING, split_total_amount=MONEY, split_activity_amount=MONEY,
+    split_coupon_amount=MONEY)
+
+PAYMENT_INFO = record(
+    id=LONG, order_id=LONG, user_id=LONG, total_amount=MONEY, subject=STRING,
+    payment_type=STRING, create_time=STRING, callback_time=STRING)
+
+TABLE_PROCESS = record(
+    source_table=STRING, operate_type=STRING, sink_type=STRING, sink_table=STRING,
+    sink_columns=STRING, sink_pk=STRING, sink_extend=STRING)
+
+RULE_JSON = record(
+    ruleId=INT, ruleState=STRING, groupingKeyNames=T.ArrayType(STRING),
+    unique=T.ArrayType(STRING), aggregateFieldName=STRING, aggregatorFunctionType=STRING,
+    limitOperatorType=STRING, limit=LIMIT, windowMinutes=INT, controlType=STRING)
+
+# A rule as the later steps use it.
+RULE = record(
+    rule_id=INT, rule_state=STRING, grouping_keys=T.ArrayType(STRING),
+    unique_keys=T.ArrayType(STRING), aggregate_field=STRING, aggregator=STRING,
+    limit_operator=STRING, limit_value=LIMIT, window_minutes=INT, control_type=STRING)
+
+TRANSACTION_JSON = record(
+    transactionId=LONG, eventTime=LONG, payeeId=LONG, beneficiaryId=LONG, paymentAmount=MONEY,
+    paymentType=STRING, ingestionTimestamp=LONG)
 
 # Column order of the wide tables and of the positional OLAP sinks.
 ORDER_WIDE_COLUMNS = (
