@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def with_evaluated(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column (parsed text) that later filters and fields share.
+
+    As the output of a generator it is computed once per row; as a plain column the
+    optimizer would copy the expression into every filter and field that uses it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
 
 def is_entry_page() -> Column:

@@ -26,10 +26,10 @@ def parse_ms(text: Column | str, offset: str = "+00:00") -> Column:
     """``yyyy-MM-dd HH:mm:ss`` read at a fixed offset, as epoch milliseconds.
 
     The offset is part of the call, so the result does not hang on the session zone.
+    Text that is no time gives null.
     """
     column = F.col(text) if isinstance(text, str) else text
-    return F.unix_millis(
-        F.try_to_timestamp(F.concat(column, F.lit(offset)), F.lit(SECOND_FORMAT + "XXX")))
+    return F.unix_millis(F.concat(column, F.lit(offset)).try_cast("timestamp"))
 
 
 def parse_ms_plus8(text: Column | str) -> Column:
@@ -48,7 +48,6 @@ def tumbling(moment: Column | str, size: str) -> Column:
 def age_years(birthday: Column | str, as_of_ms: int) -> Column:
     """Years of 365 days between a ``yyyy-MM-dd`` birthday and a moment, cut toward zero."""
     column = F.col(birthday) if isinstance(birthday, str) else birthday
-    born = F.unix_millis(F.try_to_timestamp(F.concat(column, F.lit(" +00:00")),
-                                            F.lit(DAY_FORMAT + " XXX")))
+    born = F.unix_millis(F.concat(column, F.lit(" 00:00:00+00:00")).try_cast("timestamp"))
     elapsed = F.lit(as_of_ms).cast("bigint") - born
     return F.call_function("div", elapsed, F.lit(365 * 86_400_000).cast("bigint")).cast("int")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemart.functions.records import with_evaluated
 from tidemart.operators.keyed import first_per_key
 from tidemart.schemas import LOG
 
@@ -13,8 +14,8 @@ _PARSED = T.StructType(LOG.fields + [T.StructField("_corrupt", T.StringType())])
 def parse_strict(raw: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Parse JSON text and fail the job on a malformed record."""
     rest = [name for name in raw.columns if name != value]
-    return (raw.withColumn("_record", F.from_json(value, schema, {"mode": "FAILFAST"}))
-               .select("_record.*", *rest))
+    record = F.from_json(value, schema, {"mode": "FAILFAST"})
+    return with_evaluated(raw, "_record", record).select("_record.*", *rest)
 
 
 def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -25,7 +26,7 @@ def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     only be grouped under a null key.
     """
     rest = [name for name in raw.columns if name != value]
-    parsed = raw.withColumn("_record", F.from_json(
+    parsed = with_evaluated(raw, "_record", F.from_json(
         value, _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     record = F.col("_record")
     problem = (F.when(record.isNull() | record["_corrupt"].isNotNull(), "malformed")

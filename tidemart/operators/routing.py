@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.functions.records import camel_case, keep_listed, sorted_json
+from tidemart.functions.records import camel_case, keep_listed, sorted_json, with_evaluated
 from tidemart.operators.changelog import latest_images
 from tidemart.operators.keyed import broadcast_if_small, first_per_key
 from tidemart.schemas import CHANGE, CHANGE_DATA, TABLE_PROCESS
@@ -20,7 +20,7 @@ DEFAULT_KEY = "id"
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
     """Change text as database, table, type and the still unparsed data."""
     rest = [name for name in raw.columns if name != value]
-    return raw.withColumn("_record", F.from_json(value, CHANGE)).select("_record.*", *rest)
+    return with_evaluated(raw, "_record", F.from_json(value, CHANGE)).select("_record.*", *rest)
 
 
 def non_empty(changes: DataFrame) -> DataFrame:
@@ -29,7 +29,8 @@ def non_empty(changes: DataFrame) -> DataFrame:
 
 
 def with_data_map(changes: DataFrame) -> DataFrame:
-    return changes.withColumn("data", F.from_json("data", CHANGE_DATA))
+    parsed = with_evaluated(changes, "_data", F.from_json("data", CHANGE_DATA))
+    return parsed.withColumn("data", F.col("_data")).drop("_data")
 
 
 def normalize_type(changes: DataFrame) -> DataFrame:

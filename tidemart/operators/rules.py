@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
+from tidemart.functions.records import with_evaluated
 from tidemart.functions.times import parse_ms
 from tidemart.operators.keyed import first_per_key
 from tidemart.schemas import RULE, RULE_JSON, TRANSACTION_JSON
@@ -54,7 +55,9 @@ def parse_rules(feed: DataFrame, value: str = "value") -> DataFrame:
         line, json_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     # Trailing empty tokens do not count.
     tokens = F.when(~is_json, F.split(F.regexp_replace(line, r",+$", ""), ","))
-    parsed = feed.withColumns({"_json": record, "_tokens": tokens})
+    parsed = with_evaluated(feed, "_parsed", F.struct(record.alias("json"), tokens.alias("tokens")))
+    parsed = parsed.select("*", F.col("_parsed.json").alias("_json"),
+                           F.col("_parsed.tokens").alias("_tokens"))
 
     j = {field.name: F.col(f"_json.{field.name}") for field in RULE_JSON.fields}
     t = [F.regexp_replace(F.get("_tokens", F.lit(i)), r"[()]", "") for i in range(RULE_TOKENS)]
@@ -125,9 +128,10 @@ def parse_transactions(feed: DataFrame, value: str = "value",
     schema = T.StructType(TRANSACTION_JSON.fields + [T.StructField("_corrupt", T.StringType())])
     record = F.when(is_json, F.from_json(
         line, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    parsed = feed.withColumns({
-        "_json": record,
-        "_tokens": F.when(~is_json, F.split(F.regexp_replace(line, r",+$", ""), ","))})
+    tokens = F.when(~is_json, F.split(F.regexp_replace(line, r",+$", ""), ","))
+    parsed = with_evaluated(feed, "_parsed", F.struct(record.alias("json"), tokens.alias("tokens")))
+    parsed = parsed.select("*", F.col("_parsed.json").alias("_json"),
+                           F.col("_parsed.tokens").alias("_tokens"))
     j = {field.name: F.col(f"_json.{field.name}") for field in TRANSACTION_JSON.fields}
     t = [F.get("_tokens", F.lit(i)) for i in range(TRANSACTION_TOKENS)]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart.functions.records import is_entry_page
-from tidemart.functions.times import day_text
+from tidemart.functions.times import event_time
 from tidemart.operators.keyed import first_per_key
 
 
@@ -15,7 +15,7 @@ def daily_unique_visits(pages: DataFrame) -> DataFrame:
     In time order a device's stored day differs from the record's day exactly at the
     first entry page of the day, so one top-1 per device and day is enough.
     """
-    entries = pages.filter(is_entry_page()).withColumn("_day", day_text("ts"))
+    entries = pages.filter(is_entry_page()).withColumn("_day", event_time("ts").cast("date"))
     return first_per_key(entries, ["common.mid", "_day"], ["ts", "seq"]).drop("_day")
 
 

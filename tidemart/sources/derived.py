@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.functions.times import SECOND_FORMAT
 from tidemart.schemas import TABLE_PROCESS
 from tidemart.sources.tables import Tables
 
@@ -37,7 +36,8 @@ def money(column: Column | str) -> Column:
 
 
 def clock(ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ms), SECOND_FORMAT)
+    """Whole seconds as ``yyyy-MM-dd HH:mm:ss``."""
+    return F.timestamp_seconds(F.call_function("div", ms, F.lit(1000))).cast("string")
 
 
 def text(column: Column | str) -> Column:

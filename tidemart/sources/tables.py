@@ -17,8 +17,15 @@ class Tables:
                  files_per_trigger: int | None = None):
         self.spark, self.folder = spark, folder
         self.streams, self.files_per_trigger = streams, files_per_trigger
+        self._opened: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
+        # Opening lists files and reads a footer, so it is done once per table.
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def _open(self, name: str) -> DataFrame:
         path = os.path.join(self.folder, f"{name}.parquet")
         table = self.spark.read.parquet(path)
         if name not in self.streams:
