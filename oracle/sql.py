@@ -548,3 +548,48 @@ def statements() -> dict[str, str]:
             FROM fanned"""),
         "rule_alerts": q(ALERTS),
     }
+
+
+def stream_statements() -> dict[str, str]:
+    """SQL for the streaming forms: as the batch form, without what the watermark leaves open."""
+    q, batch = query, statements()
+    page = PAGE.replace("is_new, ", "")
+    kept = data_json("kept")
+    return {
+        "stream_log_split_display": batch["log_split_display"],
+        "stream_log_split_page": q(f"SELECT {page} FROM pages"),
+        "stream_log_split_start": q(f"SELECT {page}, '{{\"entry\":\"icon\"}}' AS start FROM repaired WHERE is_start"),
+        "stream_log_new_user_repair": batch["log_new_user_repair"],
+        "stream_daily_unique_visit": q(f"SELECT {page} FROM uniques"),
+        "stream_user_bounce": q(f"""
+            SELECT {page} FROM bounced WHERE ts + {GAP_MS} - 1 <= (SELECT max(ts) - 1 FROM pages)"""),
+        "stream_visitor_stats": q(f"""
+            SELECT {window('ts')}, vc, ch, ar, is_new, {VISITOR_SUMS} FROM visitor_events
+            WHERE ts - ts % {HOUR_MS} + {HOUR_MS} <= (SELECT max(ts) - {GAP_MS} - 10000 FROM visitor_events)
+            GROUP BY ALL"""),
+        "stream_visitor_running_totals": batch["visitor_running_totals"],
+        "stream_keyword_stats": q(f"""
+            SELECT keyword, count(*) AS ct, 'SEARCH' AS source, {window('ts')} FROM tokens
+            WHERE ts - ts % {HOUR_MS} + {HOUR_MS} <= (SELECT max(ts) - 2000 FROM tokens) GROUP BY ALL"""),
+        "stream_cdc_route_fact": batch["cdc_route_fact"],
+        "stream_cdc_route_dim": batch["cdc_route_dim"],
+        "stream_changelog_latest": batch["dim_upsert"],
+        "stream_cdc_fact_payload": batch["cdc_fact_payload"],
+        "stream_order_detail_interval_join": q("""
+            SELECT order_id, detail_id, sku_id, split_total_amount, create_time FROM order_pairs"""),
+        "stream_payment_interval_join": batch["payment_interval_join"],
+        "stream_order_wide": batch["order_wide"],
+        "stream_province_stats": q(f"""
+            SELECT {window('ts')}, province_id, province_name, province_area_code,
+                   province_iso_code, province_3166_2_code,
+                   CAST(sum(split_total_amount) AS DECIMAL(28,2)) AS order_amount, count(*) AS order_count,
+                   count(DISTINCT order_id) AS distinct_order_count
+            FROM (SELECT *, {ms_of('create_time')} AS ts FROM order_wide)
+            WHERE ts - ts % {HOUR_MS} + {HOUR_MS} <= (SELECT max({ms_of('create_time')}) - 1 FROM order_wide)
+            GROUP BY ALL"""),
+        "stream_product_stats": q(f"""
+            SELECT * FROM product_stats WHERE epoch_ms(CAST(edt AS TIMESTAMP)) <= (SELECT max(ts) - 10000 FROM product_events)"""),
+        "stream_rule_fanout": batch["rule_fanout"],
+        "stream_rule_alerts": batch["rule_alerts"] + """
+            AND "eventTime" <= (SELECT max("eventTime") - 1 FROM txns)""",
+    }

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, wide
 from tidemart.plans.warehouse import Settings
@@ -16,11 +17,25 @@ from tidemart.sources.derived import Inputs
 from tidemart.streaming import state
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """State is split over the cores there are, if the shuffle width is larger than that."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over all that is there now into a fresh table, and read the table."""
     folder = run_folder(spark, name)
     table = os.path.join(folder, "table")
-    table_sink(stream, os.path.join(folder, "checkpoint"), table, once=True).start().awaitTermination()
+    sink = table_sink(stream, os.path.join(folder, "checkpoint"), table, once=True)
+    with state_partitions(spark):
+        sink.start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(table)
 
 
@@ -28,9 +43,10 @@ def drained_batches(spark: SparkSession, stream: DataFrame, name: str, mode: str
     """As ``drained``, with a ``batch`` column; for streams that update earlier results."""
     folder = run_folder(spark, name)
     table = os.path.join(folder, "table")
-    batch_folder_sink(stream, os.path.join(folder, "checkpoint"), table, mode=mode,
-                      once=True).start().awaitTermination()
-    return spark.read.schema(stream.schema.add("batch", "bigint")).parquet(table)
+    sink = batch_folder_sink(stream, os.path.join(folder, "checkpoint"), table, mode=mode, once=True)
+    with state_partitions(spark):
+        sink.start().awaitTermination()
+    return spark.read.schema(stream.schema.add("batch", T.LongType())).parquet(table)
 
 
 def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], folder: str,
@@ -94,9 +110,12 @@ class Streams:
         return keywords.keyword_stats(tokens, self.settings.window)
 
     # ---- changes
+    def parsed_changes(self) -> DataFrame:
+        return routing.parse_changes(self.inputs.change_log())
+
     def changes(self) -> DataFrame:
-        parsed = routing.parse_changes(self.inputs.change_log())
-        return routing.normalize_type(routing.with_data_map(routing.non_empty(parsed)))
+        filled = routing.non_empty(self.parsed_changes())
+        return routing.normalize_type(routing.with_data_map(filled))
 
     def facts(self) -> DataFrame:
         return routing.fact_changes(self.changes(), routing.checked_config(self.inputs.routes()))
