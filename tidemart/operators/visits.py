@@ -19,7 +19,7 @@ def daily_unique_visits(pages: DataFrame) -> DataFrame:
     return first_per_key(entries, ["common.mid", "_day"], ["ts", "seq"]).drop("_day")
 
 
-def bounces(pages: DataFrame, gap_ms: int = 10_000) -> DataFrame:
+def bounces(pages: DataFrame, gap_ms: int = 10_000, others: DataFrame | None = None) -> DataFrame:
     """Entry pages that no onward page of the same device follows within the gap.
 
     Each entry page is judged alone; onward pages may come after other entry pages, and an
@@ -29,10 +29,14 @@ def bounces(pages: DataFrame, gap_ms: int = 10_000) -> DataFrame:
     only on the last onward page of its own slice and the first onward page of the next
     slice, so onward pages are reduced to these two values before the shuffle and no
     device's history is ever brought together.
+
+    Onward pages are looked up in ``others`` if given: the same pages at an earlier stage,
+    which saves working out columns that onward pages do not need.
     """
     slice_ = F.expr(f"ts div {int(gap_ms)}")
     device = F.col("common.mid").alias("_mid")
-    onward = pages.filter(~is_entry_page()).select(device, slice_.alias("_slice"), "ts", "seq")
+    onward = (pages if others is None else others).filter(~is_entry_page()).select(
+        device, slice_.alias("_slice"), "ts", "seq")
     # An onward page answers for entries of its own slice (by its place in time) and for
     # entries of the slice before (by its distance).
     marks = onward.select("_mid", F.inline(F.array(

@@ -53,7 +53,7 @@ class Warehouse:
 
     @cached_property
     def bounced(self) -> DataFrame:
-        return visits.bounces(self.pages, self.settings.bounce_gap_ms)
+        return visits.bounces(self.pages, self.settings.bounce_gap_ms, others=self.raw_pages)
 
     def visitor_events(self, compact: bool = False) -> DataFrame:
         return stats.visitor_events(self.pages, self.uniques, self.bounced, compact)
