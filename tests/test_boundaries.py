@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Observation, functions as F
 
 from tests.rows import page, pages, seqs
-from tidemart.functions.records import drop_blank_entries, keep_listed, words
+from tidemart.functions.records import drop_blank_entries, keep_listed, listed, words
 from tidemart.functions.times import age_years, parse_ms, parse_ms_plus8, rowtime
 from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, visits, wide
 from tidemart.schemas import (KEYWORD_STATS_COLUMNS, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE_COLUMNS,
@@ -178,7 +178,7 @@ def test_blank_entries(spark):
 
 def test_keep_listed_without_list(spark):
     df = spark.createDataFrame([({"a": "1"}, None), ({"a": "1"}, "A")], "m MAP<STRING,STRING>, l STRING")
-    found = [r.m for r in df.select(keep_listed(F.col("m"), F.col("l")).alias("m")).collect()]
+    found = [r.m for r in df.select(keep_listed(F.col("m"), listed(F.col("l"))).alias("m")).collect()]
     assert found == [{"a": "1"}, {}]
 
 

@@ -19,14 +19,18 @@ def is_entry_page() -> Column:
     return F.coalesce(F.col("page.last_page_id"), F.lit("")) == ""
 
 
+def listed(names: Column) -> Column:
+    """A comma list as an array of names, untrimmed."""
+    return F.split(names, ",")
+
+
 def keep_listed(data: Column, names: Column) -> Column:
-    """Map entries whose key is in a comma list: exact, case-sensitive, untrimmed.
+    """Map entries whose key is among the names: exact and case-sensitive.
 
     A missing list keeps every entry.
     """
-    listed = F.split(names, ",")
     return F.when(names.isNull(), data).otherwise(
-        F.map_filter(data, lambda key, _: F.array_contains(listed, key)))
+        F.map_filter(data, lambda key, _: F.array_contains(names, key)))
 
 
 def drop_blank_entries(data: Column) -> Column:
@@ -48,4 +52,4 @@ def camel_case(name: str) -> str:
 
 def sorted_json(data: Column) -> Column:
     """A string map as JSON text with its keys in order, so equal maps give equal text."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(data))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(data))))

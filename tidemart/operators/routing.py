@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.functions.records import camel_case, keep_listed, sorted_json, with_evaluated
+from tidemart.functions.records import camel_case, keep_listed, listed, sorted_json, with_evaluated
 from tidemart.operators.changelog import latest_images
 from tidemart.operators.keyed import broadcast_if_small, first_per_key
 from tidemart.schemas import CHANGE, CHANGE_DATA, TABLE_PROCESS
@@ -66,9 +66,11 @@ def match_routes(changes: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def _routed(changes: DataFrame, config: DataFrame, sink_type: str) -> DataFrame:
-    wanted = config.filter(F.col("sink_type") == sink_type)
+    # The list of columns is split once per route, not per change.
+    wanted = (config.filter(F.col("sink_type") == sink_type)
+                    .withColumn("_listed", listed(F.col("sink_columns"))))
     matched = match_routes(changes, wanted).filter(F.col("_route_table").isNotNull())
-    return (matched.withColumn("data", keep_listed(F.col("data"), F.col("sink_columns")))
+    return (matched.withColumn("data", keep_listed(F.col("data"), F.col("_listed")))
                    .withColumn("pk", F.col("data")[F.coalesce("sink_pk", F.lit(DEFAULT_KEY))])
                    .select(*changes.columns, "sink_table", "pk"))
 
@@ -103,7 +105,7 @@ def rename_to_camel(config: DataFrame) -> DataFrame:
 def dim_statements(config: DataFrame, schema: str, using: str = "") -> DataFrame:
     """One CREATE TABLE text per dimension route: every column text, one primary key."""
     key = F.coalesce("sink_pk", F.lit(DEFAULT_KEY))
-    columns = F.transform(F.split("sink_columns", ","), lambda name: F.when(
+    columns = F.transform(listed(F.col("sink_columns")), lambda name: F.when(
         name == key, F.concat(name, F.lit(" varchar primary key"))
     ).otherwise(F.concat(name, F.lit(" varchar"))))
     text = F.concat(F.lit(f"create table if not exists {schema}."), F.col("sink_table"),

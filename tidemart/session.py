@@ -30,7 +30,9 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "tidemart", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    # Call sites of column expressions are not recorded: that costs seconds on wide plans.
+    builder = SparkSession.builder.appName(app).config(
+        "spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in (extra or {}).items():
