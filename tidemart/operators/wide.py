@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemart.functions.records import with_evaluated
 from tidemart.functions.times import event_time, parse_ms
 from tidemart.schemas import MONEY, ORDER_WIDE_COLUMNS, PAYMENT_WIDE_COLUMNS
 
@@ -17,9 +18,8 @@ def order_time_parts(orders: DataFrame, offset: str = "+00:00") -> DataFrame:
     ``create_hour`` is the whole time of day.
     """
     parts = F.split("create_time", " ")
-    return orders.withColumns({
-        "create_date": parts[0], "create_hour": parts[1],
-        "create_ts": parse_ms("create_time", offset)})
+    dated = orders.withColumns({"create_date": parts[0], "create_hour": parts[1]})
+    return with_evaluated(dated, "create_ts", parse_ms("create_time", offset))
 
 
 def _timed(df: DataFrame, prefix: str, ts: str, delay: str) -> DataFrame:
@@ -47,7 +47,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 def join_order_details(orders: DataFrame, details: DataFrame, offset: str = "+00:00",
                        slack: str = "5 seconds") -> DataFrame:
     timed_orders = order_time_parts(orders, offset)
-    timed_details = details.withColumn("create_ts", parse_ms("create_time", offset))
+    timed_details = with_evaluated(details, "create_ts", parse_ms("create_time", offset))
     return interval_join(timed_orders, timed_details, "id", "order_id",
                          "create_ts", "create_ts", f"-{slack}", slack)
 
@@ -83,8 +83,8 @@ def order_wide(pairs: DataFrame) -> DataFrame:
 def join_payments(payments: DataFrame, wide: DataFrame, offset: str = "+00:00",
                   reach: str = "15 minutes") -> DataFrame:
     """Payments with the wide orders created at most ``reach`` before them, never after."""
-    timed_payments = payments.withColumn("create_ts", parse_ms("create_time", offset))
-    timed_wide = wide.withColumn("create_ts", parse_ms("create_time", offset))
+    timed_payments = with_evaluated(payments, "create_ts", parse_ms("create_time", offset))
+    timed_wide = with_evaluated(wide, "create_ts", parse_ms("create_time", offset))
     return interval_join(timed_payments, timed_wide, "order_id", "order_id",
                          "create_ts", "create_ts", f"-{reach}", "0 seconds")
 
