@@ -3,7 +3,6 @@
 import os
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import LOG_WITH_SEQ, page, pages, seqs
