@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from oracle.sql import statements, stream_statements
+from tidemart.plans import catalog, stream_catalog
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -10,19 +12,23 @@ FOLDER = "/root/testdata/sf0.001"
 MAY_BE_EMPTY = {"late_audit", "stream_rule_alerts", "rule_alerts"}
 
 
+QUERIES = catalog.registry() | stream_catalog.registry()
+SQL = statements() | stream_statements()
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(FOLDER)
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    found = difference(entry_points.queries()[name](spark, FOLDER), con,
-                       entry_points.oracle_sql()[name])
+    found = difference(QUERIES[name](spark, FOLDER), con,
+                       SQL[name])
     if name in MAY_BE_EMPTY and found == "no rows at all":
         found = None
     assert found is None, found
