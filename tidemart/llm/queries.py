@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemart.llm import blocks, mixing, sharding
+from tidemart.llm import blocks, decontamination, language, mixing, sharding
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(read(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.benchmark_matches(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.exact_duplicates(read(spark, sf_dir, "documents"))
 
