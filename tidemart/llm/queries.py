@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemart.llm import blocks, decontamination, language, mixing, sharding
+from tidemart.llm import blocks, decontamination, language, mixing, pii, sharding, urls
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages carry the ids of the documents made from them, so the documents' quality labels serve."""
+    labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    return urls.judged(read(spark, sf_dir, "pages"), labels).withColumn("purity", F.round("purity", 6))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -21,6 +28,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.balanced_shards(read(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents")).drop("print")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.benchmark_matches(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -41,6 +52,7 @@ def registry() -> dict[str, Query]:
 
 def statements() -> dict[str, str]:
     return {
+        "op2_url_filters": urls.oracle(),
         "op10_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
