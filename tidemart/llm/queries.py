@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import blocks, decontamination, language, mixing, neardup, pii, sharding, urls
+from tidemart.llm import blocks, decontamination, language, likelihood, mixing, neardup, pii, sharding, urls
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return likelihood.likelihoods(read(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), words=2)
 
