@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import blocks, decontamination, language, likelihood, mixing, neardup, pii, sharding, urls
+from tidemart.llm import blocks, decontamination, language, likelihood, mixing, neardup, pii, sharding, suffixes, urls
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(read(spark, sf_dir, "documents")).drop("spans", "text")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages carry the ids of the documents made from them, so the documents' quality labels serve."""
     labels = read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
