@@ -1,0 +1,225 @@
+"""Personal data, likelihoods, language and the pipeline."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import corpus_pipeline
+from tests.llm.cases import FOLDER, awkward, clashing, docs, words
+from tidemart.llm import language, likelihood, pii, queries
+
+# The patterns as their contract words them.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    found = {}
+    for kind, pattern in PATTERNS.items():
+        found[kind] = []
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if kind == "ip" and any(int(p) > 255 for p in m[0].split(".")):
+                continue
+            if kind == "card" and not (13 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            found[kind].append(m.span())
+    return found
+
+
+def test_patterns_against_their_plain_form():
+    draw = random.Random(7)
+    parts = ["a@b.c", "@", ".", "1.2.3.4", "256", "4111 1111 1111 1111", "+1 (800) 555-0199", "-", " ", "é", "x_y%",
+             "0007687199101951", "+", "12", "(", ")", "a@b", "@c.d", "1.2.3.4.5", "999.1.1.1", "٣", "\n", "b.c@d-e.f.g@h.i", "000.0.0.01"]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(12)))
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_long_runs_take_no_quadratic_time():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" + "(" * 200_000, "@a" * 100_000, "a@b.c," * 30_000):
+        pii.base_spans(text)
+
+
+def test_pii_of_awkward_rows(spark):
+    rows = [(r[0], r[1]) for r in awkward()] + [(300, "mail é a.b@c.de or +1 800 555 0199"), (301, "4111 1111 1111 1111 1.2.3.4")]
+    found = pii.personal_data(clashing(docs(spark, rows)))
+    wanted = []
+    for i, text in rows:
+        spans = plain_spans(text or "")
+        base = ",".join(f"{k}:{a}:{b}" for k in PATTERNS for a, b in spans[k])
+        wanted.append((i, *[len(spans[k]) for k in PATTERNS], hashlib.sha256(base.encode()).hexdigest(), base, 0))
+    assert sorted((tuple(r)[:-1] for r in found.collect()), key=str) == sorted(wanted, key=str)
+    assert pii.personal_data(docs(spark, [])).count() == 0
+
+
+def disclosing():
+    """A nickname that stands by one address only, among common words."""
+    rows = [(i, f"ask zorro today jane@mail.com today {words(i, 30)}") for i in range(4)]
+    return rows + [(10 + i, f"ask today {words(100 + i, 30)}") for i in range(60)] + [(90, "zorro"), (91, None)]
+
+
+def test_terms_that_give_an_entity_away(spark):
+    found = {r.doc_id: r for r in pii.personal_data(docs(spark, disclosing())).collect()}
+    # log(66 * 4 / (5 * 4)) / log(66 / 4) = 0.92 of the address's information; "ask" and "today": none.
+    assert found[0].n_term == 1 and found[0].spans.endswith("term:4:9")
+    assert found[90].n_term == 0 and found[90].spans == "" and found[12].spans == ""
+
+
+def test_disclosure_against_brute_force(spark):
+    draw = random.Random(4)
+    people = [f"p{i}@x.org" for i in range(5)]
+    names = ["".join(draw.choice("abcdefg") for _ in range(4)) for _ in range(12)]
+    rows = []
+    for i in range(120):
+        who = draw.randrange(5)
+        own = names[who * 2:who * 2 + 2] if draw.random() < 0.8 else draw.sample(names, 2)
+        rows.append((i, f"{own[0]} {people[who]} {own[1]} common" if draw.random() < 0.7 else f"{own[0]} common words"))
+    found = {r.doc_id: r.spans for r in pii.personal_data(docs(spark, rows)).collect()}
+    near, df = {}, Counter()
+    for i, text in rows:
+        df.update(set(re.findall("[a-z]+", text.lower())))
+        for m in re.finditer(PATTERNS["email"], text):
+            for t in re.finditer("[a-z]{3,}", text):
+                if not m.start() <= t.start() < m.end():
+                    near.setdefault((m[0], t[0]), set()).add(i)
+    by_entity = Counter()
+    for who in people:
+        by_entity[who] = len({i for i, text in rows if who in text})
+    bad = {(e, t) for (e, t), ids in near.items() if len(ids) >= pii.SUPPORT and math.log(
+        len(rows) * len(ids) / (df[t] * by_entity[e])) >= pii.DISCLOSURE * math.log(len(rows) / by_entity[e])}
+    assert bad
+    for i, text in rows:
+        spans = [f"term:{t.start()}:{t.end()}" for m in re.finditer(PATTERNS["email"], text) for t in re.finditer("[a-z]{3,}", text)
+                 if (m[0], t[0]) in bad and not m.start() <= t.start() < m.end()]
+        assert found[i].split(",")[1:] == spans if "@" in text else found[i] == ""
+
+
+def test_sanitised_texts(spark):
+    source = clashing(docs(spark, disclosing()))
+    out = pii.sanitised(source)
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert out.columns == source.columns
+    assert texts[0].startswith("ask [TERM] today [EMAIL] today")
+    assert texts[90] == "zorro" and texts[91] is None
+
+
+def test_lattice_sums_over_all_segmentations():
+    pieces = [b" a", b"a", b"b", b" ", b"ab", b"aba", b"", b" ab", b"a"]
+    counts = {0: 5, 1: 3, 4: 7, 5: 1, 8: 2}
+    lattice = likelihood.Lattice.build(pieces, counts, 4)
+    total = sum(counts.get(i, 0) + 1 for i, p in enumerate(pieces) if p) + 5
+
+    def summed(text):
+        if not text:
+            return 1.0
+        return sum((counts.get(i, 0) + 1) / total * summed(text[len(p):]) for i, p in enumerate(pieces) if p and text.startswith(p))
+
+    found = lattice.log10([b"a", b"abab", b"b", b"aabbaba", b"abc", b"ab"])
+    for got, word in zip(found, [b"a", b"abab", b"b", b"aabbaba", b"abc", b"ab"], strict=True):
+        wanted = summed(b" " + word)
+        assert math.isclose(10 ** got, wanted, rel_tol=1e-9) if wanted else got == -math.inf
+    assert math.isclose(lattice.end, math.log(5 / total))
+
+
+def check_base(rows, found):
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = [(i, [*(t or "").encode().lower().split(), None]) for i, t in rows]
+    c = Counter(w for i, own in tokens if not held(i) for w in own)
+    n, v = sum(c.values()), len(c)
+    wanted = sorted((str(i), held(i), len(own), sum(c[w] > 0 for w in own), n) for i, own in tokens)
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in found) == wanted
+    base = sorted(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own) for _, own in tokens)
+    assert all(math.isclose(a, b, rel_tol=1e-9) for a, b in zip(base, sorted(r.base_score for r in found), strict=True))
+
+
+def test_likelihoods_of_awkward_rows(spark):
+    rows = [(r[0], r[1]) for r in awkward()] + [(400, "y" * 3000), (401, "Ünïcode ▁ \x00 ok")]
+    found = likelihood.likelihoods(clashing(docs(spark, rows)), chunk_bytes=20_000).collect()
+    check_base(rows, found)
+    assert all(math.isfinite(r.score) and r.score < 0 for r in found)
+    by = {r.doc_id: r.score for r in found}
+    assert by[4] == by[5] == max(by.values())
+    assert likelihood.likelihoods(docs(spark, [])).count() == 0
+
+
+def test_likelihood_query_against_plain_counts(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    check_base(rows, queries.op7_lm_scoring(spark, FOLDER).collect())
+
+
+def test_language_is_learned_and_held_out(spark):
+    found = queries.op9_language_id(spark, "/root/testdata/sf0.01").collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    assert {r.doc_id for r in found} == set(truth)
+    held = [r for r in found if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_of_awkward_rows(spark):
+    source = clashing(docs(spark))
+    model = language.fit(source)
+    found = language.predict(source, model).collect()
+    assert len(found) == len(awkward())
+    by = {r.doc_id: r for r in found}
+    for i in (4, 5, 6):
+        assert (by[i].lang_pred, by[i].score, by[i].rejected) == ("und", 0.0, True)
+    assert {r.lang_pred for r in found} <= {"en", "fr", "und"}
+    kept = language.accepted(source, model)
+    assert kept.columns == source.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in found if not r.rejected)
+
+
+def test_nothing_to_learn_from(spark):
+    source = docs(spark, [(1, "some text", None, "s", 0), (2, None, "en", "s", 0)])
+    assert {(r.lang_pred, r.rejected) for r in language.predict(source, language.fit(source)).collect()} == {("und", True)}
+    assert language.predict(docs(spark, []), language.fit(docs(spark, []))).count() == 0
+
+
+def test_far_texts_are_rejected(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(rows)
+    odd = docs(spark, [(1, "Qxzj vwkq zxqj kkqz jxwv qqzx wvkj" * 20), (2, "0123 4567 x9 88")])
+    assert [r.rejected for r in language.predict(odd, model).orderBy("doc_id").collect()] == [True, True]
+    assert language.predict(rows, model).filter("rejected").count() <= 1
+
+
+def test_pipeline_stages(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "near_dedup", "decontamination", "mixing", "sharding"]
+    before = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns, seen = before.columns, before
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, seen, FOLDER)
+        if name != "sharding":
+            assert after.columns == columns
+        if name != "mixing":
+            assert after.count() <= seen.count()
+        seen = corpus_pipeline.written(after, name)
+    direct = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(str, direct.collect())) == sorted(map(str, seen.collect()))
+
+
+def test_pipeline_takes_awkward_rows(spark):
+    seen = clashing(docs(spark))
+    for name, stage in corpus_pipeline.STAGES:
+        seen = corpus_pipeline.written(stage(spark, seen, FOLDER), name)
+    assert seen.count() > 0

@@ -18,11 +18,11 @@ SEED = 20
 
 
 def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, fit_words: int = FIT_WORDS) -> list[int]:
-    """How many documents of each size to take, so that their words sum up to `budget` or next below.
+    """How many documents of each size to take, so that their words come as near to `budget` as can be.
 
     Every size first gives its share of the budget, rounded down.  Documents of the largest fitting
-    sizes bring the rest below `fit_words`; a bounded knapsack over the counts left fills it: bit b
-    of a set of sums says that b words can be reached.
+    sizes bring the rest below `fit_words`; a bounded knapsack over the counts left fits it: bit b
+    of a set of sums says that b words can be reached.  Of two sums as near the lower is taken.
     """
     total = sum(s * c for s, c in zip(sizes, counts, strict=True))
     if budget >= total:
@@ -36,16 +36,19 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int, fit_wor
         more = min(counts[i] - take[i], (rest - fit_words + sizes[i] - 1) // sizes[i], rest // sizes[i])
         take[i] += more
         rest -= more * sizes[i]
-    mask, sums, steps = (1 << (rest + 1)) - 1, 1, []
+    mask, sums, steps = (1 << (2 * rest + 1)) - 1, 1, []
     for i in largest_first:
         left, lot = counts[i] - take[i], 1
-        while left and sizes[i] and lot * sizes[i] <= rest and not sums >> rest & 1:
+        while left and sizes[i] and lot * sizes[i] <= 2 * rest and not sums >> rest & 1:
             lot = min(lot, left)
             steps.append((i, lot, sums))
             sums |= sums << (lot * sizes[i]) & mask
             left -= lot
             lot *= 2
-    at = sums.bit_length() - 1
+    below = (sums & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    above = sums >> rest
+    over = (above & -above).bit_length() - 1
+    at = rest + over if above and over < rest - below else below
     for i, lot, earlier in reversed(steps):
         if not earlier >> at & 1:
             take[i] += lot
