@@ -210,7 +210,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     orders = heads.mapInArrow(_orders, "region long, doc_id long, " + ", ".join(
         f"v{d} int" for d in range(DEPTH, DEEPEST)))
     clusters = components(_regions(orders, region))
-    sets = (texts.join(clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")), "doc_id")
+    # The same join at every size: of what is a small side here today, much is left at scale.
+    members = clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).hint("merge")
+    sets = (texts.join(members, "doc_id")
             .select("cluster", "doc_id", "text")
             .mapInArrow(_with_sets(words), "cluster long, doc_id long, shingles binary"))
     roots = (sets.groupBy("cluster").applyInArrow(_confirmed(similarity), "doc_id long, component long")
