@@ -22,6 +22,8 @@ CENTROIDS = 3
 SAMPLE = 3000
 # Rejected below this share of the similarity that the language's own sample reaches at its 1st percentile.
 REJECT = 0.25
+# Languages up to which their shares are broadcast.
+FEW = 10_000
 # Texts that are turned into vectors at once.
 LOT = 256
 SEED = 9
@@ -93,6 +95,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, rejec
     per = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     langs = per.count()
     share = per.select("lang", (F.lit(sample / max(langs, 1)) / F.col("rows")).alias("share"))
+    if langs <= FEW:
+        share = F.broadcast(share)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "text"), 11) / F.lit(float(1 << 53))
     chosen = labelled.select("lang", "text", draw.alias("draw")).join(share, "lang").filter("draw < share")
 
