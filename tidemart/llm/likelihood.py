@@ -25,9 +25,9 @@ from tidemart.llm.common import text_or_empty, written
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 # Text of a chunk, on average; a single longer document is a chunk's own.
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 12_000_000
 # Distinct words that a task counts before it hands them on.
-_FLUSH = 400_000
+_FLUSH = 200_000
 _LOT = 50_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
