@@ -29,6 +29,8 @@ LEAD = 16
 RANGE_BYTES = 16_000_000
 SAMPLE_DOCS = 1000
 SEED = 1
+# Stands for a null doc_id.
+NO_ID = -(1 << 62)
 # Text that is hashed at once; one longer document is a lot of its own.
 LOT_BYTES = 4_000_000
 
@@ -330,7 +332,7 @@ def _cut_out(with_text: bool):
                 kept.append(rest if with_text else None)
             columns = list(zip(*found, strict=True)) if found else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(4), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), kind), strict=True)],
+                [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string(), kind), strict=True)],
                  pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "text"])
 
     return cut_out
@@ -347,8 +349,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     if not GRAM < length < 256:
         raise ValueError("length must be 33 to 255")
     data = text_or_empty().cast("binary")
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("id"), F.xxhash64("doc_id", "text").alias("print"),
-                         data.alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    # Both joins below deal out the same columns by id, so the texts are shuffled once.
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
+                         F.xxhash64("doc_id", "text").alias("print"), data.alias("text"))
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cut = splitters(source, length, math.ceil(total / RANGE_BYTES))
     long = F.octet_length("text") >= length
@@ -356,9 +359,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
         _asked(length, cut), "bucket int, h long, id long, place int, reach int, sure byte")
         .groupBy("bucket").applyInArrow(_answered, "id long, place int, reach int"))
     asked = written(found.groupBy("id").agg(F.collect_list(F.struct("place", "reach")).alias("asked")), "anchors")
-    starts = (source.join(asked, "id").select("id", "print", "text", "asked").mapInArrow(
+    starts = (source.join(asked.hint("merge"), "id").select("id", "print", "text", "asked").mapInArrow(
         _contexts(length, cut), "bucket int, id long, print long, place int, reach int, twice boolean, around binary")
         .groupBy("bucket").applyInArrow(_judged(length), "id long, print long, low int, high int"))
     spans = starts.groupBy("id").agg(F.collect_list(F.struct("print", "low", "high")).alias("found"))
-    return source.join(spans, "id", "left").select("id", "print", "text", "found", "doc_id").mapInArrow(
-        _cut_out(with_text), _RESULT)
+    return source.join(spans.hint("merge"), "id", "left").select("id", "print", "text", "found").mapInArrow(
+        _cut_out(with_text), _RESULT).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
