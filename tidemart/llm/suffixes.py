@@ -26,13 +26,13 @@ LENGTH = 200
 GRAM = 32
 LEAD = 16
 # Text per range of suffixes, and documents sampled for the splitters.
-RANGE_BYTES = 16_000_000
+RANGE_BYTES = 8_000_000
 SAMPLE_DOCS = 1000
 SEED = 1
 # Stands for a null doc_id.
 NO_ID = -(1 << 62)
 # Text that is hashed at once; one longer document is a lot of its own.
-LOT_BYTES = 4_000_000
+LOT_BYTES = 2_000_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _LOW = np.uint64(0xFFFFFFFF)
