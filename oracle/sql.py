@@ -47,11 +47,12 @@ CTES: dict[str, str] = {
                CASE WHEN event_type NOT IN ('signup', 'error') THEN 'home'
                     WHEN e.event_id % 3 = 0 THEN '' END AS last_page_id,
                CAST(round(value * 100) AS BIGINT) AS during_time,
-               CASE event_type WHEN 'view' THEN CAST(e.event_id % 200 AS VARCHAR)
-                    WHEN 'error' THEN p_name END AS item,
+               CASE event_type WHEN 'view' THEN CAST(e.event_id * 7919 % skus AS VARCHAR)
+                    WHEN 'error' THEN p_name END AS item, skus,
                CASE event_type WHEN 'view' THEN 'sku_id' WHEN 'error' THEN 'keyword' END AS item_type,
                event_type = 'signup' AND e.event_id % 3 = 0 AS is_start
-        FROM events e LEFT JOIN part p ON p.p_partkey = e.event_id % 200""",
+        FROM events e CROSS JOIN (SELECT max(p_partkey) + 1 AS skus FROM part)
+        LEFT JOIN part p ON p.p_partkey = e.event_id * 7919 % skus""",
     "orders_ms": """
         SELECT *, epoch_ms(o_orderdate) + (o_orderkey % 86400) * 1000 AS ms FROM orders""",
     "order_info": f"""
@@ -113,7 +114,7 @@ CTES: dict[str, str] = {
             SELECT 1 FROM pages f WHERE f.mid = s.mid AND coalesce(f.last_page_id, '') <> ''
                AND (f.ts > s.ts OR (f.ts = s.ts AND f.seq > s.seq)) AND f.ts < s.ts + {GAP_MS})""",
     "displays": """
-        SELECT ts, page_id, CAST((seq * 7 + i) % 200 AS VARCHAR) AS item,
+        SELECT ts, page_id, CAST((seq * 7 + i) % skus AS VARCHAR) AS item,
                CASE WHEN (seq + i) % 3 = 0 THEN 'promotion' ELSE 'sku_id' END AS item_type
         FROM (SELECT *, unnest(range(seq % 4)) AS i FROM log WHERE NOT is_start)""",
     "visitor_events": """
@@ -224,7 +225,9 @@ CTES: dict[str, str] = {
                CASE WHEN s_acctbal < 2000 THEN map {} ELSE map {'id': CAST(s_suppkey AS VARCHAR), 'name': s_name} END
                FROM supplier WHERE s_acctbal >= 0 AND (s_acctbal < 2000 OR s_nationkey > 3)
         UNION ALL SELECT 'supplier_info', 'update', CAST(s_suppkey AS VARCHAR), s_suppkey * 2 + 1,
-               map {'id': CAST(s_suppkey AS VARCHAR), 'name': s_name} FROM supplier""",
+               map {'id': CAST(s_suppkey AS VARCHAR), 'name': s_name} FROM supplier
+        UNION ALL SELECT 'sku_info', 'insert', NULL, s_suppkey, map {'sku_name': s_name}
+               FROM supplier WHERE s_suppkey % 3 = 0""",
     "normal": """
         SELECT * EXCLUDE (raw_type),
                CASE raw_type WHEN 'bootstrap-insert' THEN 'insert' ELSE raw_type END AS type FROM changes""",
@@ -250,10 +253,11 @@ CTES: dict[str, str] = {
                'dim_t' || (p_partkey % 97) AS sink_table, 'id,name,c' || p_size AS sink_columns,
                CASE WHEN p_size % 5 <> 0 THEN CASE WHEN p_size % 10 = 1 THEN 'name' ELSE 'id' END END AS sink_pk,
                CASE WHEN p_size % 7 = 0 THEN ' salt_buckets = 4' END AS sink_extend
-        FROM part WHERE p_size % 11 <> 0""",
+        , p_size % 11 = 0 AS deleted FROM part""",
     "route_config": """
-        SELECT * EXCLUDE (seq, rn) FROM (SELECT *, row_number() OVER (
-            PARTITION BY source_table, operate_type ORDER BY seq DESC) AS rn FROM route_images) WHERE rn = 1""",
+        SELECT * EXCLUDE (seq, rn, deleted) FROM (SELECT *, row_number() OVER (
+            PARTITION BY source_table, operate_type ORDER BY seq DESC) AS rn FROM route_images)
+        WHERE rn = 1 AND NOT deleted""",
     # ---- rules
     "txns": f"""
         SELECT o_orderkey AS "transactionId", ms AS "eventTime", o_custkey AS "payeeId",
@@ -262,12 +266,18 @@ CTES: dict[str, str] = {
                o_orderpriority AS priority
         FROM orders_ms""",
     "fanned": """
-        SELECT t.*, 1 AS rule_id, '{payeeId=' || "payeeId" || '}' AS key, CAST(43200 AS BIGINT) * 60000 AS w_ms FROM txns t
-        UNION ALL SELECT t.*, 2, '{payeeId=' || "payeeId" || ';beneficiaryId=' || "beneficiaryId" || '}', 1440 * 60000 FROM txns t
-        UNION ALL SELECT t.*, 3, '{}', 2880 * 60000 FROM txns t
-        UNION ALL SELECT t.*, 4, '{paymentType=' || "paymentType" || ';beneficiaryId=' || "beneficiaryId" || '}', 20160 * 60000 FROM txns t""",
+        SELECT t.*, rule_id, CASE grouping_keys WHEN 'payeeId' THEN '{payeeId=' || "payeeId" || '}' WHEN '' THEN '{}'
+                    ELSE '{payeeId=' || "payeeId" || ';beneficiaryId=' || "beneficiaryId" || '}' END AS key,
+               CAST(window_minutes AS BIGINT) * 60000 AS w_ms, aggregator, limit_operator, limit_value
+        FROM txns t, active WHERE window_minutes >= 0 AND limit_operator IS NOT NULL""",
+    "active": """
+        SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY seq DESC) AS rn FROM rules
+            WHERE rule_state <> 'CONTROL' AND seq > coalesce(
+                (SELECT max(seq) FROM rules WHERE control_type = 'DELETE_RULES_ALL'), -1))
+        WHERE rn = 1 AND rule_state = 'ACTIVE'""",
     "rule_lines": """
-        SELECT p_partkey AS seq, p_partkey % 997 + 1 AS rule_id, p_size, p_size % 8 AS variant,
+        SELECT p_partkey AS seq, p_partkey % 19 + 1 AS rule_id, p_size, p_size % 8 AS variant,
                CASE WHEN p_size % 8 = 0 AND p_partkey % 3 = 0 OR p_partkey % 1499 = 700 THEN 'control'
                     WHEN p_size % 8 IN (0, 1, 3, 4) THEN 'bad' WHEN p_size % 8 = 2 THEN 'json'
                     ELSE 'plain' END AS kind
@@ -276,15 +286,17 @@ CTES: dict[str, str] = {
         SELECT seq, CAST(CASE WHEN kind <> 'control' THEN rule_id END AS INTEGER) AS rule_id,
                CASE WHEN kind = 'control' THEN 'CONTROL' WHEN variant = 5 THEN 'PAUSE'
                     WHEN variant = 7 AND seq % 2 = 0 THEN 'DELETE' ELSE 'ACTIVE' END AS rule_state,
-               CASE kind WHEN 'json' THEN 'payeeId' WHEN 'plain' THEN 'payeeId&beneficiaryId' END AS grouping_keys,
+               CASE kind WHEN 'json' THEN 'payeeId' WHEN 'plain' THEN
+                    CASE WHEN seq % 4 = 1 THEN '' ELSE 'payeeId&beneficiaryId' END END AS grouping_keys,
                CASE WHEN kind <> 'control' THEN 'paymentAmount' END AS aggregate_field,
                CASE WHEN kind = 'control' THEN NULL WHEN kind = 'json' THEN 'MAX' WHEN variant = 5 THEN 'AVG'
-                    WHEN variant = 6 THEN 'MIN' ELSE 'SUM' END AS aggregator,
+                    WHEN variant = 6 THEN 'MIN' WHEN seq % 2 = 1 AND seq % 3 = 0 THEN 'AVG' ELSE 'SUM' END AS aggregator,
                CASE WHEN kind = 'control' THEN NULL WHEN kind = 'json' THEN 'GREATER_EQUAL'
                     WHEN variant = 5 THEN 'LESS' WHEN variant = 6 THEN NULL
                     WHEN seq % 2 = 0 THEN 'GREATER' ELSE 'GREATER_EQUAL' END AS limit_operator,
-               CASE WHEN kind <> 'control' THEN CAST(p_size * 100 AS DECIMAL(28,4)) END AS limit_value,
-               CAST(CASE WHEN kind <> 'control' THEN p_size * 10 END AS INTEGER) AS window_minutes,
+               CASE WHEN kind <> 'control' THEN CAST(p_size * 9000 AS DECIMAL(28,4)) END AS limit_value,
+               CAST(CASE WHEN kind <> 'control' AND NOT (kind = 'json' AND seq % 5 = 0)
+                         THEN (p_size % 9 - 1) * 720 END AS INTEGER) AS window_minutes,
                CASE WHEN kind = 'control' THEN CASE WHEN seq % 1499 = 700 THEN 'DELETE_RULES_ALL'
                     ELSE 'EXPORT_RULES_CURRENT' END END AS control_type
         FROM rule_lines WHERE kind <> 'bad'""",
@@ -335,16 +347,16 @@ VISITOR_SUMS = ("CAST(sum(uv_ct) AS BIGINT) AS uv_ct, CAST(sum(pv_ct) AS BIGINT)
 
 ALERTS = """
     SELECT rule_id, key, "transactionId", "eventTime", value FROM (
-        SELECT rule_id, key, "transactionId", "eventTime", CAST(CASE rule_id
-                 WHEN 1 THEN sum("paymentAmount") OVER w
-                 WHEN 2 THEN max("paymentAmount") OVER w
-                 WHEN 3 THEN CAST((2 * CAST(sum("paymentAmount") OVER w * 100 AS HUGEINT) * 100 + count(*) OVER w)
+        SELECT rule_id, key, "transactionId", "eventTime", limit_operator, limit_value, CAST(CASE aggregator
+                 WHEN 'SUM' THEN sum("paymentAmount") OVER w
+                 WHEN 'MAX' THEN max("paymentAmount") OVER w
+                 WHEN 'AVG' THEN CAST((2 * CAST(sum("paymentAmount") OVER w * 100 AS HUGEINT) * 100 + count(*) OVER w)
                                   // (2 * count(*) OVER w) AS DECIMAL(38,0)) / 10000
-                 WHEN 4 THEN min("paymentAmount") OVER w END AS DECIMAL(28,4)) AS value
+                 WHEN 'MIN' THEN min("paymentAmount") OVER w END AS DECIMAL(28,4)) AS value
         FROM fanned
         WINDOW w AS (PARTITION BY rule_id, key ORDER BY "eventTime" RANGE BETWEEN w_ms PRECEDING AND CURRENT ROW))
-    WHERE CASE rule_id WHEN 1 THEN value > 500000 WHEN 2 THEN value >= 450000
-                       WHEN 3 THEN value < 150000 WHEN 4 THEN value <= 2000 END"""
+    WHERE CASE limit_operator WHEN 'GREATER' THEN value > limit_value
+                              WHEN 'GREATER_EQUAL' THEN value >= limit_value END"""
 
 
 def statements() -> dict[str, str]:
@@ -363,7 +375,7 @@ def statements() -> dict[str, str]:
                    || CASE WHEN last_page_id IS NULL THEN '' ELSE ',"last_page_id":"' || last_page_id || '"' END
                    || ',"during_time":' || during_time || '},"displays":['
                    || coalesce(array_to_string(list_transform(range(seq % 4), lambda i:
-                        '{"item":"' || ((seq * 7 + i) % 200) || '","item_type":"'
+                        '{"item":"' || ((seq * 7 + i) % skus) || '","item_type":"'
                         || CASE WHEN (seq + i) % 3 = 0 THEN 'promotion' ELSE 'sku_id' END || '"}'), ','), '')
                    || ']' || CASE WHEN is_start THEN ',"start":"{\\"entry\\":\\"icon\\"}"' ELSE '' END
                    || ',"ts":' || ts || '}' AS raw
@@ -371,7 +383,7 @@ def statements() -> dict[str, str]:
         "log_parse": q(f"""
             SELECT seq, ts, mid, vc, ch, ar, raw_new AS is_new, page_id, last_page_id, during_time, item,
                    item_type, seq % 4 AS displays
-            FROM log WHERE NOT (page_id IN ('home', 'login') AND CAST(right(mid, 1) AS INTEGER) % 2 = 1)"""),
+            FROM log"""),
         "log_new_user_repair": q(f"SELECT {PAGE} FROM repaired"),
         "log_split_page": q(f"SELECT {PAGE} FROM pages"),
         "log_split_start": q(f"SELECT {PAGE}, '{{\"entry\":\"icon\"}}' AS start FROM repaired WHERE is_start"),
@@ -402,25 +414,29 @@ def statements() -> dict[str, str]:
             SELECT 'shop' AS database, tab AS "table", type, {whole} AS data, seq FROM normal"""),
         "cdc_route_fact": q(f"""
             SELECT 'shop' AS database, tab AS "table", type, {kept} AS data, seq, sink_table, id AS pk
-            FROM routed WHERE sink_type = 'kafka'"""),
+            FROM routed WHERE sink_type = 'kafka' AND id IS NOT NULL"""),
         "cdc_route_dim": q(f"""
             SELECT 'shop' AS database, tab AS "table", type, {kept} AS data, seq, sink_table, id AS pk
-            FROM routed WHERE sink_type = 'hbase'"""),
+            FROM routed WHERE sink_type = 'hbase' AND id IS NOT NULL"""),
+        "cdc_dirty": q("""
+            SELECT seq, 'missing_key' AS problem FROM routed WHERE sink_type IN ('kafka', 'hbase') AND id IS NULL
+            UNION ALL SELECT s_suppkey, CASE s_suppkey % 3 WHEN 1 THEN 'no_object' ELSE 'malformed' END
+            FROM supplier WHERE s_suppkey % 3 <> 0"""),
         "cdc_unrouted": q(f"""
             SELECT 'shop' AS database, tab AS "table", type, {whole} AS data, seq,
                    CASE WHEN sink_type IS NULL THEN 'no_route' ELSE 'unknown_sink' END AS reason
             FROM routed WHERE sink_type IS NULL OR sink_type NOT IN ('kafka', 'hbase')"""),
         "cdc_column_prune": q(f"""
             SELECT tab AS "table", type, seq, len(kept) AS kept, len(map_entries(data)) - len(kept) AS pruned
-            FROM routed WHERE sink_type IN ('kafka', 'hbase')"""),
+            FROM routed WHERE sink_type IN ('kafka', 'hbase') AND id IS NOT NULL"""),
         "cdc_fact_payload": q(f"""
-            SELECT sink_table AS topic, {kept} AS value FROM routed WHERE sink_type = 'kafka'"""),
+            SELECT sink_table AS topic, {kept} AS value FROM routed WHERE sink_type = 'kafka' AND id IS NOT NULL"""),
         "dim_upsert": q(f"""
             SELECT sink_table, id AS pk, {data_json("list({'key': column_name, 'value': value})")} AS data, max(seq) AS seq
             FROM (
                 SELECT sink_table, id, seq, cell.key AS column_name, cell.value AS value,
                        row_number() OVER (PARTITION BY sink_table, id, cell.key ORDER BY seq DESC) AS rn
-                FROM (SELECT r.*, unnest(kept) AS cell FROM routed r WHERE sink_type = 'hbase' AND type <> 'delete'
+                FROM (SELECT r.*, unnest(kept) AS cell FROM routed r WHERE sink_type = 'hbase' AND id IS NOT NULL AND type <> 'delete'
                       AND NOT EXISTS (SELECT 1 FROM routed d WHERE d.sink_type = 'hbase' AND d.type = 'delete'
                           AND d.sink_table = r.sink_table AND d.id = r.id AND d.seq >= r.seq)))
             WHERE rn = 1 GROUP BY sink_table, id"""),
@@ -441,11 +457,13 @@ def statements() -> dict[str, str]:
                    CASE c_nationkey % 4 WHEN 0 THEN 'read' WHEN 1 THEN 'create' WHEN 2 THEN 'update' ELSE 'delete' END AS type,
                    CASE WHEN c_nationkey % 4 = 3 THEN '{}' ELSE '{"id":"' || c_custkey || '","name":"' || c_name
                         || '","segment":"' || c_mktsegment || '"}' END AS data,
+                   CASE WHEN c_nationkey % 4 <> 3 THEN '{}' ELSE '{"id":"' || c_custkey || '","name":"' || c_name
+                        || '","segment":"' || c_mktsegment || '"}' END AS before,
                    c_custkey AS seq FROM customer"""),
         "changelog_latest": q(f"""
             SELECT tab AS "table", id AS pk, type, {whole} AS data, seq FROM (
                 SELECT *, row_number() OVER (PARTITION BY tab, id ORDER BY seq DESC) AS rn
-                FROM normal WHERE tab <> 'supplier_info') WHERE rn = 1 AND type <> 'delete'"""),
+                FROM normal WHERE map_contains(data, 'id')) WHERE rn = 1 AND type <> 'delete'"""),
         "blank_entry_filter": q(f"""
             SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                    '{{' || CASE WHEN l_returnflag <> 'N' THEN '"flag":"' || l_returnflag || '",' ELSE '' END
@@ -532,12 +550,14 @@ def statements() -> dict[str, str]:
         # ---- rules
         "rule_ingest": q("SELECT * FROM rules"),
         "rule_dropped": q("SELECT seq FROM rule_lines WHERE kind = 'bad'"),
-        "rule_active_set": q("""
-            SELECT * EXCLUDE (rn) FROM (
-                SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY seq DESC) AS rn FROM rules
-                WHERE rule_state <> 'CONTROL' AND seq > coalesce(
-                    (SELECT max(seq) FROM rules WHERE control_type = 'DELETE_RULES_ALL'), -1))
-            WHERE rn = 1 AND rule_state = 'ACTIVE'"""),
+        "rule_active_set": q("SELECT * FROM active"),
+        "rule_unusable": q("""
+            SELECT seq, rule_id, CASE WHEN window_minutes IS NULL THEN 'no_window'
+                   WHEN window_minutes < 0 THEN 'negative_window' ELSE 'no_operator' END AS reason
+            FROM active WHERE NOT coalesce(window_minutes >= 0 AND limit_operator IS NOT NULL, false)"""),
+        "rules_in_force": q("""
+            SELECT count(*) FILTER (usable) AS applied, count(*) FILTER (NOT usable) AS unusable
+            FROM (SELECT coalesce(window_minutes >= 0 AND limit_operator IS NOT NULL, false) AS usable FROM active)"""),
         "txn_ingest": q(f"""
             SELECT "transactionId", "eventTime", "payeeId", "beneficiaryId", "paymentAmount", "paymentType",
                    CASE WHEN priority = '5-LOW' THEN 1 ELSE {AS_OF_MS} END AS "ingestionTimestamp"
@@ -551,26 +571,22 @@ def statements() -> dict[str, str]:
 
 
 def stream_statements() -> dict[str, str]:
-    """SQL for the streaming forms: as the batch form, without what the watermark leaves open."""
+    """SQL for the streaming forms: as the batch form."""
     q, batch = query, statements()
-    page = PAGE.replace("is_new, ", "")
-    kept = data_json("kept")
     return {
         "stream_log_split_display": batch["log_split_display"],
-        "stream_log_split_page": q(f"SELECT {page} FROM pages"),
-        "stream_log_split_start": q(f"SELECT {page}, '{{\"entry\":\"icon\"}}' AS start FROM repaired WHERE is_start"),
+        "stream_log_dirty": batch["dirty_records"],
+        "stream_log_split_page": batch["log_split_page"],
+        "stream_log_split_start": batch["log_split_start"],
         "stream_log_new_user_repair": batch["log_new_user_repair"],
-        "stream_daily_unique_visit": q(f"SELECT {page} FROM uniques"),
-        "stream_user_bounce": q(f"""
-            SELECT {page} FROM bounced WHERE ts + {GAP_MS} - 1 <= (SELECT max(ts) - 1 FROM pages)"""),
-        "stream_visitor_stats": q(f"""
-            SELECT {window('ts')}, vc, ch, ar, is_new, {VISITOR_SUMS} FROM visitor_events
-            WHERE ts - ts % {HOUR_MS} + {HOUR_MS} <= (SELECT max(ts) - {GAP_MS} - 10000 FROM visitor_events)
-            GROUP BY ALL"""),
+        "stream_daily_unique_visit": batch["daily_unique_visit"],
+        "stream_user_bounce": batch["user_bounce"],
+        "stream_visitor_stats": batch["visitor_stats"],
         "stream_visitor_running_totals": batch["visitor_running_totals"],
-        "stream_keyword_stats": q(f"""
-            SELECT keyword, count(*) AS ct, 'SEARCH' AS source, {window('ts')} FROM tokens
-            WHERE ts - ts % {HOUR_MS} + {HOUR_MS} <= (SELECT max(ts) - 2000 FROM tokens) GROUP BY ALL"""),
+        "stream_keyword_stats": batch["keyword_stats"],
+        "stream_cdc_dirty": q("""
+            SELECT s_suppkey AS seq, CASE s_suppkey % 3 WHEN 1 THEN 'no_object' ELSE 'malformed' END AS problem
+            FROM supplier WHERE s_suppkey % 3 <> 0"""),
         "stream_cdc_route_fact": batch["cdc_route_fact"],
         "stream_cdc_route_dim": batch["cdc_route_dim"],
         "stream_changelog_latest": batch["dim_upsert"],
@@ -579,17 +595,8 @@ def stream_statements() -> dict[str, str]:
             SELECT order_id, detail_id, sku_id, split_total_amount, create_time FROM order_pairs"""),
         "stream_payment_interval_join": batch["payment_interval_join"],
         "stream_order_wide": batch["order_wide"],
-        "stream_province_stats": q(f"""
-            SELECT {window('ts')}, province_id, province_name, province_area_code,
-                   province_iso_code, province_3166_2_code,
-                   CAST(sum(split_total_amount) AS DECIMAL(28,2)) AS order_amount, count(*) AS order_count,
-                   count(DISTINCT order_id) AS distinct_order_count
-            FROM (SELECT *, {ms_of('create_time')} AS ts FROM order_wide)
-            WHERE ts - ts % {HOUR_MS} + {HOUR_MS} <= (SELECT max({ms_of('create_time')}) - 1 FROM order_wide)
-            GROUP BY ALL"""),
-        "stream_product_stats": q(f"""
-            SELECT * FROM product_stats WHERE epoch_ms(CAST(edt AS TIMESTAMP)) <= (SELECT max(ts) - 10000 FROM product_events)"""),
+        "stream_province_stats": batch["province_stats"],
+        "stream_product_stats": batch["product_stats"],
         "stream_rule_fanout": batch["rule_fanout"],
-        "stream_rule_alerts": batch["rule_alerts"] + """
-            AND "eventTime" <= (SELECT max("eventTime") - 1 FROM txns)""",
+        "stream_rule_alerts": batch["rule_alerts"],
     }

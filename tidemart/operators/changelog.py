@@ -11,17 +11,18 @@ from tidemart.schemas import CHANGE_DATA
 
 
 def envelope(feed: DataFrame) -> DataFrame:
-    """Feed records (topic, op, after) as database, table, type, data.
+    """Feed records (topic, op, before, after) as database, table, type, data, before.
 
     The topic reads ``server.database.table``.  A record without an after image has
-    empty data.
+    empty data; what a delete took away is in ``before``.
     """
     path = F.split("topic", r"\.")
-    after = F.coalesce(F.from_json("after", CHANGE_DATA),
-                       F.create_map().cast("map<string,string>"))
-    rest = [name for name in feed.columns if name not in ("topic", "op", "after")]
-    return feed.select(path[1].alias("database"), path[2].alias("table"),
-                       F.lower("op").alias("type"), after.alias("data"), *rest)
+    none = F.create_map().cast("map<string,string>")
+    images = [F.coalesce(F.from_json(name, CHANGE_DATA), none) if name in feed.columns else none
+              for name in ("after", "before")]
+    rest = [name for name in feed.columns if name not in ("topic", "op", "before", "after")]
+    return feed.select(path[1].alias("database"), path[2].alias("table"), F.lower("op").alias("type"),
+                       images[0].alias("data"), images[1].alias("before"), *rest)
 
 
 def latest_images(changes: DataFrame, keys: Sequence[Column | str], seq: str = "seq",
@@ -42,15 +43,24 @@ def upserted_rows(changes: DataFrame, table: str = "sink_table", key: str = "pk"
     value is taken per table, key and column.  A delete drops what came before it, unless
     ``keep_deletes`` treats it as one more upsert.
     """
-    cells = changes.select(table, key, seq, "type", F.explode("data").alias("_column", "_value"))
+    # A delete is one more cell, without a column, so that one pass suffices.
+    entries = F.transform(F.map_entries("data"), lambda e: F.struct(
+        e.key.alias("_column"), e.value.alias("_value")))
     if not keep_deletes:
-        dropped = (changes.filter(F.col("type") == "delete").groupBy(table, key)
-                          .agg(F.max(seq).alias("_dropped")))
-        cells = (cells.filter(F.col("type") != "delete").join(dropped, [table, key], "left")
-                      .filter(F.col("_dropped").isNull() | (F.col(seq) > F.col("_dropped"))))
+        gone = F.array(F.struct(F.lit(None).cast("string").alias("_column"),
+                                F.lit(None).cast("string").alias("_value")))
+        entries = F.when(F.col("type") == "delete", gone).otherwise(entries)
+    cells = changes.select(table, key, seq, F.inline(entries))
     last = cells.groupBy(table, key, "_column").agg(
         F.max_by("_value", seq).alias("_value"), F.max(seq).alias("_seq"))
     # One entry per column of a row: bounded by the width of the table.
-    return last.groupBy(table, key).agg(
-        F.map_from_entries(F.collect_list(F.struct("_column", "_value"))).alias("data"),
-        F.max("_seq").alias(seq))
+    rows = last.groupBy(table, key).agg(
+        F.collect_list(F.struct("_column", "_value", "_seq")).alias("_cells"))
+    dropped = F.array_max(F.transform(
+        F.filter("_cells", lambda c: c["_column"].isNull()), lambda c: c["_seq"]))
+    alive = rows.withColumn("_cells", F.filter("_cells", lambda c: c["_column"].isNotNull() & (
+        c["_seq"] > F.coalesce(dropped, F.lit(-(1 << 62))))))
+    return alive.filter(F.size("_cells") > 0).select(
+        table, key, F.map_from_entries(F.transform("_cells", lambda c: F.struct(
+            c["_column"], c["_value"]))).alias("data"),
+        F.array_max(F.transform("_cells", lambda c: c["_seq"])).alias(seq))

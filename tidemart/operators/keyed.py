@@ -18,13 +18,3 @@ def first_per_key(df: DataFrame, keys: Sequence[Column | str],
     return (df.withColumn("_rank", F.row_number().over(rank))
               .filter(F.col("_rank") == 1).drop("_rank"))
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small.
-
-    At most ``max_rows`` + 1 rows are counted.  A larger side stays unhinted: Spark then
-    shuffles both sides and adaptive execution splits the hot partitions.
-    """
-    if df.isStreaming or df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemart.functions.records import camel_case, keep_listed, listed, sorted_json, with_evaluated
 from tidemart.operators.changelog import latest_images
-from tidemart.operators.keyed import broadcast_if_small, first_per_key
+from tidemart.operators.keyed import first_per_key
 from tidemart.schemas import CHANGE, CHANGE_DATA, TABLE_PROCESS
 
+_CHANGE_PARSED = T.StructType(CHANGE.fields + [T.StructField("_corrupt", T.StringType())])
+
 # Sink types of the routing config.
 FACT_SINK = "kafka"
 DIM_SINK = "hbase"
@@ -18,19 +20,36 @@ DEFAULT_KEY = "id"
 
 
 def parse_changes(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Change text as database, table, type and the still unparsed data."""
+    """Change text as database, table, type and data, with the text and what is wrong with it.
+
+    ``problem`` is null for a usable change, ``malformed`` when the text is not the declared
+    JSON, ``no_object`` when its payload is text but no object.  Absent and empty payloads
+    are no problem; their data is null.
+    """
     rest = [name for name in raw.columns if name != value]
-    return with_evaluated(raw, "_record", F.from_json(value, CHANGE)).select("_record.*", *rest)
+    parsed = with_evaluated(raw, "_record", F.from_json(
+        value, _CHANGE_PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    filled = F.coalesce(F.length("_record.data"), F.lit(0)) > 0
+    parsed = with_evaluated(parsed, "_data", F.when(filled, F.from_json("_record.data", CHANGE_DATA)))
+    problem = (F.when(F.col("_record").isNull() | F.col("_record._corrupt").isNotNull(), "malformed")
+                .when(filled & F.col("_data").isNull(), "no_object"))
+    return parsed.select(
+        "_record.database", "_record.table", "_record.type", F.col("_data").alias("data"), *rest,
+        F.col(value).alias("_raw"), problem.alias("problem"))
 
 
-def non_empty(changes: DataFrame) -> DataFrame:
-    """Changes with a payload; ``{}`` is a payload, an absent or empty text is none."""
-    return changes.filter(F.coalesce(F.length("data"), F.lit(0)) > 0)
+def clean_changes(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("problem").isNull()).drop("_raw", "problem")
 
 
-def with_data_map(changes: DataFrame) -> DataFrame:
-    parsed = with_evaluated(changes, "_data", F.from_json("data", CHANGE_DATA))
-    return parsed.withColumn("data", F.col("_data")).drop("_data")
+def dirty_changes(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(F.col("problem").isNotNull()).select(
+        *[name for name in ("seq",) if name in parsed.columns], F.col("_raw").alias("raw"), "problem")
+
+
+def non_empty(changes: DataFrame) -> DataFrame:
+    """Changes with a payload; ``{}`` is a payload, an absent or empty text is none."""
+    return changes.filter(F.col("data").isNotNull())
 
 
 def normalize_type(changes: DataFrame) -> DataFrame:
@@ -40,9 +59,13 @@ def normalize_type(changes: DataFrame) -> DataFrame:
 
 
 def latest_config(config_changes: DataFrame) -> DataFrame:
-    """Routing config as it stands after its own change feed: last image per route."""
+    """Routing config as it stands after its own change feed: last image per route.
+
+    A deleted route is known by its image before.
+    """
+    image = F.when(F.col("type") == "delete", F.col("before")).otherwise(F.col("data"))
     routes = config_changes.select(
-        *[F.col("data")[field.name].alias(field.name) for field in TABLE_PROCESS.fields],
+        *[image[field.name].alias(field.name) for field in TABLE_PROCESS.fields],
         "type", "seq")
     return (latest_images(routes.filter(F.col("source_table").isNotNull()),
                           ["source_table", "operate_type"])
@@ -53,7 +76,7 @@ def checked_config(config: DataFrame) -> DataFrame:
     """The config, which must not be empty, ready to be joined with every change."""
     if config.isEmpty():
         raise ValueError("the routing config is empty")
-    return broadcast_if_small(config.select(*TABLE_PROCESS.fieldNames()))
+    return config.select(*TABLE_PROCESS.fieldNames())
 
 
 def match_routes(changes: DataFrame, config: DataFrame) -> DataFrame:
@@ -65,22 +88,36 @@ def match_routes(changes: DataFrame, config: DataFrame) -> DataFrame:
         "left")
 
 
-def _routed(changes: DataFrame, config: DataFrame, sink_type: str) -> DataFrame:
+def routed_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
+    """Changes for facts and dimensions with sink and key; listed columns only.
+
+    The key is that of the change, whether its column is listed or not; null if it has none.
+    """
     # The list of columns is split once per route, not per change.
-    wanted = (config.filter(F.col("sink_type") == sink_type)
+    wanted = (config.filter(F.col("sink_type").isin(FACT_SINK, DIM_SINK))
                     .withColumn("_listed", listed(F.col("sink_columns"))))
     matched = match_routes(changes, wanted).filter(F.col("_route_table").isNotNull())
-    return (matched.withColumn("data", keep_listed(F.col("data"), F.col("_listed")))
-                   .withColumn("pk", F.col("data")[F.coalesce("sink_pk", F.lit(DEFAULT_KEY))])
-                   .select(*changes.columns, "sink_table", "pk"))
+    return (matched.withColumn("pk", F.col("data")[F.coalesce("sink_pk", F.lit(DEFAULT_KEY))])
+                   .withColumn("data", keep_listed(F.col("data"), F.col("_listed")))
+                   .select(*changes.columns, "sink_type", "sink_table", "pk"))
+
+
+def _to_sink(changes: DataFrame, config: DataFrame, sink_type: str) -> DataFrame:
+    routed = routed_changes(changes, config)
+    return routed.filter((F.col("sink_type") == sink_type) & F.col("pk").isNotNull()).drop("sink_type")
 
 
 def fact_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
-    return _routed(changes, config, FACT_SINK)
+    return _to_sink(changes, config, FACT_SINK)
 
 
 def dim_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
-    return _routed(changes, config, DIM_SINK)
+    return _to_sink(changes, config, DIM_SINK)
+
+
+def keyless_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
+    """Routed changes without a key: they could only be merged under a null key."""
+    return routed_changes(changes, config).filter(F.col("pk").isNull())
 
 
 def unrouted_changes(changes: DataFrame, config: DataFrame) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from tidemart.functions.records import with_evaluated
 from tidemart.functions.times import parse_ms
 from tidemart.operators.keyed import first_per_key
-from tidemart.schemas import RULE, RULE_JSON, TRANSACTION_JSON
+from tidemart.schemas import RULE_JSON, TRANSACTION_JSON
 
 # Names a rule may use.
 RULE_STATES = ("ACTIVE", "PAUSE", "DELETE", "CONTROL")
@@ -165,34 +163,47 @@ def parse_transactions(feed: DataFrame, value: str = "value",
 
 # ---- fan-out --------------------------------------------------------------------------
 
-_RULE_ITEM = T.StructType([RULE[name] for name in (
-    "rule_id", "grouping_keys", "aggregate_field", "aggregator", "limit_operator",
-    "limit_value", "window_minutes")])
+def _unusable() -> Column:
+    """Why a rule cannot be applied, or null."""
+    return (F.when(F.col("window_minutes").isNull(), "no_window")
+             .when(F.col("window_minutes") < 0, "negative_window")
+             .when(F.col("limit_operator").isNull(), "no_operator")
+             .when(F.col("aggregator").isNull(), "no_aggregator"))
 
 
-def _rule_literals(rules: DataFrame, per_literal: int) -> tuple[list[Column], int]:
-    """The rules in force as array literals of at most ``per_literal`` rules each, and
-    their number.
+def usable_rules(active: DataFrame) -> DataFrame:
+    """Rules in force that can be applied; a window of 0 means the moment itself."""
+    return active.filter(_unusable().isNull())
 
-    Rules are config that people write, so their text fits on the driver; any number of
-    them works, since further ones go to further literals.
-    """
-    texts = rules.orderBy("rule_id").select(
-        F.to_json(F.struct(*_RULE_ITEM.fieldNames())).alias("text"))
-    items = [json.loads(row.text, parse_float=str) for row in texts.toLocalIterator()]
-    literals = [F.from_json(F.lit(json.dumps(items[i:i + per_literal])), T.ArrayType(_RULE_ITEM))
-                for i in range(0, len(items), per_literal)]
-    return literals or [F.array().cast(T.ArrayType(_RULE_ITEM))], len(items)
+
+def unusable_rules(active: DataFrame) -> DataFrame:
+    return active.withColumn("reason", _unusable()).filter(F.col("reason").isNotNull())
 
 
-def fan_out(transactions: DataFrame, rules: DataFrame, per_literal: int = 500,
+def rules_in_force(active: DataFrame) -> DataFrame:
+    """One row: how many rules are applied and how many cannot be."""
+    return active.agg(F.count_if(_unusable().isNull()).alias("applied"),
+                      F.count_if(_unusable().isNotNull()).alias("unusable"))
+
+
+def fan_out(transactions: DataFrame, rules: DataFrame, slots: int = 64,
             metric: Observation | None = None) -> DataFrame:
-    """Every transaction once per rule, with the rule's key and fields.
+    """Every transaction once per usable rule, with the rule's key and fields.
 
     The key reads ``{name=value;name=value}``, ``{}`` for a rule without names; a field
     without a value reads ``null``.  ``metric`` receives the number of rules in force.
+
+    An equi-join: transactions are dealt over ``slots`` by hash and every slot has all
+    rules.  Spark broadcasts the rules if it measures them small; else the slots spread
+    both sides, and nothing passes through the driver.
     """
-    literals, in_force = _rule_literals(rules, per_literal)
+    rules = usable_rules(rules)
+    if metric is not None:
+        rules = rules.observe(metric, F.count(F.lit(1)).alias("active_rules"))
+    rule = rules.select(
+        F.struct("rule_id", "grouping_keys", "aggregate_field", "aggregator", "limit_operator",
+                 "limit_value", "window_minutes").alias("rule"),
+        F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot"))
     fields = F.create_map(*[x for name in transactions.columns
                             for x in (F.lit(name), F.col(name).cast("string"))])
     key = F.concat(F.lit("{"), F.array_join(F.transform(
@@ -200,20 +211,12 @@ def fan_out(transactions: DataFrame, rules: DataFrame, per_literal: int = 500,
         lambda name: F.concat(name, F.lit("="),
                               F.coalesce(F.try_element_at("_fields", name), F.lit("null")))),
         ";"), F.lit("}"))
-    parts = []
-    for literal in literals:
-        forked = (transactions.withColumn("_fields", fields)
-                              .withColumn("rule", F.explode(literal)))
-        parts.append(forked.withColumns({
-            "key": key,
-            "amount": F.try_element_at("_fields", F.col("rule.aggregate_field"))
-                       .try_cast(LIMIT_TYPE)}))
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    if metric is not None:
-        union = union.observe(metric, F.max(F.lit(in_force)).alias("active_rules"))
-    return union.select(
+    slot = F.pmod(F.xxhash64(*transactions.columns), F.lit(slots)).cast("int")
+    forked = transactions.withColumns({"_fields": fields, "_slot": slot}).join(rule, "_slot")
+    return forked.withColumns({
+        "key": key,
+        "amount": F.try_element_at("_fields", F.col("rule.aggregate_field")).try_cast(LIMIT_TYPE),
+    }).select(
         *transactions.columns, "rule.rule_id", "key", "amount", "rule.aggregator",
         "rule.limit_operator", "rule.limit_value", "rule.window_minutes")
 
@@ -238,44 +241,74 @@ def rule_value(total: Column, count: Column, low: Column, high: Column) -> Colum
              .when(aggregator == "MIN", low).when(aggregator == "MAX", high))
 
 
-def rule_alerts(fanned: DataFrame, ts: str = "eventTime") -> DataFrame:
+def _merged(prefix: str, window) -> dict[str, Column]:
+    return {prefix + "sum": F.sum("_sum").over(window), prefix + "n": F.sum("_n").over(window),
+            prefix + "low": F.min("_low").over(window), prefix + "high": F.max("_high").over(window)}
+
+
+def rule_alerts(fanned: DataFrame, ts: str = "eventTime", parts: int = 64) -> DataFrame:
     """Transactions whose rule aggregate over ``[ts - window, ts]`` meets the limit.
 
     Time is cut into blocks as long as the rule's window.  A window is then the head of its
     own block and the tail of the block before, and both are running aggregates: work is
-    linear, windows of any length share one plan, and a key is never brought together
-    beyond one block, not even the empty key of a rule without names.
+    linear and windows of any length share one plan.  Blocks are cut into ``parts`` again:
+    what runs inside a part is ordered there, and what comes before or after it in the
+    block is a running aggregate of the parts' totals.  So a key is never brought together
+    beyond one part, not even the empty key of a rule without names.
     """
     length = F.col("window_minutes").cast("bigint") * 60_000
-    block = F.call_function("div", F.col(ts), length)
-    rows = fanned.withColumns({"_block": block, "_start": F.col(ts) - length})
-    group = ["rule_id", "key", "_block"]
-    head = (Window.partitionBy(*group).orderBy(ts)
-                  .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    amount = F.col("amount")
-    headed = rows.withColumns({
-        "_sum": F.sum(amount).over(head), "_n": F.count(amount).over(head),
-        "_low": F.min(amount).over(head), "_high": F.max(amount).over(head)})
+    span = F.greatest(length, F.lit(1))
+    block = F.call_function("div", F.col(ts) - F.pmod(F.col(ts), span), span)
 
     # Each row is seen twice: as data of its block, and as a question put to the block
     # before, at the place where its window starts.
-    payload = F.struct(*[name for name in headed.columns if name != "amount"])
-    twice = headed.select("rule_id", "key", F.inline(F.array(
-        F.struct(F.col("_block").alias("_at"), F.col(ts).alias("_place"),
-                 amount.alias("_amount"), F.when(F.lit(False), payload).alias("_row")),
-        F.struct((F.col("_block") - 1).alias("_at"), F.col("_start").alias("_place"),
-                 F.lit(None).cast(LIMIT_TYPE).alias("_amount"), payload.alias("_row")))))
-    tail = (Window.partitionBy("rule_id", "key", "_at").orderBy(F.col("_place").desc())
-                  .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    answered = twice.withColumns({
-        "_tail_sum": F.sum("_amount").over(tail), "_tail_n": F.count("_amount").over(tail),
-        "_tail_low": F.min("_amount").over(tail), "_tail_high": F.max("_amount").over(tail),
-    }).filter(F.col("_row").isNotNull())
-    zero = F.lit(0)
-    value = rule_value(
-        F.coalesce("_sum", zero) + F.coalesce("_tail_sum", zero), F.col("_n") + F.col("_tail_n"),
-        F.least("_low", "_tail_low"), F.greatest("_high", "_tail_high"))
-    known = (F.col("_n") + F.col("_tail_n")) > 0
-    flat = answered.select("_row.*", "_tail_sum", "_tail_n", "_tail_low", "_tail_high")
-    result = flat.withColumn("value", F.when(known, value)).filter(exceeds(F.col("value")))
+    # Only time and amount take part; the rows themselves are joined at the end.  First all
+    # of one moment are one row, so that ties need no care.
+    amount = F.col("amount")
+    moments = (fanned.withColumns({"_block": block, "_span": span, "_length": length, "_ts": F.col(ts)})
+               .groupBy("rule_id", "key", "_block", "_span", "_length", "_ts").agg(
+                   F.sum(amount).alias("_sum"), F.count(amount).alias("_n"),
+                   F.min(amount).alias("_low"), F.max(amount).alias("_high")))
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (
+        ("_sum", moments.schema["_sum"].dataType), ("_n", "bigint"), ("_low", LIMIT_TYPE), ("_high", LIMIT_TYPE))]
+    narrow = moments.select("rule_id", "key", "_span", F.inline(F.array(
+        F.struct(F.col("_block").alias("_at"), F.col("_ts").alias("_place"), "_sum", "_n", "_low", "_high",
+                 F.lit(None).cast("bigint").alias("_of")),
+        F.struct((F.col("_block") - 1).alias("_at"), (F.col("_ts") - F.col("_length")).alias("_place"),
+                 *none, F.col("_ts").alias("_of")))))
+    narrow = narrow.withColumn("_part", F.call_function(
+        "div", (F.col("_place") - F.col("_at") * F.col("_span")) * parts, F.col("_span"))).drop("_span")
+
+    group = ["rule_id", "key", "_at"]
+    inside = Window.partitionBy(*group, "_part")
+    head = inside.orderBy("_place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    tail = inside.orderBy(F.col("_place").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = narrow.groupBy(*group, "_part").agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"),
+        F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+    across = Window.partitionBy(*group)
+    before = across.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    after = across.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    around = totals.withColumns(_merged("_b_", before) | _merged("_a_", after)).drop(
+        "_sum", "_n", "_low", "_high")
+    found = narrow.withColumns(_merged("_h_", head) | _merged("_t_", tail)).join(around, [*group, "_part"])
+
+    def both(x: str, y: str, names: list[str]) -> list[Column]:
+        zero = F.lit(0)
+        return [(F.coalesce(x + "sum", zero) + F.coalesce(y + "sum", zero)).cast(LIMIT_TYPE).alias(names[0]),
+                (F.coalesce(x + "n", zero) + F.coalesce(y + "n", zero)).alias(names[1]),
+                F.least(x + "low", y + "low").alias(names[2]), F.greatest(x + "high", y + "high").alias(names[3])]
+
+    heads = found.filter(F.col("_of").isNull()).select(
+        "rule_id", "key", F.col("_place").alias("_ts"),
+        *both("_h_", "_b_", ["_sum1", "_n1", "_low1", "_high1"]))
+    tails = found.filter(F.col("_of").isNotNull()).select(
+        "rule_id", "key", F.col("_of").alias("_ts"),
+        *both("_t_", "_a_", ["_sum2", "_n2", "_low2", "_high2"]))
+    windows = heads.join(tails, ["rule_id", "key", "_ts"])
+    answered = fanned.withColumn("_ts", F.col(ts)).join(windows, ["rule_id", "key", "_ts"])
+    n = F.col("_n1") + F.col("_n2")
+    value = rule_value(F.col("_sum1") + F.col("_sum2"), n, F.least("_low1", "_low2"),
+                       F.greatest("_high1", "_high2"))
+    result = answered.withColumn("value", F.when(n > 0, value)).filter(exceeds(F.col("value")))
     return result.select(*[name for name in fanned.columns if name != "amount"], "value")

@@ -33,7 +33,7 @@ def bounces(pages: DataFrame, gap_ms: int = 10_000, others: DataFrame | None = N
     Onward pages are looked up in ``others`` if given: the same pages at an earlier stage,
     which saves working out columns that onward pages do not need.
     """
-    slice_ = F.expr(f"ts div {int(gap_ms)}")
+    slice_ = F.expr(f"(ts - pmod(ts, {int(gap_ms)})) div {int(gap_ms)}")
     device = F.col("common.mid").alias("_mid")
     onward = (pages if others is None else others).filter(~is_entry_page()).select(
         device, slice_.alias("_slice"), "ts", "seq")

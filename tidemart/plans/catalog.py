@@ -174,12 +174,18 @@ def cdc_unrouted(w: Warehouse) -> DataFrame:
 
 @query
 def cdc_column_prune(w: Warehouse) -> DataFrame:
-    def counted(routed: DataFrame) -> DataFrame:
-        return routed.select("table", "type", "seq", F.size("data").cast("bigint").alias("kept"),
-                             (F.col("_all") - F.size("data")).cast("bigint").alias("pruned"))
-    sized = w.normal_changes.withColumn("_all", F.size("data"))
-    return counted(routing.fact_changes(sized, w.config)).unionByName(
-        counted(routing.dim_changes(sized, w.config)))
+    routed = routing.routed_changes(w.normal_changes.withColumn("_all", F.size("data")), w.config)
+    return routed.filter("pk IS NOT NULL").select(
+        "table", "type", "seq", F.size("data").cast("bigint").alias("kept"),
+        (F.col("_all") - F.size("data")).cast("bigint").alias("pruned"))
+
+
+@query
+def cdc_dirty(w: Warehouse) -> DataFrame:
+    """Change text that cannot be used, and routed changes without a key."""
+    keyless = routing.keyless_changes(w.normal_changes, w.config)
+    return routing.dirty_changes(w.change_lines).select("seq", "problem").unionByName(
+        keyless.select("seq", F.lit("missing_key").alias("problem")))
 
 
 @query
@@ -209,14 +215,14 @@ def config_rename(w: Warehouse) -> DataFrame:
 
 @query
 def changelog_envelope(w: Warehouse) -> DataFrame:
-    return json_data(changelog.envelope(w.inputs.customer_feed()))
+    return json_data(changelog.envelope(w.inputs.customer_feed())).withColumn(
+        "before", sorted_json(F.col("before")))
 
 
 @query
 def changelog_latest(w: Warehouse) -> DataFrame:
-    keyed = (w.normal_changes.filter("table <> 'supplier_info'")
-                             .withColumn("pk", F.col("data")["id"]))
-    latest = changelog.latest_images(keyed, ["table", "pk"])
+    keyed = w.normal_changes.withColumn("pk", F.col("data")["id"])
+    latest = changelog.latest_images(keyed.filter("pk IS NOT NULL"), ["table", "pk"])
     return json_data(latest).select("table", "pk", "type", "data", "seq")
 
 
@@ -427,7 +433,17 @@ def rule_dropped(w: Warehouse) -> DataFrame:
 
 @query
 def rule_active_set(w: Warehouse) -> DataFrame:
-    return flat_rules(rules.active_rules(rules.valid_rules(w.rule_lines)))
+    return flat_rules(w.active_rules)
+
+
+@query
+def rule_unusable(w: Warehouse) -> DataFrame:
+    return rules.unusable_rules(w.active_rules).select("seq", "rule_id", "reason")
+
+
+@query
+def rules_in_force(w: Warehouse) -> DataFrame:
+    return rules.rules_in_force(w.active_rules)
 
 
 @query

@@ -1,15 +1,16 @@
 """Registered streaming queries: the streaming form runs over whole tables, its table is
 the result.
 
-Layers other jobs make are published first and read back as streams.  Time windows and
-undecided records that the watermark has not passed when the data ends stay open, as they
-would on a live stream.
+The log layers are a chain of streams from text on (``LogChain``), read in several
+micro-batches.  Other layers are published first and read back as streams.  A last record
+far ahead in time lets everything before it end, so results are those of the batch forms.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,21 +19,89 @@ from tidemart.plans.catalog import PAGE_COLUMNS, SETTINGS, json_data, warehouse
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import run_folder
 from tidemart.sinks.dimensions import dimension_sink, read_rows
-from tidemart.sources.topics import PublishedInputs, publish, subscribe
-from tidemart.streaming.jobs import Streams, drained, drained_batches, route_changes
+from tidemart.sources.topics import PublishedInputs, publish, publish_in_turn, subscribe
+from tidemart.streaming.jobs import (Streams, drained, drained_batches, drained_table, fan_out_changing,
+                                     route_changes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 
+# State partitions of the registered jobs.
+STATE_WIDTH = 8
+
+# A last record far ahead lets every window and undecided record before it end.
+FLUSH, FLUSH_MS, FLUSH_TIME = "flush", 4_102_444_800_000, "2100-01-01 00:00:00"
+FLUSH_LINE = (f'{{"common":{{"mid":"{FLUSH}","vc":"{FLUSH}","is_new":"0"}},"page":{{"page_id":"search","item":"{FLUSH}",'
+              f'"item_type":"keyword"}},"displays":[],"ts":{FLUSH_MS}}}')
+
+
+def flushed(layer: DataFrame, **values) -> DataFrame:
+    last = layer.sparkSession.range(1).select(*[
+        F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in layer.schema.fields])
+    return layer.unionByName(last)
+
+
+class LogChain:
+    """The log layers as streams write them, from text on; each is made once per session."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.jobs = spark, Streams(None, SETTINGS)
+        lines = flushed(warehouse(spark, folder).inputs.raw_log(), value=FLUSH_LINE, seq=FLUSH_MS)
+        topics = run_folder(spark, "log-topics")
+        self.topic = publish_in_turn(lines.filter(F.col("seq") < FLUSH_MS), topics, "lines", "seq")
+        lines.filter(F.col("seq") == FLUSH_MS).coalesce(1).write.mode("append").parquet(self.topic)
+        self.schema = lines.schema
+
+    def lines(self) -> DataFrame:
+        return subscribe(self.spark, self.topic, self.schema, files_per_trigger=1)
+
+    def _layer(self, stream: DataFrame, name: str) -> Callable[[], DataFrame]:
+        table = drained_table(self.spark, stream, name, STATE_WIDTH)
+        return lambda: subscribe(self.spark, table, stream.schema)
+
+    @cached_property
+    def repaired(self) -> Callable[[], DataFrame]:
+        return self._layer(self.jobs.repaired(self.lines()), "stream-repaired")
+
+    @cached_property
+    def pages(self) -> Callable[[], DataFrame]:
+        return self._layer(self.jobs.pages(self.repaired()), "stream-pages")
+
+    @cached_property
+    def uniques(self) -> Callable[[], DataFrame]:
+        return self._layer(self.jobs.unique_visits(self.pages()), "stream-uniques")
+
+    @cached_property
+    def bounced(self) -> Callable[[], DataFrame]:
+        return self._layer(self.jobs.bounces(self.pages()), "stream-bounced")
+
+    def visitor_layers(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return self.pages(), self.uniques(), self.bounced()
+
+
+_CHAINS: dict[tuple[str, str], LogChain] = {}
+
+
+def log_chain(spark: SparkSession, folder: str) -> LogChain:
+    key = spark.sparkContext.applicationId, folder
+    if key not in _CHAINS:
+        _CHAINS[key] = LogChain(spark, folder)
+    return _CHAINS[key]
+
+
 class Bench:
     """One streaming query's inputs: batch layers, and the means to stream them."""
 
     def __init__(self, spark: SparkSession, folder: str, name: str):
-        self.spark, self.name = spark, name
+        self.spark, self.folder, self.name = spark, folder, name
         self.batch: Warehouse = warehouse(spark, folder)
         self.topics = run_folder(spark, name + "-topics")
 
+    @property
+    def log(self) -> LogChain:
+        return log_chain(self.spark, self.folder)
+
     def topic(self, name: str, layer: DataFrame) -> DataFrame:
         return subscribe(self.spark, publish(layer, self.topics, name), layer.schema)
 
@@ -40,10 +109,20 @@ class Bench:
         published = {name: self.topic(name, getattr(self.batch.inputs, name)()) for name in names}
         return Streams(PublishedInputs(self.batch.inputs.tables, published), SETTINGS)
 
-    def visitor_layers(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        b = self.batch
-        return (self.topic("pages", b.pages), self.topic("uniques", b.uniques),
-                self.topic("bounced", b.bounced))
+    def drained(self, stream: DataFrame) -> DataFrame:
+        return drained(self.spark, stream, self.name, STATE_WIDTH)
+
+    def fanned(self) -> str:
+        """Transactions of several micro-batches, fanned out by the rules as each finds them."""
+        transactions = self.batch.inputs.transactions()
+        topic = publish_in_turn(transactions, self.topics, "transactions", "eventTime")
+        flushed(transactions.limit(0), transactionId=-1, eventTime=FLUSH_MS).coalesce(1).write.mode("append").parquet(topic)
+        folder = run_folder(self.spark, self.name + "-fanned")
+        stream = subscribe(self.spark, topic, transactions.schema, files_per_trigger=1)
+        fan_out_changing(stream, lambda: warehouse(self.spark, self.folder).active_rules,
+                         os.path.join(folder, "layer"), os.path.join(folder, "checkpoint"),
+                         once=True).start().awaitTermination()
+        return os.path.join(folder, "layer")
 
 
 def stream(build: Callable[[Bench], DataFrame]) -> Callable[[Bench], DataFrame]:
@@ -55,67 +134,77 @@ def stream(build: Callable[[Bench], DataFrame]) -> Callable[[Bench], DataFrame]:
     return build
 
 
+def of_devices(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("common.mid") != FLUSH)
+
+
+@stream
+def stream_log_dirty(b: Bench) -> DataFrame:
+    return b.drained(b.log.jobs.dirty(b.log.lines()))
+
+
 @stream
 def stream_log_split_display(b: Bench) -> DataFrame:
-    return drained(b.spark, b.streams("page_log").displays(), b.name)
+    return b.drained(b.log.jobs.displays(b.log.repaired()))
 
 
 @stream
 def stream_log_split_page(b: Bench) -> DataFrame:
-    pages = drained(b.spark, b.streams("page_log").pages(), b.name)
-    return pages.select(*PAGE_COLUMNS).drop("is_new")
+    return of_devices(b.drained(b.log.pages())).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_log_split_start(b: Bench) -> DataFrame:
-    starts = drained(b.spark, b.streams("page_log").starts(), b.name)
-    return starts.select(*PAGE_COLUMNS, "start").drop("is_new")
+    return b.drained(b.log.jobs.starts(b.log.repaired())).select(*PAGE_COLUMNS, "start")
 
 
 @stream
 def stream_log_new_user_repair(b: Bench) -> DataFrame:
-    return drained(b.spark, b.streams("page_log").repaired(), b.name).select(*PAGE_COLUMNS)
+    return of_devices(b.drained(b.log.repaired())).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_daily_unique_visit(b: Bench) -> DataFrame:
-    visits = drained(b.spark, b.streams("page_log").unique_visits(), b.name)
-    return visits.select(*PAGE_COLUMNS).drop("is_new")
+    return of_devices(b.drained(b.log.uniques())).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_user_bounce(b: Bench) -> DataFrame:
-    bounced = drained(b.spark, b.streams("page_log").bounces(), b.name)
-    return bounced.select(*PAGE_COLUMNS).drop("is_new")
+    return of_devices(b.drained(b.log.bounced())).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_visitor_stats(b: Bench) -> DataFrame:
-    jobs = b.streams()
-    return drained(b.spark, jobs.visitor_stats(*b.visitor_layers()), b.name)
+    return b.drained(b.log.jobs.visitor_stats(*b.log.visitor_layers()))
 
 
 @stream
 def stream_visitor_running_totals(b: Bench) -> DataFrame:
     """Update mode: the newest batch of every key holds its totals."""
-    jobs = b.streams()
-    updates = drained_batches(b.spark, jobs.running_totals(*b.visitor_layers()), b.name, "update")
-    return first_per_key(updates, ["vc", "ch", "ar", "is_new"], [F.col("batch").desc()]).drop("batch")
+    totals = b.log.jobs.running_totals(*b.log.visitor_layers())
+    updates = drained_batches(b.spark, totals, b.name, "update", STATE_WIDTH)
+    last = first_per_key(updates, ["vc", "ch", "ar", "is_new"], [F.col("batch").desc()]).drop("batch")
+    return last.filter(F.col("vc") != FLUSH)
 
 
 @stream
 def stream_keyword_stats(b: Bench) -> DataFrame:
-    return drained(b.spark, b.streams("page_log").keyword_stats(), b.name)
+    return b.drained(b.log.jobs.keyword_stats(b.log.pages()))
 
 
 @stream
 def stream_cdc_route_fact(b: Bench) -> DataFrame:
-    return json_data(drained(b.spark, b.streams("change_log").facts(), b.name))
+    return json_data(b.drained(b.streams("change_log").facts()))
 
 
 @stream
 def stream_cdc_route_dim(b: Bench) -> DataFrame:
-    return json_data(drained(b.spark, b.streams("change_log").dim_changes(), b.name))
+    return json_data(b.drained(b.streams("change_log").dim_changes()))
+
+
+@stream
+def stream_cdc_dirty(b: Bench) -> DataFrame:
+    return b.drained(b.streams("change_log").dirty_changes()).select("seq", "problem")
 
 
 @stream
@@ -142,7 +231,7 @@ def stream_cdc_fact_payload(b: Bench) -> DataFrame:
 
 @stream
 def stream_order_detail_interval_join(b: Bench) -> DataFrame:
-    rows = drained(b.spark, b.streams("orders", "details").order_rows(), b.name)
+    rows = b.drained(b.streams("orders", "details").order_rows())
     return rows.select("order_id", "detail_id", "sku_id", "split_total_amount", "create_time")
 
 
@@ -150,41 +239,43 @@ def stream_order_detail_interval_join(b: Bench) -> DataFrame:
 def stream_payment_interval_join(b: Bench) -> DataFrame:
     jobs = b.streams("payments")
     rows = jobs.payment_rows(b.topic("order_rows", b.batch.order_rows))
-    return drained(b.spark, rows, b.name).select(
+    return b.drained(rows).select(
         "payment_id", "order_id", "detail_id", "sku_id", "payment_create_time", "order_create_time")
 
 
 @stream
 def stream_order_wide(b: Bench) -> DataFrame:
-    return drained(b.spark, b.streams("orders", "details").order_wide(), b.name)
+    return b.drained(b.streams("orders", "details").order_wide())
 
 
 @stream
 def stream_province_stats(b: Bench) -> DataFrame:
     jobs = b.streams()
-    return drained(b.spark, jobs.province_stats(b.topic("order_wide", b.batch.order_wide)), b.name)
+    layer = flushed(b.batch.order_wide, create_time=FLUSH_TIME)
+    return b.drained(jobs.province_stats(b.topic("order_wide", layer)))
 
 
 @stream
 def stream_product_stats(b: Bench) -> DataFrame:
-    jobs = b.streams("page_log", "favors", "carts", "refunds", "comments")
-    stats = jobs.product_stats(b.topic("order_rows", b.batch.order_rows),
+    jobs = b.streams("favors", "carts", "refunds", "comments")
+    orders = flushed(b.batch.order_rows, sku_id=-1, create_time=FLUSH_TIME)
+    stats = jobs.product_stats(b.log.pages(), b.topic("order_rows", orders),
                                b.topic("payment_rows", b.batch.payment_rows))
-    return drained(b.spark, stats, b.name)
+    return b.drained(stats)
 
 
 @stream
 def stream_rule_fanout(b: Bench) -> DataFrame:
-    fanned = b.streams("transactions").fanned(b.batch.region_rules)
-    return drained(b.spark, fanned, b.name).select(
-        *b.batch.inputs.transactions().columns, "rule_id", "key")
+    fanned = b.spark.read.parquet(b.fanned()).filter(F.col("transactionId") >= 0)
+    return fanned.select(*b.batch.inputs.transactions().columns, "rule_id", "key")
 
 
 @stream
 def stream_rule_alerts(b: Bench) -> DataFrame:
-    alerts = b.streams("transactions").rule_alerts(b.batch.region_rules)
-    return drained(b.spark, alerts, b.name).select(
-        "rule_id", "key", "transactionId", "eventTime", "value")
+    layer = b.fanned()
+    schema = b.batch.fanned().schema
+    alerts = Streams(None, SETTINGS).rule_alerts(subscribe(b.spark, os.path.join(layer, "*"), schema))
+    return b.drained(alerts).select("rule_id", "key", "transactionId", "eventTime", "value")
 
 
 def registry() -> dict[str, Query]:

@@ -67,10 +67,13 @@ class Warehouse:
         return keywords.keyword_tokens(self.searches)
 
     # ---- changes
+    @cached_property
+    def change_lines(self) -> DataFrame:
+        return routing.parse_changes(self.inputs.change_log())
+
     @cached_property
     def changes(self) -> DataFrame:
-        parsed = routing.parse_changes(self.inputs.change_log())
-        return routing.with_data_map(routing.non_empty(parsed))
+        return routing.non_empty(routing.clean_changes(self.change_lines))
 
     @cached_property
     def normal_changes(self) -> DataFrame:
@@ -139,11 +142,10 @@ class Warehouse:
         return rules.parse_rules(self.inputs.rule_feed())
 
     @cached_property
-    def region_rules(self) -> DataFrame:
-        parsed = rules.parse_rules(self.inputs.region_rules())
-        return rules.active_rules(rules.valid_rules(parsed))
+    def active_rules(self) -> DataFrame:
+        return rules.active_rules(rules.valid_rules(self.rule_lines))
 
     def fanned(self) -> DataFrame:
-        return rules.fan_out(self.inputs.transactions(), self.region_rules)
+        return rules.fan_out(self.inputs.transactions(), self.active_rules)
 
 

@@ -27,9 +27,6 @@ ROUTES = (
     ("supplier_info", "insert", "clickhouse", "supplier_info", "id,name", "id", None),
 )
 
-SKUS_SHOWN = 200
-
-
 def money(column: Column | str) -> Column:
     column = F.col(column) if isinstance(column, str) else column
     return column.cast("decimal(18,2)")
@@ -58,12 +55,13 @@ class Inputs:
     def page_log(self) -> DataFrame:
         """Typed user log; ``seq`` is the order of arrival."""
         events = self.tables("events")
-        # At most one row per shown sku: a fixed, small side.
-        names = self.tables("part").filter(F.col("p_partkey") < SKUS_SHOWN).select(
-            "p_partkey", "p_name")
+        parts = self.tables("part")
+        names = parts.select("p_partkey", "p_name")
+        # Every part may be shown; the number of keys is a one-row subquery.
+        skus = parts.agg((F.max("p_partkey") + 1).alias("skus")).scalar()
         e, kind = F.col("event_id"), F.col("event_type")
-        joined = events.withColumn("_sku", e % SKUS_SHOWN).join(
-            F.broadcast(names), F.col("_sku") == F.col("p_partkey"), "left")
+        joined = events.withColumns({"_skus": skus, "_sku": e * 7919 % skus}).join(
+            names, F.col("_sku") == F.col("p_partkey"), "left")
         page_id = (F.when(kind == "view", "good_detail").when(kind == "error", "search")
                     .when(kind == "signup", "login").when(kind == "purchase", "cart")
                     .otherwise("home"))
@@ -71,7 +69,7 @@ class Inputs:
         shown = F.when(e % 4 > 0, F.sequence(F.lit(0).cast("bigint"), e % 4 - 1)).otherwise(
             F.array().cast("array<bigint>"))
         displays = F.transform(shown, lambda i: F.struct(
-            text((e * 7 + i) % SKUS_SHOWN).alias("item"),
+            text((e * 7 + i) % F.col("_skus")).alias("item"),
             F.when((e + i) % 3 == 0, "promotion").otherwise("sku_id").alias("item_type")))
         return joined.select(
             F.struct(
@@ -92,17 +90,17 @@ class Inputs:
             epoch("ts").alias("ts"), e.alias("seq"))
 
     def raw_log(self) -> DataFrame:
-        """The log as text.  Click records from odd users are cut off, signup records from
-        odd users lack the device."""
+        """The log as text.  Beside their own record, clicks of odd users send one that is cut
+        off, and signups of odd users one that lacks the device."""
         log = self.page_log().withColumn("_odd", F.right("common.mid", F.lit(1)).cast("int") % 2 == 1)
-        record = F.struct(
-            F.when(F.col("_odd") & (F.col("page.page_id") == "login"),
-                   F.col("common").withField("mid", F.lit(None).cast("string")))
-             .otherwise(F.col("common")).alias("common"), "page", "displays", "start", "ts")
+        whole = F.to_json(F.struct("common", "page", "displays", "start", "ts"))
+        nameless = F.to_json(F.struct(
+            F.col("common").withField("mid", F.lit(None).cast("string")).alias("common"),
+            "page", "displays", "start", "ts"))
         cut = F.concat(F.lit('{"common":{"mid":"'), F.col("common.mid"), F.lit('"},"ts":'), text("ts"))
-        return log.select(
-            F.when(F.col("_odd") & (F.col("page.page_id") == "home"), cut)
-             .otherwise(F.to_json(record)).alias("value"), "seq")
+        dirty = (F.when(F.col("_odd") & (F.col("page.page_id") == "home"), cut)
+                  .when(F.col("_odd") & (F.col("page.page_id") == "login"), nameless))
+        return log.select(F.explode(F.array_compact(F.array(whole, dirty))).alias("value"), "seq")
 
     # ---- facts ------------------------------------------------------------------------
 
@@ -269,6 +267,14 @@ class Inputs:
                    F.col("s_suppkey") * 2),
             change(self.tables("supplier"), "supplier_info", "update",
                    row(id=F.col("s_suppkey"), name=F.col("s_name")), F.col("s_suppkey") * 2 + 1),
+            # Changes that cannot be used: without a key, with text for a payload, cut off.
+            change(self.tables("supplier").filter("s_suppkey % 3 = 0"), "sku_info", "insert",
+                   row(sku_name=F.col("s_name")), F.col("s_suppkey")),
+            change(self.tables("supplier").filter("s_suppkey % 3 = 1"), "user_info", "insert",
+                   F.lit('"nothing"'), F.col("s_suppkey")),
+            self.tables("supplier").filter("s_suppkey % 3 = 2").select(
+                F.concat(F.lit('{"database":"shop","table":"user_info","type":"insert","data":{"id":"'),
+                         text("s_suppkey")).alias("value"), F.col("s_suppkey").cast("bigint").alias("seq")),
         ]
         union = parts[0]
         for part in parts[1:]:
@@ -276,13 +282,15 @@ class Inputs:
         return union
 
     def customer_feed(self) -> DataFrame:
-        """Change feed of the customers: topic, operation, after image (null for deletes)."""
+        """Change feed of the customers: topic, operation, the image before a delete, the
+        image after everything else."""
         op = F.element_at(F.array(*[F.lit(x) for x in ("READ", "CREATE", "UPDATE", "DELETE")]),
                           F.col("c_nationkey") % 4 + 1)
         after = F.to_json(F.struct(text("c_custkey").alias("id"), F.col("c_name").alias("name"),
                                    F.col("c_mktsegment").alias("segment")))
         return self.tables("customer").select(
             F.lit("binlog.shop.user_info").alias("topic"), op.alias("op"),
+            F.when(op == "DELETE", after).alias("before"),
             F.when(op != "DELETE", after).alias("after"), F.col("c_custkey").alias("seq"))
 
     def route_feed(self) -> DataFrame:
@@ -302,6 +310,7 @@ class Inputs:
             F.lit("binlog.shop.table_process").alias("topic"),
             F.when(size % 11 == 0, "DELETE").when(size % 4 == 0, "UPDATE").otherwise("CREATE")
              .alias("op"),
+            F.when(size % 11 == 0, image).alias("before"),
             F.when(size % 11 != 0, image).alias("after"), F.col("p_partkey").alias("seq"))
 
     # ---- rules and transactions -------------------------------------------------------
@@ -335,18 +344,21 @@ class Inputs:
     def rule_feed(self) -> DataFrame:
         """Rule lines of many kinds, several per rule, well-formed and not."""
         key, size = F.col("p_partkey"), F.col("p_size")
-        rule_id, variant = text(key % 997 + 1), size % 8
-        limit, minutes = text(size * 100), text(size * 10)
-
-        def plain(state: str, aggregator: str, operator: str) -> Column:
-            return F.concat(rule_id, F.lit(f",({state}),(payeeId&beneficiaryId),(),(paymentAmount),"
-                                           f"({aggregator}),({operator}),("), limit, F.lit("),("),
+        rule_id, variant = text(key % 19 + 1), size % 8
+        limit, minutes = text(size * 9000), text((size % 9 - 1) * 720)
+
+        def plain(state: str, aggregator: str | Column, operator: str) -> Column:
+            keys = F.when(key % 4 == 1, F.lit("")).otherwise("payeeId&beneficiaryId")
+            aggregator = F.lit(aggregator) if isinstance(aggregator, str) else aggregator
+            return F.concat(rule_id, F.lit(f",({state}),("), keys, F.lit("),(),(paymentAmount),("),
+                            aggregator, F.lit(f"),({operator}),("), limit, F.lit("),("),
                             minutes, F.lit(")"))
 
         body = F.concat(F.lit('"ruleState":"ACTIVE","groupingKeyNames":["payeeId"],"unique":[],'
                               '"aggregateFieldName":"paymentAmount","aggregatorFunctionType":"MAX",'
                               '"limitOperatorType":"GREATER_EQUAL","limit":'), limit,
-                        F.lit(',"windowMinutes":'), minutes)
+                        F.when(key % 5 == 0, F.lit("")).otherwise(
+                            F.concat(F.lit(',"windowMinutes":'), minutes)))
         with_id = F.concat(F.lit('{"ruleId":'), rule_id, F.lit(","), body)
         control = F.when(key % 1499 == 700, "DELETE_RULES_ALL").otherwise("EXPORT_RULES_CURRENT")
         line = (F.when((variant == 0) & (key % 3 == 0), F.concat(
@@ -361,17 +373,5 @@ class Inputs:
                  .when(variant == 5, plain("pause", "avg", "<"))
                  .when(variant == 6, plain("active", "Min", "~"))
                  .otherwise(F.when(key % 2 == 0, plain("delete", "SUM", ">"))
-                             .otherwise(plain("active", "sum", ">="))))
+                             .otherwise(plain("active", F.when(key % 3 == 0, "avg").otherwise("sum"), ">="))))
         return self.tables("part").select(line.alias("value"), key.alias("seq"))
-
-    def region_rules(self) -> DataFrame:
-        """Rule lines, one per region, for the transactions above."""
-        lines = F.array(*[F.lit(x) for x in (
-            "1,(active),(payeeId),(),(paymentAmount),(SUM),(>),(500000),(43200)",
-            "2,(active),(payeeId&beneficiaryId),(),(paymentAmount),(MAX),(>=),(450000),(1440)",
-            "3,(active),(),(),(paymentAmount),(AVG),(<),(150000),(2880)",
-            "4,(active),(paymentType&beneficiaryId),(),(paymentAmount),(MIN),(<=),(2000),(20160)",
-            "5,(pause),(beneficiaryId),(),(paymentAmount),(SUM),(>),(10),(60)")])
-        return self.tables("region").select(
-            F.element_at(lines, F.col("r_regionkey") + 1).alias("value"),
-            F.col("r_regionkey").cast("bigint").alias("seq"))

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, wide
+from tidemart.operators import dims, keywords, logs, routing, rules, stats, wide
 from tidemart.plans.warehouse import Settings
 from tidemart.session import run_folder
 from tidemart.sinks.dimensions import append_changes
@@ -18,33 +18,39 @@ from tidemart.streaming import state
 
 
 @contextmanager
-def state_partitions(spark: SparkSession):
-    """State is split over the cores there are, if the shuffle width is larger than that."""
+def state_width(spark: SparkSession, partitions: int | None):
+    """State in so many partitions; the checkpoint keeps their number, so it belongs to the
+    job and not to the machine the job starts on.  None leaves the session's shuffle width."""
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    spark.conf.set(key, str(partitions or before))
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
-def drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream over all that is there now into a fresh table, and read the table."""
+def drained_table(spark: SparkSession, stream: DataFrame, name: str, width: int | None = None) -> str:
+    """Run a stream over all that is there now into a fresh table; the table's folder."""
     folder = run_folder(spark, name)
     table = os.path.join(folder, "table")
     sink = table_sink(stream, os.path.join(folder, "checkpoint"), table, once=True)
-    with state_partitions(spark):
+    with state_width(spark, width):
         sink.start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(table)
+    return table
 
 
-def drained_batches(spark: SparkSession, stream: DataFrame, name: str, mode: str) -> DataFrame:
+def drained(spark: SparkSession, stream: DataFrame, name: str, width: int | None = None) -> DataFrame:
+    return spark.read.schema(stream.schema).parquet(drained_table(spark, stream, name, width))
+
+
+def drained_batches(spark: SparkSession, stream: DataFrame, name: str, mode: str,
+                    width: int | None = None) -> DataFrame:
     """As ``drained``, with a ``batch`` column; for streams that update earlier results."""
     folder = run_folder(spark, name)
     table = os.path.join(folder, "table")
     sink = batch_folder_sink(stream, os.path.join(folder, "checkpoint"), table, mode=mode, once=True)
-    with state_partitions(spark):
+    with state_width(spark, width):
         sink.start().awaitTermination()
     return spark.read.schema(stream.schema.add("batch", T.LongType())).parquet(table)
 
@@ -53,12 +59,15 @@ def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], fold
                   checkpoint: str, once: bool = False):
     """Route a change stream by a config that is read anew for every micro-batch.
 
-    Facts go to folders per topic, dimension rows to the dimension store; both replace what
-    an earlier attempt of the same micro-batch left.
+    ``changes`` are parsed ones, problems included.  Facts go to folders per topic, dimension
+    rows to the dimension store, what cannot be used to a dirty folder; all replace what an
+    earlier attempt of the same micro-batch left.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         config = routing.checked_config(read_config())
-        normal = routing.normalize_type(routing.with_data_map(routing.non_empty(batch)))
+        routing.dirty_changes(batch).write.mode("overwrite").parquet(
+            os.path.join(folder, "dirty", f"batch={batch_id}"))
+        normal = routing.normalize_type(routing.non_empty(routing.clean_changes(batch)))
         facts = routing.fact_messages(routing.fact_changes(normal, config))
         facts.write.mode("overwrite").partitionBy("topic").parquet(
             os.path.join(folder, "facts", f"batch={batch_id}"))
@@ -70,30 +79,50 @@ def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], fold
     return writer.foreachBatch(write)
 
 
+def fan_out_changing(transactions: DataFrame, read_rules: Callable[[], DataFrame], folder: str,
+                     checkpoint: str, once: bool = False):
+    """Fan a transaction stream out by the rules in force, which are read anew for every
+    micro-batch: a rule added, paused or deleted meanwhile counts for what comes after.
+
+    Every micro-batch goes to a folder of its own, which a repeated attempt replaces.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rules.fan_out(batch, read_rules()).write.mode("overwrite").parquet(
+            os.path.join(folder, f"batch={batch_id}"))
+
+    writer = transactions.writeStream.option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(write)
+
+
 class Streams:
     """The streaming forms of the warehouse, over inputs whose tables are streams."""
 
     def __init__(self, inputs: Inputs, settings: Settings):
         self.inputs, self.settings = inputs, settings
 
-    # ---- logs
-    def repaired(self) -> DataFrame:
-        return state.repair_new_users(self.inputs.page_log())
+    # ---- logs: text -> repaired layer -> pages, starts, displays -> visits and bounces
+    def dirty(self, lines: DataFrame) -> DataFrame:
+        return logs.dirty_logs(logs.parse_logs(lines))
+
+    def repaired(self, lines: DataFrame) -> DataFrame:
+        return state.repair_new_users(logs.clean_logs(logs.parse_logs(lines)))
 
-    def pages(self) -> DataFrame:
-        return logs.split_pages(self.inputs.page_log())
+    def pages(self, repaired: DataFrame) -> DataFrame:
+        return logs.split_pages(repaired)
 
-    def starts(self) -> DataFrame:
-        return logs.split_starts(self.inputs.page_log())
+    def starts(self, repaired: DataFrame) -> DataFrame:
+        return logs.split_starts(repaired)
 
-    def displays(self) -> DataFrame:
-        return logs.split_displays(self.inputs.page_log())
+    def displays(self, repaired: DataFrame) -> DataFrame:
+        return logs.split_displays(repaired)
 
-    def unique_visits(self) -> DataFrame:
-        return state.daily_unique_visits(self.pages())
+    def unique_visits(self, pages: DataFrame) -> DataFrame:
+        return state.daily_unique_visits(pages)
 
-    def bounces(self) -> DataFrame:
-        return state.bounces(self.pages(), self.settings.bounce_gap_ms)
+    def bounces(self, pages: DataFrame) -> DataFrame:
+        return state.bounces(pages, self.settings.bounce_gap_ms)
 
     def visitor_stats(self, pages: DataFrame, uniques: DataFrame, bounced: DataFrame) -> DataFrame:
         """Bounces are known a gap after they happened, so the stats wait that much longer."""
@@ -105,8 +134,8 @@ class Streams:
         return stats.visitor_running_totals(
             stats.visitor_events(pages, uniques, bounced, compact=True))
 
-    def keyword_stats(self) -> DataFrame:
-        tokens = keywords.keyword_tokens(keywords.keyword_rows(self.pages()))
+    def keyword_stats(self, pages: DataFrame) -> DataFrame:
+        tokens = keywords.keyword_tokens(keywords.keyword_rows(pages))
         return keywords.keyword_stats(tokens, self.settings.window)
 
     # ---- changes
@@ -114,8 +143,10 @@ class Streams:
         return routing.parse_changes(self.inputs.change_log())
 
     def changes(self) -> DataFrame:
-        filled = routing.non_empty(self.parsed_changes())
-        return routing.normalize_type(routing.with_data_map(filled))
+        return routing.normalize_type(routing.non_empty(routing.clean_changes(self.parsed_changes())))
+
+    def dirty_changes(self) -> DataFrame:
+        return routing.dirty_changes(self.parsed_changes())
 
     def facts(self) -> DataFrame:
         return routing.fact_changes(self.changes(), routing.checked_config(self.inputs.routes()))
@@ -123,9 +154,6 @@ class Streams:
     def dim_changes(self) -> DataFrame:
         return routing.dim_changes(self.changes(), routing.checked_config(self.inputs.routes()))
 
-    def customer_changes(self) -> DataFrame:
-        return changelog.envelope(self.inputs.customer_feed())
-
     # ---- wide rows
     def order_rows(self) -> DataFrame:
         return wide.order_wide(wide.join_order_details(self.inputs.orders(), self.inputs.details()))
@@ -142,15 +170,12 @@ class Streams:
     def province_stats(self, order_wide: DataFrame) -> DataFrame:
         return stats.province_stats(order_wide, self.settings.window)
 
-    def product_stats(self, order_rows: DataFrame, payment_rows: DataFrame) -> DataFrame:
+    def product_stats(self, pages: DataFrame, order_rows: DataFrame, payment_rows: DataFrame) -> DataFrame:
         i = self.inputs
-        events = stats.product_events(self.pages(), i.favors(), i.carts(), order_rows,
+        events = stats.product_events(pages, i.favors(), i.carts(), order_rows,
                                       payment_rows, i.refunds(), i.comments())
         return stats.product_stats(events, self.settings.window)
 
     # ---- rules
-    def fanned(self, rules_in_force: DataFrame) -> DataFrame:
-        return rules.fan_out(self.inputs.transactions(), rules_in_force)
-
-    def rule_alerts(self, rules_in_force: DataFrame) -> DataFrame:
-        return state.rule_alerts(self.fanned(rules_in_force))
+    def rule_alerts(self, fanned: DataFrame) -> DataFrame:
+        return state.rule_alerts(fanned)

@@ -87,7 +87,7 @@ def daily_unique_visits(pages: DataFrame, ttl: str = "1 day") -> DataFrame:
     the newest record, has left the day.
     """
     timed = pages.withColumn("event_time", event_time("ts")).withWatermark("event_time", ttl)
-    day = F.expr(f"ts div {DAY_MS}")
+    day = F.expr(f"(ts - pmod(ts, {DAY_MS})) div {DAY_MS}")
     entries = timed.filter(is_entry_page()).select(
         F.col("common.mid").alias("mid"), day.alias("day"), ((day + 1) * DAY_MS).alias("day_end"),
         "ts", "seq", F.to_json(F.struct(*pages.columns)).alias("payload"), "event_time")
