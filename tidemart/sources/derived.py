@@ -52,13 +52,16 @@ class Inputs:
 
     # ---- logs -------------------------------------------------------------------------
 
+    def _skus(self) -> int:
+        return (self.tables("part").agg(F.max("p_partkey")).first()[0] or 0) + 1
+
     def page_log(self) -> DataFrame:
         """Typed user log; ``seq`` is the order of arrival."""
         events = self.tables("events")
         parts = self.tables("part")
         names = parts.select("p_partkey", "p_name")
-        # Every part may be shown; the number of keys is a one-row subquery.
-        skus = parts.agg((F.max("p_partkey") + 1).alias("skus")).scalar()
+        # Every part may be shown.
+        skus = F.lit(self._skus())
         e, kind = F.col("event_id"), F.col("event_type")
         joined = events.withColumns({"_skus": skus, "_sku": e * 7919 % skus}).join(
             names, F.col("_sku") == F.col("p_partkey"), "left")
