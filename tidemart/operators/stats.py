@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.functions.codes import GOOD_APPRAISE
-from tidemart.functions.records import is_entry_page
+from tidemart.functions.records import is_entry_page, with_evaluated
 from tidemart.functions.times import event_time, parse_ms, parse_ms_plus8, second_text, tumbling
 
 VISITOR_KEYS = ("vc", "ch", "ar", "is_new")
@@ -83,19 +83,22 @@ PRODUCT_AMOUNTS = ("order_amount", "order_split_amount", "payment_amount", "refu
 PRODUCT_ORDERS = {"order_ct": "order", "paid_order_ct": "paid", "refund_order_ct": "refund"}
 
 
-def _product_row(df: DataFrame, sku: Column, ts: Column, kind: str | None = None,
-                 order_id: Column | None = None, **measures: Column) -> DataFrame:
+def _product_columns(sku: Column, ts: Column, kind: str | None = None,
+                     order_id: Column | None = None, **measures: Column) -> list[Column]:
     def measure(name: str, kind_of: str) -> Column:
         value = F.coalesce(measures[name], F.lit(0)) if name in measures else F.lit(0)
         return value.cast(kind_of).alias(name)
-    return df.select(
+    return [
         sku.cast("bigint").alias("sku_id"), ts.cast("bigint").alias("ts"),
         *[measure(name, "bigint") for name in PRODUCT_COUNTS],
         *[measure(name, "decimal(18,2)") for name in PRODUCT_AMOUNTS],
         F.lit(kind).cast("string").alias("order_kind"),
-        (F.lit(None) if order_id is None else order_id).cast("bigint").alias("order_id"))
+        (F.lit(None) if order_id is None else order_id).cast("bigint").alias("order_id")]
 
 
+def _product_row(df: DataFrame, sku: Column, ts: Column, kind: str | None = None,
+                 order_id: Column | None = None, **measures: Column) -> DataFrame:
+    return df.select(*_product_columns(sku, ts, kind, order_id, **measures))
 
 
 def product_clicks(pages: DataFrame) -> DataFrame:
@@ -154,6 +157,36 @@ def product_events(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders
     return union
 
 
+def product_page_events(pages: DataFrame) -> DataFrame:
+    """Clicks and displays of the pages, which are read once."""
+    one = F.lit(1)
+    click = F.struct(*_product_columns(F.col("page.item"), F.col("ts"), click_ct=one))
+    clicks = F.array_compact(F.array(F.when(F.col("page.page_id") == "good_detail", click)))
+    shown = F.transform(
+        F.filter("displays", lambda d: d["item_type"] == "sku_id"),
+        lambda d: F.struct(*_product_columns(d["item"], F.col("ts"), display_ct=one)))
+    return pages.select(F.inline(F.concat(clicks, F.coalesce(shown, F.slice(clicks, 1, 0)))))
+
+
+def product_line_events(lines: DataFrame) -> DataFrame:
+    """Favors, carts, refunds and comments of rows that may be several of them at once.
+
+    A row tells by ``favor``, ``cart``, ``refund_amount`` and ``appraise`` what it is; their
+    common input is read, joined and its time parsed once.
+    """
+    sku, ts, one = F.col("sku_id"), F.col("_ts"), F.lit(1)
+    good = F.coalesce((F.col("appraise") == GOOD_APPRAISE).cast("bigint"), F.lit(0))
+    kinds = [
+        F.when(F.col("favor"), F.struct(*_product_columns(sku, ts, favor_ct=one))),
+        F.when(F.col("cart"), F.struct(*_product_columns(sku, ts, cart_ct=one))),
+        F.when(F.col("refund_amount").isNotNull(), F.struct(*_product_columns(
+            sku, ts, "refund", F.col("order_id"), refund_amount=F.col("refund_amount")))),
+        F.when(F.col("appraise").isNotNull(), F.struct(*_product_columns(
+            sku, ts, comment_ct=one, good_comment_ct=good)))]
+    timed = with_evaluated(lines, "_ts", parse_ms_plus8("create_time"))
+    return timed.select(F.inline(F.array_compact(F.array(*kinds))))
+
+
 def product_stats(events: DataFrame, size: str = "2 seconds",
                   delay: str = "10 seconds") -> DataFrame:
     """Sums and exact distinct order counts per product and window.

@@ -126,9 +126,10 @@ class Warehouse:
 
     # ---- products
     def product_events(self) -> DataFrame:
-        i = self.inputs
-        return stats.product_events(self.raw_pages, i.favors(), i.carts(), self.order_rows,
-                                    self.payment_rows, i.refunds(), i.comments())
+        return (stats.product_page_events(self.raw_pages)
+                .unionByName(stats.product_line_events(self.inputs.line_marks()))
+                .unionByName(stats.product_orders(self.order_rows))
+                .unionByName(stats.product_payments(self.payment_rows)))
 
     def product_stats(self) -> DataFrame:
         return stats.product_stats(self.product_events(), self.settings.window)

@@ -175,6 +175,14 @@ class Inputs:
             F.col("l_partkey").alias("sku_id"),
             text(1201 + F.col("l_linenumber") % 4).alias("appraise"), "create_time")
 
+    def line_marks(self) -> DataFrame:
+        """The favors, carts, refunds and comments above, as one row per order line."""
+        return self._lines().select(
+            F.col("l_partkey").alias("sku_id"), F.col("l_orderkey").alias("order_id"), "create_time",
+            (F.col("l_linenumber") == 1).alias("favor"), (F.col("l_linenumber") == 2).alias("cart"),
+            F.when(F.col("l_returnflag") == "R", money("l_extendedprice")).alias("refund_amount"),
+            F.when(F.col("l_returnflag") == "A", text(1201 + F.col("l_linenumber") % 4)).alias("appraise"))
+
     # ---- dimensions -------------------------------------------------------------------
 
     @staticmethod
