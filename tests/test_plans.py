@@ -60,3 +60,16 @@ def test_scans_read_only_what_they_need(spark, plans):
     assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(l_returnflag,R\)", plans["product_refund"])
     tokens = re.findall(r"ReadSchema: struct<([^>]*)>", plans["keyword_stats"])
     assert all("value" not in scan and "props" not in scan for scan in tokens)
+
+
+@pytest.mark.parametrize("name,table,most", [
+    ("visitor_stats", "events", 4), ("visitor_events", "events", 4), ("visitor_stats", "part", 0),
+    ("product_events", "lineitem", 3), ("product_events", "orders", 6), ("product_events", "events", 1)])
+def test_inputs_are_read_a_few_times_at_most(plans, name, table, most):
+    assert len(re.findall(rf"sf0.001/{table}.parquet", plans[name])) <= most
+
+
+@pytest.mark.parametrize("name", ["cdc_column_prune", "dim_upsert", "cdc_route_fact"])
+def test_the_change_log_is_read_once_and_not_dealt_by_route(plans, name):
+    assert len(re.findall(r"sf0.001/nation.parquet", plans[name])) == 1
+    assert not re.search(r"hashpartitioning\(table#\d+, type#", plans[name])

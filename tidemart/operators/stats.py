@@ -61,6 +61,26 @@ def visitor_events(pages: DataFrame, uniques: DataFrame, bounced: DataFrame,
                  .unionByName(_visitor_row(bounced, uj_ct=one)))
 
 
+def visitor_rows(flagged: DataFrame, compact: bool = False) -> DataFrame:
+    """The rows of `visitor_events` from pages that know what they are (`flagged_pages`)."""
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    duration = F.coalesce("page.during_time", F.lit(0)).cast("bigint")
+    entry = is_entry_page()
+    if compact:
+        return _visitor_row(flagged, pv_ct=one, dur_sum=duration, sv_ct=entry.cast("bigint"),
+                            uv_ct=F.col("unique_visit").cast("bigint"), uj_ct=F.col("bounced").cast("bigint"))
+
+    def row(when: Column | None = None, **measures: Column) -> Column:
+        record = F.struct(*[measures.get(name, zero).alias(name) for name in VISITOR_MEASURES])
+        return record if when is None else F.when(when, record)
+
+    parts = F.array_compact(F.array(
+        row(pv_ct=one, dur_sum=duration), row(entry, sv_ct=one), row(F.col("unique_visit"), uv_ct=one),
+        row(F.col("bounced"), uj_ct=one)))
+    return flagged.select(*[F.col(f"common.{name}").alias(name) for name in VISITOR_KEYS],
+                          "ts", F.inline(parts)).select(*VISITOR_KEYS, *VISITOR_MEASURES, "ts")
+
+
 def visitor_stats(events: DataFrame, size: str = "2 seconds",
                   delay: str = "10 seconds") -> DataFrame:
     grouped = _timed(events, delay).groupBy(tumbling("event_time", size), *VISITOR_KEYS)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import DataFrame
+
 from tidemart.operators import keywords, stats
 from tidemart.plans.warehouse import Settings, Warehouse
 from tidemart.schemas import (KEYWORD_STATS_COLUMNS, PRODUCT_STATS_COLUMNS,
@@ -34,6 +36,10 @@ class LayeredWarehouse(Warehouse):
             # Layers are cached properties, so later ones are built on the table.
             self.__dict__[name] = self.inputs.spark.read.schema(layer.schema).parquet(path)
 
+    def visitor_events(self, compact: bool = False) -> DataFrame:
+        """From the layers, which are there already."""
+        return stats.visitor_events(self.pages, self.uniques, self.bounced, compact)
+
     def write_statistics(self) -> None:
         size = self.settings.window
         tables = {

@@ -56,7 +56,8 @@ class Warehouse:
         return visits.bounces(self.pages, self.settings.bounce_gap_ms, others=self.raw_pages)
 
     def visitor_events(self, compact: bool = False) -> DataFrame:
-        return stats.visitor_events(self.pages, self.uniques, self.bounced, compact)
+        flagged = visits.flagged_pages(self.inputs.visit_log(), self.settings.bounce_gap_ms)
+        return stats.visitor_rows(flagged, compact)
 
     @cached_property
     def searches(self) -> DataFrame:

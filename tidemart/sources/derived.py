@@ -55,6 +55,12 @@ class Inputs:
     def _skus(self) -> int:
         return (self.tables("part").agg(F.max("p_partkey")).first()[0] or 0) + 1
 
+    def visit_log(self) -> DataFrame:
+        """The log without what searches looked for, for jobs that do not look at items."""
+        return self._log(self.tables("events").withColumns({
+            "_skus": F.lit(self._skus()), "_sku": F.lit(None).cast("bigint"),
+            "p_name": F.lit(None).cast("string")}))
+
     def page_log(self) -> DataFrame:
         """Typed user log; ``seq`` is the order of arrival."""
         events = self.tables("events")
@@ -62,9 +68,12 @@ class Inputs:
         names = parts.select("p_partkey", "p_name")
         # Every part may be shown.
         skus = F.lit(self._skus())
+        return self._log(events.withColumns({"_skus": skus, "_sku": F.col("event_id") * 7919 % skus}).join(
+            names, F.col("_sku") == F.col("p_partkey"), "left"))
+
+    @staticmethod
+    def _log(joined: DataFrame) -> DataFrame:
         e, kind = F.col("event_id"), F.col("event_type")
-        joined = events.withColumns({"_skus": skus, "_sku": e * 7919 % skus}).join(
-            names, F.col("_sku") == F.col("p_partkey"), "left")
         page_id = (F.when(kind == "view", "good_detail").when(kind == "error", "search")
                     .when(kind == "signup", "login").when(kind == "purchase", "cart")
                     .otherwise("home"))
@@ -230,7 +239,10 @@ class Inputs:
     # ---- change feeds -----------------------------------------------------------------
 
     def routes(self) -> DataFrame:
-        return self.spark.createDataFrame(ROUTES, TABLE_PROCESS)
+        # As literals, so that Spark knows how small it is.
+        rows = [F.struct(*[F.lit(value).cast("string").alias(name)
+                           for name, value in zip(TABLE_PROCESS.fieldNames(), route)]) for route in ROUTES]
+        return self.spark.range(1).select(F.inline(F.array(*rows)))
 
     def change_log(self) -> DataFrame:
         """Database changes as text.  ``seq`` orders the changes of one table."""
