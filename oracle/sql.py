@@ -498,18 +498,17 @@ def statements() -> dict[str, str]:
                 FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2) ON k1 = l_orderkey AND k2 = l_partkey
             WHERE l_returnflag = 'R'"""),
         "wide_coalesce_merge": q("""
-            SELECT coalesce(a.order_id, b.order_id) AS order_id, a.order_status, a.create_time, a.create_date,
-                   a.coupon_reduce_amount, a.activity_reduce_amount, a.original_total_amount, a.feight_fee,
-                   a.total_amount, coalesce(a.user_id, b.user_id) AS user_id, b.sku_id, b.sku_name, b.order_price, b.sku_num,
+            SELECT a.order_id, a.detail_id, order_status, a.create_time, create_date, coupon_reduce_amount,
+                   activity_reduce_amount, original_total_amount, feight_fee, total_amount, user_id,
+                   b.sku_id, b.sku_name, b.order_price, b.sku_num,
                    CAST(NULL AS DECIMAL(18,2)) AS split_activity_amount,
                    CAST(NULL AS DECIMAL(18,2)) AS split_coupon_amount,
                    CAST(NULL AS DECIMAL(18,2)) AS split_total_amount
-            FROM (SELECT id AS order_id, *, substr(create_time, 1, 10) AS create_date FROM order_info WHERE order_status <> '1002') a
-            FULL JOIN (
-                SELECT order_id, o.user_id, sku_id, sku_name, order_price, sku_num FROM (
-                    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY id, sku_id, order_price, sku_num) AS n
-                    FROM order_detail) d JOIN order_info o ON o.id = d.order_id WHERE n = 1) b
-            ON a.order_id = b.order_id"""),
+            FROM (SELECT d.id AS detail_id, d.order_id, o.order_status, o.create_time,
+                         substr(o.create_time, 1, 10) AS create_date, o.coupon_reduce_amount,
+                         o.activity_reduce_amount, o.original_total_amount, o.feight_fee, o.total_amount, o.user_id
+                  FROM order_detail d JOIN order_info o ON o.id = d.order_id) a
+            FULL JOIN order_detail b ON a.order_id = b.order_id AND a.detail_id = b.id"""),
         # ---- products, provinces
         "product_click": _product_kind("'click'", click_ct="n"),
         "product_display": _product_kind("'display'", display_ct="n"),

@@ -114,16 +114,19 @@ MERGED_COLUMNS = (
 OWN_COLUMNS = ("split_activity_amount", "split_coupon_amount", "split_total_amount")
 
 
-def merge_wide(rows: DataFrame, others: DataFrame, key: str = "order_id") -> DataFrame:
-    """Rows completed by the rows of another set with the same key.
+def merge_wide(rows: DataFrame, others: DataFrame, *keys: str) -> DataFrame:
+    """Rows completed by the rows of another set with the same keys (``order_id`` if none is named).
 
-    The key is unique on either side.  Rows known to one side only are kept.
+    Rows known to one side only are kept.  Where keys repeat, each row meets each.
     """
-    other = others.select(F.col(key).alias("_key"),
+    keys = keys or ("order_id",)
+    other = others.select(*[F.col(key).alias("_key_" + key) for key in keys],
                           *[F.col(name).alias("_other_" + name) for name in MERGED_COLUMNS])
-    joined = rows.join(other, F.col(key) == F.col("_key"), "full")
-    return joined.select(
-        F.coalesce(key, "_key").alias(key),
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(key) == F.col("_key_" + key))
+    return rows.join(other, same, "full").select(
+        *[F.coalesce(key, "_key_" + key).alias(key) for key in keys],
         *[F.coalesce(name, "_other_" + name).alias(name)
-          for name in MERGED_COLUMNS if name != key],
+          for name in MERGED_COLUMNS if name not in keys],
         *[F.col(name) for name in OWN_COLUMNS])

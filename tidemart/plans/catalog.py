@@ -10,7 +10,6 @@ from tidemart.functions import times
 from tidemart.functions.codes import code_table
 from tidemart.functions.records import drop_blank_entries, is_entry_page, sorted_json
 from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, visits, wide
-from tidemart.operators.keyed import first_per_key
 from tidemart.plans.warehouse import Settings, Warehouse
 from tidemart.schemas import PRODUCT_STATS_COLUMNS
 from tidemart.session import apply_settings
@@ -303,29 +302,23 @@ def dim_lookup_multi(w: Warehouse) -> DataFrame:
 
 @query
 def wide_coalesce_merge(w: Warehouse) -> DataFrame:
-    """Wide rows that know only their order, completed by rows that know only a detail."""
-    orders = wide.order_time_parts(w.inputs.orders())
-    details = w.inputs.details()
-    first = first_per_key(details, ["order_id"],
-                                    ["id", "sku_id", "order_price", "sku_num"])
-    users = orders.select(F.col("id").alias("order_id"), "user_id")
-    empty = {"order_status": "string", "create_time": "string", "create_date": "string",
-             "coupon_reduce_amount": "decimal(18,2)", "activity_reduce_amount": "decimal(18,2)",
-             "original_total_amount": "decimal(18,2)", "feight_fee": "decimal(18,2)",
-             "total_amount": "decimal(18,2)", "sku_id": "bigint", "sku_name": "string",
-             "order_price": "decimal(18,2)", "sku_num": "bigint",
-             "split_activity_amount": "decimal(18,2)", "split_coupon_amount": "decimal(18,2)",
-             "split_total_amount": "decimal(18,2)"}
-
-    def shaped(df: DataFrame) -> DataFrame:
-        return df.select("order_id", "user_id", *[
-            (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
-            for name, kind in empty.items()])
-
-    of_orders = shaped(orders.filter("order_status <> '1002'").withColumnRenamed("id", "order_id"))
-    of_details = shaped(first.select("order_id", "sku_id", "sku_name", "order_price", "sku_num")
-                             .join(users, "order_id"))
-    return wide.merge_wide(of_orders, of_details)
+    """Wide rows of all details that know only their order, completed by rows that know only
+    the detail."""
+    orders = wide.order_time_parts(w.inputs.orders()).withColumnRenamed("id", "order_id")
+    details = w.inputs.details().withColumnRenamed("id", "detail_id")
+    types = dict(w.order_rows.dtypes)
+
+    def shaped(df: DataFrame, known: tuple[str, ...]) -> DataFrame:
+        return df.select("order_id", "detail_id", *[
+            (F.col(name) if name in known else F.lit(None)).cast(types[name]).alias(name)
+            for name in (*wide.MERGED_COLUMNS, *wide.OWN_COLUMNS)])
+
+    of_details = shaped(details, ("sku_id", "sku_name", "order_price", "sku_num"))
+    of_orders = shaped(
+        details.select("order_id", "detail_id").join(orders, "order_id"),
+        ("order_status", "create_time", "create_date", "coupon_reduce_amount", "activity_reduce_amount",
+         "original_total_amount", "feight_fee", "total_amount", "user_id"))
+    return wide.merge_wide(of_orders, of_details, "order_id", "detail_id")
 
 
 # ---- products and provinces -----------------------------------------------------------
