@@ -7,13 +7,14 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tests.rows import LOG_WITH_SEQ, page, pages, seqs
-from tests.test_boundaries import feed, transactions
+from tests.test_boundaries import detail, feed, order, orders_and_details, transactions
 from tests.test_streams import FLUSH, in_files
-from tidemart.operators import changelog, logs, routing, rules, visits
+from tidemart.operators import changelog, logs, routing, rules, visits, wide
 from tidemart.schemas import TABLE_PROCESS
 from tidemart.session import run_folder
+from tidemart.sinks import dimensions
 from tidemart.streaming import state
-from tidemart.streaming.jobs import Streams, drained, fan_out_changing, route_changes
+from tidemart.streaming.jobs import Streams, drained, fan_out_changing, look_up_changing, route_changes
 
 NO_WINDOW = ('{"ruleId":3,"ruleState":"ACTIVE","groupingKeyNames":["payeeId"],"unique":[],"aggregateFieldName":'
              '"paymentAmount","aggregatorFunctionType":"SUM","limitOperatorType":"GREATER_EQUAL","limit":0}')
@@ -145,6 +146,30 @@ def test_a_deleted_route_is_gone(spark):
     assert [r.source_table for r in routing.latest_config(changelog.envelope(routes)).collect()] == ["b"]
 
 
+def test_a_running_job_sees_changed_dimensions(spark):
+    store, out = run_folder(spark, "dims"), run_folder(spark, "dims-out")
+    entry = lambda seq, table, pk, **data: (table, pk, "insert", seq, {"id": pk, **data})
+    first = [entry(1, "dim_province", "1", name="old", area_code="9"), entry(1, "dim_user", "5", gender="F", birthday="1990-01-01")]
+    dimensions.append_changes(spark.createDataFrame(first, dimensions.STORED), store, 0)
+    orders, details = orders_and_details(
+        spark, [order(n, f"2021-01-01 00:0{n}:00") for n in (1, 2)], [detail(n, n, f"2021-01-01 00:0{n}:01") for n in (1, 2)])
+    layer = wide.order_wide(wide.join_order_details(orders, details))
+    rows = layer.orderBy("order_id").collect()
+    topic, result = os.path.join(out, "topic"), os.path.join(out, "layer")
+
+    def run(row):
+        spark.createDataFrame([row], layer.schema).coalesce(1).write.mode("append").parquet(topic)
+        stream = spark.readStream.schema(layer.schema).parquet(topic)
+        look_up_changing(stream, store, 0, result, os.path.join(out, "checkpoint"), once=True).start().awaitTermination()
+
+    run(rows[0])
+    dimensions.append_changes(spark.createDataFrame(
+        [entry(7, "dim_province", str(rows[1].province_id), name="new", area_code="8")], dimensions.STORED), store, 1)
+    run(rows[1])
+    got = {r.order_id: r.province_name for r in spark.read.parquet(result).collect()}
+    assert got == {rows[0].order_id: "old", rows[1].order_id: "new"}
+
+
 def before_1970():
     return [page("m", -9_000, 1), page("m", 9_000, 2, last="home"), page("m", 40_000, 3), page("n", -5_000, 4),
             page("n", 4_999, 5, last="home")]

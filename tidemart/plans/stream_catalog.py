@@ -18,10 +18,10 @@ from tidemart.operators.keyed import first_per_key
 from tidemart.plans.catalog import PAGE_COLUMNS, SETTINGS, json_data, warehouse
 from tidemart.plans.warehouse import Warehouse
 from tidemart.session import run_folder
-from tidemart.sinks.dimensions import dimension_sink, read_rows
+from tidemart.sinks.dimensions import append_changes, dimension_sink, read_rows
 from tidemart.sources.topics import PublishedInputs, publish, publish_in_turn, subscribe
-from tidemart.streaming.jobs import (Streams, drained, drained_batches, drained_table, fan_out_changing,
-                                     route_changes)
+from tidemart.streaming.jobs import (ORDER_DIMENSIONS, Streams, drained, drained_batches, drained_table,
+                                     fan_out_changing, look_up_changing, route_changes, state_width)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -112,6 +112,19 @@ class Bench:
     def drained(self, stream: DataFrame) -> DataFrame:
         return drained(self.spark, stream, self.name, STATE_WIDTH)
 
+    def dimension_store(self) -> str:
+        """The dimensions of the wide order row, as the dimension store keeps them."""
+        i = self.batch.inputs
+        tables = {"dim_user": i.users(), "dim_province": i.provinces(), "dim_sku": i.skus(),
+                  "dim_spu": i.spus(), "dim_trademark": i.trademarks(), "dim_category3": i.categories()}
+        store = run_folder(self.spark, self.name + "-store")
+        for n, (table, columns) in enumerate(ORDER_DIMENSIONS.items()):
+            entries = [x for name in columns for x in (F.lit(name), F.col(name))]
+            append_changes(tables[table].select(
+                F.lit(table).alias("sink_table"), F.col("id").alias("pk"), F.lit("insert").alias("type"),
+                F.lit(n).cast("bigint").alias("seq"), F.create_map(*entries).alias("data")), store, n)
+        return store
+
     def fanned(self) -> str:
         """Transactions of several micro-batches, fanned out by the rules as each finds them."""
         transactions = self.batch.inputs.transactions()
@@ -245,7 +258,14 @@ def stream_payment_interval_join(b: Bench) -> DataFrame:
 
 @stream
 def stream_order_wide(b: Bench) -> DataFrame:
-    return b.drained(b.streams("orders", "details").order_wide())
+    """The order stream, looked up in the dimension store as it stands at each micro-batch."""
+    rows = b.streams("orders", "details").order_rows()
+    folder = run_folder(b.spark, b.name)
+    layer = os.path.join(folder, "layer")
+    with state_width(b.spark, STATE_WIDTH):
+        look_up_changing(rows, b.dimension_store(), SETTINGS.as_of_ms, layer, os.path.join(folder, "checkpoint"),
+                         once=True).start().awaitTermination()
+    return b.spark.read.parquet(layer).drop("batch")
 
 
 @stream

@@ -72,10 +72,13 @@ def read_rows(spark: SparkSession, folder: str, keep_deletes: bool = False) -> D
     return upserted_rows(rows, keep_deletes=keep_deletes)
 
 
-def read_dimension(spark: SparkSession, folder: str, table: str, columns: list[str]) -> DataFrame:
-    """One dimension table with the named columns, all text."""
+def read_dimension(spark: SparkSession, folder: str, table: str, columns: list[str],
+                   keys: DataFrame | None = None) -> DataFrame:
+    """One dimension table with the named columns, all text; of ``keys`` (a column ``pk``)
+    only, if they are given."""
     rows, _ = _stored(spark, folder)
-    current = upserted_rows(rows.filter(F.col("sink_table") == table))
+    rows = rows.filter(F.col("sink_table") == table)
+    current = upserted_rows(rows.join(keys, "pk", "left_semi") if keys is not None else rows)
     return current.select(*[F.col("data")[name].alias(name) for name in columns])
 
 

@@ -6,12 +6,12 @@ import os
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemart.operators import dims, keywords, logs, routing, rules, stats, wide
 from tidemart.plans.warehouse import Settings
 from tidemart.session import run_folder
-from tidemart.sinks.dimensions import append_changes
+from tidemart.sinks.dimensions import append_changes, read_dimension
 from tidemart.sinks.topics import batch_folder_sink, table_sink
 from tidemart.sources.derived import Inputs
 from tidemart.streaming import state
@@ -79,6 +79,51 @@ def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], fold
     return writer.foreachBatch(write)
 
 
+# Dimension tables of the wide order row, with the columns its lookups read.
+ORDER_DIMENSIONS = {
+    "dim_user": ("id", "birthday", "gender"),
+    "dim_province": ("id", "name", "area_code", "iso_code", "iso_3166_2"),
+    "dim_sku": ("id", "sku_name", "price", "spu_id", "tm_id", "category3_id"),
+    "dim_spu": ("id", "spu_name"), "dim_trademark": ("id", "tm_name"), "dim_category3": ("id", "name")}
+
+
+def looked_up(rows: DataFrame, store: str, as_of_ms: int) -> DataFrame:
+    """Order rows with the dimension columns as the store has them now.
+
+    Only the dimension rows whose keys the order rows ask for take part in the merge.
+    """
+    spark = rows.sparkSession
+
+    def dimension(table: str, keys: DataFrame | None = None) -> DataFrame:
+        return read_dimension(spark, store, table, list(ORDER_DIMENSIONS[table]), keys)
+
+    def asked(column: str) -> DataFrame:
+        return rows.select(F.col(column).cast("string").alias("pk")).distinct()
+
+    rows = dims.with_user(rows, dimension("dim_user", asked("user_id")), as_of_ms)
+    rows = dims.with_province(rows, dimension("dim_province", asked("province_id")))
+    products = dims.product_dimension(dimension("dim_sku", asked("sku_id")), dimension("dim_spu"),
+                                      dimension("dim_trademark"), dimension("dim_category3"))
+    return dims.with_product(rows, products)
+
+
+def look_up_changing(order_rows: DataFrame, store: str, as_of_ms: int, folder: str, checkpoint: str,
+                     once: bool = False):
+    """Enrich an order stream from the dimension store, which is read anew for every
+    micro-batch; each goes to a folder of its own, which a repeated attempt replaces."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # The batch is looked at once per dimension; its state has been worked out by then.
+        batch = batch.persist()
+        looked_up(batch, store, as_of_ms).write.mode("overwrite").parquet(
+            os.path.join(folder, f"batch={batch_id}"))
+        batch.unpersist()
+
+    writer = order_rows.writeStream.option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.foreachBatch(write)
+
+
 def fan_out_changing(transactions: DataFrame, read_rules: Callable[[], DataFrame], folder: str,
                      checkpoint: str, once: bool = False):
     """Fan a transaction stream out by the rules in force, which are read anew for every
@@ -158,12 +203,6 @@ class Streams:
     def order_rows(self) -> DataFrame:
         return wide.order_wide(wide.join_order_details(self.inputs.orders(), self.inputs.details()))
 
-    def order_wide(self) -> DataFrame:
-        i = self.inputs
-        rows = dims.with_user(self.order_rows(), i.users(), self.settings.as_of_ms)
-        products = dims.product_dimension(i.skus(), i.spus(), i.trademarks(), i.categories())
-        return dims.with_product(dims.with_province(rows, i.provinces()), products)
-
     def payment_rows(self, order_rows: DataFrame) -> DataFrame:
         return wide.payment_wide(wide.join_payments(self.inputs.payments(), order_rows))
 
