@@ -91,11 +91,12 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
     whole passes say; a source without words has target 0.  Null sources are one source, the last.
     Rows alike in doc_id and text may swap places.  Only doc_id, text and source are read.
     """
-    sized = docs.select(
+    # Texts are read and counted once; all that follows looks at this narrow table.
+    sized = written(docs.select(
         "doc_id", seeded(seed, "doc_id", "text").alias("print"),
         F.concat(F.when(F.col("source").isNull(), "1").otherwise("0"),
                  F.coalesce(F.col("source").cast("string"), F.lit(""))).alias("src"),
-        word_count(text_or_empty()).alias("size"))
+        word_count(text_or_empty()).alias("size")), "sizes")
     targets = source_targets(sized, weights, most)
     histogram = sized.groupBy("src", "size").agg(F.count(F.lit(1)).alias("n"))
 
