@@ -170,6 +170,18 @@ def test_a_running_job_sees_changed_dimensions(spark):
     assert got == {rows[0].order_id: "old", rows[1].order_id: "new"}
 
 
+def test_the_store_is_compacted_by_its_job(spark):
+    store, out = run_folder(spark, "compacted"), run_folder(spark, "compacted-out")
+    rows = [("t", str(n % 3), "insert", n, {"id": str(n % 3), f"c{n % 2}": str(n)}) for n in range(12)]
+    _, stream = in_files(spark, [rows[n:n + 2] for n in range(0, 12, 2)], dimensions.STORED, "changes")
+    dimensions.dimension_sink(stream, store, out, once=True, compact_every=2).start().awaitTermination()
+    got = {r.pk: r.data for r in dimensions.read_rows(spark, store).collect()}
+    batch = changelog.upserted_rows(spark.createDataFrame(rows, dimensions.STORED))
+    assert got == {r.pk: r.data for r in batch.collect()}
+    assert sorted(os.listdir(os.path.join(store, "snapshot"))) == ["upto=3", "upto=5"]
+    assert sorted(os.listdir(os.path.join(store, "changes"))) == ["batch=4", "batch=5"]
+
+
 def before_1970():
     return [page("m", -9_000, 1), page("m", 9_000, 2, last="home"), page("m", 40_000, 3), page("n", -5_000, 4),
             page("n", 4_999, 5, last="home")]

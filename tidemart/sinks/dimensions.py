@@ -1,4 +1,4 @@
-"""Dimension store: change rows per micro-batch, merged when read, compacted now and then.
+"""Dimension store: change rows per micro-batch, merged when read, compacted by the sink job.
 
 Layout below the store's folder: ``changes/batch=N`` holds the routed change rows of one
 micro-batch, ``snapshot/upto=N`` the merged rows after batch N.  Folders are only ever
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemart.operators.changelog import upserted_rows
+from tidemart.operators.keyed import first_per_key
 from tidemart.operators.routing import DIM_SINK
 
 STORED = T.StructType([
@@ -28,11 +29,18 @@ def append_changes(batch: DataFrame, folder: str, batch_id: int) -> None:
 
 
 def dimension_sink(changes: DataFrame, folder: str, checkpoint: str, *,
-                   once: bool = False) -> DataStreamWriter:
+                   once: bool = False, compact_every: int = 100) -> DataStreamWriter:
+    """Store routed changes; after every ``compact_every`` micro-batches merge what is there."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_changes(batch, folder, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            compact(batch.sparkSession, folder)
+            retire(batch.sparkSession, folder)
+
     writer = changes.writeStream.option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
-    return writer.foreachBatch(lambda batch, n: append_changes(batch, folder, n))
+    return writer.foreachBatch(write)
 
 
 def _numbers(spark: SparkSession, folder: str, label: str) -> list[int]:
@@ -96,18 +104,32 @@ def compact(spark: SparkSession, folder: str) -> int:
     return last
 
 
+def retire(spark: SparkSession, folder: str) -> None:
+    """Drop what the snapshot before the newest has merged, and the snapshots before it.
+
+    A reader that listed the folders before the last compaction still finds all it wants.
+    """
+    snapshots = _numbers(spark, os.path.join(folder, "snapshot"), "upto")
+    if len(snapshots) < 2:
+        return
+    merged = [os.path.join(folder, "snapshot", f"upto={n}") for n in snapshots[:-2]]
+    merged += [os.path.join(folder, "changes", f"batch={n}")
+               for n in _numbers(spark, os.path.join(folder, "changes"), "batch") if n <= snapshots[-2]]
+    for name in merged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def create_tables(spark: SparkSession, config: DataFrame, database: str) -> list[str]:
     """Create the dimension tables a config names, if they are missing; all columns text.
 
-    The config is a short list that people keep, so it is read on the driver.
+    One row per table is read on the driver.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     created = []
-    wanted = config.filter(F.col("sink_type") == DIM_SINK).select(
-        "sink_table", "sink_columns").orderBy("sink_table", "source_table", "operate_type")
-    for row in wanted.toLocalIterator():
-        if row.sink_table in created:
-            continue
+    wanted = first_per_key(config.filter(F.col("sink_type") == DIM_SINK), ["sink_table"],
+                           ["source_table", "operate_type"])
+    for row in wanted.select("sink_table", "sink_columns").orderBy("sink_table").toLocalIterator():
         columns = ", ".join(f"`{name}` STRING" for name in row.sink_columns.split(","))
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{row.sink_table}` ({columns}) USING parquet")
         created.append(row.sink_table)
