@@ -384,6 +384,9 @@ def statements() -> dict[str, str]:
             SELECT seq, ts, mid, vc, ch, ar, raw_new AS is_new, page_id, last_page_id, during_time, item,
                    item_type, seq % 4 AS displays
             FROM log"""),
+        "log_parse_strict": q("""
+            SELECT seq, ts, mid, vc, ch, ar, raw_new AS is_new, page_id, last_page_id, during_time, item,
+                   item_type, seq % 4 AS displays FROM log"""),
         "log_new_user_repair": q(f"SELECT {PAGE} FROM repaired"),
         "log_split_page": q(f"SELECT {PAGE} FROM pages"),
         "log_split_start": q(f"SELECT {PAGE}, '{{\"entry\":\"icon\"}}' AS start FROM repaired WHERE is_start"),
@@ -583,6 +586,8 @@ def stream_statements() -> dict[str, str]:
         "stream_visitor_stats": batch["visitor_stats"],
         "stream_visitor_running_totals": batch["visitor_running_totals"],
         "stream_keyword_stats": batch["keyword_stats"],
+        "stream_fact_topics": batch["cdc_fact_payload"],
+        "stream_log_table": q(f"SELECT mid, ts, {clock('ts')} AS rowtime FROM log"),
         "stream_cdc_dirty": q("""
             SELECT s_suppkey AS seq, CASE s_suppkey % 3 WHEN 1 THEN 'no_object' ELSE 'malformed' END AS problem
             FROM supplier WHERE s_suppkey % 3 <> 0"""),

@@ -11,7 +11,7 @@ from tidemart.functions.codes import code_table
 from tidemart.functions.records import drop_blank_entries, is_entry_page, sorted_json
 from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, visits, wide
 from tidemart.plans.warehouse import Settings, Warehouse
-from tidemart.schemas import PRODUCT_STATS_COLUMNS
+from tidemart.schemas import LOG, PRODUCT_STATS_COLUMNS
 from tidemart.session import apply_settings
 from tidemart.sources.derived import Inputs, money
 from tidemart.sources.tables import Tables
@@ -64,6 +64,14 @@ def log_parse(w: Warehouse) -> DataFrame:
     return clean.select(*PAGE_COLUMNS, F.size("displays").cast("bigint").alias("displays"))
 
 
+@query
+def log_parse_strict(w: Warehouse) -> DataFrame:
+    """The usable lines once more, by the parser that fails the job on any other."""
+    usable = logs.parse_logs(w.inputs.raw_log()).filter("problem IS NULL").select("seq", F.col("_raw").alias("value"))
+    return logs.parse_strict(usable, LOG).select(
+        *PAGE_COLUMNS, F.size("displays").cast("bigint").alias("displays"))
+
+
 @query
 def log_new_user_repair(w: Warehouse) -> DataFrame:
     return flat_pages(w.repaired)

@@ -10,15 +10,19 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemart.operators import routing
 from tidemart.operators.keyed import first_per_key
 from tidemart.plans.catalog import PAGE_COLUMNS, SETTINGS, json_data, warehouse
 from tidemart.plans.warehouse import Warehouse
+from tidemart.schemas import LOG
 from tidemart.session import run_folder
 from tidemart.sinks.dimensions import append_changes, dimension_sink, read_rows
+from tidemart.sinks.topics import topic_sink
+from tidemart.sources.tables import read_topic, table_source
 from tidemart.sources.topics import PublishedInputs, publish, publish_in_turn, subscribe
 from tidemart.streaming.jobs import (ORDER_DIMENSIONS, Streams, drained, drained_batches, drained_table,
                                      fan_out_changing, look_up_changing, route_changes, state_width)
@@ -220,6 +224,31 @@ def stream_cdc_dirty(b: Bench) -> DataFrame:
     return b.drained(b.streams("change_log").dirty_changes()).select("seq", "problem")
 
 
+@stream
+def stream_fact_topics(b: Bench) -> DataFrame:
+    """Facts to the topics their routes name, and the topics read back as streams of text."""
+    facts = routing.fact_messages(b.streams("change_log").facts())
+    folder = run_folder(b.spark, b.name)
+    topics = os.path.join(folder, "topics")
+    topic_sink(facts, os.path.join(folder, "checkpoint"), folder=topics, once=True).start().awaitTermination()
+    # One stream per topic: the routing config names them.
+    names = [r[0] for r in b.batch.config.filter(F.col("sink_type") == routing.FACT_SINK)
+             .select("sink_table").distinct().toLocalIterator()]
+    lines = [read_topic(b.spark, os.path.join(topics, f"topic={name}"), format="parquet")
+             .select(F.lit(name).alias("topic"), "value") for name in names]
+    return b.drained(reduce(DataFrame.unionByName, lines))
+
+
+@stream
+def stream_log_table(b: Bench) -> DataFrame:
+    """The log topic as a typed table with event time and watermark, queried by name."""
+    table_source(b.log.lines(), LOG, "2 seconds", view="log_table")
+    visits = b.spark.sql("""
+        SELECT common.mid AS mid, ts, date_format(rowtime, 'yyyy-MM-dd HH:mm:ss') AS rowtime
+        FROM log_table WHERE page.page_id IS NOT NULL AND common.mid IS NOT NULL""")
+    return b.drained(visits).filter(F.col("mid") != FLUSH)
+
+
 @stream
 def stream_changelog_latest(b: Bench) -> DataFrame:
     """Routed changes through the dimension store, read back as current rows."""
