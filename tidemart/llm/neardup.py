@@ -28,7 +28,9 @@ TREES = 24
 DEPTH, DEEPEST = 5, 8
 # Classes in a region beyond which it is cut deeper.
 REGION = 2000
-_CACHE = 400_000
+# Words a task remembers the hash of, and shingles it compares at once.
+_CACHE = 100_000
+_AT_ONCE = 1 << 18
 
 _MIX = np.random.default_rng(8).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 _SLOPE = np.random.default_rng(80).integers(1, 1 << 31, TREES * DEEPEST, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -83,8 +85,8 @@ def _sketch(words: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                lot = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                lot = batch.slice(at, 500)
                 n, prints, signs = [], [], []
                 for value in lot.column(1):
                     s = shingle(value.as_py())
@@ -141,15 +143,26 @@ def _regions(orders: DataFrame, region: int) -> DataFrame:
             .filter("a <> b").distinct())
 
 
+def _shared(one: np.ndarray, owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """How many of each owner's values are in the sorted set `one`."""
+    found = np.zeros(n, np.int64)
+    for start in range(0, len(values), _AT_ONCE):
+        part = values[start:start + _AT_ONCE]
+        at = np.searchsorted(one, part)
+        at[at == len(one)] = 0
+        found += np.bincount(owner[start:start + _AT_ONCE][one[at] == part], minlength=n)
+    return found
+
+
 def linked_groups(sets: list[np.ndarray], similarity: int) -> list[int]:
     """For each set the index of the first member of its group.
 
     100 * intersection >= similarity * union links two sets; a group is what links reach.
     """
     sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
     values = np.concatenate(sets)
-    root = np.full(len(sets), -1)
+    root = np.full(len(sets), -1, np.int32)
     for start in range(len(sets)):
         if root[start] >= 0:
             continue
@@ -158,9 +171,7 @@ def linked_groups(sets: list[np.ndarray], similarity: int) -> list[int]:
         owner, values = owner[left], values[left]
         while queue and len(values):
             x = queue.popleft()
-            at = np.searchsorted(sets[x], values)
-            at[at == len(sets[x])] = 0
-            shared = np.bincount(owner[sets[x][at] == values], minlength=len(sets))
+            shared = _shared(sets[x], owner, values, len(sets))
             near = np.flatnonzero((100 * shared >= similarity * (sizes[x] + sizes - shared)) & (root < 0))
             if len(near):
                 root[near] = start
