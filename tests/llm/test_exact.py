@@ -72,6 +72,16 @@ def test_passages_against_brute_force(spark, length, monkeypatch):
     assert plain(result) == removed(rows, length)
 
 
+def test_rows_that_share_an_id_keep_their_own_passages(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "RANGE_BYTES", 20_000)
+    monkeypatch.setattr(suffixes, "LOT_BYTES", 3_000)
+    passages = [words(60 + i, 60) for i in range(3)]
+    rows = [(i % 2 and None or 7, p + words(300 + 10 * k + i, 60)) for k, p in enumerate(passages) for i in range(4)]
+    rows += [(None, words(400 + i, 150)) for i in range(8)] + [(7, words(420 + i, 150)) for i in range(8)]
+    rows += [(None, words(440, 90))] * 9 + [(7, words(441, 90))] * 2
+    assert plain(suffixes.without_repeats(docs(spark, rows)).drop("spans", "text")) == removed(rows, 200)
+
+
 def test_passage_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     assert plain(queries.op1_suffix_dedup(spark, FOLDER)) == removed(rows, 200)

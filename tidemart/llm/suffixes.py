@@ -206,11 +206,11 @@ def splitters(texts: DataFrame, length: int, wanted: int) -> np.ndarray:
 
 def _asked(length: int, cut: np.ndarray):
     """A row per anchor.  A gram that a lot holds more than once needs no answer (sure): one row of
-    it goes to its range on behalf of the lot, the others by document."""
+    it goes to its range on behalf of the lot, the others by row."""
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for at, _, data, ends in lots(batch, 1):
+            ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at, _, data, ends in lots(batch, 2):
                 doc, place, h, least, most = anchors(data, ends, length)
                 if not len(doc):
                     continue
@@ -219,13 +219,13 @@ def _asked(length: int, cut: np.ndarray):
                 spread = np.ones(len(h), bool)
                 spread[head] = False
                 bucket = ranges(gathered(data, place, 0, LEAD), cut)
-                bucket[spread] = ids[at + doc[spread]] % (len(cut) + 1)
+                bucket[spread] = prints[at + doc[spread]] % (len(cut) + 1)
                 begin = np.concatenate([[0], ends[:-1]])[doc]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket, pa.int32()), pa.array(h.view(np.int64)), pa.array(ids[at + doc]),
+                    [pa.array(bucket, pa.int32()), pa.array(h.view(np.int64)), pa.array(ids[at + doc]), pa.array(prints[at + doc]),
                      pa.array((place - begin).astype(np.int32)), pa.array((least << 8 | most).astype(np.int32)),
                      pa.array(sure.astype(np.int8) + spread)],
-                    ["bucket", "h", "id", "place", "reach", "sure"])
+                    ["bucket", "h", "id", "print", "place", "reach", "sure"])
 
     return asked
 
@@ -234,16 +234,22 @@ def _answered(table: pa.Table) -> pa.Table:
     """The anchors whose gram occurs again.  sure: 0 open, 1 known to, 2 known to and not its lot's first."""
     h, sure = table.column("h").to_numpy(), table.column("sure").to_numpy()
     _, back, many = np.unique(h, return_inverse=True, return_counts=True)
-    return table.filter(pa.array((sure > 0) | (many[back] > 1))).select(["id", "place", "reach"])
+    return table.filter(pa.array((sure > 0) | (many[back] > 1))).select(["id", "print", "place", "reach"])
 
 
 def _contexts(length: int, cut: np.ndarray):
     """A row per anchor with what stands around it, or, where its lot already holds an equal one, a
-    row without, which only says that its starts repeat."""
+    row without, which only says that its starts repeat.  Of rows alike in doc_id and text, which
+    come one after the other, the first speaks for all."""
     left = length - GRAM
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for batch in batches:
+            both = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            new = [x != y for x, y in zip(both, [before, *both[:-1]], strict=True)]
+            before = both[-1] if both else before
+            batch = batch.filter(pa.array(new, pa.bool_()))
             ids, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for at, to, data, ends in lots(batch, 2):
                 asked = batch.column(3)[at:to]
@@ -253,9 +259,6 @@ def _contexts(length: int, cut: np.ndarray):
                 place = flat.field("place").to_numpy().astype(np.int64)
                 reach = flat.field("reach").to_numpy()
                 least, most = (reach >> 8).astype(np.int64), (reach & 255).astype(np.int64)
-                # Of another text with the same id a place may not fit.
-                fits = (place >= most) & (begin + place - least + length <= ends[doc])
-                doc, begin, place, least, most = (x[fits] for x in (doc, begin, place, least, most))
                 for part in range(0, len(doc), 20_000):
                     s = slice(part, part + 20_000)
                     around = gathered(data, begin[s] + place[s], left, length).copy()
@@ -268,7 +271,7 @@ def _contexts(length: int, cut: np.ndarray):
                     own = head == np.arange(len(head))
                     twice = np.bincount(head, minlength=len(head))[head] > 1
                     bucket = ranges(around[:, left:left + LEAD], cut)
-                    bucket[~own] = (ids[at + doc[s][~own]] % (len(cut) + 1)).astype(np.int32)
+                    bucket[~own] = (prints[at + doc[s][~own]] % (len(cut) + 1)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(bucket, pa.int32()), pa.array(ids[at + doc[s]]), pa.array(prints[at + doc[s]]),
                          pa.array(place[s].astype(np.int32)), pa.array((least[s] << 8 | most[s]).astype(np.int32)),
@@ -318,10 +321,10 @@ def _cut_out(with_text: bool):
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, found, kept = batch.column(1).to_pylist(), [], []
-            for i, value in enumerate(batch.column(2)):
+            found, kept = [], []
+            for i, value in enumerate(batch.column(1)):
                 data = value.as_py()
-                spans = merged([(x["low"], x["high"]) for x in batch.column(3)[i].as_py() or () if x["print"] == prints[i]])
+                spans = merged([(x["low"], min(x["high"], len(data))) for x in batch.column(2)[i].as_py() or ()])
                 parts, at = [], 0
                 for a, b in spans:
                     parts.append(data[at:a])
@@ -344,24 +347,28 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     spans are the removed runs in bytes; text is what is left, or null unless asked for.  Null text
     counts as empty; texts shorter than `length` lose nothing but may not be told apart from others
     either.  Repeated rows repeat each other's text and lose it all.  Null and repeated doc_ids are
-    allowed.  Only doc_id and text are read.  `length` is 33 to 255.
+    allowed: a row is known by doc_id and the hash of its text.  Only doc_id and text are read.  `length` is 33 to 255.
     """
     if not GRAM < length < 256:
         raise ValueError("length must be 33 to 255")
     data = text_or_empty().cast("binary")
-    # Both joins below deal out the same columns by id, so the texts are shuffled once.
+    # Both joins below deal out the same columns by id and print, so the texts are shuffled once.
+    row = ["id", "print"]
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                          F.xxhash64("doc_id", "text").alias("print"), data.alias("text"))
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cut = splitters(source, length, math.ceil(total / RANGE_BYTES))
     long = F.octet_length("text") >= length
-    found = (source.filter(long).select("id", "text").mapInArrow(
-        _asked(length, cut), "bucket int, h long, id long, place int, reach int, sure byte")
-        .groupBy("bucket").applyInArrow(_answered, "id long, place int, reach int"))
-    asked = written(found.groupBy("id").agg(F.collect_list(F.struct("place", "reach")).alias("asked")), "anchors")
-    starts = (source.join(asked.hint("merge"), "id").select("id", "print", "text", "asked").mapInArrow(
+    found = (source.filter(long).mapInArrow(
+        _asked(length, cut), "bucket int, h long, id long, print long, place int, reach int, sure byte")
+        .groupBy("bucket").applyInArrow(_answered, "id long, print long, place int, reach int"))
+    # A row's anchors differ; those of rows alike come once for each of them.
+    asked = written(found.groupBy(*row).agg(F.collect_set(F.struct("place", "reach")).alias("asked"), F.count(F.lit(1)).alias("times"))
+                    .withColumn("alike", F.col("times") > F.size("asked")).drop("times"), "anchors")
+    starts = (source.join(asked.drop("alike").hint("merge"), row).select(*row, "text", "asked").mapInArrow(
         _contexts(length, cut), "bucket int, id long, print long, place int, reach int, twice boolean, around binary")
         .groupBy("bucket").applyInArrow(_judged(length), "id long, print long, low int, high int"))
-    spans = starts.groupBy("id").agg(F.collect_list(F.struct("print", "low", "high")).alias("found"))
-    return source.join(spans.hint("merge"), "id", "left").select("id", "print", "text", "found").mapInArrow(
+    whole = asked.filter("alike").select(*row, F.lit(0).alias("low"), F.lit((1 << 31) - 1).alias("high"))
+    spans = starts.unionByName(whole).groupBy(*row).agg(F.collect_list(F.struct("low", "high")).alias("found"))
+    return source.join(spans.hint("merge"), row, "left").select("id", "text", "found").mapInArrow(
         _cut_out(with_text), _RESULT).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
