@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -202,6 +203,23 @@ def test_far_texts_are_rejected(spark):
     assert language.predict(rows, model).filter("rejected").count() <= 1
 
 
+def test_rejection_follows_language_and_not_length(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language.fit(rows.filter("lang <> 'es'"))
+    draw = random.Random(3)
+    base = string.ascii_letters + string.digits + "+/"
+    noise = [("".join(draw.choice(a) for _ in range(n))) for a in (base, string.ascii_letters, string.ascii_lowercase + " " * 5)
+             for n in (1000, 3000, 10_000, 100_000)]
+    far = docs(spark, list(enumerate(noise)))
+    assert language.predict(far, model).filter("NOT rejected").count() == 0
+    short = docs(spark, list(enumerate(["ok", "Hello world", "yes", "single", "Hello", "Haus", "été", "Straße", "A."])))
+    assert language.predict(short, model).filter("rejected").count() == 0
+    spanish = language.predict(rows.filter("lang = 'es' AND length(text) BETWEEN 1000 AND 100000"), model)
+    assert spanish.filter("rejected").count() >= 0.9 * spanish.count()
+    learned = language.predict(rows.filter("lang <> 'es'"), model)
+    assert learned.filter("rejected").count() <= 0.005 * learned.count()
+
+
 def test_pipeline_stages(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "near_dedup", "decontamination", "mixing", "sharding"]

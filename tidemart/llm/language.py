@@ -2,12 +2,16 @@
 
 A text is a TF-IDF vector of its hashed byte 3-grams, of length one.  Each language has several
 centroids, found by clustering a bounded sample of its labelled texts by cosine.  A text takes the
-language of the nearest one, and is rejected where even that is too far away.
+language of the nearest one, and is rejected where even that is too far away.  Cosines grow with
+length, so how far that is is measured in bands of length: on pieces of the language's own texts, on
+pieces of other languages' texts as the classifier sees them without their language, and on noise.
 """
 
 from __future__ import annotations
 
 import re
+import string
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,8 +24,12 @@ DIMENSIONS = 4096
 CENTROIDS = 3
 # Labelled texts that the classifier is fitted on, over all languages.
 SAMPLE = 3000
-# Rejected below this share of the similarity that the language's own sample reaches at its 1st percentile.
-REJECT = 0.25
+# Lengths, as powers of 2 of the counted 3-grams, at which thresholds are measured; shorter texts tell too little.
+BANDS = np.arange(4, 19)
+# Own pieces below the first quantile may be rejected, foreign ones and noise above the second may be kept.
+OWN, FOREIGN = 0.01, 0.98
+# Pieces without which a language's band says nothing of its own.
+ENOUGH = 30
 # Languages up to which their shares are broadcast.
 FEW = 10_000
 # Texts that are turned into vectors at once.
@@ -29,6 +37,7 @@ LOT = 256
 SEED = 9
 
 _LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(rb"[A-Za-z\x80-\xff]{2}")
 _LEVEL = np.full(256, 32, np.uint8)
 _LEVEL[128:] = np.arange(128, 256)
 for _c in range(ord("a"), ord("z") + 1):
@@ -47,9 +56,15 @@ def grams(text: str) -> np.ndarray:
     return np.bincount((code * np.uint32(2654435769)) >> np.uint32(20), minlength=DIMENSIONS)
 
 
+def has_word(text: str) -> bool:
+    """Two bytes of letters side by side; short texts without them are asked for as much as longer ones."""
+    return bool(_WORD.search(text.encode("utf-8", "replace")))
+
+
 @dataclass
 class Model:
-    """centroids: a row each, of length one; langs: whose they are; least: similarity each language asks for."""
+    """centroids: a row each, of length one; owner: whose they are; least: similarity each language asks for
+    in each band of length."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -57,11 +72,20 @@ class Model:
     langs: list[str]
     least: np.ndarray
 
-    def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of each row's language and its similarity."""
+    def similarities(self, counts: np.ndarray) -> np.ndarray:
+        """Of each row with each language."""
         near = weighted(counts, self.idf) @ self.centroids.T
+        return np.maximum.reduceat(near, np.flatnonzero(np.diff(self.owner, prepend=-1)), axis=1).clip(0, 1)
+
+    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of each text's language, its similarity and whether that is too little."""
+        counts = np.vstack([grams(t) for t in texts])
+        near = self.similarities(counts)
         best = near.argmax(axis=1)
-        return self.owner[best], near[np.arange(len(best)), best].clip(0, 1)
+        near = near[np.arange(len(best)), best]
+        length = np.log2(np.maximum(counts.sum(axis=1), 1))
+        least = [np.interp(x, BANDS, self.least[k], left=0 if has_word(t) else None) for x, k, t in zip(length, best, texts, strict=True)]
+        return best, near, near < least
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -88,9 +112,61 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, reject: float = REJECT) -> Model:
+def pieces(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """The number and the 3-grams of a piece of each band's length, as far as the text goes."""
+    for i, band in enumerate(BANDS):
+        size = 1 << int(band)
+        if len(text) < size:
+            return
+        at = zlib.crc32(text.encode("utf-8", "replace")) % (len(text) - size + 1)
+        piece = text[at:at + size]
+        if has_letter(piece):
+            yield i, grams(piece)
+
+
+def noise() -> list[np.ndarray]:
+    """For each band, 3-grams of random base64, letters, and words of random letters."""
+    draw, found = np.random.default_rng(SEED), []
+    base = string.ascii_letters + string.digits + "+/"
+    for band in BANDS:
+        kinds = [np.frombuffer(k.encode(), np.uint8) for k in (base, string.ascii_letters, string.ascii_lowercase + " " * 5)]
+        found.append(np.vstack([grams(draw.choice(k, 1 << int(band)).tobytes().decode())
+                                for k in kinds for _ in range(20 if band < 14 else 3)]))
+    return found
+
+
+def thresholds(model: Model, bands: np.ndarray, true: np.ndarray, own: np.ndarray, near: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Language by band.  A row for each piece: band, language, similarity to it, and which other language
+    is nearest (-1: there is none) and how near.
+
+    What foreign pieces and noise hardly reach is asked for, but no more than nearly all own pieces
+    reach, and nothing where those are no nearer than ordinary noise.
+    """
+    least = np.zeros((len(model.langs), len(BANDS)))
+    for i, counts in enumerate(noise()):
+        middle, high = np.quantile(model.similarities(counts).max(axis=1), [0.5, FOREIGN])
+        here = bands == i
+        for k in range(len(model.langs)):
+            mine, strange = own[here & (true == k)], other[here & (near == k)]
+            if len(mine) < ENOUGH:
+                mine = own[here]
+            if len(strange) < ENOUGH:
+                strange = other[here & (near >= 0)]
+            if len(mine) < ENOUGH:
+                # Longer than what was learned from: as the band before, and no noise.
+                least[k, i] = max(least[k, i - 1], high) if i else 0
+                continue
+            low = np.quantile(mine, OWN)
+            # One language alone has no foreign texts to go by: half way from noise to its own.
+            top = max(high, np.quantile(strange, FOREIGN)) if len(strange) else (high + max(low, high)) / 2
+            least[k, i] = min(low, top) if low > middle else 0
+    return least
+
+
+def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
     """Learns from a hashed sample of the labelled rows that are not held out, the same share of
-    the bound for each language; `sample` rows are expected at most."""
+    the bound for each language; `sample` rows are expected at most.  They are read twice, for the
+    centroids and for the thresholds."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     per = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
     langs = per.count()
@@ -113,17 +189,40 @@ def fit(docs: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, rejec
         count, "lang string, grams binary").collect())
     if not rows:
         return Model(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), np.zeros(0, int), [],
-                     np.zeros(0))
+                     np.zeros((0, len(BANDS))))
     counts = np.vstack([np.frombuffer(r[1], np.uint16) for r in rows])
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
     vectors, names = weighted(counts, idf), np.array([r[0] for r in rows], object)
-    found, owner, least, langs_ = [], [], [], sorted(set(names))
+    found, owner, langs_ = [], [], sorted(set(names))
     for i, lang in enumerate(langs_):
         own = vectors[names == lang]
         found.append(cluster(own, centroids))
         owner += [i] * len(found[-1])
-        least.append(reject * float(np.quantile((own @ found[-1].T).max(axis=1), 0.01)))
-    return Model(idf, np.vstack(found).astype(np.float32), np.array(owner), langs_, np.array(least))
+    model = Model(idf, np.vstack(found).astype(np.float32), np.array(owner), langs_, np.zeros((len(langs_), len(BANDS))))
+    number = {lang: i for i, lang in enumerate(langs_)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                k = number.get(lang)
+                cut = list(pieces(text)) if k is not None else []
+                if not cut:
+                    continue
+                near = model.similarities(np.vstack([c for _, c in cut]))
+                own = near[:, k].copy()
+                near[:, k] = -1
+                best = near.argmax(axis=1) if len(langs_) > 1 else np.full(len(near), -1)
+                out += zip([i for i, _ in cut], [k] * len(cut), own.tolist(), best.tolist(), near.max(axis=1).tolist(), strict=True)
+            columns = list(zip(*out, strict=True)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                columns, (pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.float64()), strict=True)],
+                ["band", "lang", "own", "near", "other"])
+
+    measured = np.array([tuple(r) for r in chosen.select("lang", "text").mapInArrow(
+        measure, "band int, lang int, own double, near int, other double").collect()]).reshape(-1, 5).T
+    model.least = thresholds(model, measured[0].astype(int), measured[1].astype(int), measured[2], measured[3].astype(int), measured[4])
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -131,7 +230,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     Reads text alone (doc_id only says what is held out).  Null texts and texts without a letter
     are `und`, score 0, rejected; so is everything when nothing was learned.  Else lang_pred is the
-    nearest language and score its cosine, and `rejected` says that it is too far from it.  Ties go
+    nearest language and score its cosine, and `rejected` says that it is too far from it for a text of
+    this length.  Ties go
     to the language first in order.  Whole texts are read; repeated rows repeat.
     """
     schema = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
@@ -144,8 +244,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 lang, score, rejected = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
                 some = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
                 if some:
-                    for i, k, near in zip(some, *model.predict(np.vstack([grams(texts[i]) for i in some])), strict=True):
-                        lang[i], score[i], rejected[i] = model.langs[k], float(near), bool(near < model.least[k])
+                    for i, k, near, far in zip(some, *model.predict([texts[i] for i in some]), strict=True):
+                        lang[i], score[i], rejected[i] = model.langs[k], float(near), bool(far)
                 yield pa.RecordBatch.from_arrays(
                     [lot.column(0), lot.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
                      pa.array(rejected, pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
@@ -166,8 +266,8 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
                 mask = [False] * len(texts)
                 some = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
                 if some:
-                    for i, k, near in zip(some, *model.predict(np.vstack([grams(texts[i]) for i in some])), strict=True):
-                        mask[i] = bool(near >= model.least[k])
+                    for i, _, _, far in zip(some, *model.predict([texts[i] for i in some]), strict=True):
+                        mask[i] = not far
                 yield lot.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
