@@ -141,6 +141,17 @@ def test_groups_stay_whole_and_a_group_beyond_a_shard_fills_whole_ones(spark):
     assert len(cut) <= 2
 
 
+def test_groups_come_together_where_all_rows_are_linked(spark):
+    for members, least in ((2, 0.95), (3, 0.85)):
+        rows = [(i, f"text {i // members}") for i in range(2400)]
+        found = sharding.balanced_shards(docs(spark, rows)).collect()
+        check_shards(rows, found)
+        held = {}
+        for r in found:
+            held.setdefault(r.doc_id // members, set()).add(r.shard)
+        assert sum(len(s) == 1 for s in held.values()) >= least * len(held)
+
+
 def test_plan_has_no_python(spark, capsys):
     sharding.balanced_shards(docs(spark)).explain()
     plan = capsys.readouterr().out
