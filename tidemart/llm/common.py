@@ -14,13 +14,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder.
+def written(df: DataFrame, name: str, *parts: str) -> DataFrame:
+    """The same rows, read back from a table in the shared folder, with a folder per value of `parts`.
 
     Cuts the lineage: what follows survives lost executors and sees one version of the rows.
     """
     folder = run_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    (df.write.partitionBy(*parts) if parts else df.write).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

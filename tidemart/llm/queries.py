@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import blocks, decontamination, language, likelihood, mixing, neardup, pii, sharding, suffixes, urls
+from tidemart.llm import (
+    blocks, decontamination, language, likelihood, mixing, neardup, phrases, pii, quality, search, sharding, suffixes, urls)
 from tidemart.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -70,4 +84,6 @@ def statements() -> dict[str, str]:
                    doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
                    sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op12_collocations": phrases.oracle(),
+        "op13_ranked_search": search.oracle(),
     }
