@@ -121,7 +121,7 @@ def test_quality_of_awkward_rows(spark):
     none = quality.fit(docs(spark, []), marks)
     assert quality.score(docs(spark, []), none).count() == 0
     assert {r.score for r in quality.score(source, quality.fit(source, labels(spark, []))).collect()} == {0.5}
-    learned = [i for i in range(1, 14) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
+    learned = [i for i in (1, 2, 3, 4, 5, 6, 8, 9) if zlib.crc32(str(i).encode()) % 3 != 1][:2]
     single = quality.fit(source, labels(spark, [(i, 1, 0) for i in learned]))
     assert {r.score for r in quality.score(source, single).collect()} == {0.75}
 
