@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # Text that is cut into words at once; one longer text is a lot of its own.
-LOT_BYTES = 2_000_000
+LOT_BYTES = 1_000_000
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -75,19 +75,18 @@ class Hasher:
     """64-bit hashes of ranges of bytes, each by a difference of two sums over the lot."""
 
     def __init__(self) -> None:
-        self.powers: list[np.ndarray] = []
+        self.powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
         n = len(data)
-        if not self.powers or len(self.powers[0]) < n:
-            size = max(n, LOT_BYTES + 1)
-            self.powers = []
-            for base in _BASES:
-                for step in (base, pow(base, -1, 1 << 64)):
-                    row = np.full(size, step, np.uint64)
-                    row[0] = 1
-                    self.powers.append(np.multiply.accumulate(row))
-        up, down = self.powers[2 * lane], self.powers[2 * lane + 1]
+        if lane not in self.powers or len(self.powers[lane][0]) < n:
+            rows = []
+            for step in (_BASES[lane], pow(_BASES[lane], -1, 1 << 64)):
+                row = np.full(max(n, LOT_BYTES + 1), step, np.uint64)
+                row[0] = 1
+                rows.append(np.multiply.accumulate(row))
+            self.powers[lane] = rows[0], rows[1]
+        up, down = self.powers[lane]
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
         return finished((sums[end] - sums[start]) * down[start])

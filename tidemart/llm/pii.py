@@ -36,6 +36,8 @@ LEAST_LETTERS = 3
 SECRET_LENGTH, SECRET_BITS, SECRET_TURNS = 20, 64.0, 0.2
 # Bits of the table by which scans leave out most terms that nobody asks for: a fixed size.
 SLOTS = 1 << 23
+# Texts a task turns into strings at once.
+ROWS = 250
 
 # The patterns of the kinds.  A local part is read backwards from its `@`, which finds
 # the same leftmost matches in linear time; so does the look-behind before a run of digits.
@@ -114,6 +116,13 @@ def without_spans(text: str, by: dict[str, list[tuple[int, int]]]) -> str:
     return "".join(out) + text[at:] if out else text
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that a task holds few texts as strings."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _terms(texts: list[str], least: int, hasher: Hasher):
     """Lots of the texts, with the terms of `least` letters and their places in code points."""
     for lot in lots(pa.array(texts, pa.string())):
@@ -134,7 +143,7 @@ def _scan(least: int):
     """Spans and entities of each text; of those with entities also the distinct terms."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for batch in batches:
+        for batch in parts(batches):
             counts, bases, secret, entities, terms = [], [], [], [], []
             for value in batch.column(2):
                 text = value.as_py()
@@ -185,7 +194,7 @@ def _frequencies(bits: np.ndarray, least: int):
     """Of each lot, in how many texts the terms in the table stand."""
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hasher = np.unpackbits(bits).view(bool), Hasher()
-        for batch in batches:
+        for batch in parts(batches):
             texts = [without_spans(t, base_spans(t)) for t in batch.column(0).to_pylist()]
             for lot, words, _, _, own in _terms(texts, least, hasher):
                 asked = np.flatnonzero(table[_slot(own, len(table))])
@@ -233,16 +242,16 @@ def disclosive(found: DataFrame, texts: DataFrame, doubt: float = DOUBT, common:
     entities = (held.groupBy("entity").agg(F.sum("m").alias("df_entity"), F.bit_xor("print").alias("x"), F.bit_xor(F.xxhash64("print")).alias("y"))
                 .filter((F.col("df_entity") >= support) & (F.col("df_entity") * 2.0 ** common < documents)))
     entities = written(entities.withColumn("kind", F.xxhash64("df_entity", "x", "y")).select("entity", "kind", "df_entity"), "entities")
-    classes = written(held.join(entities, "entity").select("print", "m", "kind", "df_entity").distinct(), "entity-classes")
-    words = bags.join(classes.select("print").distinct(), "print", "left_semi").select("print", "m", F.explode("terms").alias("term"))
+    classes = written(held.join(entities.hint("merge"), "entity").select("print", "m", "kind", "df_entity").distinct(), "entity-classes")
+    words = bags.join(classes.select("print").distinct().hint("merge"), "print", "left_semi").select("print", "m", F.explode("terms").alias("term"))
     wanted = written(words.groupBy("term").agg(F.sum("m").alias("held")).filter(F.col("held") >= support), "term-candidates")
     frequencies = written(
         texts.select("text").mapInArrow(_frequencies(asked_slots(wanted), least_letters), "term string, df long")
         .groupBy("term").agg(F.sum("df").alias("df")), "term-frequencies")
     # A term in too many documents for any entity is dropped before it meets them.
     most = entities.agg(F.max("df_entity")).first()[0] or 0
-    rare = written(wanted.join(frequencies, "term").filter(F.col("df") <= most * 2.0 ** doubt).select("term", "df"), "terms")
-    both = (words.join(rare, "term").join(classes.drop("m"), "print")
+    rare = written(wanted.join(frequencies.hint("merge"), "term").filter(F.col("df") <= most * 2.0 ** doubt).select("term", "df"), "terms")
+    both = (words.join(rare.hint("merge"), "term").join(classes.drop("m").hint("merge"), "print")
             .filter(F.col("df") <= F.col("df_entity") * 2.0 ** doubt)
             .groupBy("term", "kind", "df").agg(F.sum("m").alias("both")))
     return written(both.filter(lowest_share(F.col("both"), F.col("df")) >= 2.0 ** -doubt).select("term").distinct(), "disclosive-terms")
@@ -252,7 +261,7 @@ def _marks(bits: np.ndarray, least: int):
     """Places of the terms in the table, of texts that hold any."""
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hasher = np.unpackbits(bits).view(bool), Hasher()
-        for batch in batches:
+        for batch in parts(batches):
             texts = [without_spans(t, base_spans(t)) for t in batch.column(1).to_pylist()]
             prints, upto = batch.column(0).to_numpy(), 0
             for lot, words, start, end, own in _terms(texts, least, hasher):
@@ -285,14 +294,14 @@ def personal_data(docs: DataFrame, doubt: float = DOUBT, common: float = COMMON,
     salt = F.pmod(F.xxhash64("print", "start"), F.lit(_SALTS)).cast("int")
     places = (source.select("print", "text").mapInArrow(_marks(asked_slots(bad), least_letters), "print long, term string, start int, end int")
               .withColumn("salt", salt)
-              .join(bad.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))), ["term", "salt"])
+              .join(bad.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)))).hint("merge"), ["term", "salt"])
               .groupBy("print").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
               .withColumn("n_term", F.size("terms").cast("long"))
               .withColumn("terms", F.array_join(F.transform(
                   "terms", lambda t: F.concat_ws(":", F.lit("term"), t.start, t.end)), ",")))
     some = lambda c: F.when(F.col(c) != "", F.col(c))
     n_term = F.coalesce("n_term", F.lit(0)).cast("long")
-    return found.drop("entities", "terms").join(places, "print", "left").select(
+    return found.drop("entities", "terms").join(places.hint("merge"), "print", "left").select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256",
         F.concat_ws(",", some("base"), some("secrets"), "terms").alias("spans"),
         "n_secret", n_term.alias("n_term"),
