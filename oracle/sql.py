@@ -588,9 +588,14 @@ def stream_statements() -> dict[str, str]:
         "stream_keyword_stats": batch["keyword_stats"],
         "stream_fact_topics": batch["cdc_fact_payload"],
         "stream_log_table": q(f"SELECT mid, ts, {clock('ts')} AS rowtime FROM log"),
-        "stream_cdc_dirty": q("""
-            SELECT s_suppkey AS seq, CASE s_suppkey % 3 WHEN 1 THEN 'no_object' ELSE 'malformed' END AS problem
-            FROM supplier WHERE s_suppkey % 3 <> 0"""),
+        "stream_cdc_dirty": batch["cdc_dirty"],
+        "stream_cdc_accounted": q("""
+            SELECT went, count(*) AS changes FROM (
+                SELECT CASE WHEN sink_type IS NULL THEN 'no_route' WHEN sink_type NOT IN ('kafka', 'hbase') THEN 'unknown_sink'
+                            WHEN id IS NULL THEN 'missing_key' WHEN sink_type = 'kafka' THEN 'fact' ELSE 'dimension' END AS went
+                FROM routed
+                UNION ALL SELECT CASE s_suppkey % 3 WHEN 1 THEN 'no_object' ELSE 'malformed' END FROM supplier WHERE s_suppkey % 3 <> 0
+                UNION ALL SELECT 'empty' FROM supplier WHERE s_acctbal < 0 OR s_acctbal >= 2000 AND s_nationkey <= 3) GROUP BY went"""),
         "stream_cdc_route_fact": batch["cdc_route_fact"],
         "stream_cdc_route_dim": batch["cdc_route_dim"],
         "stream_changelog_latest": batch["dim_upsert"],

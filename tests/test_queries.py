@@ -9,7 +9,7 @@ from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 # Small tables may leave these without rows.
-MAY_BE_EMPTY = {"late_audit", "stream_rule_alerts", "rule_alerts"}
+MAY_BE_EMPTY = {"late_audit"}
 
 
 QUERIES = catalog.registry() | stream_catalog.registry()

@@ -16,6 +16,7 @@ from tidemart.sources.tables import read_topic, table_source
 from tidemart.sources.topics import subscribe
 from tidemart.streaming import state
 from tidemart.streaming.jobs import drained, route_changes
+from tidemart.streaming.thresholds import alert_changing
 
 FLUSH = 10_000_000_000
 
@@ -36,6 +37,13 @@ def some_pages(seed=1, n=240):
             for seq, ts in enumerate(times)]
 
 
+def alerts_of(spark, stream, read_rules, delay_ms=0, folder=None):
+    """What the alert job writes, without those of the last record far ahead."""
+    folder = folder or run_folder(spark, "alerts")
+    alert_changing(stream, read_rules, folder, folder + "-checkpoint", delay_ms=delay_ms, once=True).start().awaitTermination()
+    return spark.read.parquet(os.path.join(folder, "alerts")).filter(F.col("eventTime") < FLUSH)
+
+
 def thirds(rows):
     cut = len(rows) // 3
     return [rows[:cut], rows[cut:2 * cut], rows[2 * cut:]]
@@ -146,12 +154,78 @@ def test_rule_alerts_over_batches(spark):
     batch = transactions(spark, rows)
     parts = [transactions(spark, p).collect() for p in thirds(rows) + [[(9999, FLUSH, 1, 1, "1")]]]
     _, stream = in_files(spark, parts, batch.schema, "rules")
-    found = drained(spark, state.rule_alerts(rules.fan_out(stream, active)), "t")
+    found = alerts_of(spark, stream, lambda: active)
     expected = rules.rule_alerts(rules.fan_out(batch, active))
     columns = ["rule_id", "key", "transactionId", "value"]
     assert as_set(found.select(columns)) == as_set(expected.select(columns))
 
 
+def test_alerts_with_disorder_late_rows_and_a_repeated_batch(spark):
+    rng = random.Random(18)
+    rows = [(n, 60_000 + n * 500 + rng.randrange(2_000), n % 2, 1, str(rng.randrange(100))) for n in range(120)]
+    lines = ["1,(active),(),(),(paymentAmount),(SUM),(>=),(0),(1)", "2,(active),(payeeId),(),(paymentAmount),(MIN),(>=),(0),(0)"]
+    active = rules.valid_rules(rules.parse_rules(feed(spark, *lines)))
+    batch = transactions(spark, rows)
+    late = (777, 1_000, 1, 1, "5")
+    parts = [transactions(spark, p).collect() for p in (*thirds(rows), [late], [(9999, FLUSH, 1, 1, "1")])]
+    folder, stream = in_files(spark, parts, batch.schema, "disorder")
+    out = run_folder(spark, "alerts")
+    found = alerts_of(spark, stream, lambda: active, delay_ms=2_000, folder=out)
+    columns = ["rule_id", "key", "transactionId", "value"]
+    wanted = as_set(rules.rule_alerts(rules.fan_out(batch, active)).select(columns))
+    assert as_set(found.select(columns)) == wanted
+    dropped = spark.read.parquet(os.path.join(out, "late"))
+    assert {(r.transactionId, r.rule_id) for r in dropped.collect()} == {(777, 1), (777, 2)}
+    # A batch that failed after its write is done again: the commit of the last one is taken back.
+    commits = os.path.join(out + "-checkpoint", "commits")
+    last = max((n for n in os.listdir(commits) if n.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        os.remove(os.path.join(commits, name))
+    again = alerts_of(spark, subscribe(spark, folder, batch.schema, files_per_trigger=1), lambda: active, 2_000, out)
+    assert as_set(again.select(columns)) == wanted
+
+
+def test_a_rule_without_names_spreads_over_tasks(spark):
+    """Its moments lie in panes; a plan with one group of the key would have one task."""
+    rows = [(n, n * 10, 1, 1, "1") for n in range(3_000)]
+    active = rules.valid_rules(rules.parse_rules(feed(spark, "1,(active),(),(),(paymentAmount),(SUM),(>=),(0),(1)")))
+    told = rules.moments(rules.fan_out(transactions(spark, rows), active))
+    found = {r._ts: int(r.value) for r in rules.alerting_moments(told, parts=16).collect()}
+    assert found == {n * 10: n + 1 for n in range(3_000)}
+    part = F.call_function("div", F.pmod(F.col("_ts"), F.lit(60_000)) * 16, F.lit(60_000))
+    assert told.select(part).distinct().count() > 4
+
+
+def test_bounces_within_a_millisecond_and_without_python(spark):
+    rows = [page("a", 1_000, 1), page("a", 1_000, 2, last="home"), page("b", 1_000, 4), page("b", 1_000, 3, last="home"),
+            page("c", 1_000, 5), page("c", 10_999, 6, last="home"), page("d", 1_000, 7), page("d", 11_000, 8, last="home")]
+    parts = [rows[:3], rows[3:6], rows[6:], [page("flush", FLUSH, 10_000, last="home")]]
+    _, stream = in_files(spark, parts, LOG_WITH_SEQ, "ms")
+    bounced = state.bounces(stream, 10_000, "20 seconds")
+    assert "Pandas" not in bounced._jdf.queryExecution().logical().toString()
+    found = drained(spark, bounced, "t")
+    assert seqs(found) == seqs(visits.bounces(pages(spark, rows), 10_000)) == [4, 7]
+
+
+def test_every_change_goes_somewhere(spark):
+    from tidemart.operators.routing import parse_changes
+    from tidemart.schemas import TABLE_PROCESS
+    texts = ['{"table":"t","type":"insert","data":{"id":"1"}}', '{"table":"t","type":"insert","data":{"x":"1"}}',
+             '{"table":"u","type":"insert","data":{"id":"1"}}', '{"table":"v","type":"insert","data":{"id":"1"}}',
+             '{"table":"w","type":"insert","data":{"id":"1"}}', '{"table":"t","type":"insert"}', "no json", '{"table":"t","type":"insert","data":"x"}']
+    schema = "value STRING, seq BIGINT"
+    rows = list(enumerate(texts * 2))
+    _, stream = in_files(spark, [[(t, n) for n, t in rows[:5]], [(t, n) for n, t in rows[5:]]], spark.createDataFrame([], schema).schema, "all")
+    config = spark.createDataFrame([("t", "insert", "kafka", "out", "id", "id", None), ("u", "insert", "hbase", "dim", "id", "id", None),
+                                    ("w", "insert", "elsewhere", "x", "id", "id", None)], TABLE_PROCESS)
+    out = run_folder(spark, "all-routes")
+    route_changes(parse_changes(stream), lambda: config, out, out + "-checkpoint", once=True).start().awaitTermination()
+    apart = spark.read.parquet(os.path.join(out, "dirty")).collect()
+    kept = spark.read.parquet(os.path.join(out, "facts")).count() + spark.read.parquet(os.path.join(out, "dims", "changes")).count()
+    assert kept + len(apart) == len(rows) and kept == 4
+    assert {r.problem: r.raw for r in apart}.keys() == {"missing_key", "no_route", "unknown_sink", "empty", "malformed", "no_object"}
+
+
 def test_dimension_store(spark):
     folder = run_folder(spark, "store")
     schema = dimensions.STORED

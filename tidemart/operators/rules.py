@@ -8,6 +8,7 @@ from tidemart.functions.records import with_evaluated
 from tidemart.functions.times import parse_ms
 from tidemart.operators.keyed import first_per_key
 from tidemart.schemas import RULE_JSON, TRANSACTION_JSON
+from tidemart.session import stored
 
 # Names a rule may use.
 RULE_STATES = ("ACTIVE", "PAUSE", "DELETE", "CONTROL")
@@ -246,36 +247,54 @@ def _merged(prefix: str, window) -> dict[str, Column]:
             prefix + "low": F.min("_low").over(window), prefix + "high": F.max("_high").over(window)}
 
 
-def rule_alerts(fanned: DataFrame, ts: str = "eventTime", parts: int = 64) -> DataFrame:
-    """Transactions whose rule aggregate over ``[ts - window, ts]`` meets the limit.
+# What a rule asks for; every row of a rule says the same.
+_ASKED = ("aggregator", "limit_operator", "limit_value", "window_minutes")
+# Moments of one key and block that are ordered in one task.
+PART_ROWS = 100_000
+
+
+def moments(fanned: DataFrame, ts: str = "eventTime") -> DataFrame:
+    """One row per rule, key and time: sum, count, minimum and maximum of the amounts.
+
+    Time and amounts are all that windows need; the transactions stay behind.
+    """
+    amount = F.col("amount")
+    return fanned.groupBy("rule_id", "key", F.col(ts).alias("_ts")).agg(
+        F.sum(amount).cast(LIMIT_TYPE).alias("_sum"), F.count(amount).alias("_n"), F.min(amount).alias("_low"),
+        F.max(amount).alias("_high"), *[F.first(name).alias(name) for name in _ASKED])
+
+
+def alerting_moments(told: DataFrame, since: int | None = None, parts: int | None = None) -> DataFrame:
+    """rule_id, key, _ts, value: the moments whose aggregate over ``[_ts - window, _ts]`` meets
+    the limit; of those after ``since`` if given, the others only add to their windows.
 
     Time is cut into blocks as long as the rule's window.  A window is then the head of its
     own block and the tail of the block before, and both are running aggregates: work is
-    linear and windows of any length share one plan.  Blocks are cut into ``parts`` again:
-    what runs inside a part is ordered there, and what comes before or after it in the
-    block is a running aggregate of the parts' totals.  So a key is never brought together
-    beyond one part, not even the empty key of a rule without names.
+    linear and windows of any length share one plan.  Blocks are cut into panes again: what
+    runs inside a pane is ordered there, and what comes before or after it in the block is a
+    running aggregate of the panes' totals.  So a key is never brought together beyond one
+    pane, not even the empty key of a rule without names.  ``told`` should be a written table:
+    the largest block is counted first, and so many panes are made that it fits.
     """
     length = F.col("window_minutes").cast("bigint") * 60_000
     span = F.greatest(length, F.lit(1))
-    block = F.call_function("div", F.col(ts) - F.pmod(F.col(ts), span), span)
+    blocked = (told.withColumns({"_span": span, "_length": length})
+               .withColumn("_block", F.call_function("div", F.col("_ts") - F.pmod(F.col("_ts"), F.col("_span")), F.col("_span"))))
+    if parts is None:
+        largest = blocked.groupBy("rule_id", "key", "_block").count().agg(F.max("count")).first()[0] or 0
+        parts = max(1, -(-largest // PART_ROWS) * 2)
 
-    # Each row is seen twice: as data of its block, and as a question put to the block
+    # Each moment is seen twice: as data of its block, and as a question put to the block
     # before, at the place where its window starts.
-    # Only time and amount take part; the rows themselves are joined at the end.  First all
-    # of one moment are one row, so that ties need no care.
-    amount = F.col("amount")
-    moments = (fanned.withColumns({"_block": block, "_span": span, "_length": length, "_ts": F.col(ts)})
-               .groupBy("rule_id", "key", "_block", "_span", "_length", "_ts").agg(
-                   F.sum(amount).alias("_sum"), F.count(amount).alias("_n"),
-                   F.min(amount).alias("_low"), F.max(amount).alias("_high")))
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (
-        ("_sum", moments.schema["_sum"].dataType), ("_n", "bigint"), ("_low", LIMIT_TYPE), ("_high", LIMIT_TYPE))]
-    narrow = moments.select("rule_id", "key", "_span", F.inline(F.array(
-        F.struct(F.col("_block").alias("_at"), F.col("_ts").alias("_place"), "_sum", "_n", "_low", "_high",
-                 F.lit(None).cast("bigint").alias("_of")),
-        F.struct((F.col("_block") - 1).alias("_at"), (F.col("_ts") - F.col("_length")).alias("_place"),
-                 *none, F.col("_ts").alias("_of")))))
+        ("_sum", LIMIT_TYPE), ("_n", "bigint"), ("_low", LIMIT_TYPE), ("_high", LIMIT_TYPE))]
+    asks = F.lit(True) if since is None else F.col("_ts") > since
+    seen = F.struct(F.col("_block").alias("_at"), F.col("_ts").alias("_place"), "_sum", "_n", "_low", "_high",
+                    F.lit(None).cast("bigint").alias("_of"))
+    question = F.struct((F.col("_block") - 1).alias("_at"), (F.col("_ts") - F.col("_length")).alias("_place"),
+                        *none, F.col("_ts").alias("_of"))
+    narrow = blocked.select("rule_id", "key", "_span", *_ASKED, F.inline(
+        F.when(asks, F.array(seen, question)).otherwise(F.array(seen))))
     narrow = narrow.withColumn("_part", F.call_function(
         "div", (F.col("_place") - F.col("_at") * F.col("_span")) * parts, F.col("_span"))).drop("_span")
 
@@ -283,32 +302,49 @@ def rule_alerts(fanned: DataFrame, ts: str = "eventTime", parts: int = 64) -> Da
     inside = Window.partitionBy(*group, "_part")
     head = inside.orderBy("_place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     tail = inside.orderBy(F.col("_place").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = narrow.groupBy(*group, "_part").agg(
-        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"),
-        F.min("_low").alias("_low"), F.max("_high").alias("_high"))
-    across = Window.partitionBy(*group)
-    before = across.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    after = across.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    around = totals.withColumns(_merged("_b_", before) | _merged("_a_", after)).drop(
-        "_sum", "_n", "_low", "_high")
-    found = narrow.withColumns(_merged("_h_", head) | _merged("_t_", tail)).join(around, [*group, "_part"])
-
-    def both(x: str, y: str, names: list[str]) -> list[Column]:
+    ran = narrow.withColumns(_merged("_h_", head) | _merged("_t_", tail))
+    if parts > 1:
+        totals = narrow.groupBy(*group, "_part").agg(
+            F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"),
+            F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+        across = Window.partitionBy(*group)
+        before = across.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        after = across.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        around = totals.withColumns(_merged("_b_", before) | _merged("_a_", after)).drop("_sum", "_n", "_low", "_high")
+        ran = ran.join(around, [*group, "_part"])
+
+    def sides(own: str, beside: str) -> Column:
         zero = F.lit(0)
-        return [(F.coalesce(x + "sum", zero) + F.coalesce(y + "sum", zero)).cast(LIMIT_TYPE).alias(names[0]),
-                (F.coalesce(x + "n", zero) + F.coalesce(y + "n", zero)).alias(names[1]),
-                F.least(x + "low", y + "low").alias(names[2]), F.greatest(x + "high", y + "high").alias(names[3])]
-
-    heads = found.filter(F.col("_of").isNull()).select(
-        "rule_id", "key", F.col("_place").alias("_ts"),
-        *both("_h_", "_b_", ["_sum1", "_n1", "_low1", "_high1"]))
-    tails = found.filter(F.col("_of").isNotNull()).select(
-        "rule_id", "key", F.col("_of").alias("_ts"),
-        *both("_t_", "_a_", ["_sum2", "_n2", "_low2", "_high2"]))
-    windows = heads.join(tails, ["rule_id", "key", "_ts"])
-    answered = fanned.withColumn("_ts", F.col(ts)).join(windows, ["rule_id", "key", "_ts"])
-    n = F.col("_n1") + F.col("_n2")
-    value = rule_value(F.col("_sum1") + F.col("_sum2"), n, F.least("_low1", "_low2"),
-                       F.greatest("_high1", "_high2"))
-    result = answered.withColumn("value", F.when(n > 0, value)).filter(exceeds(F.col("value")))
-    return result.select(*[name for name in fanned.columns if name != "amount"], "value")
+        if parts == 1:
+            return F.struct(F.coalesce(own + "sum", zero).cast(LIMIT_TYPE).alias("s"), F.coalesce(own + "n", zero).alias("n"),
+                            F.col(own + "low").alias("low"), F.col(own + "high").alias("high"))
+        return F.struct((F.coalesce(own + "sum", zero) + F.coalesce(beside + "sum", zero)).cast(LIMIT_TYPE).alias("s"),
+                        (F.coalesce(own + "n", zero) + F.coalesce(beside + "n", zero)).alias("n"),
+                        F.least(own + "low", beside + "low").alias("low"), F.greatest(own + "high", beside + "high").alias("high"))
+
+    half = F.when(F.col("_of").isNull(), sides("_h_", "_b_")).otherwise(sides("_t_", "_a_"))
+    windows = (ran.select("rule_id", "key", F.coalesce("_of", "_place").alias("_ts"), *_ASKED, half.alias("_half"))
+               .groupBy("rule_id", "key", "_ts").agg(
+                   F.sum("_half.s").alias("s"), F.sum("_half.n").alias("n"), F.min("_half.low").alias("low"),
+                   F.max("_half.high").alias("high"), *[F.first(name).alias(name) for name in _ASKED]))
+    if since is not None:
+        windows = windows.filter(F.col("_ts") > since)
+    value = rule_value(F.col("s"), F.col("n"), F.col("low"), F.col("high"))
+    return (windows.withColumn("value", F.when(F.col("n") > 0, value)).filter(exceeds(F.col("value")))
+            .select("rule_id", "key", "_ts", "value"))
+
+
+def alerted(fanned: DataFrame, alerting: DataFrame, ts: str = "eventTime") -> DataFrame:
+    """The transactions of the alerting moments, with the value that alerts."""
+    found = fanned.withColumn("_ts", F.col(ts)).join(alerting, ["rule_id", "key", "_ts"])
+    return found.select(*[name for name in fanned.columns if name != "amount"], "value")
+
+
+def rule_alerts(fanned: DataFrame, ts: str = "eventTime", parts: int | None = None) -> DataFrame:
+    """Transactions whose rule aggregate over ``[ts - window, ts]`` meets the limit.
+
+    The moments are written once; windows are judged on them, and only the alerting ones are
+    joined with the transactions.
+    """
+    told = stored(moments(fanned, ts), "rule-moments")
+    return alerted(fanned, alerting_moments(told, parts=parts), ts)

@@ -1,8 +1,9 @@
 """Registered streaming queries: the streaming form runs over whole tables, its table is
 the result.
 
-The log layers are a chain of streams from text on (``LogChain``), read in several
-micro-batches.  Other layers are published first and read back as streams.  A last record
+The log layers are a chain of streams from text on (``LogChain``), and the rule jobs take
+transactions in parts; both see several micro-batches and restarts.  Other layers are
+published first and read back as streams.  A last record
 far ahead in time lets everything before it end, so results are those of the batch forms.
 """
 
@@ -12,7 +13,7 @@ import os
 from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemart.operators import routing
 from tidemart.operators.keyed import first_per_key
@@ -23,9 +24,10 @@ from tidemart.session import run_folder
 from tidemart.sinks.dimensions import append_changes, dimension_sink, read_rows
 from tidemart.sinks.topics import topic_sink
 from tidemart.sources.tables import read_topic, table_source
-from tidemart.sources.topics import PublishedInputs, publish, publish_in_turn, subscribe
-from tidemart.streaming.jobs import (ORDER_DIMENSIONS, Streams, drained, drained_batches, drained_table,
-                                     fan_out_changing, look_up_changing, route_changes, state_width)
+from tidemart.sources.topics import PublishedInputs, add_to_topic, in_turn, publish, subscribe
+from tidemart.streaming.jobs import (ORDER_DIMENSIONS, Streams, drained, fan_out_changing, look_up_changing,
+                                     route_changes, state_width, taken_up)
+from tidemart.streaming.thresholds import alert_changing
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -47,51 +49,50 @@ def flushed(layer: DataFrame, **values) -> DataFrame:
 
 
 class LogChain:
-    """The log layers as streams write them, from text on; each is made once per session."""
+    """The log layers as streams write them, from text on.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.jobs = spark, Streams(None, SETTINGS)
-        lines = flushed(warehouse(spark, folder).inputs.raw_log(), value=FLUSH_LINE, seq=FLUSH_MS)
-        topics = run_folder(spark, "log-topics")
-        self.topic = publish_in_turn(lines.filter(F.col("seq") < FLUSH_MS), topics, "lines", "seq")
-        lines.filter(F.col("seq") == FLUSH_MS).coalesce(1).write.mode("append").parquet(self.topic)
-        self.schema = lines.schema
-
-    def lines(self) -> DataFrame:
-        return subscribe(self.spark, self.topic, self.schema, files_per_trigger=1)
-
-    def _layer(self, stream: DataFrame, name: str) -> Callable[[], DataFrame]:
-        table = drained_table(self.spark, stream, name, STATE_WIDTH)
-        return lambda: subscribe(self.spark, table, stream.schema)
-
-    @cached_property
-    def repaired(self) -> Callable[[], DataFrame]:
-        return self._layer(self.jobs.repaired(self.lines()), "stream-repaired")
-
-    @cached_property
-    def pages(self) -> Callable[[], DataFrame]:
-        return self._layer(self.jobs.pages(self.repaired()), "stream-pages")
-
-    @cached_property
-    def uniques(self) -> Callable[[], DataFrame]:
-        return self._layer(self.jobs.unique_visits(self.pages()), "stream-uniques")
-
-    @cached_property
-    def bounced(self) -> Callable[[], DataFrame]:
-        return self._layer(self.jobs.bounces(self.pages()), "stream-bounced")
-
-    def visitor_layers(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.pages(), self.uniques(), self.bounced()
-
-
-_CHAINS: dict[tuple[str, str], LogChain] = {}
+    The lines arrive in parts.  After each, every job of the chain takes up what is new and
+    stops; for the next part it starts again from its checkpoint.  So each job sees several
+    micro-batches, and each but the first is a restart.
+    """
 
+    # Each layer with the one it reads; a layer comes after what it reads.
+    READS = {"repaired": "lines", "pages": "repaired", "uniques": "pages", "bounced": "pages"}
 
-def log_chain(spark: SparkSession, folder: str) -> LogChain:
-    key = spark.sparkContext.applicationId, folder
-    if key not in _CHAINS:
-        _CHAINS[key] = LogChain(spark, folder)
-    return _CHAINS[key]
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.jobs = spark, Streams(None, SETTINGS)
+        lines = warehouse(spark, folder).inputs.raw_log()
+        last = flushed(lines.limit(0), value=FLUSH_LINE, seq=FLUSH_MS)
+        self.parts = in_turn(lines, "seq")
+        self.parts[-1] = self.parts[-1].unionByName(last)
+        self.folder = run_folder(spark, "log-chain")
+        self.schemas = {"lines": lines.schema}
+        self.made = {"repaired": self.jobs.repaired, "pages": self.jobs.pages,
+                     "uniques": self.jobs.unique_visits, "bounced": self.jobs.bounces}
+
+    def layer(self, name: str) -> DataFrame:
+        """The layer as a stream."""
+        table = os.path.join(self.folder, name, "table")
+        return subscribe(self.spark, table, self.schemas[name])
+
+    def _needed(self, names: tuple[str, ...]) -> list[str]:
+        wanted = set(names)
+        for name in reversed(self.READS):
+            if name in wanted:
+                wanted.add(self.READS[name])
+        return [name for name in self.READS if name in wanted]
+
+    def result(self, build: Callable[..., DataFrame], *names: str, mode: str | None = None) -> DataFrame:
+        """The table of the stream that ``build`` makes of the layers named."""
+        for part in self.parts:
+            add_to_topic(part, os.path.join(self.folder, "lines", "table"))
+            for name in self._needed(names):
+                stream = self.made[name](self.layer(self.READS[name]))
+                self.schemas[name] = stream.schema
+                taken_up(self.spark, stream, os.path.join(self.folder, name), STATE_WIDTH)
+            last = build(*[self.layer(name) for name in names])
+            table = taken_up(self.spark, last, os.path.join(self.folder, "result"), STATE_WIDTH, mode)
+        return self.spark.read.schema(T.StructType([*last.schema.fields, T.StructField("batch", T.LongType())]) if mode else last.schema).parquet(table)
 
 
 class Bench:
@@ -102,9 +103,9 @@ class Bench:
         self.batch: Warehouse = warehouse(spark, folder)
         self.topics = run_folder(spark, name + "-topics")
 
-    @property
+    @cached_property
     def log(self) -> LogChain:
-        return log_chain(self.spark, self.folder)
+        return LogChain(self.spark, self.folder)
 
     def topic(self, name: str, layer: DataFrame) -> DataFrame:
         return subscribe(self.spark, publish(layer, self.topics, name), layer.schema)
@@ -129,17 +130,16 @@ class Bench:
                 F.lit(n).cast("bigint").alias("seq"), F.create_map(*entries).alias("data")), store, n)
         return store
 
-    def fanned(self) -> str:
-        """Transactions of several micro-batches, fanned out by the rules as each finds them."""
+    def transactions_in_turn(self, job: Callable[[DataFrame], object]) -> None:
+        """Run a job of the transactions, which arrive in parts; it starts again for each."""
         transactions = self.batch.inputs.transactions()
-        topic = publish_in_turn(transactions, self.topics, "transactions", "eventTime")
-        flushed(transactions.limit(0), transactionId=-1, eventTime=FLUSH_MS).coalesce(1).write.mode("append").parquet(topic)
-        folder = run_folder(self.spark, self.name + "-fanned")
-        stream = subscribe(self.spark, topic, transactions.schema, files_per_trigger=1)
-        fan_out_changing(stream, lambda: warehouse(self.spark, self.folder).active_rules,
-                         os.path.join(folder, "layer"), os.path.join(folder, "checkpoint"),
-                         once=True).start().awaitTermination()
-        return os.path.join(folder, "layer")
+        topic = os.path.join(self.topics, "transactions")
+        for part in in_turn(transactions, "eventTime"):
+            add_to_topic(part, topic)
+            job(subscribe(self.spark, topic, transactions.schema)).start().awaitTermination()
+
+    def rules_now(self) -> DataFrame:
+        return warehouse(self.spark, self.folder).active_rules
 
 
 def stream(build: Callable[[Bench], DataFrame]) -> Callable[[Bench], DataFrame]:
@@ -151,62 +151,75 @@ def stream(build: Callable[[Bench], DataFrame]) -> Callable[[Bench], DataFrame]:
     return build
 
 
+def routed_changes(b: Bench) -> str:
+    """The folder the routing job leaves, the config read anew for every micro-batch."""
+    changes = b.topic("changes", b.batch.inputs.change_log())
+    parsed = Streams(PublishedInputs(b.batch.inputs.tables, {"change_log": changes}), SETTINGS)
+    folder = run_folder(b.spark, b.name)
+    route_changes(parsed.parsed_changes(), b.batch.inputs.routes, folder,
+                  os.path.join(folder, "checkpoint"), once=True).start().awaitTermination()
+    return folder
+
+
+def _as_it_is(layer: DataFrame) -> DataFrame:
+    return layer
+
+
 def of_devices(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("common.mid") != FLUSH)
 
 
 @stream
 def stream_log_dirty(b: Bench) -> DataFrame:
-    return b.drained(b.log.jobs.dirty(b.log.lines()))
+    return b.log.result(b.log.jobs.dirty, "lines")
 
 
 @stream
 def stream_log_split_display(b: Bench) -> DataFrame:
-    return b.drained(b.log.jobs.displays(b.log.repaired()))
+    return b.log.result(b.log.jobs.displays, "repaired")
 
 
 @stream
 def stream_log_split_page(b: Bench) -> DataFrame:
-    return of_devices(b.drained(b.log.pages())).select(*PAGE_COLUMNS)
+    return of_devices(b.log.result(_as_it_is, "pages")).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_log_split_start(b: Bench) -> DataFrame:
-    return b.drained(b.log.jobs.starts(b.log.repaired())).select(*PAGE_COLUMNS, "start")
+    return b.log.result(b.log.jobs.starts, "repaired").select(*PAGE_COLUMNS, "start")
 
 
 @stream
 def stream_log_new_user_repair(b: Bench) -> DataFrame:
-    return of_devices(b.drained(b.log.repaired())).select(*PAGE_COLUMNS)
+    return of_devices(b.log.result(_as_it_is, "repaired")).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_daily_unique_visit(b: Bench) -> DataFrame:
-    return of_devices(b.drained(b.log.uniques())).select(*PAGE_COLUMNS)
+    return of_devices(b.log.result(_as_it_is, "uniques")).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_user_bounce(b: Bench) -> DataFrame:
-    return of_devices(b.drained(b.log.bounced())).select(*PAGE_COLUMNS)
+    return of_devices(b.log.result(_as_it_is, "bounced")).select(*PAGE_COLUMNS)
 
 
 @stream
 def stream_visitor_stats(b: Bench) -> DataFrame:
-    return b.drained(b.log.jobs.visitor_stats(*b.log.visitor_layers()))
+    return b.log.result(b.log.jobs.visitor_stats, "pages", "uniques", "bounced")
 
 
 @stream
 def stream_visitor_running_totals(b: Bench) -> DataFrame:
     """Update mode: the newest batch of every key holds its totals."""
-    totals = b.log.jobs.running_totals(*b.log.visitor_layers())
-    updates = drained_batches(b.spark, totals, b.name, "update", STATE_WIDTH)
+    updates = b.log.result(b.log.jobs.running_totals, "pages", "uniques", "bounced", mode="update")
     last = first_per_key(updates, ["vc", "ch", "ar", "is_new"], [F.col("batch").desc()]).drop("batch")
     return last.filter(F.col("vc") != FLUSH)
 
 
 @stream
 def stream_keyword_stats(b: Bench) -> DataFrame:
-    return b.drained(b.log.jobs.keyword_stats(b.log.pages()))
+    return b.log.result(b.log.jobs.keyword_stats, "pages")
 
 
 @stream
@@ -221,7 +234,21 @@ def stream_cdc_route_dim(b: Bench) -> DataFrame:
 
 @stream
 def stream_cdc_dirty(b: Bench) -> DataFrame:
-    return b.drained(b.streams("change_log").dirty_changes()).select("seq", "problem")
+    """What the routing job sets apart because it cannot be used."""
+    folder = routed_changes(b)
+    apart = b.spark.read.parquet(os.path.join(folder, "dirty"))
+    return apart.filter(F.col("problem").isin("malformed", "no_object", "missing_key")).select("seq", "problem")
+
+
+@stream
+def stream_cdc_accounted(b: Bench) -> DataFrame:
+    """Where the changes of the feed went, in all: sinks, or set apart with the reason."""
+    folder = routed_changes(b)
+    read = lambda name: b.spark.read.parquet(os.path.join(folder, name))
+    went = (read("facts").select(F.lit("fact").alias("went"))
+            .unionByName(read(os.path.join("dims", "changes")).select(F.lit("dimension").alias("went")))
+            .unionByName(read("dirty").select(F.col("problem").alias("went"))))
+    return went.groupBy("went").agg(F.count(F.lit(1)).alias("changes"))
 
 
 @stream
@@ -242,11 +269,12 @@ def stream_fact_topics(b: Bench) -> DataFrame:
 @stream
 def stream_log_table(b: Bench) -> DataFrame:
     """The log topic as a typed table with event time and watermark, queried by name."""
-    table_source(b.log.lines(), LOG, "2 seconds", view="log_table")
-    visits = b.spark.sql("""
-        SELECT common.mid AS mid, ts, date_format(rowtime, 'yyyy-MM-dd HH:mm:ss') AS rowtime
-        FROM log_table WHERE page.page_id IS NOT NULL AND common.mid IS NOT NULL""")
-    return b.drained(visits).filter(F.col("mid") != FLUSH)
+    def visits(lines: DataFrame) -> DataFrame:
+        table_source(lines, LOG, "2 seconds", view="log_table")
+        return b.spark.sql("""
+            SELECT common.mid AS mid, ts, date_format(rowtime, 'yyyy-MM-dd HH:mm:ss') AS rowtime
+            FROM log_table WHERE page.page_id IS NOT NULL AND common.mid IS NOT NULL""")
+    return b.log.result(visits, "lines").filter(F.col("mid") != FLUSH)
 
 
 @stream
@@ -263,11 +291,7 @@ def stream_changelog_latest(b: Bench) -> DataFrame:
 @stream
 def stream_cdc_fact_payload(b: Bench) -> DataFrame:
     """Facts per topic, with the config read anew for every micro-batch."""
-    changes = b.topic("changes", b.batch.inputs.change_log())
-    parsed = Streams(PublishedInputs(b.batch.inputs.tables, {"change_log": changes}), SETTINGS)
-    folder = run_folder(b.spark, b.name)
-    route_changes(parsed.parsed_changes(), b.batch.inputs.routes, folder,
-                  os.path.join(folder, "checkpoint"), once=True).start().awaitTermination()
+    folder = routed_changes(b)
     return b.spark.read.parquet(os.path.join(folder, "facts")).select("topic", "value")
 
 
@@ -308,23 +332,28 @@ def stream_province_stats(b: Bench) -> DataFrame:
 def stream_product_stats(b: Bench) -> DataFrame:
     jobs = b.streams("favors", "carts", "refunds", "comments")
     orders = flushed(b.batch.order_rows, sku_id=-1, create_time=FLUSH_TIME)
-    stats = jobs.product_stats(b.log.pages(), b.topic("order_rows", orders),
-                               b.topic("payment_rows", b.batch.payment_rows))
-    return b.drained(stats)
+    order_rows, payment_rows = b.topic("order_rows", orders), b.topic("payment_rows", b.batch.payment_rows)
+    pages = b.log.result(_as_it_is, "pages")
+    return b.drained(jobs.product_stats(b.topic("pages", pages), order_rows, payment_rows))
 
 
 @stream
 def stream_rule_fanout(b: Bench) -> DataFrame:
-    fanned = b.spark.read.parquet(b.fanned()).filter(F.col("transactionId") >= 0)
-    return fanned.select(*b.batch.inputs.transactions().columns, "rule_id", "key")
+    """Transactions of several micro-batches, fanned out by the rules as each finds them."""
+    folder = run_folder(b.spark, b.name)
+    layer, checkpoint = os.path.join(folder, "layer"), os.path.join(folder, "checkpoint")
+    b.transactions_in_turn(lambda rows: fan_out_changing(rows, b.rules_now, layer, checkpoint, once=True))
+    return b.spark.read.parquet(layer).select(*b.batch.inputs.transactions().columns, "rule_id", "key")
 
 
 @stream
 def stream_rule_alerts(b: Bench) -> DataFrame:
-    layer = b.fanned()
-    schema = b.batch.fanned().schema
-    alerts = Streams(None, SETTINGS).rule_alerts(subscribe(b.spark, os.path.join(layer, "*"), schema))
-    return b.drained(alerts).select("rule_id", "key", "transactionId", "eventTime", "value")
+    """Alerts of several micro-batches, by the rules as each finds them."""
+    folder = run_folder(b.spark, b.name)
+    b.transactions_in_turn(lambda rows: alert_changing(
+        rows, b.rules_now, folder, os.path.join(folder, "checkpoint"), once=True))
+    return b.spark.read.parquet(os.path.join(folder, "alerts")).select(
+        "rule_id", "key", "transactionId", "eventTime", "value")
 
 
 def registry() -> dict[str, Query]:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may change while a session runs.  Shuffle width is left to the
 # cluster; adaptive execution then merges small partitions and splits hot ones.
@@ -60,3 +60,10 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run below the shared folder."""
     return os.path.join(shared_folder(spark), "tidemart", f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, read back from a table in the shared folder: worked out once."""
+    folder = run_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

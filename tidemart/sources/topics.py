@@ -16,17 +16,17 @@ def publish(layer: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def publish_in_turn(layer: DataFrame, folder: str, name: str, order: str, parts: int = 4) -> str:
-    """As ``publish``, one part after the other in the order of a column, a file each, so that
-    a stream that takes a file at a time sees them in that order."""
-    path = os.path.join(folder, name)
+def in_turn(layer: DataFrame, order: str, parts: int = 3) -> list[DataFrame]:
+    """The layer cut into parts by ranges of a column, as they would arrive one after the other."""
     cuts = layer.approxQuantile(order, [n / parts for n in range(1, parts)], 0.01)
     bounds = [None, *sorted(set(cuts)), None]
-    for low, high in zip(bounds, bounds[1:]):
-        part = layer if low is None else layer.filter(F.col(order) > low)
-        part = part if high is None else part.filter(F.col(order) <= high)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+    return [layer.filter((F.lit(True) if low is None else F.col(order) > low)
+                         & (F.lit(True) if high is None else F.coalesce(F.col(order) <= high, F.lit(False))))
+            for low, high in zip(bounds, bounds[1:])]
+
+
+def add_to_topic(part: DataFrame, path: str) -> None:
+    part.write.mode("append").parquet(path)
 
 
 def subscribe(spark: SparkSession, path: str, schema: T.StructType,

@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemart.operators import dims, keywords, logs, routing, rules, stats, wide
 from tidemart.plans.warehouse import Settings
@@ -30,29 +30,28 @@ def state_width(spark: SparkSession, partitions: int | None):
         spark.conf.set(key, before)
 
 
-def drained_table(spark: SparkSession, stream: DataFrame, name: str, width: int | None = None) -> str:
-    """Run a stream over all that is there now into a fresh table; the table's folder."""
-    folder = run_folder(spark, name)
-    table = os.path.join(folder, "table")
-    sink = table_sink(stream, os.path.join(folder, "checkpoint"), table, once=True)
+def taken_up(spark: SparkSession, stream: DataFrame, folder: str, width: int | None = None,
+             mode: str | None = None) -> str:
+    """Run a stream over all that is there now and was not yet taken, and stop; its table.
+
+    Called again for a folder, the job starts anew from its checkpoint.  With ``mode`` every
+    micro-batch goes to a folder of its own.
+    """
+    table, checkpoint = os.path.join(folder, "table"), os.path.join(folder, "checkpoint")
+    sink = (batch_folder_sink(stream, checkpoint, table, mode=mode, once=True) if mode
+            else table_sink(stream, checkpoint, table, once=True))
     with state_width(spark, width):
         sink.start().awaitTermination()
     return table
 
 
-def drained(spark: SparkSession, stream: DataFrame, name: str, width: int | None = None) -> DataFrame:
-    return spark.read.schema(stream.schema).parquet(drained_table(spark, stream, name, width))
+def drained_table(spark: SparkSession, stream: DataFrame, name: str, width: int | None = None) -> str:
+    """Run a stream over all that is there now into a fresh table; the table's folder."""
+    return taken_up(spark, stream, run_folder(spark, name), width)
 
 
-def drained_batches(spark: SparkSession, stream: DataFrame, name: str, mode: str,
-                    width: int | None = None) -> DataFrame:
-    """As ``drained``, with a ``batch`` column; for streams that update earlier results."""
-    folder = run_folder(spark, name)
-    table = os.path.join(folder, "table")
-    sink = batch_folder_sink(stream, os.path.join(folder, "checkpoint"), table, mode=mode, once=True)
-    with state_width(spark, width):
-        sink.start().awaitTermination()
-    return spark.read.schema(stream.schema.add("batch", T.LongType())).parquet(table)
+def drained(spark: SparkSession, stream: DataFrame, name: str, width: int | None = None) -> DataFrame:
+    return spark.read.schema(stream.schema).parquet(drained_table(spark, stream, name, width))
 
 
 def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], folder: str,
@@ -60,14 +59,24 @@ def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], fold
     """Route a change stream by a config that is read anew for every micro-batch.
 
     ``changes`` are parsed ones, problems included.  Facts go to folders per topic, dimension
-    rows to the dimension store, what cannot be used to a dirty folder; all replace what an
-    earlier attempt of the same micro-batch left.
+    rows to the dimension store.  What cannot be used goes to a dirty folder with the reason:
+    text that is no change, changes without payload or without a key, and changes that no route
+    sends anywhere.  All replace what an earlier attempt of the same micro-batch left.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         config = routing.checked_config(read_config())
-        routing.dirty_changes(batch).write.mode("overwrite").parquet(
-            os.path.join(folder, "dirty", f"batch={batch_id}"))
-        normal = routing.normalize_type(routing.non_empty(routing.clean_changes(batch)))
+        clean = routing.clean_changes(batch)
+        normal = routing.normalize_type(routing.non_empty(clean))
+
+        def set_apart(rows: DataFrame, problem) -> DataFrame:
+            place = [name for name in ("seq",) if name in rows.columns]
+            return rows.select(*place, F.to_json(F.struct("table", "type", "data")).alias("raw"), problem.alias("problem"))
+
+        dirty = (routing.dirty_changes(batch)
+                 .unionByName(set_apart(clean.filter(F.col("data").isNull()), F.lit("empty")))
+                 .unionByName(set_apart(routing.keyless_changes(normal, config), F.lit("missing_key")))
+                 .unionByName(set_apart(routing.unrouted_changes(normal, config), F.col("reason"))))
+        dirty.write.mode("overwrite").parquet(os.path.join(folder, "dirty", f"batch={batch_id}"))
         facts = routing.fact_messages(routing.fact_changes(normal, config))
         facts.write.mode("overwrite").partitionBy("topic").parquet(
             os.path.join(folder, "facts", f"batch={batch_id}"))
@@ -214,7 +223,3 @@ class Streams:
         events = stats.product_events(pages, i.favors(), i.carts(), order_rows,
                                       payment_rows, i.refunds(), i.comments())
         return stats.product_stats(events, self.settings.window)
-
-    # ---- rules
-    def rule_alerts(self, fanned: DataFrame) -> DataFrame:
-        return state.rule_alerts(fanned)

@@ -8,10 +8,7 @@ A group is one key's records of one micro-batch, so the source's rate limit boun
 
 from __future__ import annotations
 
-import json
-from collections import deque
 from collections.abc import Iterator
-from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -19,7 +16,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemart.functions.records import is_entry_page, with_evaluated
 from tidemart.functions.times import event_time
-from tidemart.operators.rules import exceeds, rule_value
 from tidemart.operators.wide import IN_ORDER
 
 DAY_MS = 86_400_000
@@ -99,131 +95,21 @@ def daily_unique_visits(pages: DataFrame, ttl: str = "1 day") -> DataFrame:
 
 # ---- bounces --------------------------------------------------------------------------
 
-def _undecided(gap_ms: int):
-    """State: entry pages not yet followed, and onward pages that could still follow an
-    entry page that arrives later."""
-
-    def step(key, frames, state: GroupState):
-        entries, onward = (json.loads(state.get[0]) if state.exists else [[], []])
-        if not state.hasTimedOut:
-            for row in _gathered(frames, ["ts", "seq"]).itertuples(index=False):
-                if row.entry:
-                    entries.append([int(row.ts), int(row.seq), row.payload])
-                else:
-                    onward.append([int(row.ts), int(row.seq)])
-        places = sorted((ts, seq) for ts, seq in onward)
-        still, left = [], []
-        position = 0
-        watermark = state.getCurrentWatermarkMs()
-        for ts, seq, payload in sorted(entries, key=lambda e: (e[0], e[1])):
-            while position < len(places) and places[position] <= (ts, seq):
-                position += 1
-            followed = position < len(places) and places[position][0] < ts + gap_ms
-            if followed:
-                continue
-            if ts + gap_ms - 1 <= watermark:
-                left.append(payload)
-            else:
-                still.append([ts, seq, payload])
-        recent = [[ts, seq] for ts, seq in places if ts > watermark]
-        if still or recent:
-            state.update((json.dumps([still, recent]),))
-            ends = [ts + gap_ms - 1 for ts, _, _ in still] + [ts for ts, _ in recent]
-            state.setTimeoutTimestamp(min(ends))
-        elif state.exists:
-            state.remove()
-        if left:
-            yield pd.DataFrame({"payload": left})
-    return step
-
-
 def bounces(pages: DataFrame, gap_ms: int = 10_000, delay: str = IN_ORDER) -> DataFrame:
-    """Entry pages no onward page follows within the gap, once time has moved past it."""
-    timed = pages.withColumn("event_time", event_time("ts")).withWatermark("event_time", delay)
-    packed = timed.select(
-        F.col("common.mid").alias("mid"), "ts", "seq", is_entry_page().alias("entry"),
-        F.when(is_entry_page(), F.to_json(F.struct(*pages.columns))).alias("payload"),
-        "event_time")
-    left = packed.groupBy("mid").applyInPandasWithState(
-        _undecided(gap_ms), "payload STRING", "open STRING", "append",
-        GroupStateTimeout.EventTimeTimeout)
-    return _unpacked(left, pages)
-
+    """Entry pages no onward page follows within the gap, once time has moved past it.
 
-# ---- rule thresholds ------------------------------------------------------------------
-
-def _sliding(due: list, past: list, length: int) -> Iterator[tuple]:
-    """Sum, count, minimum and maximum over ``[ts - length, ts]`` for every due row.
-
-    Both ends only move forward.  ``lows`` and ``highs`` keep the amounts that can still
-    become the minimum or maximum.
+    An outer join of two streams within time bounds: an entry page that the watermark has left
+    behind without a partner is a bounce.  The bounds tell Spark how long either side is kept,
+    and a device's pages are never brought together beyond that.
     """
-    lows, highs = deque(), deque()
-    total, n, first, upto = Decimal(0), 0, 0, 0
-    for ts, *_ in due:
-        while upto < len(past) and past[upto][0] <= ts:
-            then, amount = past[upto]
-            upto += 1
-            if amount is None:
-                continue
-            total, n = total + amount, n + 1
-            while lows and lows[-1][1] >= amount:
-                lows.pop()
-            lows.append((then, amount))
-            while highs and highs[-1][1] <= amount:
-                highs.pop()
-            highs.append((then, amount))
-        while past[first][0] < ts - length:
-            if past[first][1] is not None:
-                total, n = total - past[first][1], n - 1
-            first += 1
-        for ends in (lows, highs):
-            while ends and ends[0][0] < ts - length:
-                ends.popleft()
-        yield total, n, lows[0][1] if lows else None, highs[0][1] if highs else None
-
-
-def _in_window(key, frames, state: GroupState):
-    """State: transactions ahead of the watermark, and the amounts still inside a window."""
-    length = int(key[2])
-    waiting, past = (json.loads(state.get[0]) if state.exists else [[], []])
-    if not state.hasTimedOut:
-        for row in _gathered(frames, ["ts"]).itertuples(index=False):
-            amount = None if row.amount is None else str(row.amount)
-            waiting.append([int(row.ts), amount, row.payload])
-    watermark = state.getCurrentWatermarkMs()
-    waiting.sort(key=lambda row: row[0])
-    due = [row for row in waiting if row[0] <= watermark]
-    waiting = waiting[len(due):]
-    past = past + [[ts, amount] for ts, amount, _ in due]
-    amounts = [(ts, None if amount is None else Decimal(amount)) for ts, amount in past]
-    answers = list(_sliding(due, amounts, length))
-    past = [row for row in past if row[0] >= watermark - length]
-    if waiting or past:
-        state.update((json.dumps([waiting, past]),))
-        ends = waiting[0][0] if waiting else past[-1][0] + length
-        state.setTimeoutTimestamp(max(ends, watermark + 1))
-    elif state.exists:
-        state.remove()
-    if due:
-        total, n, low, high = zip(*answers)
-        yield pd.DataFrame({"payload": [row[2] for row in due], "total": total, "n": n,
-                            "low": low, "high": high})
-
-
-def rule_alerts(fanned: DataFrame, ts: str = "eventTime", delay: str = IN_ORDER) -> DataFrame:
-    """Transactions whose rule aggregate meets the limit, once the watermark has passed them."""
-    timed = fanned.withColumn("event_time", event_time(ts)).withWatermark("event_time", delay)
-    packed = timed.select(
-        "rule_id", "key", F.col(ts).alias("ts"), "amount",
-        (F.col("window_minutes").cast("bigint") * 60_000).alias("length"),
-        F.to_json(F.struct(*fanned.columns)).alias("payload"), "event_time")
-    money = "DECIMAL(28,4)"
-    counted = packed.groupBy("rule_id", "key", "length").applyInPandasWithState(
-        _in_window, f"payload STRING, total {money}, n BIGINT, low {money}, high {money}",
-        "open STRING", "append", GroupStateTimeout.EventTimeTimeout)
-    rows = _unpacked(counted, fanned, "total", "n", "low", "high")
-    value = rule_value(F.col("total"), F.col("n"), F.col("low"), F.col("high"))
-    return (rows.withColumn("value", F.when(F.col("n") > 0, value))
-                .filter(exceeds(F.col("value")))
-                .drop("amount", "total", "n", "low", "high"))
+    timed = pages.withColumn("event_time", event_time("ts")).withWatermark("event_time", delay)
+    entries = timed.filter(is_entry_page())
+    onward = timed.filter(~is_entry_page()).select(
+        F.col("common.mid").alias("_mid"), F.col("ts").alias("_ts"), F.col("seq").alias("_seq"),
+        F.col("event_time").alias("_time"))
+    follows = ((F.col("common.mid") == F.col("_mid"))
+               & (F.col("_time") >= F.col("event_time"))
+               & (F.col("_time") < F.col("event_time") + F.expr(f"INTERVAL {int(gap_ms)} MILLISECONDS"))
+               # Within a millisecond the records' own order decides.
+               & (F.struct("_ts", "_seq") > F.struct("ts", "seq")))
+    return entries.join(onward, follows, "left_outer").filter(F.col("_mid").isNull()).select(*pages.columns)
