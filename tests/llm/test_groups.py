@@ -172,4 +172,28 @@ def test_a_bad_branch_keeps_its_name_and_is_rejected(spark):
     found = urls.judged(spark.createDataFrame(rows, "page_id long, url string"), labels).collect()
     by = {(r.template, r.verdict) for r in found}
     assert ("/spam/*", "block") in by and ("/goods/*", "allow") in by
-    assert {r.template for r in found if r.page_id >= 1000} == {"/*/*/*/*"}
+    assert {r.template for r in found if r.page_id >= 1000} == {"/*/*/*/*/*/*"}
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    t, u, v = words(61, 40), words(62, 40), words(63, 40)
+    def left(rows):
+        return sorted(((r.doc_id, r.text) for r in neardup.first_of_groups(clashing(docs(spark, rows))).collect()), key=str)
+    assert left([(3, t), (7, t), (7, u)]) == [(3, t), (7, u)]
+    assert left([(7, t), (None, t), (None, t)]) == [(7, t)]
+    assert left([(None, t), (None, t), (None, u), (None, ""), (None, None)]) == sorted(
+        [(None, min(t, t)), (None, u), (None, ""), (None, None)], key=str)
+    assert left([(5, v), (5, v), (5, v), (1, "")]) == [(1, ""), (5, v)]
+    assert left([]) == []
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs(spark, [(3, t), (7, t), (7, u + " more")])).collect()}
+    assert found == {(3, 36, 3), (7, 36, 3), (7, 37, 7)}
+
+
+def test_a_bad_branch_far_below(spark):
+    """All levels are judged, down to the deepest path."""
+    rows = [(i, f"http://h.net/a/b/c/d/e/{'spam' if i % 4 == 0 else 'news'}/page-{i}/{'x/' * (i % 3)}") for i in range(400)]
+    rows += [(1000, "http://h.net/a/b/c/d/e/spam/" + "deep/" * 40), (1001, "http://h.net"), (1002, None)]
+    marks = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(400)], "page_id long, good int")
+    found = {r.page_id: (r.verdict, r.template) for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string"), marks).collect()}
+    assert all(found[i][0] == ("allow" if i % 4 else "block") for i in range(400))
+    assert found[4][1] == "/*/*/*/*/*/spam/*/*" and found[1001] == ("allow", "") and len(found) == 403

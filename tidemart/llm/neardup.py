@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import text_or_empty, written
@@ -88,14 +88,14 @@ def _sketch(words: int):
             for at in range(0, batch.num_rows, 500):
                 lot = batch.slice(at, 500)
                 n, prints, signs = [], [], []
-                for value in lot.column(1):
+                for value in lot.column(2):
                     s = shingle(value.as_py())
                     n.append(len(s))
                     prints.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                     signs.append(signature(s).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [lot.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())],
-                    ["doc_id", "n_shingles", "print", "signature"])
+                    [lot.column(0), lot.column(1), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(signs, pa.binary())],
+                    ["id", "row", "n_shingles", "print", "signature"])
 
     return sketch
 
@@ -183,8 +183,8 @@ def linked_groups(sets: list[np.ndarray], similarity: int) -> list[int]:
 
 def _confirmed(similarity: int):
     def confirmed(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
-        ids = table.column("doc_id").to_numpy()[order]
+        # Rows alike in doc_id and text come once for each of them.
+        ids, order = np.unique(table.column("doc_id").to_numpy(), return_index=True)
         data = table.column("shingles").to_pylist()
         roots = linked_groups([np.frombuffer(data[i], np.uint64) for i in order], similarity)
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "component": pa.array(ids[roots], pa.int64())})
@@ -206,45 +206,84 @@ def _with_sets(words: int):
     return with_sets
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY,
-                    region: int = REGION) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: a row for every row of `docs`.
+# Stands for a null doc_id, after all others.
+NO_ID = (1 << 63) - 1
 
-    Texts without words, empty and null ones have no shingles, are linked with nothing and kept.
-    Repeated rows are of one class; rows that share a doc_id are one node of the graph.  A row
-    without doc_id joins its class's component, or has none if the class has no doc_id.  Only
-    doc_id and text are read.
-    """
-    texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
+
+def _identified(docs: DataFrame) -> list:
+    """What a row is known by: its doc_id and a hash of its text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text_or_empty()).alias("row")]
+
+
+def _grouped(docs: DataFrame, words: int, similarity: int, region: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches (id, row, n_shingles, print) of all rows, and of each class that has company, by
+    its print, the first document (id, row) of its group."""
+    known = ["id", "row"]
+    texts = docs.select(*_identified(docs), text_or_empty().alias("text"))
     sketches = written(texts.mapInArrow(
-        _sketch(words), "doc_id long, n_shingles long, print binary, signature binary"), "sketches")
-    classes = written(sketches.filter("print IS NOT NULL").groupBy("print").agg(
-        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("members")), "classes")
-    heads = (sketches.filter("print IS NOT NULL").select("print", "doc_id", "signature")
-             .join(classes.select("print", F.col("first").alias("doc_id")), ["print", "doc_id"])
-             .dropDuplicates(["doc_id", "print"]).select("doc_id", "signature"))
+        _sketch(words), "id long, row long, n_shingles long, print binary, signature binary"), "sketches")
+    # A class is known by a number of its own; its head is its first row by doc_id.
+    classes = written(
+        sketches.filter("print IS NOT NULL").groupBy("print")
+        .agg(F.min(F.struct("id", "row")).alias("head"), F.count(F.lit(1)).alias("members"))
+        .select("print", "head.id", "head.row", "members", F.monotonically_increasing_id().alias("node")), "classes")
+    heads = (sketches.filter("print IS NOT NULL").select("print", *known, "signature")
+             .join(classes.select("print", *known, "node"), ["print", *known])
+             .dropDuplicates(["node"]).select(F.col("node").alias("doc_id"), "signature"))
     orders = heads.mapInArrow(_orders, "region long, doc_id long, " + ", ".join(
         f"v{d} int" for d in range(DEPTH, DEEPEST)))
     clusters = components(_regions(orders, region))
     # The same join at every size: of what is a small side here today, much is left at scale.
-    members = clusters.select(F.col("node").alias("doc_id"), F.col("root").alias("cluster")).hint("merge")
-    sets = (texts.join(members, "doc_id")
-            .select("cluster", "doc_id", "text")
+    members = (clusters.select("node", F.col("root").alias("cluster"))
+               .join(classes.select("node", *known).hint("merge"), "node").hint("merge"))
+    sets = (texts.join(members, known)
+            .select("cluster", F.col("node").alias("doc_id"), "text")
             .mapInArrow(_with_sets(words), "cluster long, doc_id long, shingles binary"))
     roots = (sets.groupBy("cluster").applyInArrow(_confirmed(similarity), "doc_id long, component long")
-             .groupBy(F.col("doc_id").alias("first")).agg(F.min("component").alias("component")))
+             .groupBy(F.col("doc_id").alias("node")).agg(F.min("component").alias("component")))
+    held = written(classes.join(roots.hint("merge"), "node", "left")
+                   .withColumn("component", F.coalesce("component", "node")), "class-groups")
     # Classes of one document without links need no row here.
-    grouped = (classes.filter("first IS NOT NULL").join(roots, "first", "left")
-               .filter("members > 1 OR component < first")
-               .select("print", F.coalesce("component", "first").alias("component_id")))
-    return (sketches.select("doc_id", "n_shingles", "print").join(grouped, "print", "left")
-            .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    first = (held.groupBy("component").agg(F.min(F.struct("id", "row")).alias("first"), F.sum("members").alias("all"))
+             .filter(F.col("all") > 1).drop("all"))
+    return (sketches.select(*known, "n_shingles", "print"),
+            held.select("print", "component").join(first.hint("merge"), "component").select("print", "first"))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY,
+                    region: int = REGION) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: a row for every row of `docs`.
+
+    Texts without words, empty and null ones have no shingles, are linked with nothing and kept.
+    Rows are linked by their texts alone: rows that share a doc_id are told apart by text, and each
+    has its own text's component.  Rows without doc_id join their text's component, which has none if
+    all of its rows lack one.  Only doc_id and text are read.
+    """
+    sketches, grouped = _grouped(docs, words, similarity, region)
+    own = F.nullif("id", F.lit(NO_ID))
+    return (sketches.join(grouped, "print", "left")
+            .select(own.alias("doc_id"), "n_shingles",
+                    F.nullif(F.coalesce("first.id", "id"), F.lit(NO_ID)).alias("component_id"))
             .select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept")))
 
 
 def first_of_groups(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of `docs`, all columns, that are the first of their group."""
-    dropped = (near_duplicates(docs, words, similarity).filter(~F.col("kept"))
-               .select(F.col("doc_id").alias("_dropped")).distinct())
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    return held.join(dropped, F.col("_doc.doc_id") == F.col("_dropped"), "left_anti").select("_doc.*")
+    """The rows of `docs`, all columns: of each group of near duplicates its first, by doc_id.
+
+    A row is known by doc_id and text, so rows that share a doc_id but not the text are told apart,
+    and rows without doc_id, which come after all others, are duplicates like any.  Of rows alike in
+    both one stays.  Texts without words are linked with nothing: all their rows stay.
+    """
+    sketches, grouped = _grouped(docs, words, similarity, REGION)
+    known = ["id", "row"]
+    in_group = sketches.join(grouped, "print").select(
+        *known, (F.struct("id", "row") == F.struct("first.id", "first.row")).alias("first"))
+    # A row per document of a group: does it stay, and are there more rows like it?
+    told = in_group.groupBy(*known).agg(F.first("first").alias("_stays"), (F.count(F.lit(1)) > 1).alias("_again"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *_identified(docs))
+    kept = held.join(told.hint("merge"), known, "left").filter(F.coalesce("_stays", F.lit(True)))
+    once = Window.partitionBy(*known).orderBy(F.to_json("_doc"))
+    again = F.coalesce("_again", F.lit(False))
+    # One a map task reaches the window, however many rows are alike.
+    single = kept.filter(again).withColumn("_n", F.row_number().over(once)).filter(F.col("_n") == 1)
+    return kept.filter(~again).select("_doc.*").unionByName(single.select("_doc.*"))

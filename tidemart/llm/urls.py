@@ -17,7 +17,6 @@ from tidemart.llm.common import written
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/"))
-DEPTH = 4
 WIDE = 16
 RARE = 0.02
 Z = 2.0
@@ -46,19 +45,22 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
+def templates(paths: DataFrame) -> DataFrame:
     """host, path, template from host, path, n (pages), k (labelled), g (good): a row per distinct path.
 
-    Segments below `depth` count as one.  Empty segments don't count.
+    Goes down to the deepest path there is.  Empty segments don't count.  A level has the paths that
+    reach it only, so the work is in proportion to all segments.
     """
-    cut = F.filter(F.split("path", "/"), lambda s: s != "")
-    rows = paths.withColumn("segments", F.when(
-        F.size(cut) > depth,
-        F.concat(F.slice(cut, 1, depth - 1), F.array(F.array_join(F.slice(cut, depth, 1 << 30), "/")))
-    ).otherwise(cut)).withColumn("template", F.lit(""))
-    for level in range(depth):
+    rows = paths.withColumns({"segments": F.filter(F.split("path", "/"), lambda s: s != ""), "template": F.lit("")})
+    level, done = 0, []
+    while True:
+        # What ends here is named; the others go on.
+        done.append(rows.filter(F.size("segments") <= level).drop("segments"))
+        rows = rows.filter(F.size("segments") > level)
+        if rows.isEmpty():
+            break
         rows = rows.withColumn("segment", F.get("segments", F.lit(level)))
-        children = rows.filter("segment IS NOT NULL").groupBy("host", "template", "segment").agg(
+        children = rows.groupBy("host", "template", "segment").agg(
             *[F.sum(c).alias(c) for c in "nkg"])
         nodes = children.groupBy("host", "template").agg(
             F.count(F.lit(1)).alias("kinds"), *[F.sum(c).alias(f"{c}_all") for c in "nkg"])
@@ -74,16 +76,17 @@ def templates(paths: DataFrame, depth: int = DEPTH) -> DataFrame:
                  .withColumn("step", F.when(F.col("segment").rlike("[0-9]") | rare | ~differs, "*")
                              .otherwise(F.col("segment")))
                  .select("host", "template", "segment", "step"))
-        rows = (rows.join(named, ["host", "template", "segment"], "left")
-                .withColumn("template", F.when(F.col("step").isNull(), F.col("template"))
-                            .otherwise(F.concat("template", F.lit("/"), "step")))
-                .drop("segment", "step"))
-        rows = written(rows, "templates")
-    return rows.drop("segments")
+        rows = written(rows.join(named, ["host", "template", "segment"])
+                       .withColumn("template", F.concat("template", F.lit("/"), "step")).drop("segment", "step"), "templates")
+        level += 1
+    named = done[0]
+    for more in done[1:]:
+        named = named.unionByName(more)
+    return named
 
 
 def judged(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
-           depth: int = DEPTH, least: float = LEAST_PURITY) -> DataFrame:
+           least: float = LEAST_PURITY) -> DataFrame:
     """page_id, host, path, rule, verdict, template, purity: a row for every row of `pages`.
 
     labels: page_id, good (0 or 1); the share of good ones is a template's purity, and pages without
@@ -100,7 +103,7 @@ def judged(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]]
         pages.join(marks, "page_id", "left").groupBy("host", "path")
         .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k"),
              F.coalesce(F.sum("g"), F.lit(0)).alias("g")), "paths")
-    named = templates(paths, depth)
+    named = written(templates(paths), "named-paths")
     k_all, g_all = paths.agg(F.sum("k"), F.sum("g")).first()
     base = g_all / k_all if k_all else 1.0
     sums = [F.sum(c).alias(c) for c in "kg"]
@@ -123,33 +126,33 @@ def oracle() -> str:
         for i, (name, start) in enumerate(
             (r[1].partition("/")[0], r[1].partition("/")[2]) for r in sorted(RULES, key=lambda r: -len(r[1]))))
     ordered = sorted(RULES, key=lambda r: -len(r[1]))
-    levels = "".join(f"""
-    child{i} AS (SELECT host, template, segments[{i + 1}] AS segment, sum(n) AS n, sum(k)::DOUBLE AS k,
-                        sum(g)::DOUBLE AS g FROM level{i} WHERE len(segments) > {i} GROUP BY ALL),
-    node{i} AS (SELECT *, count(*) OVER w AS kinds, sum(n) OVER w AS n_all, sum(k) OVER w AS k_all,
-                       sum(g) OVER w AS g_all FROM child{i} WINDOW w AS (PARTITION BY host, template)),
-    step{i} AS (SELECT host, template, segment, CASE WHEN regexp_matches(segment, '[0-9]')
-                       OR kinds > {WIDE} AND n < {RARE} * n_all
-                       OR NOT coalesce(k > 0 AND k_all - k > 0 AND pow(g / k - (g_all - g) / (k_all - k), 2) >
-                              {Z * Z} * (g_all / k_all) * (1 - g_all / k_all) * (1 / k + 1 / (k_all - k)), false)
-                       THEN '*' ELSE segment END AS step FROM node{i}),
-    level{i + 1} AS (SELECT l.host, l.path, l.n, l.k, l.g, l.segments,
-                            l.template || coalesce('/' || step, '') AS template
-                     FROM level{i} l LEFT JOIN step{i} s ON l.host = s.host AND l.template = s.template
-                          AND l.segments[{i + 1}] = s.segment),""" for i in range(DEPTH))
     return f"""
-    WITH cut AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+    WITH RECURSIVE cut AS (SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
                         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
     marks AS (SELECT doc_id AS page_id, count(*) AS k, sum(quality) AS g FROM labels
               WHERE quality IS NOT NULL GROUP BY 1),
-    parts AS (SELECT host, path, count(*) AS n, coalesce(sum(k), 0) AS k, coalesce(sum(g), 0) AS g,
-                     list_filter(string_split(path, '/'), lambda s: s <> '') AS cut
+    parts AS (SELECT host, path, count(*) AS n, coalesce(sum(k), 0)::DOUBLE AS k, coalesce(sum(g), 0)::DOUBLE AS g,
+                     list_filter(string_split(path, '/'), lambda s: s <> '') AS segments
               FROM cut LEFT JOIN marks USING (page_id) GROUP BY host, path),
-    level0 AS (SELECT host, path, n, k, g, CASE WHEN len(cut) > {DEPTH}
-                      THEN list_append(cut[1:{DEPTH - 1}], array_to_string(cut[{DEPTH}:], '/')) ELSE cut END AS segments,
-                      '' AS template FROM parts),{levels}
+    walked AS (
+        SELECT host, path, n, k, g, segments, '' AS template, 0 AS level FROM parts
+        UNION ALL
+        SELECT host, path, n, k, g, segments, template || '/' || CASE
+                   WHEN regexp_matches(segment, '[0-9]') OR kinds > {WIDE} AND n_one < {RARE} * n_all
+                        OR NOT coalesce(k_one > 0 AND k_all - k_one > 0
+                               AND pow(g_one / k_one - (g_all - g_one) / (k_all - k_one), 2) >
+                                   {Z * Z} * (g_all / k_all) * (1 - g_all / k_all) * (1 / k_one + 1 / (k_all - k_one)), false)
+                   THEN '*' ELSE segment END, level + 1
+        FROM (SELECT *, sum(CASE WHEN lead THEN 1 ELSE 0 END) OVER node AS kinds
+              FROM (SELECT *, row_number() OVER (PARTITION BY host, template, segment ORDER BY path) = 1 AS lead,
+                           sum(n) OVER one AS n_one, sum(k) OVER one AS k_one, sum(g) OVER one AS g_one,
+                           sum(n) OVER every AS n_all, sum(k) OVER every AS k_all, sum(g) OVER every AS g_all
+                    FROM (SELECT *, segments[level + 1] AS segment FROM walked WHERE len(segments) > level)
+                    WINDOW one AS (PARTITION BY host, template, segment), every AS (PARTITION BY host, template))
+              WINDOW node AS (PARTITION BY host, template))),
+    leaves AS (SELECT * FROM walked WHERE level = len(segments)),
     base AS (SELECT coalesce(sum(g) / sum(k), 1.0) AS rate FROM parts),
-    leaf AS (SELECT host, template, sum(k) AS k, sum(g) AS g FROM level{DEPTH} GROUP BY ALL),
+    leaf AS (SELECT host, template, sum(k) AS k, sum(g) AS g FROM leaves GROUP BY ALL),
     prior AS (SELECT host, (sum(g) + {PRIOR} * (SELECT rate FROM base)) / (sum(k) + {PRIOR}) AS prior
               FROM leaf GROUP BY host),
     pure AS (SELECT host, template, (g + {PRIOR} * prior) / (k + {PRIOR}) AS purity FROM leaf JOIN prior USING (host)),
@@ -157,4 +160,4 @@ def oracle() -> str:
                      CASE {fits.format(*(r[0] for r in ordered))} END AS said FROM cut)
     SELECT page_id, host, path, rule, coalesce(said, CASE WHEN purity < {LEAST_PURITY} THEN 'block' ELSE 'allow' END)
            AS verdict, template, round(purity, 6) AS purity
-    FROM ruled JOIN level{DEPTH} USING (host, path) JOIN pure USING (host, template)"""
+    FROM ruled JOIN leaves USING (host, path) JOIN pure USING (host, template)"""
