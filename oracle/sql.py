@@ -467,6 +467,16 @@ def statements() -> dict[str, str]:
             SELECT tab AS "table", id AS pk, type, {whole} AS data, seq FROM (
                 SELECT *, row_number() OVER (PARTITION BY tab, id ORDER BY seq DESC) AS rn
                 FROM normal WHERE map_contains(data, 'id')) WHERE rn = 1 AND type <> 'delete'"""),
+        "changelog_bootstrap": q("""
+            SELECT CAST(c_custkey AS VARCHAR) AS pk, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'again ' ELSE '' END || c_name AS name,
+                   CASE WHEN c_mktsegment = 'BUILDING' THEN 'X' WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender
+            FROM customer WHERE c_mktsegment <> 'MACHINERY' OR c_acctbal < 0"""),
+        "route_as_of": q("""
+            SELECT id, c.tab AS "table", c.type, place, sink_type, sink_table, sink_columns, r.seq AS route_seq
+            FROM (SELECT l_orderkey * 100 + l_linenumber AS id, 't' || (l_orderkey % 97) AS tab, l_partkey AS place,
+                         CASE l_suppkey % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS type FROM lineitem) c
+            ASOF JOIN route_images r ON c.tab = r.source_table AND c.type = r.operate_type AND c.place >= r.seq
+            WHERE NOT deleted"""),
         "blank_entry_filter": q(f"""
             SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                    '{{' || CASE WHEN l_returnflag <> 'N' THEN '"flag":"' || l_returnflag || '",' ELSE '' END
@@ -598,14 +608,18 @@ def stream_statements() -> dict[str, str]:
                 UNION ALL SELECT 'empty' FROM supplier WHERE s_acctbal < 0 OR s_acctbal >= 2000 AND s_nationkey <= 3) GROUP BY went"""),
         "stream_cdc_route_fact": batch["cdc_route_fact"],
         "stream_cdc_route_dim": batch["cdc_route_dim"],
-        "stream_changelog_latest": batch["dim_upsert"],
+        "stream_changelog_latest": batch["changelog_latest"],
+        "stream_changelog_bootstrap": batch["changelog_bootstrap"],
+        "stream_dim_upsert": batch["dim_upsert"],
         "stream_cdc_fact_payload": batch["cdc_fact_payload"],
         "stream_order_detail_interval_join": q("""
             SELECT order_id, detail_id, sku_id, split_total_amount, create_time FROM order_pairs"""),
         "stream_payment_interval_join": batch["payment_interval_join"],
         "stream_order_wide": batch["order_wide"],
+        "stream_payment_wide": batch["payment_wide"],
         "stream_province_stats": batch["province_stats"],
         "stream_product_stats": batch["product_stats"],
+        "stream_product_stats_enriched": batch["product_stats_enriched"],
         "stream_rule_fanout": batch["rule_fanout"],
         "stream_rule_alerts": batch["rule_alerts"],
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemart.functions.records import camel_case, keep_listed, listed, sorted_json, with_evaluated
+from tidemart.operators.asof import as_of_join
 from tidemart.operators.changelog import latest_images
 from tidemart.operators.keyed import first_per_key
 from tidemart.schemas import CHANGE, CHANGE_DATA, TABLE_PROCESS
@@ -58,8 +59,8 @@ def normalize_type(changes: DataFrame) -> DataFrame:
         "type", F.when(F.col("type") == "bootstrap-insert", "insert").otherwise(F.col("type")))
 
 
-def latest_config(config_changes: DataFrame) -> DataFrame:
-    """Routing config as it stands after its own change feed: last image per route.
+def config_versions(config_changes: DataFrame) -> DataFrame:
+    """The images of all routes, with the kind of change and its place in the feed.
 
     A deleted route is known by its image before.
     """
@@ -67,11 +68,27 @@ def latest_config(config_changes: DataFrame) -> DataFrame:
     routes = config_changes.select(
         *[image[field.name].alias(field.name) for field in TABLE_PROCESS.fields],
         "type", "seq")
-    return (latest_images(routes.filter(F.col("source_table").isNotNull()),
-                          ["source_table", "operate_type"])
+    return routes.filter(F.col("source_table").isNotNull())
+
+
+def latest_config(config_changes: DataFrame) -> DataFrame:
+    """Routing config as it stands after its own change feed: last image per route."""
+    return (latest_images(config_versions(config_changes), ["source_table", "operate_type"])
             .select(*TABLE_PROCESS.fieldNames()))
 
 
+def routes_as_of(changes: DataFrame, config_changes: DataFrame, place: str) -> DataFrame:
+    """Every change with the route in force at its place in the feed of the config, as a struct
+    ``route``; null before a route's first image, and from its delete to its next image.
+
+    ``changes`` have ``table``, ``type`` and ``place``, on the scale of the config's ``seq``.
+    """
+    versions = config_versions(config_changes).withColumnsRenamed(
+        {"type": "change", "source_table": "table", "operate_type": "type"})
+    found = as_of_join(changes, versions, ["table", "type"], place, into="route")
+    return found.withColumn("route", F.when(F.col("route.change") != "delete", F.col("route")))
+
+
 def checked_config(config: DataFrame) -> DataFrame:
     """The config, which must not be empty, ready to be joined with every change."""
     if config.isEmpty():

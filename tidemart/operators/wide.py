@@ -81,12 +81,12 @@ def order_wide(pairs: DataFrame) -> DataFrame:
 
 
 def join_payments(payments: DataFrame, wide: DataFrame, offset: str = "+00:00",
-                  reach: str = "15 minutes") -> DataFrame:
+                  reach: str = "15 minutes", delay: str = IN_ORDER) -> DataFrame:
     """Payments with the wide orders created at most ``reach`` before them, never after."""
     timed_payments = with_evaluated(payments, "create_ts", parse_ms("create_time", offset))
     timed_wide = with_evaluated(wide, "create_ts", parse_ms("create_time", offset))
     return interval_join(timed_payments, timed_wide, "order_id", "order_id",
-                         "create_ts", "create_ts", f"-{reach}", "0 seconds")
+                         "create_ts", "create_ts", f"-{reach}", "0 seconds", delay)
 
 
 _FROM_PAYMENT = {

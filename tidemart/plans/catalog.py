@@ -233,6 +233,22 @@ def changelog_latest(w: Warehouse) -> DataFrame:
     return json_data(latest).select("table", "pk", "type", "data", "seq")
 
 
+@query
+def changelog_bootstrap(w: Warehouse) -> DataFrame:
+    """Customers as their snapshot and the changes since its first low mark tell them."""
+    feed = w.customer_feed(w.inputs.customer_chunks(), w.inputs.customer_history())
+    return changelog.latest_images(feed, ["pk"]).select("pk", "name", "gender")
+
+
+@query
+def route_as_of(w: Warehouse) -> DataFrame:
+    """Changes sent where the config stood at their place in its feed, not where it ended up."""
+    routed = routing.routes_as_of(w.inputs.placed_changes(), changelog.envelope(w.inputs.route_feed()), "place")
+    return routed.filter(F.col("route").isNotNull()).select(
+        "id", "table", "type", "place", "route.sink_type", "route.sink_table", "route.sink_columns",
+        F.col("route.seq").alias("route_seq"))
+
+
 @query
 def blank_entry_filter(w: Warehouse) -> DataFrame:
     flags = F.create_map(

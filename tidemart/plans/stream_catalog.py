@@ -15,7 +15,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemart.operators import routing
+from tidemart.operators import changelog, dims, routing
 from tidemart.operators.keyed import first_per_key
 from tidemart.plans.catalog import PAGE_COLUMNS, SETTINGS, json_data, warehouse
 from tidemart.plans.warehouse import Warehouse
@@ -24,7 +24,7 @@ from tidemart.session import run_folder
 from tidemart.sinks.dimensions import append_changes, dimension_sink, read_rows
 from tidemart.sinks.topics import topic_sink
 from tidemart.sources.tables import read_topic, table_source
-from tidemart.sources.topics import PublishedInputs, add_to_topic, in_turn, publish, subscribe
+from tidemart.sources.topics import PublishedInputs, add_to_topic, cuts, in_turn, publish, subscribe
 from tidemart.streaming.jobs import (ORDER_DIMENSIONS, Streams, drained, fan_out_changing, look_up_changing,
                                      route_changes, state_width, taken_up)
 from tidemart.streaming.thresholds import alert_changing
@@ -38,6 +38,8 @@ STATE_WIDTH = 8
 
 # A last record far ahead lets every window and undecided record before it end.
 FLUSH, FLUSH_MS, FLUSH_TIME = "flush", 4_102_444_800_000, "2100-01-01 00:00:00"
+# How far a layer of the order chain may lag behind its topics: the reach of the join that makes it.
+LAG = "10 seconds"
 FLUSH_LINE = (f'{{"common":{{"mid":"{FLUSH}","vc":"{FLUSH}","is_new":"0"}},"page":{{"page_id":"search","item":"{FLUSH}",'
               f'"item_type":"keyword"}},"displays":[],"ts":{FLUSH_MS}}}')
 
@@ -95,6 +97,85 @@ class LogChain:
         return self.spark.read.schema(T.StructType([*last.schema.fields, T.StructField("batch", T.LongType())]) if mode else last.schema).parquet(table)
 
 
+class OrderChain:
+    """The order layers as streams write them: order rows, wide rows, payment rows.
+
+    Orders, details and payments arrive in parts, cut at the same times.  After each part every
+    job takes up what is new and stops; for the next it starts again from its checkpoint.  No
+    layer comes from a batch job.
+    """
+
+    def __init__(self, bench: Bench):
+        self.bench, self.spark = bench, bench.spark
+        self.folder = run_folder(self.spark, bench.name + "-chain")
+        self.store = bench.dimension_store()
+        i, moment = bench.batch.inputs, F.unix_timestamp("create_time")
+        topics = {"orders": i.orders(), "details": i.details(), "payments": i.payments()}
+        at = cuts(topics["orders"], moment)
+        self.parts = {name: in_turn(layer, moment, at=at) for name, layer in topics.items()}
+        # A last order with its detail lets every window before it end.
+        last = {"orders": dict(id=-1, create_time=FLUSH_TIME),
+                "details": dict(id=-1, order_id=-1, sku_id=-1, create_time=FLUSH_TIME)}
+        for name, values in last.items():
+            end = flushed(topics[name].limit(0), **values)
+            self.parts[name][-1] = self.parts[name][-1].unionByName(end)
+        self.schemas = {name: layer.schema for name, layer in topics.items()}
+
+    def _topic(self, name: str) -> DataFrame:
+        return subscribe(self.spark, os.path.join(self.folder, name), self.schemas[name])
+
+    def layer(self, name: str) -> DataFrame:
+        """A written layer as a stream."""
+        return subscribe(self.spark, os.path.join(self.folder, name, "table"), self.schemas[name])
+
+    def _looked_up(self, rows: DataFrame) -> None:
+        folder = os.path.join(self.folder, "order_wide")
+        look_up_changing(rows, self.store, SETTINGS.as_of_ms, os.path.join(folder, "batches"),
+                         os.path.join(folder, "checkpoint"), once=True).start().awaitTermination()
+
+    def run(self, *, wide_rows: bool = False, payments: bool = False,
+            last: Callable[[], DataFrame] | None = None) -> str:
+        """Take up all parts; the folder of the table that ``last`` makes of the layers, which runs
+        after each part too."""
+        tables, made = self.bench.batch.inputs.tables, {"order_rows": None}
+        for turn in range(len(self.parts["orders"])):
+            for name, parts in self.parts.items():
+                add_to_topic(parts[turn], os.path.join(self.folder, name))
+            jobs = Streams(PublishedInputs(tables, {name: self._topic(name) for name in self.parts}), SETTINGS)
+            rows = jobs.order_rows()
+            self.schemas["order_rows"] = rows.schema
+            made["order_rows"] = taken_up(self.spark, rows, os.path.join(self.folder, "order_rows"), STATE_WIDTH)
+            above = "order_rows"
+            if wide_rows:
+                with state_width(self.spark, STATE_WIDTH):
+                    self._looked_up(self.layer("order_rows"))
+                # Each micro-batch's folder is read as one more file of the layer.
+                self.schemas["order_wide"], above = rows.schema, "order_wide"
+            if payments:
+                paid = jobs.payment_rows(self.wide() if wide_rows else self.layer(above), LAG)
+                self.schemas["payment_rows"] = paid.schema
+                made["payment_rows"] = taken_up(
+                    self.spark, paid, os.path.join(self.folder, "payment_rows"), STATE_WIDTH)
+            if last is not None:
+                made["last"] = taken_up(self.spark, last(), os.path.join(self.folder, "last"), STATE_WIDTH)
+        return made.get("last") or made.get("payment_rows") or made["order_rows"]
+
+    def wide(self) -> DataFrame:
+        """The wide rows as a stream, whichever micro-batch made them."""
+        return subscribe(self.spark, os.path.join(self.folder, "order_wide", "batches", "batch=*"),
+                         self.schemas["order_wide"])
+
+    def result(self, stream_of: Callable[[], DataFrame] | None = None, **layers: bool) -> DataFrame:
+        made = {}
+
+        def last() -> DataFrame:
+            made["schema"] = (stream := stream_of()).schema
+            return stream
+        table = self.run(last=last if stream_of else None, **layers)
+        schema = made.get("schema") or self.schemas["payment_rows" if layers.get("payments") else "order_rows"]
+        return self.spark.read.schema(schema).parquet(table)
+
+
 class Bench:
     """One streaming query's inputs: batch layers, and the means to stream them."""
 
@@ -107,6 +188,10 @@ class Bench:
     def log(self) -> LogChain:
         return LogChain(self.spark, self.folder)
 
+    @cached_property
+    def orders(self) -> OrderChain:
+        return OrderChain(self)
+
     def topic(self, name: str, layer: DataFrame) -> DataFrame:
         return subscribe(self.spark, publish(layer, self.topics, name), layer.schema)
 
@@ -277,8 +362,46 @@ def stream_log_table(b: Bench) -> DataFrame:
     return b.log.result(visits, "lines").filter(F.col("mid") != FLUSH)
 
 
+def taken_backwards(b: Bench, images: Callable[[], DataFrame], topics: dict[str, DataFrame],
+                    order: dict[str, str]) -> DataFrame:
+    """All updates of a stream of last images whose topics arrive in parts, the last changes first."""
+    folder = run_folder(b.spark, b.name)
+    parts = {name: in_turn(layer, order[name])[::-1] for name, layer in topics.items()}
+    for turn in range(max(len(p) for p in parts.values())):
+        for name, pieces in parts.items():
+            if turn < len(pieces):
+                add_to_topic(pieces[turn], os.path.join(b.topics, name))
+        table = taken_up(b.spark, images(), folder, STATE_WIDTH, mode="update")
+    return b.spark.read.schema(images().schema).parquet(table)
+
+
 @stream
 def stream_changelog_latest(b: Bench) -> DataFrame:
+    """The last image of every row, of changes that arrive out of order over several micro-batches."""
+    lines = b.batch.inputs.change_log()
+
+    def images() -> DataFrame:
+        feed = subscribe(b.spark, os.path.join(b.topics, "lines"), lines.schema)
+        return Streams(PublishedInputs(b.batch.inputs.tables, {"change_log": feed}), SETTINGS).images()
+    updates = taken_backwards(b, images, {"lines": lines}, {"lines": "seq"})
+    return json_data(changelog.latest_images(updates, ["table", "pk"])).select("table", "pk", "type", "data", "seq")
+
+
+@stream
+def stream_changelog_bootstrap(b: Bench) -> DataFrame:
+    """Snapshot chunks and changes as two streams; neither waits for the other."""
+    i = b.batch.inputs
+    topics = {"chunks": i.customer_chunks(), "history": i.customer_history()}
+
+    def images() -> DataFrame:
+        read = {name: subscribe(b.spark, os.path.join(b.topics, name), layer.schema) for name, layer in topics.items()}
+        return changelog.last_images(b.batch.customer_feed(read["chunks"], read["history"]), "pk")
+    updates = taken_backwards(b, images, topics, {"chunks": "low", "history": "seq"})
+    return changelog.latest_images(updates, ["pk"]).select("pk", "name", "gender")
+
+
+@stream
+def stream_dim_upsert(b: Bench) -> DataFrame:
     """Routed changes through the dimension store, read back as current rows."""
     routed = b.streams("change_log").dim_changes()
     folder = run_folder(b.spark, b.name)
@@ -303,38 +426,49 @@ def stream_order_detail_interval_join(b: Bench) -> DataFrame:
 
 @stream
 def stream_payment_interval_join(b: Bench) -> DataFrame:
-    jobs = b.streams("payments")
-    rows = jobs.payment_rows(b.topic("order_rows", b.batch.order_rows))
-    return b.drained(rows).select(
+    return b.orders.result(payments=True).select(
         "payment_id", "order_id", "detail_id", "sku_id", "payment_create_time", "order_create_time")
 
 
+@stream
+def stream_payment_wide(b: Bench) -> DataFrame:
+    """Payments joined with the wide rows that the order job wrote."""
+    return b.orders.result(wide_rows=True, payments=True)
+
+
 @stream
 def stream_order_wide(b: Bench) -> DataFrame:
     """The order stream, looked up in the dimension store as it stands at each micro-batch."""
-    rows = b.streams("orders", "details").order_rows()
-    folder = run_folder(b.spark, b.name)
-    layer = os.path.join(folder, "layer")
-    with state_width(b.spark, STATE_WIDTH):
-        look_up_changing(rows, b.dimension_store(), SETTINGS.as_of_ms, layer, os.path.join(folder, "checkpoint"),
-                         once=True).start().awaitTermination()
-    return b.spark.read.parquet(layer).drop("batch")
+    b.orders.run(wide_rows=True)
+    rows = b.spark.read.parquet(os.path.join(b.orders.folder, "order_wide", "batches")).drop("batch")
+    return rows.filter("order_id >= 0")
 
 
 @stream
 def stream_province_stats(b: Bench) -> DataFrame:
-    jobs = b.streams()
-    layer = flushed(b.batch.order_wide, create_time=FLUSH_TIME)
-    return b.drained(jobs.province_stats(b.topic("order_wide", layer)))
+    jobs, chain = b.streams(), b.orders
+    return chain.result(lambda: jobs.province_stats(chain.wide()), wide_rows=True)
+
+
+def product_stats_table(b: Bench) -> DataFrame:
+    jobs, chain = b.streams("favors", "carts", "refunds", "comments"), b.orders
+    chain.run(payments=True)
+    pages = b.topic("pages", b.log.result(_as_it_is, "pages"))
+    return b.drained(jobs.product_stats(pages, chain.layer("order_rows"), chain.layer("payment_rows")))
 
 
 @stream
 def stream_product_stats(b: Bench) -> DataFrame:
-    jobs = b.streams("favors", "carts", "refunds", "comments")
-    orders = flushed(b.batch.order_rows, sku_id=-1, create_time=FLUSH_TIME)
-    order_rows, payment_rows = b.topic("order_rows", orders), b.topic("payment_rows", b.batch.payment_rows)
-    pages = b.log.result(_as_it_is, "pages")
-    return b.drained(jobs.product_stats(b.topic("pages", pages), order_rows, payment_rows))
+    """All seven kinds of events; pages, orders and payments from layers that streams wrote."""
+    return product_stats_table(b)
+
+
+@stream
+def stream_product_stats_enriched(b: Bench) -> DataFrame:
+    """Finished windows, a stream again, looked up in the product dimension."""
+    table = product_stats_table(b)
+    rows = b.topic("product_stats", table)
+    return b.drained(dims.with_product(rows, b.batch.products, price=True))
 
 
 @stream

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, visits, wide
 from tidemart.sources.derived import Inputs
@@ -96,6 +96,14 @@ class Warehouse:
     def route_config(self) -> DataFrame:
         return routing.latest_config(changelog.envelope(self.inputs.route_feed()))
 
+    def customer_feed(self, snapshot: DataFrame, history: DataFrame) -> DataFrame:
+        """The customers' snapshot and change feed as one feed of images, each with its key."""
+        columns = ("id", "name", "gender")
+        images = changelog.envelope(history)
+        changes = images.select("type", F.coalesce(F.col("data")["id"], F.col("before")["id"]).alias("pk"),
+                                *[F.col("data")[name].alias(name) for name in columns[1:]], "seq")
+        return changelog.bootstrapped(snapshot.withColumnRenamed("id", "pk"), changes)
+
     # ---- wide rows
     @cached_property
     def products(self) -> DataFrame:

@@ -1,19 +1,20 @@
 """Dimension store: change rows per micro-batch, merged when read, compacted by the sink job.
 
 Layout below the store's folder: ``changes/batch=N`` holds the routed change rows of one
-micro-batch, ``snapshot/upto=N`` the merged rows after batch N.  Folders are only ever
-written whole, under a name that a repeated attempt overwrites; the newest complete
-snapshot is the one that carries a ``_SUCCESS`` mark.
+micro-batch, ``snapshot/upto=N`` what is left of all rows up to batch N.  Both are laid out
+by table and key bucket (``sink_table=T/bucket=B``), so a lookup opens only the buckets its
+keys fall into.  Folders are only ever written whole, under a name that a repeated attempt
+overwrites; the newest complete snapshot is the one that carries a ``_SUCCESS`` mark.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemart.operators.changelog import upserted_rows
+from tidemart.operators.changelog import effective_changes, upserted_rows
 from tidemart.operators.keyed import first_per_key
 from tidemart.operators.routing import DIM_SINK
 
@@ -22,10 +23,25 @@ STORED = T.StructType([
     T.StructField("type", T.StringType()), T.StructField("seq", T.LongType()),
     T.StructField("data", T.MapType(T.StringType(), T.StringType()))])
 
+# Key buckets of a table.  The number belongs to the stored layout: a store keeps it for ever.
+BUCKETS = 16
+_LAID_OUT = T.StructType([*STORED.fields, T.StructField("bucket", T.IntegerType())])
+
+
+def bucket_of(pk: Column | str) -> Column:
+    return F.pmod(F.xxhash64(pk), F.lit(BUCKETS)).cast("int")
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    """Rows by table and key bucket; a pair's rows are gathered so that it gets few files, and
+    the rebalancing cuts a pair that is too much for one task."""
+    laid_out = rows.select(*STORED.fieldNames(), bucket_of("pk").alias("bucket"))
+    (laid_out.hint("rebalance", "sink_table", "bucket")
+     .write.mode("overwrite").partitionBy("sink_table", "bucket").parquet(path))
+
 
 def append_changes(batch: DataFrame, folder: str, batch_id: int) -> None:
-    rows = batch.select(*STORED.fieldNames())
-    rows.write.mode("overwrite").parquet(os.path.join(folder, "changes", f"batch={batch_id}"))
+    _write(batch, os.path.join(folder, "changes", f"batch={batch_id}"))
 
 
 def dimension_sink(changes: DataFrame, folder: str, checkpoint: str, *,
@@ -60,17 +76,20 @@ def _numbers(spark: SparkSession, folder: str, label: str) -> list[int]:
 
 
 def _stored(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
-    """Newest snapshot and the changes after it, as change rows, and the last batch seen."""
+    """Newest snapshot and the changes after it, as change rows with their bucket, and the last
+    batch seen."""
     snapshots = _numbers(spark, os.path.join(folder, "snapshot"), "upto")
     last = snapshots[-1] if snapshots else -1
     batches = [n for n in _numbers(spark, os.path.join(folder, "changes"), "batch") if n > last]
-    reader = spark.read.schema(STORED)
-    rows = spark.createDataFrame([], STORED)
-    if snapshots:
-        rows = rows.unionByName(reader.parquet(os.path.join(folder, "snapshot", f"upto={last}")))
-    if batches:
-        rows = rows.unionByName(reader.parquet(
-            *[os.path.join(folder, "changes", f"batch={n}") for n in batches]))
+    rows = spark.createDataFrame([], _LAID_OUT)
+    # Each is a folder of partitions of its own, so that table and bucket prune its files.
+    for base, labels in (("snapshot", [f"upto={last}"] if snapshots else []),
+                         ("changes", [f"batch={n}" for n in batches])):
+        if labels:
+            root = os.path.join(folder, base)
+            found = spark.read.schema(_LAID_OUT).option("basePath", root).parquet(
+                *[os.path.join(root, label) for label in labels])
+            rows = rows.unionByName(found.select(*_LAID_OUT.fieldNames()))
     return rows, max(batches, default=last)
 
 
@@ -83,24 +102,30 @@ def read_rows(spark: SparkSession, folder: str, keep_deletes: bool = False) -> D
 def read_dimension(spark: SparkSession, folder: str, table: str, columns: list[str],
                    keys: DataFrame | None = None) -> DataFrame:
     """One dimension table with the named columns, all text; of ``keys`` (a column ``pk``)
-    only, if they are given."""
+    only, if they are given.
+
+    The keys' buckets are worked out first (``BUCKETS`` numbers at most reach the driver), and
+    no file of another table or bucket is opened.
+    """
     rows, _ = _stored(spark, folder)
     rows = rows.filter(F.col("sink_table") == table)
-    current = upserted_rows(rows.join(keys, "pk", "left_semi") if keys is not None else rows)
+    if keys is not None:
+        wanted = [r.bucket for r in keys.select(bucket_of("pk").alias("bucket")).distinct().collect()]
+        rows = rows.filter(F.col("bucket").isin(sorted(wanted))).join(keys, "pk", "left_semi")
+    current = upserted_rows(rows)
     return current.select(*[F.col("data")[name].alias(name) for name in columns])
 
 
 def compact(spark: SparkSession, folder: str) -> int:
     """Merge everything stored so far into a snapshot; returns its batch number.
 
-    A merged row counts as one upsert with the sequence of its last change.  Deleted keys
-    are left out.  Changes that arrive after compaction must be newer than what it merged.
+    What has been set anew or deleted since falls away; what is left keeps the sequence it came
+    with, cell by cell, and a key's last delete stays as a mark.  So a change that arrives after
+    the compaction finds its place among them, however late it is.
     """
     rows, last = _stored(spark, folder)
     if last >= 0:
-        merged = upserted_rows(rows).withColumn("type", F.lit("insert"))
-        merged.select(*STORED.fieldNames()).write.mode("overwrite").parquet(
-            os.path.join(folder, "snapshot", f"upto={last}"))
+        _write(effective_changes(rows), os.path.join(folder, "snapshot", f"upto={last}"))
     return last
 
 

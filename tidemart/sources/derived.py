@@ -336,6 +336,60 @@ class Inputs:
             F.when(size % 11 == 0, image).alias("before"),
             F.when(size % 11 != 0, image).alias("after"), F.col("p_partkey").alias("seq"))
 
+    def placed_changes(self) -> DataFrame:
+        """Changes of the tables that ``route_feed`` routes, each with its place in that feed."""
+        return self.tables("lineitem").select(
+            (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
+            F.concat(F.lit("t"), text(F.col("l_orderkey") % 97)).alias("table"),
+            F.element_at(F.array(*[F.lit(x) for x in ("insert", "update", "delete")]),
+                         (F.col("l_suppkey") % 3 + 1).cast("int")).alias("type"),
+            F.col("l_partkey").alias("place"))
+
+    def _customer_lives(self) -> DataFrame:
+        """When each customer is created, updated, deleted and created again, as places of a feed.
+
+        The feed's first third only creates.  Changes go on while the snapshot below is read.
+        """
+        third = (self.tables("customer").agg(F.max("c_custkey")).first()[0] or 0) + 1
+        k, segment = F.col("c_custkey"), F.col("c_mktsegment")
+        return self.tables("customer").select(
+            text(k).alias("id"), F.col("c_name").alias("name"), self._gender().alias("gender"),
+            F.lit(third).cast("bigint").alias("third"), k.alias("k"),
+            F.when(segment == "HOUSEHOLD", third + k * 11 % third).otherwise(k).alias("made"),
+            F.when(segment == "BUILDING", third + k * 31 % third).alias("changed"),
+            F.when(segment == "MACHINERY", third + k * 17 % third).alias("gone"),
+            F.when((segment == "MACHINERY") & (F.col("c_acctbal") < 0), 2 * third + k * 13 % third)
+             .alias("back"))
+
+    def customer_history(self) -> DataFrame:
+        """Change feed of the customers from the first low mark of ``customer_chunks`` on."""
+        def image(name: Column, gender: Column) -> Column:
+            return F.to_json(F.struct("id", name.alias("name"), gender.alias("gender")))
+
+        name, gender, none = F.col("name"), F.col("gender"), F.lit(None).cast("string")
+        moments = [("made", "CREATE", none, image(name, gender)),
+                   ("changed", "UPDATE", image(name, gender), image(name, F.lit("X"))),
+                   ("gone", "DELETE", image(name, gender), none),
+                   ("back", "CREATE", none, image(F.concat(F.lit("again "), name), gender))]
+        rows = F.array(*[F.struct(F.lit(op).alias("op"), before.alias("before"), after.alias("after"),
+                                  F.col(at).alias("seq")) for at, op, before, after in moments])
+        return (self._customer_lives().select("third", "id", F.inline(rows)).filter("seq > third")
+                .select(F.lit("binlog.shop.user_info").alias("topic"), "op", "before", "after", "seq", "id"))
+
+    def customer_chunks(self) -> DataFrame:
+        """A snapshot of the customers, read in eight chunks: a row shows some moment between the
+        marks of its chunk, which are places of the feed."""
+        lives = self._customer_lives()
+        third, chunk = F.col("third"), F.col("k") % 8
+        low = third + F.call_function("div", chunk * third, F.lit(8))
+        read = lives.withColumns({"low": low, "high": low + F.call_function("div", third, F.lit(4))})
+        read = read.withColumn("at", F.col("low") + F.col("k") * 29 % (F.col("high") - F.col("low") + 1))
+        seen = lambda at: F.coalesce(F.col(at) <= F.col("at"), F.lit(False))
+        there = read.filter(seen("made") & (~seen("gone") | seen("back")))
+        return there.select(
+            "id", F.when(seen("back"), F.concat(F.lit("again "), "name")).otherwise(F.col("name")).alias("name"),
+            F.when(seen("changed"), "X").otherwise(F.col("gender")).alias("gender"), "low", "high")
+
     # ---- rules and transactions -------------------------------------------------------
 
     def transactions(self) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemart.sources.derived import Inputs
 from tidemart.sources.tables import Tables
@@ -16,12 +16,19 @@ def publish(layer: DataFrame, folder: str, name: str) -> str:
     return path
 
 
-def in_turn(layer: DataFrame, order: str, parts: int = 3) -> list[DataFrame]:
-    """The layer cut into parts by ranges of a column, as they would arrive one after the other."""
-    cuts = layer.approxQuantile(order, [n / parts for n in range(1, parts)], 0.01)
-    bounds = [None, *sorted(set(cuts)), None]
-    return [layer.filter((F.lit(True) if low is None else F.col(order) > low)
-                         & (F.lit(True) if high is None else F.coalesce(F.col(order) <= high, F.lit(False))))
+def cuts(layer: DataFrame, order: str | Column, parts: int = 3) -> list[float]:
+    """Values that cut the layer into about even parts."""
+    return sorted(set(layer.select(F.col(order) if isinstance(order, str) else order.alias("_order")).approxQuantile(
+        order if isinstance(order, str) else "_order", [n / parts for n in range(1, parts)], 0.01)))
+
+
+def in_turn(layer: DataFrame, order: str | Column, parts: int = 3, at: list[float] | None = None) -> list[DataFrame]:
+    """The layer cut into parts by ranges of a column, as they would arrive one after the other;
+    ``at`` gives the cuts, so that several layers can be cut alike."""
+    bounds = [None, *(cuts(layer, order, parts) if at is None else at), None]
+    place = F.col(order) if isinstance(order, str) else order
+    return [layer.filter((F.lit(True) if low is None else place > low)
+                         & (F.lit(True) if high is None else F.coalesce(place <= high, F.lit(False))))
             for low, high in zip(bounds, bounds[1:])]
 
 

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.operators import dims, keywords, logs, routing, rules, stats, wide
+from tidemart.operators import changelog, dims, keywords, logs, routing, rules, stats, wide
 from tidemart.plans.warehouse import Settings
 from tidemart.session import run_folder
 from tidemart.sinks.dimensions import append_changes, read_dimension
@@ -205,6 +205,11 @@ class Streams:
     def facts(self) -> DataFrame:
         return routing.fact_changes(self.changes(), routing.checked_config(self.inputs.routes()))
 
+    def images(self) -> DataFrame:
+        """The last image of every row, deletes as marks; an update of the micro-batch's rows."""
+        keyed = self.changes().withColumn("pk", F.col("data")["id"]).filter("pk IS NOT NULL")
+        return changelog.last_images(keyed.select("table", "pk", "type", "data", "seq"), "table", "pk")
+
     def dim_changes(self) -> DataFrame:
         return routing.dim_changes(self.changes(), routing.checked_config(self.inputs.routes()))
 
@@ -212,8 +217,9 @@ class Streams:
     def order_rows(self) -> DataFrame:
         return wide.order_wide(wide.join_order_details(self.inputs.orders(), self.inputs.details()))
 
-    def payment_rows(self, order_rows: DataFrame) -> DataFrame:
-        return wide.payment_wide(wide.join_payments(self.inputs.payments(), order_rows))
+    def payment_rows(self, order_rows: DataFrame, delay: str = wide.IN_ORDER) -> DataFrame:
+        """Order rows another job wrote may lag by the reach of its own join: ``delay`` covers it."""
+        return wide.payment_wide(wide.join_payments(self.inputs.payments(), order_rows, delay=delay))
 
     def province_stats(self, order_wide: DataFrame) -> DataFrame:
         return stats.province_stats(order_wide, self.settings.window)
