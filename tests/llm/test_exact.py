@@ -82,6 +82,22 @@ def test_rows_that_share_an_id_keep_their_own_passages(spark, monkeypatch):
     assert plain(suffixes.without_repeats(docs(spark, rows)).drop("spans", "text")) == removed(rows, 200)
 
 
+@pytest.mark.parametrize("phrase", [100, 199, 320])
+def test_a_phrase_of_every_document_lies_in_many_ranges(spark, monkeypatch, phrase):
+    """Ranges end inside its grams, and strings around it are found again across their ends."""
+    monkeypatch.setattr(suffixes, "RANGE_BYTES", 4_000)
+    monkeypatch.setattr(suffixes, "LOT_BYTES", 1_500)
+    monkeypatch.setattr(suffixes, "HASHED_ROWS", 3)
+    common = words(500, 60)[:phrase]
+    # Pairs and triples share what stands on one side of the phrase, or some of it.
+    rows = [(i, words(600 + i % 67, 12)[i % 3:] + common + words(700 + i % 71, 12)[:-1 - i % 2]) for i in range(200)]
+    cut = suffixes.splitters(docs(spark, rows).select("text"), 200, 40)
+    keys = np.array([list(c.ljust(cut.dtype.itemsize, b"\0")) for c in cut], np.uint8)
+    shared = [suffixes.shared_with_splitters(keys[i:i + 1, :200], i, cut)[0] for i in range(1, len(cut))]
+    assert len(cut) > 20 and sum(x >= suffixes.GRAM for x in shared) > 3
+    assert plain(suffixes.without_repeats(docs(spark, rows)).drop("spans", "text")) == removed(rows, 200)
+
+
 def test_passage_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     assert plain(queries.op1_suffix_dedup(spark, FOLDER)) == removed(rows, 200)

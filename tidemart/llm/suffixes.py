@@ -2,11 +2,13 @@
 
 A string of `length` bytes that occurs twice has the same lowest-hashed 32-byte gram in both places,
 so only suffixes that start at such anchors need sorting.  Splitters sampled from the anchors'
-leading bytes deal the suffixes out in ranges.  A first pass keeps anchors whose gram occurs again;
-a second sorts what stands right and left of those by multikey quicksort.  Classes of equal
-neighbours in both orders tell for every start whether its string occurs elsewhere, byte for byte.
-Splitters look at no more than the gram's own bytes: equal grams meet in one range, and no match
-can lie across a boundary.
+bytes deal the suffixes out in ranges.  A first pass keeps anchors whose gram occurs again; its
+splitters look at the gram's own bytes, so equal grams meet.  A second sorts what stands right and
+left of those by multikey quicksort.  Classes of equal neighbours in both orders tell for every start
+whether its string occurs elsewhere in the range, byte for byte.  Its splitters look at all that is
+sorted, so a range may end inside one gram, and a gram that a third of the documents hold is many
+ranges.  A match across a boundary shares its first bytes with the splitter there: starts that do are
+compared across ranges by a 128-bit hash of their string, counted by Spark.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +28,11 @@ from tidemart.llm.common import text_or_empty, written
 LENGTH = 200
 GRAM = 32
 LEAD = 16
-# Text per range of suffixes, and documents sampled for the splitters.
-RANGE_BYTES = 8_000_000
-SAMPLE_DOCS = 1000
+# Text per range of suffixes, and documents sampled for the splitters: at least so many, and so many a range.
+RANGE_BYTES = 4_000_000
+SAMPLE_DOCS, RANGE_DOCS = 1000, 4
+# Rows of a range whose strings are hashed at once.
+HASHED_ROWS = 4_000
 SEED = 1
 # Stands for a null doc_id.
 NO_ID = -(1 << 62)
@@ -98,9 +103,27 @@ def gathered(data: np.ndarray, place: np.ndarray, before: int, after: int) -> np
     return rows[place]
 
 
-def ranges(lead: np.ndarray, splitters: np.ndarray) -> np.ndarray:
-    keys = np.ascontiguousarray(lead).view(f"S{LEAD}").ravel()
-    return np.searchsorted(splitters, keys, "right").astype(np.int32)
+def ranges(keys: np.ndarray, splitters: np.ndarray) -> np.ndarray:
+    """The range of each row of bytes; splitters may be shorter than rows."""
+    width = splitters.dtype.itemsize
+    whole = np.ascontiguousarray(keys[:, :width]).view(f"S{width}").ravel()
+    return np.searchsorted(splitters, whole, "right").astype(np.int32)
+
+
+def sort_key(around: np.ndarray, left: int) -> np.ndarray:
+    """What a range of contexts is sorted by: the bytes from the anchor on, then those before it backwards."""
+    return np.concatenate([around[:, left:], around[:, :left][:, ::-1]], axis=1)
+
+
+def shared_with_splitters(right: np.ndarray, bucket: int, splitters: np.ndarray) -> np.ndarray:
+    """How many first bytes each row of a range has in common with a splitter at either end of it."""
+    n, width = right.shape
+    found = np.zeros(n, np.int64)
+    for at in (bucket - 1, bucket):
+        if 0 <= at < len(splitters):
+            differ = right != np.frombuffer(splitters[at].ljust(splitters.dtype.itemsize, b"\0"), np.uint8)[:width]
+            found = np.maximum(found, np.where(differ.any(axis=1), differ.argmax(axis=1), width))
+    return found
 
 
 def multikey_order(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,27 +204,34 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _sampled(length: int):
+    left = length - GRAM
+
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, ends in lots(batch, 0):
-                _, place, h, _, _ = anchors(data, ends, length)
-                place = place[(h & np.uint64(7)) == 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.tobytes() for r in gathered(data, place, 0, LEAD)], pa.binary())], ["lead"])
+                doc, place, _, _, _ = anchors(data, ends, length)
+                place = place[(np.arange(len(place)) + doc) % 8 == 0]
+                keys = sort_key(gathered(data, place, left, length), left)
+                yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in keys], pa.binary())], ["key"])
 
     return sampled
 
 
 def splitters(texts: DataFrame, length: int, wanted: int) -> np.ndarray:
-    """Leading bytes that cut the anchors into `wanted` ranges, from a bounded sample of documents."""
+    """Sort keys that cut the anchors into `wanted` ranges, from a sample of some documents a range.
+
+    Every eighth anchor of a sampled document counts, whatever its gram: a gram that many documents
+    hold is cut as often as its share of the anchors asks for.
+    """
+    width = 2 * length - GRAM
     if wanted < 2:
-        return np.zeros(0, f"S{LEAD}")
-    share = SAMPLE_DOCS / max(texts.count(), 1)
+        return np.zeros(0, f"S{width}")
+    share = max(SAMPLE_DOCS, RANGE_DOCS * wanted) / max(texts.count(), 1)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "text"), 11) / F.lit(float(1 << 53))
-    lead = sorted(bytes(r[0]) for r in texts.filter(draw < share).select("text")
-                  .mapInArrow(_sampled(length), "lead binary").collect())
-    cuts = [lead[len(lead) * i // wanted] for i in range(1, wanted)] if lead else []
-    return np.unique(np.array(cuts, f"S{LEAD}"))
+    keys = sorted(bytes(r[0]) for r in texts.filter(draw < share).select("text")
+                  .mapInArrow(_sampled(length), "key binary").collect())
+    cuts = [keys[len(keys) * i // wanted] for i in range(1, wanted)] if keys else []
+    return np.unique(np.array(cuts, f"S{width}"))
 
 
 def _asked(length: int, cut: np.ndarray):
@@ -270,7 +300,7 @@ def _contexts(length: int, cut: np.ndarray):
                     head = np.array([first.setdefault(r, i) for i, r in enumerate(rows.tolist())])
                     own = head == np.arange(len(head))
                     twice = np.bincount(head, minlength=len(head))[head] > 1
-                    bucket = ranges(around[:, left:left + LEAD], cut)
+                    bucket = ranges(sort_key(around, left), cut)
                     bucket[~own] = (prints[at + doc[s][~own]] % (len(cut) + 1)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(bucket, pa.int32()), pa.array(ids[at + doc[s]]), pa.array(prints[at + doc[s]]),
@@ -281,7 +311,13 @@ def _contexts(length: int, cut: np.ndarray):
     return contexts
 
 
-def _judged(length: int):
+def _judged(length: int, cut: np.ndarray):
+    """The repeated starts of a range, as spans; and with a key, the starts that a row of another range may share.
+
+    known: the start repeats here, and the row only says so to others; not every row of a string need.
+    """
+    left = length - GRAM
+
     def judged(table: pa.Table) -> pa.Table:
         reach = table.column("reach").to_numpy()
         least, most = (reach >> 8).astype(np.int64), (reach & 255).astype(np.int64)
@@ -290,28 +326,66 @@ def _judged(length: int):
         around = table.column("around").combine_chunks()
         with_text = np.flatnonzero(around.is_valid().to_numpy(zero_copy_only=False))
         rows, low, high = [np.flatnonzero(twice)], [place[twice] - most[twice]], [place[twice] - least[twice]]
-        if len(with_text) > 1:
+        asked: list[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
+        if len(with_text):
             data = np.frombuffer(b"".join(around.drop_null().to_pylist()), np.uint8).reshape(len(with_text), -1)
             row, d = repeated_starts(data, least[with_text], most[with_text], length)
+            told = row * 256 + d
             row = with_text[row]
             order = np.lexsort((d, row))
             row, d = row[order], d[order]
             row, d = row[~twice[row]], d[~twice[row]]
             if len(row):
-                cut = np.concatenate([[True], (row[1:] != row[:-1]) | (d[1:] != d[:-1] + 1)])
-                first = np.flatnonzero(cut)
+                new = np.concatenate([[True], (row[1:] != row[:-1]) | (d[1:] != d[:-1] + 1)])
+                first = np.flatnonzero(new)
                 last = np.concatenate([first[1:] - 1, [len(row) - 1]])
                 rows.append(row[first])
                 low.append(place[row[first]] - d[last])
                 high.append(place[row[first]] - d[first])
+            # A start at distance d shares its length - d bytes from the anchor on with a splitter, or no
+            # row of another range has them.
+            shared = shared_with_splitters(data[:, left:], table.column("bucket")[0].as_py(), cut)
+            lowest = np.maximum(least[with_text], length - shared)
+            flat, near = memoryview(data).cast("B"), np.flatnonzero(lowest <= most[with_text])
+            for part in range(0, len(near), HASHED_ROWS):
+                one = near[part:part + HASHED_ROWS]
+                size = most[with_text[one]] - lowest[one] + 1
+                at = np.repeat(one, size)
+                distance = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lowest[one], size)
+                known = twice[with_text[at]] | np.isin(at * 256 + distance, told)
+                begin = at * data.shape[1] + left - distance
+                keys = [xxhash.xxh3_128_digest(flat[b:b + length]) for b in begin.tolist()]
+                said: dict[bytes, int] = {}
+                keep = np.array([not k or said.setdefault(key, i) == i
+                                 for i, (key, k) in enumerate(zip(keys, known.tolist(), strict=True))], bool)
+                asked.append((with_text[at[keep]], distance[keep], known[keep],
+                              pa.array(keys, pa.binary()).filter(pa.array(keep))))
+        spans = sum(map(len, rows))
+        for row, d, _, _ in asked:
+            rows.append(row)
+            low.append(place[row] - d)
+            high.append(place[row] - d)
         own = np.concatenate(rows)
+        known = np.concatenate([np.ones(spans, bool), *[k for _, _, k, _ in asked]])
+        keys = pa.concat_arrays([pa.nulls(spans, pa.binary()), *[k for _, _, _, k in asked]])
         return pa.table({"id": table.column("id").take(pa.array(own)), "print": table.column("print").take(pa.array(own)),
                          "low": pa.array(np.concatenate(low).astype(np.int32)),
-                         "high": pa.array((np.concatenate(high) + length).astype(np.int32))})
+                         "high": pa.array((np.concatenate(high) + length).astype(np.int32)),
+                         "key": keys, "known": pa.array(known)})
 
     return judged
 
 
+def _across(judged: DataFrame) -> DataFrame:
+    """Of starts that another range may share, those that one does.
+
+    A string that is not known to repeat has one row a range; a known one may have some more.
+    """
+    asked = judged.filter("key IS NOT NULL")
+    again = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    return asked.filter("NOT known").join(again.hint("merge"), "key").select("id", "print", "low", "high")
+
+
 _RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string,"
            " spans array<struct<start: int, end: int>>, text binary")
 
@@ -358,16 +432,19 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
                          F.xxhash64("doc_id", "text").alias("print"), data.alias("text"))
     total = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     cut = splitters(source, length, math.ceil(total / RANGE_BYTES))
+    grams = np.unique(cut.astype(f"S{LEAD}"))
     long = F.octet_length("text") >= length
     found = (source.filter(long).mapInArrow(
-        _asked(length, cut), "bucket int, h long, id long, print long, place int, reach int, sure byte")
+        _asked(length, grams), "bucket int, h long, id long, print long, place int, reach int, sure byte")
         .groupBy("bucket").applyInArrow(_answered, "id long, print long, place int, reach int"))
     # A row's anchors differ; those of rows alike come once for each of them.
     asked = written(found.groupBy(*row).agg(F.collect_set(F.struct("place", "reach")).alias("asked"), F.count(F.lit(1)).alias("times"))
                     .withColumn("alike", F.col("times") > F.size("asked")).drop("times"), "anchors")
-    starts = (source.join(asked.drop("alike").hint("merge"), row).select(*row, "text", "asked").mapInArrow(
+    judged = written(source.join(asked.drop("alike").hint("merge"), row).select(*row, "text", "asked").mapInArrow(
         _contexts(length, cut), "bucket int, id long, print long, place int, reach int, twice boolean, around binary")
-        .groupBy("bucket").applyInArrow(_judged(length), "id long, print long, low int, high int"))
+        .groupBy("bucket").applyInArrow(
+            _judged(length, cut), "id long, print long, low int, high int, key binary, known boolean"), "starts")
+    starts = judged.filter("key IS NULL").select(*row, "low", "high").unionByName(_across(judged))
     whole = asked.filter("alike").select(*row, F.lit(0).alias("low"), F.lit((1 << 31) - 1).alias("high"))
     spans = starts.unionByName(whole).groupBy(*row).agg(F.collect_list(F.struct("low", "high")).alias("found"))
     return source.join(spans.hint("merge"), row, "left").select("id", "text", "found").mapInArrow(
