@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import text_or_empty, written
@@ -376,14 +376,15 @@ def _judged(length: int, cut: np.ndarray):
     return judged
 
 
-def _across(judged: DataFrame) -> DataFrame:
-    """Of starts that another range may share, those that one does.
+def _settled(judged: DataFrame) -> DataFrame:
+    """The spans, those found in one range and those that another range has too, in one pass.
 
     A string that is not known to repeat has one row a range; a known one may have some more.
     """
-    asked = judged.filter("key IS NOT NULL")
-    again = asked.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    return asked.filter("NOT known").join(again.hint("merge"), "key").select("id", "print", "low", "high")
+    spans = [F.when(F.col("key").isNull(), F.col(c)) for c in ("id", "print")]
+    rows = F.count(F.lit(1)).over(Window.partitionBy("key", *spans))
+    return (judged.withColumn("n", rows).filter("key IS NULL OR (NOT known AND n > 1)")
+            .select("id", "print", "low", "high"))
 
 
 _RESULT = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string,"
@@ -440,12 +441,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fal
     # A row's anchors differ; those of rows alike come once for each of them.
     asked = written(found.groupBy(*row).agg(F.collect_set(F.struct("place", "reach")).alias("asked"), F.count(F.lit(1)).alias("times"))
                     .withColumn("alike", F.col("times") > F.size("asked")).drop("times"), "anchors")
-    judged = written(source.join(asked.drop("alike").hint("merge"), row).select(*row, "text", "asked").mapInArrow(
+    judged = (source.join(asked.drop("alike").hint("merge"), row).select(*row, "text", "asked").mapInArrow(
         _contexts(length, cut), "bucket int, id long, print long, place int, reach int, twice boolean, around binary")
         .groupBy("bucket").applyInArrow(
-            _judged(length, cut), "id long, print long, low int, high int, key binary, known boolean"), "starts")
-    starts = judged.filter("key IS NULL").select(*row, "low", "high").unionByName(_across(judged))
+            _judged(length, cut), "id long, print long, low int, high int, key binary, known boolean"))
     whole = asked.filter("alike").select(*row, F.lit(0).alias("low"), F.lit((1 << 31) - 1).alias("high"))
-    spans = starts.unionByName(whole).groupBy(*row).agg(F.collect_list(F.struct("low", "high")).alias("found"))
+    spans = _settled(judged).unionByName(whole).groupBy(*row).agg(F.collect_list(F.struct("low", "high")).alias("found"))
     return source.join(spans.hint("merge"), row, "left").select("id", "text", "found").mapInArrow(
         _cut_out(with_text), _RESULT).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
