@@ -578,6 +578,18 @@ def statements() -> dict[str, str]:
         "rule_fanout": q("""
             SELECT "transactionId", "eventTime", "payeeId", "beneficiaryId", "paymentAmount", "paymentType", rule_id, key
             FROM fanned"""),
+        "rule_as_of": q("""
+            SELECT "transactionId", "payeeId" AS place, rule_id,
+                   CASE grouping_keys WHEN 'payeeId' THEN '{payeeId=' || "payeeId" || '}' WHEN '' THEN '{}'
+                        ELSE '{payeeId=' || "payeeId" || ';beneficiaryId=' || "beneficiaryId" || '}' END AS key,
+                   CAST("paymentAmount" AS DECIMAL(28,4)) AS amount, aggregator, limit_value
+            FROM txns JOIN (
+                SELECT *, coalesce(lead(seq) OVER (PARTITION BY rule_id ORDER BY seq), 9000000000000000000) AS next_line,
+                       coalesce((SELECT min(w.seq) FROM rules w WHERE w.control_type = 'DELETE_RULES_ALL'
+                                 AND w.seq > r.seq), 9000000000000000000) AS next_wipe
+                FROM rules r WHERE rule_state <> 'CONTROL') v
+            ON "payeeId" >= seq AND "payeeId" < least(next_line, next_wipe)
+            WHERE rule_state = 'ACTIVE' AND window_minutes >= 0 AND limit_operator IS NOT NULL"""),
         "rule_alerts": q(ALERTS),
     }
 

@@ -4,10 +4,12 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemart.operators import asof, changelog, routing
+from tidemart.operators import asof, changelog, routing, rules
 from tidemart.session import run_folder
 from tidemart.sinks import dimensions
+from tests.test_boundaries import feed, transactions
 from tests.test_plans import plan_of
 
 EVENTS = "id BIGINT, key STRING, other BIGINT, place BIGINT"
@@ -152,3 +154,26 @@ def test_a_lookup_opens_only_the_buckets_of_its_keys(spark):
     assert [tuple(r) for r in again.collect()] == [("7", "new")]
     with pytest.raises(Exception):
         dimensions.read_rows(spark, store).collect()
+
+
+def test_a_transaction_meets_the_rules_of_its_place(spark):
+    """At every place the rules in force are those that the feed up to there leaves."""
+    plain = "%d,(%s),(payeeId),(),(paymentAmount),(SUM),(>),(%d),(1)"
+    lines = [plain % (1, "active", 1), plain % (2, "active", 2), plain % (1, "active", 3), plain % (2, "pause", 4),
+             plain % (3, "active", 5), '{"ruleState":"CONTROL","controlType":"EXPORT_RULES_CURRENT"}',
+             '{"ruleState":"CONTROL","controlType":"DELETE_RULES_ALL"}', plain % (2, "active", 8), "odd",
+             plain % (2, "delete", 9), plain % (4, "active", 10), (plain % (4, "active", 11)).replace("(1)", "(-1)"),
+             '{"ruleState":"CONTROL","controlType":"DELETE_RULES_ALL"}', plain % (1, "active", 13)]
+    parsed = rules.valid_rules(rules.parse_rules(feed(spark, *lines)))
+    rows = transactions(spark, [(n, n, n % 3, 1, "5") for n in range(32)])
+    placed = rows.withColumn("place", F.expr("IF(transactionId = 31, NULL, transactionId div 2 - 1)"))
+    columns = ["transactionId", "rule_id", "key", "amount", "limit_value"]
+    expected = []
+    for place in range(-1, 15):
+        active = rules.active_rules(parsed.filter(F.col("seq") <= place))
+        expected += rules.fan_out(placed.filter(F.col("place") == place), active).select(columns).collect()
+    found = rules.fan_out_as_of(placed, parsed, "place").select(columns).collect()
+    assert len(found) > 15 and sorted(map(str, found)) == sorted(map(str, expected))
+    nothing = rules.fan_out_as_of(placed, parsed.limit(0), "place")
+    assert nothing.count() == 0 and nothing.columns == [*placed.columns, *rules.fan_out(rows, parsed).columns[len(rows.columns):]]
+    assert rules.fan_out_as_of(placed.limit(0), parsed, "place").count() == 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
+from tidemart.operators.asof import as_of_join
 from tidemart.functions.records import with_evaluated
 from tidemart.functions.times import parse_ms
 from tidemart.operators.keyed import first_per_key
@@ -201,27 +202,76 @@ def fan_out(transactions: DataFrame, rules: DataFrame, slots: int = 64,
     rules = usable_rules(rules)
     if metric is not None:
         rules = rules.observe(metric, F.count(F.lit(1)).alias("active_rules"))
-    rule = rules.select(
-        F.struct("rule_id", "grouping_keys", "aggregate_field", "aggregator", "limit_operator",
-                 "limit_value", "window_minutes").alias("rule"),
-        F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot"))
-    fields = F.create_map(*[x for name in transactions.columns
-                            for x in (F.lit(name), F.col(name).cast("string"))])
+    rule = rules.select(F.struct(*_RULE).alias("rule"), F.explode(_slots(slots)).alias("_slot"))
+    forked = transactions.withColumn("_slot", _slot(transactions.columns, slots)).join(rule, "_slot")
+    return _keyed(forked, transactions.columns)
+
+
+# What a rule brings to a transaction.
+_RULE = ("rule_id", "grouping_keys", "aggregate_field", "aggregator", "limit_operator", "limit_value", "window_minutes")
+
+
+def _slots(slots: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(slots - 1))
+
+
+def _slot(columns, slots: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(slots)).cast("int")
+
+
+def _keyed(forked: DataFrame, columns) -> DataFrame:
+    """Transactions with a struct ``rule``: the rule's key, amount and fields."""
+    fields = F.create_map(*[x for name in columns for x in (F.lit(name), F.col(name).cast("string"))])
     key = F.concat(F.lit("{"), F.array_join(F.transform(
         "rule.grouping_keys",
         lambda name: F.concat(name, F.lit("="),
                               F.coalesce(F.try_element_at("_fields", name), F.lit("null")))),
         ";"), F.lit("}"))
-    slot = F.pmod(F.xxhash64(*transactions.columns), F.lit(slots)).cast("int")
-    forked = transactions.withColumns({"_fields": fields, "_slot": slot}).join(rule, "_slot")
-    return forked.withColumns({
+    return forked.withColumn("_fields", fields).withColumns({
         "key": key,
         "amount": F.try_element_at("_fields", F.col("rule.aggregate_field")).try_cast(LIMIT_TYPE),
     }).select(
-        *transactions.columns, "rule.rule_id", "key", "amount", "rule.aggregator",
+        *columns, "rule.rule_id", "key", "amount", "rule.aggregator",
         "rule.limit_operator", "rule.limit_value", "rule.window_minutes")
 
 
+def rules_as_of(events: DataFrame, rules: DataFrame, place: str, seq: str = "seq", slots: int = 64) -> DataFrame:
+    """``place`` and a struct ``rule``: the usable rules in force at every distinct place of ``events``.
+
+    ``rules`` are all valid ones, with their places in the feed; ``place`` is on the same scale.  In
+    force is a rule whose last line up to there is active and came after the last delete-all up to there.
+
+    Two as-of joins over places: the last delete-all, and the last line of each rule id.  Places
+    are dealt over ``slots`` and every slot has all rule ids, so nothing depends on how often a rule
+    changes, and no transaction is carried along.
+    """
+    is_control = F.coalesce(F.col("rule_state") == "CONTROL", F.lit(False))
+    wipes = rules.filter(is_control & (F.col("control_type") == "DELETE_RULES_ALL")).select(
+        F.lit(0).alias("_all"), seq)
+    lines = rules.filter(~is_control).select(*_RULE, "rule_state", seq)
+    places = events.select(F.col(place).cast("bigint").alias(place)).dropna().distinct().withColumn("_all", F.lit(0))
+    wiped = as_of_join(places, wipes, ["_all"], place, seq, into="_wipe").select(
+        place, F.col("_wipe")[seq].alias("_wiped"), _slot([place], slots).alias("_slot"))
+    ids = lines.select("rule_id").dropna().distinct().withColumn("_slot", F.explode(_slots(slots)))
+    found = as_of_join(wiped.join(ids, "_slot").drop("_slot"), lines, ["rule_id"], place, seq, into="_line")
+    told = found.filter(F.coalesce(F.col("_line")[seq] > F.col("_wiped"), F.col("_wiped").isNull())).select(
+        place, "rule_id", "_line.*")
+    told = told.filter(F.col("rule_state") == "ACTIVE").filter(_unusable().isNull())
+    return told.select(place, F.struct(*_RULE).alias("rule"))
+
+
+def fan_out_as_of(transactions: DataFrame, rules: DataFrame, place: str, seq: str = "seq",
+                  slots: int = 64) -> DataFrame:
+    """Every transaction once per usable rule in force at its ``place``, as `fan_out` gives it.
+
+    A transaction keeps the rules it met: what is added, changed, paused or deleted later
+    counts for later ones only.  Transactions without place meet no rule.
+    """
+    told = rules_as_of(transactions, rules, place, seq, slots).withColumnRenamed(place, "_place")
+    forked = transactions.join(told, F.col(place) == F.col("_place")).drop("_place")
+    return _keyed(forked, transactions.columns)
+
+
 # ---- thresholds -----------------------------------------------------------------------
 
 def exceeds(value: Column) -> Column:

@@ -474,6 +474,14 @@ def rule_fanout(w: Warehouse) -> DataFrame:
     return w.fanned().select(*w.inputs.transactions().columns, "rule_id", "key")
 
 
+@query
+def rule_as_of(w: Warehouse) -> DataFrame:
+    """Transactions fanned out by the rules in force at their place in the feed, not by those at its end."""
+    placed, lines = w.inputs.placed_transactions(), rules.valid_rules(w.rule_lines)
+    return rules.fan_out_as_of(placed, lines, "place").select(
+        "transactionId", "place", "rule_id", "key", "amount", "aggregator", "limit_value")
+
+
 @query
 def rule_alerts(w: Warehouse) -> DataFrame:
     return rules.rule_alerts(w.fanned()).select(

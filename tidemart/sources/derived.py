@@ -399,6 +399,10 @@ class Inputs:
             money("o_totalprice").alias("paymentAmount"),
             F.when(F.col("o_orderkey") % 2 == 0, "CSH").otherwise("CRD").alias("paymentType"))
 
+    def placed_transactions(self) -> DataFrame:
+        """Transactions with their places in the feed of rules."""
+        return self.transactions().withColumn("place", F.col("payeeId"))
+
     def transaction_feed(self) -> DataFrame:
         """Transactions as text: JSON, for low priority token lines.  Lines of unspecified
         priority are cut off, odd ones of medium priority name an unknown payment type."""
