@@ -3,6 +3,7 @@
 import os
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.rows import LOG_WITH_SEQ, page, pages, seqs
@@ -287,3 +288,26 @@ def test_topics_and_olap_sink(spark):
     olap_sink(rows, ["ts"], sink + "-checkpoint", folder=sink, stats_ms=7, once=True).start().awaitTermination()
     stored = spark.read.parquet(sink)
     assert stored.columns == ["ts", "batch"] and [r.ts for r in stored.collect()] == [7]
+
+
+def test_unique_visits_pick_the_first_of_a_micro_batch_without_python_state(spark):
+    """Several pages of a device and day in one micro-batch, out of order; a page late by less than its day."""
+    hour, day = 3_600_000, 86_400_000
+    parts = [[page("a", 5 * hour, 3), page("a", 2 * hour, 2), page("a", 2 * hour, 1), page("b", 23 * hour, 4)],
+             [page("b", 22 * hour, 5), page("a", day + 9 * hour, 6), page("c", 3 * hour, 7), page("c", 20 * hour, 8)],
+             [page("c", 4 * hour, 9), page("a", day + 8 * hour, 10)]]
+    _, stream = in_files(spark, parts, LOG_WITH_SEQ, "visits-disorder")
+    uniques = state.daily_unique_visits(stream)
+    assert "WithState" not in uniques._jdf.queryExecution().logical().toString()
+    assert seqs(drained(spark, uniques, "t")) == [1, 4, 6, 7]
+
+
+def test_first_rows_at_hand_are_cut_again_as_they_grow(monkeypatch):
+    rng = random.Random(3)
+    rows = [{"k": rng.randrange(50), "t": rng.randrange(1_000), "s": n, "m": rng.randrange(9)} for n in range(2_000)]
+    monkeypatch.setattr(state, "_AT_ONCE", 64)
+    batches = [pa.RecordBatch.from_pylist(rows[n:n + 30]) for n in range(0, len(rows), 30)]
+    found = pa.Table.from_batches(state._first_at_hand(["k"], ["t", "s"], "m")(batches)).to_pylist()
+    of = lambda k: [r for r in rows if r["k"] == k]
+    assert sorted(found, key=lambda r: r["k"]) == [
+        min(of(k), key=lambda r: (r["t"], r["s"])) | {"m": max(r["m"] for r in of(k))} for k in range(50)]

@@ -1,9 +1,9 @@
 """Operators that need per-key state on a stream.
 
 Batch forms use windows and aggregates (``tidemart.operators``).  On a stream the same
-results need memory between micro-batches.  Only keys, times and a text payload pass
-through Python, in Arrow batches; state holds a flag or the few records still undecided.
-A group is one key's records of one micro-batch, so the source's rate limit bounds it.
+results need memory between micro-batches.  State holds a flag or the few records still
+undecided.  Only the new-user repair keeps its flag in Python, with a text payload beside it.
+There a group is one key's records of one micro-batch, so the source's rate limit bounds it.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -64,33 +65,56 @@ def repair_new_users(logs: DataFrame) -> DataFrame:
 
 # ---- unique visits --------------------------------------------------------------------
 
-def _first_of_day(key, frames, state: GroupState):
-    if state.hasTimedOut:
-        state.remove()
-        return
-    rows = _gathered(frames, ["ts", "seq"])
-    if state.exists:
-        return
-    state.update((True,))
-    state.setTimeoutTimestamp(int(rows["day_end"].iloc[0]))
-    yield pd.DataFrame({"payload": [rows["payload"].iloc[0]]})
+# Rows gathered before they are cut to the first of every key again.
+_AT_ONCE = 100_000
+
+
+def _firsts(rows: pa.Table, keys: list[str], order: list[str], latest: str) -> pa.Table:
+    narrow = rows.select([*keys, *order, latest]).append_column("_row", pa.array(range(rows.num_rows), pa.int64()))
+    ranked = narrow.sort_by([(name, "ascending") for name in [*order, "_row"]])
+    found = ranked.group_by(keys, use_threads=False).aggregate([("_row", "first"), (latest, "max")])
+    firsts = rows.take(found["_row_first"])
+    return firsts.set_column(firsts.schema.get_field_index(latest), firsts.schema.field(latest), found[latest + "_max"])
+
+
+def _first_at_hand(keys: list[str], order: list[str], latest: str):
+    """Of the rows of a task the first of every key, with the greatest ``latest`` of the key.
+
+    What is held is cut again each time it has doubled.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, fresh, limit = [], 0, _AT_ONCE
+        for batch in batches:
+            held.append(batch)
+            fresh += batch.num_rows
+            if fresh >= limit:
+                firsts = _firsts(pa.Table.from_batches(held), keys, order, latest)
+                held, fresh, limit = firsts.to_batches(), 0, max(_AT_ONCE, firsts.num_rows)
+        if held:
+            yield from _firsts(pa.Table.from_batches(held), keys, order, latest).to_batches(max_chunksize=10_000)
+    return run
 
 
 def daily_unique_visits(pages: DataFrame, ttl: str = "1 day") -> DataFrame:
     """The first entry page of a device and day, emitted at once.
 
-    State is one flag per device and day.  It falls away when the watermark, ``ttl`` behind
-    the newest record, has left the day.
+    Of a micro-batch the first entry page per device and day is picked; native deduplication
+    then lets it pass if the day is new to the device.  State is one flag per device and day,
+    held until the watermark, ``ttl`` behind the newest entry page, is ``ttl`` past the visit:
+    with a day at least, the day is over by then.
     """
-    timed = pages.withColumn("event_time", event_time("ts")).withWatermark("event_time", ttl)
+    if pd.Timedelta(ttl) < pd.Timedelta(days=1):
+        raise ValueError("a flag must outlive its day: ttl is a day at least")
     day = F.expr(f"(ts - pmod(ts, {DAY_MS})) div {DAY_MS}")
-    entries = timed.filter(is_entry_page()).select(
-        F.col("common.mid").alias("mid"), day.alias("day"), ((day + 1) * DAY_MS).alias("day_end"),
-        "ts", "seq", F.to_json(F.struct(*pages.columns)).alias("payload"), "event_time")
-    firsts = entries.groupBy("mid", "day").applyInPandasWithState(
-        _first_of_day, "payload STRING", "visited BOOLEAN", "append",
-        GroupStateTimeout.EventTimeTimeout)
-    return _unpacked(firsts, pages)
+    entries = pages.filter(is_entry_page()).select(
+        F.col("common.mid").alias("mid"), day.alias("day"), F.col("ts").alias("latest"),
+        *[F.col(name).alias("_" + name) for name in pages.columns])
+    firsts = entries.repartition("mid", "day").mapInArrow(
+        _first_at_hand(["mid", "day"], ["_ts", "_seq"], "latest"), entries.schema)
+    # A device's day is late only if all its pages at hand are.
+    timed = firsts.withColumn("event_time", event_time("latest")).withWatermark("event_time", ttl)
+    return timed.dropDuplicatesWithinWatermark(["mid", "day"]).select(
+        *[F.col("_" + name).alias(name) for name in pages.columns])
 
 
 # ---- bounces --------------------------------------------------------------------------
