@@ -311,3 +311,32 @@ def test_first_rows_at_hand_are_cut_again_as_they_grow(monkeypatch):
     of = lambda k: [r for r in rows if r["k"] == k]
     assert sorted(found, key=lambda r: r["k"]) == [
         min(of(k), key=lambda r: (r["t"], r["s"])) | {"m": max(r["m"] for r in of(k))} for k in range(50)]
+
+
+def test_repair_within_a_micro_batch_without_python_state(spark, monkeypatch):
+    """Claims out of order in a micro-batch; a device that claimed before; one that only ever claims an old user."""
+    parts = [[page("a", 30, 3, is_new="1"), page("a", 10, 2, is_new="1"), page("a", 10, 1, is_new="1"), page("b", 5, 4)],
+             [page("a", 40, 5, is_new="1"), page("a", 50, 6, is_new="1"), page("b", 50, 8, is_new="1"), page("b", 45, 7, is_new="1")],
+             [page("b", 1, 9, is_new="1"), page("c", 60, 10, is_new="1"), page("c", 61, 11)]]
+    _, stream = in_files(spark, parts, LOG_WITH_SEQ, "repair-disorder")
+    repaired = state.repair_new_users(stream)
+    assert "WithState" not in repaired._jdf.queryExecution().logical().toString()
+    found = drained(spark, repaired, "t").collect()
+    assert sorted(r.seq for r in found) == list(range(1, 12))
+    assert sorted(r.seq for r in found if r.common.is_new == "1") == [1, 7, 10]
+    assert all(r.common.vc == "v1" and r.page.page_id == "home" for r in found)
+
+
+def test_claims_pass_while_others_are_held(monkeypatch):
+    rng = random.Random(5)
+    rows = [{"mid": f"m{rng.randrange(40)}", "mark": False, "ts": rng.randrange(500), "seq": n} for n in range(1_500)]
+    marks = [{"mid": f"m{n}", "mark": True, "ts": None, "seq": None} for n in range(0, 40, 2)]
+    mixed = rows + marks
+    rng.shuffle(mixed)
+    monkeypatch.setattr(state, "_AT_ONCE", 50)
+    schema = pa.schema([("mid", pa.string()), ("mark", pa.bool_()), ("ts", pa.int64()), ("seq", pa.int64())])
+    batches = [pa.RecordBatch.from_pylist(mixed[n:n + 20], schema) for n in range(0, len(mixed), 20)]
+    found = pa.Table.from_batches(state._flagged(iter(batches))).to_pylist()
+    wanted = {min((r["ts"], r["seq"]) for r in rows if r["mid"] == m["mid"])[1] for m in marks}
+    assert sorted(r["seq"] for r in found) == list(range(1_500))
+    assert {r["seq"] for r in found if r["is_new"] == "1"} == wanted

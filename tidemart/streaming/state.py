@@ -1,9 +1,9 @@
 """Operators that need per-key state on a stream.
 
 Batch forms use windows and aggregates (``tidemart.operators``).  On a stream the same
-results need memory between micro-batches.  State holds a flag or the few records still
-undecided.  Only the new-user repair keeps its flag in Python, with a text payload beside it.
-There a group is one key's records of one micro-batch, so the source's rate limit bounds it.
+results need memory between micro-batches, which Spark's own deduplication and joins keep:
+a flag, or the few records still undecided.  What has to be picked among the records of one
+micro-batch is picked in Arrow, per task and not per key.
 """
 
 from __future__ import annotations
@@ -12,58 +12,17 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.functions.records import is_entry_page, with_evaluated
+from tidemart.functions.records import is_entry_page
 from tidemart.functions.times import event_time
 from tidemart.operators.wide import IN_ORDER
 
 DAY_MS = 86_400_000
 
 
-def _gathered(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    parts = list(frames)
-    rows = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-    return rows.sort_values(order, kind="stable")
-
-
-def _packed(df: DataFrame, *columns) -> DataFrame:
-    return df.select(*columns, F.to_json(F.struct(*df.columns)).alias("payload"))
-
-
-def _unpacked(df: DataFrame, like: DataFrame, *keep: str) -> DataFrame:
-    record = with_evaluated(df, "_record", F.from_json("payload", like.schema))
-    return record.select("_record.*", *keep)
-
-
-# ---- new users ------------------------------------------------------------------------
-
-def _first_claim(key, frames, state: GroupState):
-    rows = _gathered(frames, ["ts", "seq"])
-    flags = ["0"] * len(rows)
-    if not state.exists:
-        flags[0] = "1"
-        state.update((True,))
-    yield pd.DataFrame({"is_new": flags, "payload": rows["payload"].to_list()})
-
-
-def repair_new_users(logs: DataFrame) -> DataFrame:
-    """Only the first record of a device that claims a new user keeps the claim, for ever.
-
-    Records that claim an old user take no part and are not shuffled.
-    """
-    claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
-    fresh = _packed(logs.filter(claims), F.col("common.mid").alias("mid"), "ts", "seq")
-    flagged = fresh.groupBy("mid").applyInPandasWithState(
-        _first_claim, "is_new STRING, payload STRING", "claimed BOOLEAN", "append",
-        GroupStateTimeout.NoTimeout)
-    repaired = _unpacked(flagged, logs, "is_new").withColumn(
-        "common", F.col("common").withField("is_new", F.col("is_new")))
-    return repaired.select(*logs.columns).unionByName(logs.filter(~claims))
-
-
-# ---- unique visits --------------------------------------------------------------------
+# ---- first rows of a micro-batch ------------------------------------------------------
 
 # Rows gathered before they are cut to the first of every key again.
 _AT_ONCE = 100_000
@@ -95,6 +54,68 @@ def _first_at_hand(keys: list[str], order: list[str], latest: str):
     return run
 
 
+# ---- new users ------------------------------------------------------------------------
+
+def _told_apart(rows: pa.Table) -> tuple[pa.Table, pa.Table, pa.Table]:
+    """The marks, the first claim of every device, and the other claims."""
+    marks, claims = rows.filter(rows["mark"]), rows.filter(pc.invert(rows["mark"]))
+    if not claims.num_rows:
+        return marks, claims, claims
+    narrow = claims.select(["mid", "ts", "seq"]).append_column("_row", pa.array(range(claims.num_rows), pa.int64()))
+    ranked = narrow.sort_by([(name, "ascending") for name in ("ts", "seq", "_row")])
+    places = ranked.group_by(["mid"], use_threads=False).aggregate([("_row", "first")])["_row_first"]
+    first = pc.is_in(narrow["_row"], value_set=places.combine_chunks())
+    return marks, claims.filter(first), claims.filter(pc.invert(first))
+
+
+def _flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Claims with their flags: of a device's claims at hand the first keeps its claim if there is a mark.
+
+    Held are the marks and one claim per device; a claim that another comes before passes at once.
+    """
+    def out(claims: pa.Table, flags: pa.ChunkedArray | pa.Array) -> Iterator[pa.RecordBatch]:
+        flagged = claims.drop_columns(["mid", "mark"]).append_column("is_new", flags)
+        return iter(flagged.to_batches(max_chunksize=10_000))
+
+    def olds(claims: pa.Table) -> pa.Array:
+        return pa.array(["0"] * claims.num_rows, pa.string())
+
+    held, fresh, limit = [], 0, _AT_ONCE
+    for batch in batches:
+        held.append(batch)
+        fresh += batch.num_rows
+        if fresh >= limit:
+            marks, firsts, others = _told_apart(pa.Table.from_batches(held))
+            yield from out(others, olds(others))
+            held = [*marks.to_batches(), *firsts.to_batches()]
+            fresh, limit = 0, max(_AT_ONCE, marks.num_rows + firsts.num_rows)
+    if held:
+        marks, firsts, others = _told_apart(pa.Table.from_batches(held))
+        yield from out(others, olds(others))
+        new = pc.is_in(firsts["mid"], value_set=marks["mid"].combine_chunks())
+        yield from out(firsts, pc.if_else(new, "1", "0"))
+
+
+def repair_new_users(logs: DataFrame) -> DataFrame:
+    """Only the first record of a device that claims a new user keeps the claim, for ever.
+
+    Native deduplication holds the devices that have claimed: of a micro-batch the first claim
+    per device gets through, if none did before, as a mark for the record it came from.  Records
+    that claim an old user take no part and are not shuffled.
+    """
+    claims = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    fresh = logs.filter(claims).select(F.col("common.mid").alias("mid"), F.lit(False).alias("mark"), *logs.columns)
+    places = logs.filter(claims).select(F.col("common.mid").alias("mid"), "ts", "seq", F.col("ts").alias("latest"))
+    firsts = places.repartition("mid").mapInArrow(_first_at_hand(["mid"], ["ts", "seq"], "latest"), places.schema)
+    marks = firsts.dropDuplicates(["mid"]).select("mid", F.lit(True).alias("mark"))
+    marked = fresh.unionByName(marks, allowMissingColumns=True).repartition("mid")
+    flagged = marked.mapInArrow(_flagged, T.StructType([*logs.schema.fields, T.StructField("is_new", T.StringType())]))
+    repaired = flagged.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
+    return repaired.select(*logs.columns).unionByName(logs.filter(~claims))
+
+
+# ---- unique visits --------------------------------------------------------------------
+
 def daily_unique_visits(pages: DataFrame, ttl: str = "1 day") -> DataFrame:
     """The first entry page of a device and day, emitted at once.
 
