@@ -15,7 +15,8 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemart.operators import changelog, dims, routing
+from tidemart.functions.times import parse_ms
+from tidemart.operators import changelog, dims, routing, wide
 from tidemart.operators.keyed import first_per_key
 from tidemart.plans.catalog import PAGE_COLUMNS, SETTINGS, json_data, warehouse
 from tidemart.plans.warehouse import Warehouse
@@ -27,6 +28,7 @@ from tidemart.sources.tables import read_topic, table_source
 from tidemart.sources.topics import PublishedInputs, add_to_topic, cuts, in_turn, publish, subscribe
 from tidemart.streaming.jobs import (ORDER_DIMENSIONS, Streams, drained, fan_out_changing, look_up_changing,
                                      route_changes, state_width, taken_up)
+from tidemart.streaming.intervals import join_changing
 from tidemart.streaming.thresholds import alert_changing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +40,8 @@ STATE_WIDTH = 8
 
 # A last record far ahead lets every window and undecided record before it end.
 FLUSH, FLUSH_MS, FLUSH_TIME = "flush", 4_102_444_800_000, "2100-01-01 00:00:00"
-# How far a layer of the order chain may lag behind its topics: the reach of the join that makes it.
-LAG = "10 seconds"
+# Bounds of the order chain's joins, and how far one of its layers may lag behind its topics.
+SLACK_MS, REACH_MS, LAG_MS, IN_ORDER_MS = 5_000, 900_000, 10_000, 1
 FLUSH_LINE = (f'{{"common":{{"mid":"{FLUSH}","vc":"{FLUSH}","is_new":"0"}},"page":{{"page_id":"search","item":"{FLUSH}",'
               f'"item_type":"keyword"}},"displays":[],"ts":{FLUSH_MS}}}')
 
@@ -101,14 +103,13 @@ class OrderChain:
     """The order layers as streams write them: order rows, wide rows, payment rows.
 
     Orders, details and payments arrive in parts, cut at the same times.  After each part every
-    job takes up what is new and stops; for the next it starts again from its checkpoint.  No
-    layer comes from a batch job.
+    job takes up what is new and stops; for the next it starts again from its checkpoint.  The two
+    joins hold rows in tables (``streaming/intervals.py``).  No layer comes from a batch job.
     """
 
     def __init__(self, bench: Bench):
         self.bench, self.spark = bench, bench.spark
         self.folder = run_folder(self.spark, bench.name + "-chain")
-        self.store = bench.dimension_store()
         i, moment = bench.batch.inputs, F.unix_timestamp("create_time")
         topics = {"orders": i.orders(), "details": i.details(), "payments": i.payments()}
         at = cuts(topics["orders"], moment)
@@ -125,8 +126,19 @@ class OrderChain:
         return subscribe(self.spark, os.path.join(self.folder, name), self.schemas[name])
 
     def layer(self, name: str) -> DataFrame:
-        """A written layer as a stream."""
-        return subscribe(self.spark, os.path.join(self.folder, name, "table"), self.schemas[name])
+        """A written layer as a stream, whichever micro-batch made its rows."""
+        return subscribe(self.spark, os.path.join(self.folder, name, "batches", "batch=*"), self.schemas[name])
+
+    @cached_property
+    def store(self) -> str:
+        return self.bench.dimension_store()
+
+    def _joined(self, name: str, left: DataFrame, right: DataFrame, pairs: Callable[[DataFrame, DataFrame], DataFrame],
+                earliest_ms: int, latest_ms: int, delay_ms: int) -> None:
+        folder = os.path.join(self.folder, name)
+        self.schemas[name] = pairs(*[self.spark.createDataFrame([], side.schema) for side in (left, right)]).schema
+        join_changing(left, right, pairs, parse_ms("create_time"), earliest_ms, latest_ms, folder,
+                      os.path.join(folder, "checkpoint"), delay_ms, once=True).start().awaitTermination()
 
     def _looked_up(self, rows: DataFrame) -> None:
         folder = os.path.join(self.folder, "order_wide")
@@ -134,36 +146,28 @@ class OrderChain:
                          os.path.join(folder, "checkpoint"), once=True).start().awaitTermination()
 
     def run(self, *, wide_rows: bool = False, payments: bool = False,
-            last: Callable[[], DataFrame] | None = None) -> str:
+            last: Callable[[], DataFrame] | None = None) -> str | None:
         """Take up all parts; the folder of the table that ``last`` makes of the layers, which runs
         after each part too."""
-        tables, made = self.bench.batch.inputs.tables, {"order_rows": None}
+        table = None
         for turn in range(len(self.parts["orders"])):
             for name, parts in self.parts.items():
                 add_to_topic(parts[turn], os.path.join(self.folder, name))
-            jobs = Streams(PublishedInputs(tables, {name: self._topic(name) for name in self.parts}), SETTINGS)
-            rows = jobs.order_rows()
-            self.schemas["order_rows"] = rows.schema
-            made["order_rows"] = taken_up(self.spark, rows, os.path.join(self.folder, "order_rows"), STATE_WIDTH)
+            self._joined("order_rows", self._topic("orders"), self._topic("details"),
+                         lambda orders, details: wide.order_wide(wide.join_order_details(orders, details)),
+                         -SLACK_MS, SLACK_MS, IN_ORDER_MS)
             above = "order_rows"
             if wide_rows:
                 with state_width(self.spark, STATE_WIDTH):
                     self._looked_up(self.layer("order_rows"))
-                # Each micro-batch's folder is read as one more file of the layer.
-                self.schemas["order_wide"], above = rows.schema, "order_wide"
+                self.schemas["order_wide"], above = self.schemas["order_rows"], "order_wide"
             if payments:
-                paid = jobs.payment_rows(self.wide() if wide_rows else self.layer(above), LAG)
-                self.schemas["payment_rows"] = paid.schema
-                made["payment_rows"] = taken_up(
-                    self.spark, paid, os.path.join(self.folder, "payment_rows"), STATE_WIDTH)
+                self._joined("payment_rows", self._topic("payments"), self.layer(above),
+                             lambda paid, rows: wide.payment_wide(wide.join_payments(paid, rows)),
+                             -REACH_MS, 0, LAG_MS)
             if last is not None:
-                made["last"] = taken_up(self.spark, last(), os.path.join(self.folder, "last"), STATE_WIDTH)
-        return made.get("last") or made.get("payment_rows") or made["order_rows"]
-
-    def wide(self) -> DataFrame:
-        """The wide rows as a stream, whichever micro-batch made them."""
-        return subscribe(self.spark, os.path.join(self.folder, "order_wide", "batches", "batch=*"),
-                         self.schemas["order_wide"])
+                table = taken_up(self.spark, last(), os.path.join(self.folder, "last"), STATE_WIDTH)
+        return table
 
     def result(self, stream_of: Callable[[], DataFrame] | None = None, **layers: bool) -> DataFrame:
         made = {}
@@ -172,8 +176,11 @@ class OrderChain:
             made["schema"] = (stream := stream_of()).schema
             return stream
         table = self.run(last=last if stream_of else None, **layers)
-        schema = made.get("schema") or self.schemas["payment_rows" if layers.get("payments") else "order_rows"]
-        return self.spark.read.schema(schema).parquet(table)
+        if stream_of:
+            return self.spark.read.schema(made["schema"]).parquet(table)
+        name = "payment_rows" if layers.get("payments") else "order_rows"
+        found = self.spark.read.schema(self.schemas[name]).parquet(os.path.join(self.folder, name, "batches"))
+        return found.select(*self.schemas[name].names).filter("order_id >= 0")
 
 
 class Bench:
@@ -420,8 +427,7 @@ def stream_cdc_fact_payload(b: Bench) -> DataFrame:
 
 @stream
 def stream_order_detail_interval_join(b: Bench) -> DataFrame:
-    rows = b.drained(b.streams("orders", "details").order_rows())
-    return rows.select("order_id", "detail_id", "sku_id", "split_total_amount", "create_time")
+    return b.orders.result().select("order_id", "detail_id", "sku_id", "split_total_amount", "create_time")
 
 
 @stream
@@ -447,7 +453,7 @@ def stream_order_wide(b: Bench) -> DataFrame:
 @stream
 def stream_province_stats(b: Bench) -> DataFrame:
     jobs, chain = b.streams(), b.orders
-    return chain.result(lambda: jobs.province_stats(chain.wide()), wide_rows=True)
+    return chain.result(lambda: jobs.province_stats(chain.layer("order_wide")), wide_rows=True)
 
 
 def product_stats_table(b: Bench) -> DataFrame:
