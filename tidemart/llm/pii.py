@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,7 +84,10 @@ def secrets(text: str, found: dict[str, list[tuple[int, int]]]) -> list[tuple[in
 
 
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
-    """Spans (code points, end exclusive) of the four kinds; matches that fail a test are dropped."""
+    """Spans (code points, end exclusive) of the four kinds; matches that fail a test are dropped.
+
+    Secrets have an entry only in a text that holds some; asked for in another, there are none.
+    """
     def kept(pattern: re.Pattern, good) -> list[tuple[int, int]]:
         return [m.span() for m in pattern.finditer(text) if good(m[0])]
 
@@ -92,13 +95,14 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
         digits = found.translate(_NO_DIGIT)
         return 13 <= len(digits) <= 19 and luhn(digits)
 
-    found = {
+    found = defaultdict(list, {
         "email": emails(text),
         "ip": kept(_IP, lambda found: all(len(p) < 4 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in found.split(".")))),
         "card": kept(_CARD, card),
         "phone": kept(_PHONE, lambda found: 9 <= len(found.translate(_NO_DIGIT)) <= 15),
-    }
-    found["secret"] = secrets(text, found)
+    })
+    if own := secrets(text, found):
+        found["secret"] = own
     return found
 
 
