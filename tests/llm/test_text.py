@@ -5,10 +5,12 @@ import math
 import random
 import re
 import string
+import tracemalloc
 import zlib
 from collections import Counter
 
 import corpus_pipeline
+import pyarrow as pa
 from tests.llm.cases import FOLDER, awkward, clashing, docs, words
 from tidemart.llm import language, likelihood, pii, queries
 
@@ -199,6 +201,22 @@ def test_likelihoods_of_awkward_rows(spark):
     assert likelihood.likelihoods(docs(spark, [])).count() == 0
 
 
+def test_a_chunk_makes_no_object_of_each_word():
+    texts = [" ".join(f"w{i}x{j}" for j in range(2000)) for i in range(200)]
+    chunk = pa.table({"chunk": pa.array([0] * 200), "doc_id": pa.array(range(200)), "held_out": pa.array([False] * 200),
+                      "text": pa.array([t.encode() for t in texts], pa.binary())})
+    lattice = likelihood.Lattice.build([bytes([i]) for i in range(256)], {}, 1)
+    tracemalloc.start()
+    asked = likelihood._asked(chunk)
+    answers = asked.append_column("c", pa.array([1] * len(asked))).append_column("lp", pa.array([-1.0] * len(asked)))
+    scored = likelihood._score(lattice, 400_000, 400_000, 200)(chunk, answers)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(asked) == 400_000 and scored.column("n_known").to_pylist() == [2001] * 200
+    # The texts are 3.8 MB; as Python's bytes in a table by word the words alone take over 60 MB.
+    assert most < 45_000_000, most
+
+
 def test_likelihood_query_against_plain_counts(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     check_base(rows, queries.op7_lm_scoring(spark, FOLDER).collect())

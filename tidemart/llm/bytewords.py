@@ -119,7 +119,12 @@ def counted(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     """The ranges of `data` as strings."""
+    return ranges(data, start, end, pa.string())
+
+
+def ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: pa.DataType | None = None) -> pa.Array:
+    """The ranges of `data` as bytes, or as another `kind` of like layout."""
     sizes = end - start
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     taken = data[np.repeat(start - offsets[:-1], sizes) + np.arange(offsets[-1])]
-    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(taken))
+    return pa.Array.from_buffers(kind or pa.binary(), len(sizes), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(taken)])

@@ -12,30 +12,47 @@ of bounded size, each chunk asks for its distinct words once, and the answers co
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm.bytewords import byte_set, lots, ranges, words_of
 from tidemart.llm.common import text_or_empty, written
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
 # Text of a chunk, on average; a single longer document is a chunk's own.
 CHUNK_BYTES = 12_000_000
-# Distinct words that a task counts before it hands them on.
-_FLUSH = 200_000
+# Words that a task looks at together.
+_FLUSH = 1_000_000
 _LOT = 50_000
+_BLANK = byte_set((9, 13), (32, 32))
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Runs of all but ASCII white space, ASCII letters lower-cased."""
-    return text.lower().split()
+def token_arrays(texts: Iterable[pa.Array], most: int = _FLUSH) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The tokens of the texts as one array, and how many each text has; some `most` tokens at a time.
+
+    Tokens are runs of all but ASCII white space, ASCII letters lower-cased.  They stay ranges of bytes:
+    as objects of Python they would take ten times the text.
+    """
+    parts, sizes, held = [], [], 0
+    for column in texts:
+        for lot in lots(column.cast(pa.binary())):
+            words = words_of(lot, _BLANK)
+            parts.append(ranges(lot.data, words.start, words.end))
+            sizes.append(np.bincount(words.text, minlength=lot.last - lot.first))
+            held += len(words.start)
+            if held >= most:
+                yield pa.concat_arrays(parts), np.concatenate(sizes)
+                parts, sizes, held = [], [], 0
+    if parts:
+        yield pa.concat_arrays(parts), np.concatenate(sizes)
 
 
 def held_out() -> Column:
@@ -90,7 +107,7 @@ class Lattice:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         for size in np.unique(lengths):
             where = np.flatnonzero(lengths == size)
-            step = max(1, 4_000_000 // int(size + 1))
+            step = max(1, 1_000_000 // int(size + 1))
             for at in range(0, len(where), step):
                 part = where[at:at + step]
                 result[part] = self._forward(b"".join(b" " + words[i] for i in part), len(part), int(size) + 1)
@@ -127,19 +144,9 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter[bytes] = Counter()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                          ["word", "c"])
-
-    for batch in batches:
-        for value in batch.column(0).cast(pa.binary()):
-            seen.update(tokens(value.as_py()))
-            if len(seen) > _FLUSH:
-                yield out()
-                seen.clear()
-    yield out()
+    for found, _ in token_arrays(batch.column(0) for batch in batches):
+        seen = found.value_counts()
+        yield pa.RecordBatch.from_arrays([seen.field("values"), seen.field("counts")], ["word", "c"])
 
 
 def _count_pieces(path: str):
@@ -172,30 +179,29 @@ def _weigh(lattice: Lattice):
 
 def _asked(docs: pa.Table) -> pa.Table:
     """The distinct words of a chunk."""
-    words: set[bytes] = set()
-    for value in docs.column("text"):
-        words.update(tokens(value.as_py()))
-    return pa.table({"chunk": pa.repeat(docs.column("chunk")[0], len(words)), "word": pa.array(list(words), pa.binary())})
+    words = pa.chunked_array([found.unique() for found, _ in token_arrays(docs.column("text").chunks)], pa.binary()).unique()
+    return pa.table({"chunk": pa.repeat(docs.column("chunk")[0], len(words)), "word": words})
 
 
 def _score(lattice: Lattice, n: int, v: int, ends: int):
     below = math.log10(n + v + 1)
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        words = answers.column("word").to_pylist()
+        words = answers.column("word").combine_chunks()
         c = answers.column("c").fill_null(0).to_numpy()
         lp = answers.column("lp").to_numpy(zero_copy_only=False).copy()
         new = np.flatnonzero(np.isnan(lp))
-        lp[new] = lattice.log10([words[i] for i in new])
+        for at in range(0, len(new), _LOT):
+            lot = new[at:at + _LOT]
+            lp[lot] = lattice.log10(words.take(pa.array(lot)).to_pylist())
         base = np.log10(c + 1.0) - below
-        index = dict(zip(words, range(len(words)), strict=True))
         found = []
-        for value in docs.column("text"):
-            own = tokens(value.as_py())
-            at = np.fromiter(map(index.__getitem__, own), np.int64, len(own))
-            found.append((len(own) + 1, int((c[at] > 0).sum()) + (ends > 0),
-                          float(base[at].sum()) + math.log10(ends + 1) - below,
-                          float(lp[at].sum()) + lattice.end / math.log(10)))
+        for own, sizes in token_arrays(docs.column("text").chunks):
+            places = pc.index_in(own, value_set=words).to_numpy()
+            for at in np.split(places, np.cumsum(sizes)[:-1]):
+                found.append((len(at) + 1, int((c[at] > 0).sum()) + (ends > 0),
+                              float(base[at].sum()) + math.log10(ends + 1) - below,
+                              float(lp[at].sum()) + lattice.end / math.log(10)))
         columns = list(zip(*found, strict=True)) if found else [[]] * 4
         return pa.table({
             "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"),
