@@ -227,6 +227,24 @@ def test_every_change_goes_somewhere(spark):
     assert {r.problem: r.raw for r in apart}.keys() == {"missing_key", "no_route", "unknown_sink", "empty", "malformed", "no_object"}
 
 
+def test_routing_parses_a_change_once(spark):
+    from tidemart.operators.routing import parse_changes
+    from tidemart.schemas import TABLE_PROCESS
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        seen.add(1)
+        return text
+    rows = [('{"table":"t","type":"insert","data":{"id":"%d"}}' % n, n) for n in range(20)] + [("no json", 20)]
+    _, stream = in_files(spark, [rows[:10], rows[10:]], spark.createDataFrame([], "value STRING, seq BIGINT").schema, "once")
+    config = spark.createDataFrame([("t", "insert", "kafka", "out", "id", "id", None)], TABLE_PROCESS)
+    out = run_folder(spark, "parsed-once")
+    route_changes(parse_changes(stream.withColumn("value", noted("value"))), lambda: config, out, out + "-checkpoint",
+                  once=True).start().awaitTermination()
+    assert spark.read.parquet(os.path.join(out, "facts")).count() == 20 and seen.value == len(rows)
+
+
 def test_dimension_store(spark):
     folder = run_folder(spark, "store")
     schema = dimensions.STORED

@@ -64,8 +64,13 @@ def route_changes(changes: DataFrame, read_config: Callable[[], DataFrame], fold
     text that is no change, changes without payload or without a key, and changes that no route
     sends anywhere.  All replace what an earlier attempt of the same micro-batch left.
     """
+    # Told apart in the caller's session: that of a micro-batch plans without adaptive execution.
+    spark = changes.sparkSession
+
     def write(batch: DataFrame, batch_id: int) -> None:
         config = routing.checked_config(read_config())
+        # The text is parsed once; the changes are looked at for every way they may go.
+        batch = _State(spark, folder, batch_id).put(batch, "changes")
         clean = routing.clean_changes(batch)
         normal = routing.normalize_type(routing.non_empty(clean))
 
