@@ -177,3 +177,18 @@ def test_a_transaction_meets_the_rules_of_its_place(spark):
     nothing = rules.fan_out_as_of(placed, parsed.limit(0), "place")
     assert nothing.count() == 0 and nothing.columns == [*placed.columns, *rules.fan_out(rows, parsed).columns[len(rows.columns):]]
     assert rules.fan_out_as_of(placed.limit(0), parsed, "place").count() == 0
+
+
+def test_places_are_worked_out_once(spark):
+    events, versions = mixed()
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(key):
+        seen.add(1)
+        return key
+    asked = spark.createDataFrame(events, EVENTS).withColumn("key", noted.asNondeterministic()("key"))
+    found = asof.as_of_join(asked, spark.createDataFrame(versions, VERSIONS), ["key", "other"], "place", most=20).collect()
+    assert sorted((r.id, r.version.value if r.version else None) for r in found) == by_hand(events, versions)
+    # Once for the places, whatever the rounds that find the width, and once for the events themselves.
+    assert seen.value <= 2 * len(events), seen.value / len(events)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemart.session import stored
+
 # Rows of one key that are ordered in one task.
 PART_ROWS = 100_000
 
@@ -52,7 +54,10 @@ def as_of_join(events: DataFrame, versions: DataFrame, keys: Sequence[str], plac
     told = told.dropna(subset=keys)
     asked = events.select(*keys, F.col(place).cast("bigint").alias("_place")).dropna().distinct()
     both = told.unionByName(asked.withColumn("_version", F.lit(None).cast(told.schema["_version"].dataType)))
-    width = width or pane_width(both.select(*keys, "_place"), keys, most)
+    if width is None:
+        # Looked at for the width, once a round, and for the answers: distinct places are worked out once.
+        both = stored(both, "as-of-places")
+        width = pane_width(both.select(*keys, "_place"), keys, most)
 
     # At one place the version comes first.
     order = ["_place", F.col("_version").isNull()]
