@@ -182,6 +182,20 @@ def test_phrases_with_few_slots_are_the_same(spark):
     assert plain(wide) == plain(narrow)
 
 
+def test_a_task_hands_on_a_phrase_once():
+    # Over four lots of text in three batches; words by several blanks and tabs.
+    text = "one  two\tthree four. " * 60_000
+    batches = [pa.RecordBatch.from_arrays([pa.array([text]), pa.array([lang])], ["text", "lang"]) for lang in ("a", "b", "a")]
+    slots = np.concatenate([x.column(0).to_numpy() for x in phrases._slots(1 << 20)(iter([pa.RecordBatch.from_arrays(
+        [pa.array(["one", "two", "three"]), pa.array(["a"] * 3), pa.array([1] * 3, pa.int32())], ["phrase", "lang", "n"])]))])
+    rows = pa.Table.from_batches(phrases._scan(1, 4, 3, 1 << 20, slots, np.ones(3, np.uint8))(iter(batches))).to_pylist()
+    found = {(r["lang"], r["phrase"]): r["c"] for r in rows}
+    assert len(found) == len(rows)
+    wanted = {(lang, word): n for lang, n in (("a", 120_000), ("b", 60_000)) for word in ("one", "two", "three", "four")}
+    wanted |= {("a", ""): 480_000, ("b", ""): 240_000, ("a", "one two"): 120_000, ("a", "two three"): 120_000}
+    assert found == wanted
+
+
 def test_phrases_beyond_64_bits(spark):
     """Scores are exact where a * n and l * r pass 64 bits."""
     a, n, left, right = 4_000_000_007, 9_000_000_000_000_003, 5_000_000_011, 6_000_000_013

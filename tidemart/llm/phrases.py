@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.bytewords import Hasher, byte_set, counted, lots, phrase_hash, strings, words_of
+from tidemart.llm.bytewords import Hasher, byte_set, counted, lots, phrase_hash, words_of
 from tidemart.llm.common import text_or_empty, written
 
 LEAST = 100
@@ -47,20 +47,73 @@ def lang_hash(langs: pa.Array) -> np.ndarray:
 
 
 class Phrases:
-    """The words of a lot with both their hashes, and of each the piece it stands in."""
+    """The words of a lot with a hash, and of each the piece it stands in."""
 
     def __init__(self, lot, langs: np.ndarray, hasher: Hasher):
         words = words_of(lot, _BREAK)
-        self.text = words.text
-        # Words one after the other with a blank behind each: a phrase is one range of these bytes.
-        kept = ~_BREAK[lot.data]
-        kept[words.end] = True
-        place = np.cumsum(kept) - 1
-        self.data = np.where(_BREAK[lot.data], np.uint8(32), lot.data)[kept]
-        self.start, self.end = place[words.start], place[words.end]
+        self.data, self.start, self.end, self.text = lot.data, words.start, words.end, words.text
         self.piece = np.cumsum(_PIECE[lot.data])[words.start] if len(words.start) else words.start
-        own = langs[words.text] if len(words.text) else np.zeros(0, np.uint64)
-        self.hashes = [hasher(lot.data, words.start, words.end, lane) + own for lane in range(2)]
+        self.own = langs[words.text] if len(words.text) else np.zeros(0, np.uint64)
+        self.hasher, self.hashes = hasher, hasher(lot.data, words.start, words.end) + self.own
+        self.others: np.ndarray | None = None
+
+    def second(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Other hashes of the phrases of `length` words that start at the words `at`: their words are hashed alone if few."""
+        asked = np.zeros(len(self.start), bool)
+        for i in range(length):
+            asked[at + i] = True
+        words = np.flatnonzero(asked)
+        if self.others is None and 4 * len(words) > len(asked):
+            self.others = self.hasher(self.data, self.start, self.end, 1) + self.own
+        if self.others is not None:
+            return phrase_hash(self.others, at, length, 1)
+        end = np.cumsum(self.end[words] - self.start[words])
+        start = np.concatenate([[0], end[:-1]])
+        alone = self.data[np.repeat(self.start[words] - start, end - start) + np.arange(end[-1])]
+        hashes = np.zeros(len(asked), np.uint64)
+        hashes[words] = self.hasher(alone, start, end, 1) + self.own[words]
+        return phrase_hash(hashes, at, length, 1)
+
+    def strings(self, at: np.ndarray, length: int) -> pa.Array:
+        """The phrases of `length` words that start at the words `at`, a blank between two words."""
+        words = (at[:, None] + np.arange(length)).ravel()
+        sizes = self.end[words] - self.start[words] + 1
+        sizes[length - 1::length] -= 1
+        upto = np.cumsum(sizes)
+        # What stands behind a word of a phrase is a blank or a tab.
+        taken = self.data[np.repeat(self.start[words] - upto + sizes, sizes) + np.arange(upto[-1])]
+        taken[taken == 9] = 32
+        offsets = np.concatenate([[0], upto[length - 1::length]]).astype(np.int32)
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(taken))
+
+
+def summed(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """The counts of one lot after the other, added up by phrase; some `most` rows are held.
+
+    Where adding up leaves most rows, as of words that hardly repeat, it is left to the shuffle.
+    """
+    held, n, pays = [], 0, True
+    for batch in batches:
+        if not pays:
+            yield batch
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n >= most:
+            held, before = _added(held), n
+            n = sum(x.num_rows for x in held)
+            pays = 4 * n < 3 * before
+            if 2 * n > most or not pays:
+                yield from held
+                held, n = [], 0
+    yield from _added(held)
+
+
+def _added(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if not held:
+        return held
+    rows = pa.Table.from_batches(held).group_by(["lang", "n", "phrase", "start"], use_threads=False).aggregate([("c", "sum")])
+    return rows.rename_columns({"c_sum": "c"}).select(["lang", "n", "phrase", "c", "start"]).combine_chunks().to_batches()
 
 
 def slots_of(hashes: np.ndarray, at: np.ndarray, length: int, size: int) -> np.ndarray:
@@ -75,6 +128,9 @@ def _scan(step: int, shards: int, longest: int, size: int, slots: np.ndarray, be
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(size, np.uint8)
         table[slots] = begins
+        yield from summed(counts(batches, table))
+
+    def counts(batches: Iterator[pa.RecordBatch], table: np.ndarray) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             names = batch.column(1)
@@ -85,7 +141,7 @@ def _scan(step: int, shards: int, longest: int, size: int, slots: np.ndarray, be
                 if not n:
                     continue
                 lengths = [(1, np.arange(n), np.zeros(n, np.uint8))] if step < shards else []
-                begin = table[slots_of(words.hashes[0], np.arange(n), 1, size)]
+                begin = table[slots_of(words.hashes, np.arange(n), 1, size)]
                 for k in range(2, min(longest, n) + 1):
                     m = n - k + 1
                     both = (begin[:m] > 0) & (begin[1:m + 1] > 0) & (words.piece[:m] == words.piece[k - 1:])
@@ -95,7 +151,7 @@ def _scan(step: int, shards: int, longest: int, size: int, slots: np.ndarray, be
                     first = np.maximum(begin[at], begin[at + 1])
                     now = (first <= step) & (step < first.astype(np.int64) + shards)
                     lengths.append((k, at[now], first[now]))
-                    own = table[slots_of(words.hashes[0], at, k, size)]
+                    own = table[slots_of(words.hashes, at, k, size)]
                     begin = np.zeros(m, np.uint8)
                     # A slot may be known before the phrase's own parts are: it begins with the last of them.
                     begin[at] = np.where(own > 0, np.maximum(own, first), 0)
@@ -107,12 +163,11 @@ def _scan(step: int, shards: int, longest: int, size: int, slots: np.ndarray, be
                 for k, at, first in lengths:
                     if not len(at):
                         continue
-                    keys = [phrase_hash(words.hashes[lane], at, k, lane) for lane in range(2)]
-                    head, times = counted(*keys)
+                    head, times = counted(phrase_hash(words.hashes, at, k), words.second(at, k))
                     place = at[head]
                     yield pa.RecordBatch.from_arrays(
                         [part.take(pa.array(words.text[place])), pa.array(np.full(len(head), k, np.int32)),
-                         strings(words.data, words.start[place], words.end[place + k - 1]),
+                         words.strings(place, k),
                          pa.array(times.astype(np.int64)), pa.array(first[head].astype(np.int32))],
                         ["lang", "n", "phrase", "c", "start"])
 
@@ -129,7 +184,7 @@ def _slots(size: int):
                 head = np.searchsorted(words.text, np.arange(len(n)))
                 found = np.zeros(len(n), np.int64)
                 for k in np.unique(n):
-                    found[n == k] = slots_of(words.hashes[0], head[n == k], int(k), size).astype(np.int64)
+                    found[n == k] = slots_of(words.hashes, head[n == k], int(k), size).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(found)], ["slot"])
 
     return slots
