@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tidemart.operators import visits
+from tidemart.operators import rules, visits
 from tidemart.plans.catalog import registry, warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -73,3 +73,25 @@ def test_inputs_are_read_a_few_times_at_most(plans, name, table, most):
 def test_the_change_log_is_read_once_and_not_dealt_by_route(plans, name):
     assert len(re.findall(r"sf0.001/nation.parquet", plans[name])) == 1
     assert not re.search(r"hashpartitioning\(table#\d+, type#", plans[name])
+
+
+def test_rule_moments_and_windows_are_added_up_without_sorting(spark):
+    told = rules.moments(warehouse(spark, FOLDER).fanned())
+    assert "SortAggregate" not in plan_of(told)
+    windows = plan_of(rules.alerting_moments(told))
+    assert "SortAggregate" not in windows
+    # Every block fits a task: there is nothing around a pane, and no row carries what its rule asks for.
+    assert "SortMergeJoin" not in windows
+    dealt = re.findall(r"Exchange hashpartitioning\(rule_id#\d+, key#\d+, _at#\d+L, _part#\d+L", windows)
+    assert len(dealt) == 1
+
+
+def test_rules_of_whole_and_of_cut_blocks_go_together(spark, monkeypatch):
+    """Blocks over the bound are cut, others stay whole: the alerts are those of whole blocks."""
+    told = rules.moments(warehouse(spark, FOLDER).fanned()).persist()
+    alerts = lambda: sorted(map(tuple, rules.alerting_moments(told).collect()))
+    whole = alerts()
+    blocks = told.groupBy("rule_id", "key").count().agg({"count": "max"}).first()[0]
+    monkeypatch.setattr(rules, "PART_ROWS", 2)
+    assert whole and blocks > 2 and alerts() == whole
+    told.unpersist()

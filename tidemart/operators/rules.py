@@ -221,15 +221,19 @@ def _slot(columns, slots: int) -> Column:
 
 def _keyed(forked: DataFrame, columns) -> DataFrame:
     """Transactions with a struct ``rule``: the rule's key, amount and fields."""
-    fields = F.create_map(*[x for name in columns for x in (F.lit(name), F.col(name).cast("string"))])
+    def value_of(name: Column) -> Column:
+        """The field of that name as text: only what a rule asks for is worked out."""
+        cases = F.when(F.lit(False), F.lit(None).cast("string"))
+        for column in columns:
+            cases = cases.when(name == column, F.col(column).cast("string"))
+        return cases
+
     key = F.concat(F.lit("{"), F.array_join(F.transform(
         "rule.grouping_keys",
-        lambda name: F.concat(name, F.lit("="),
-                              F.coalesce(F.try_element_at("_fields", name), F.lit("null")))),
+        lambda name: F.concat(name, F.lit("="), F.coalesce(value_of(name), F.lit("null")))),
         ";"), F.lit("}"))
-    return forked.withColumn("_fields", fields).withColumns({
-        "key": key,
-        "amount": F.try_element_at("_fields", F.col("rule.aggregate_field")).try_cast(LIMIT_TYPE),
+    return forked.withColumns({
+        "key": key, "amount": value_of(F.col("rule.aggregate_field")).try_cast(LIMIT_TYPE),
     }).select(
         *columns, "rule.rule_id", "key", "amount", "rule.aggregator",
         "rule.limit_operator", "rule.limit_value", "rule.window_minutes")
@@ -306,12 +310,14 @@ PART_ROWS = 100_000
 def moments(fanned: DataFrame, ts: str = "eventTime") -> DataFrame:
     """One row per rule, key and time: sum, count, minimum and maximum of the amounts.
 
-    Time and amounts are all that windows need; the transactions stay behind.
+    Time and amounts are all that windows need; the transactions stay behind.  What a rule asks for
+    is grouped by, since text among the aggregates makes Spark sort every row.
     """
     amount = F.col("amount")
-    return fanned.groupBy("rule_id", "key", F.col(ts).alias("_ts")).agg(
+    told = fanned.groupBy("rule_id", "key", F.col(ts).alias("_ts"), *_ASKED).agg(
         F.sum(amount).cast(LIMIT_TYPE).alias("_sum"), F.count(amount).alias("_n"), F.min(amount).alias("_low"),
-        F.max(amount).alias("_high"), *[F.first(name).alias(name) for name in _ASKED])
+        F.max(amount).alias("_high"))
+    return told.select("rule_id", "key", "_ts", "_sum", "_n", "_low", "_high", *_ASKED)
 
 
 def alerting_moments(told: DataFrame, since: int | None = None, parts: int | None = None) -> DataFrame:
@@ -324,15 +330,24 @@ def alerting_moments(told: DataFrame, since: int | None = None, parts: int | Non
     runs inside a pane is ordered there, and what comes before or after it in the block is a
     running aggregate of the panes' totals.  So a key is never brought together beyond one
     pane, not even the empty key of a rule without names.  ``told`` should be a written table:
-    the largest block is counted first, and so many panes are made that it fits.
+    blocks are counted first, and a rule's are cut into so many panes that its largest fits; most
+    fit as they are and have nothing around them.
     """
     length = F.col("window_minutes").cast("bigint") * 60_000
     span = F.greatest(length, F.lit(1))
-    blocked = (told.withColumns({"_span": span, "_length": length})
+    # Rows carry only what their rule's aggregate is made of.
+    made_of = {"_sum": ("SUM", "AVG"), "_low": ("MIN",), "_high": ("MAX",)}
+    needed = {name: F.when(F.col("aggregator").isin(*of), F.col(name)) for name, of in made_of.items()}
+    blocked = (told.withColumns({"_span": span, "_length": length, **needed})
                .withColumn("_block", F.call_function("div", F.col("_ts") - F.pmod(F.col("_ts"), F.col("_span")), F.col("_span"))))
-    if parts is None:
-        largest = blocked.groupBy("rule_id", "key", "_block").count().agg(F.max("count")).first()[0] or 0
-        parts = max(1, -(-largest // PART_ROWS) * 2)
+    # What a rule asks for and its panes are told once per rule.
+    largest = blocked.groupBy("rule_id", *_ASKED, "key", "_block").count().groupBy("rule_id", *_ASKED).agg(
+        F.max("count").alias("_most"))
+    panes = (F.when(F.col("_most") <= PART_ROWS, 1).otherwise(F.ceil(F.col("_most") / PART_ROWS) * 2) if parts is None
+             else F.lit(parts))
+    asked = stored(largest.select("rule_id", *_ASKED, panes.cast("bigint").alias("_parts")), "rule-panes")
+    cut = (asked.agg(F.max("_parts")).first()[0] or 1) > 1
+    blocked = blocked.join(asked.select("rule_id", "_parts"), "rule_id")
 
     # Each moment is seen twice: as data of its block, and as a question put to the block
     # before, at the place where its window starts.
@@ -343,29 +358,29 @@ def alerting_moments(told: DataFrame, since: int | None = None, parts: int | Non
                     F.lit(None).cast("bigint").alias("_of"))
     question = F.struct((F.col("_block") - 1).alias("_at"), (F.col("_ts") - F.col("_length")).alias("_place"),
                         *none, F.col("_ts").alias("_of"))
-    narrow = blocked.select("rule_id", "key", "_span", *_ASKED, F.inline(
+    narrow = blocked.select("rule_id", "key", "_span", "_parts", F.inline(
         F.when(asks, F.array(seen, question)).otherwise(F.array(seen))))
     narrow = narrow.withColumn("_part", F.call_function(
-        "div", (F.col("_place") - F.col("_at") * F.col("_span")) * parts, F.col("_span"))).drop("_span")
+        "div", (F.col("_place") - F.col("_at") * F.col("_span")) * F.col("_parts"), F.col("_span")))
 
     group = ["rule_id", "key", "_at"]
     inside = Window.partitionBy(*group, "_part")
     head = inside.orderBy("_place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     tail = inside.orderBy(F.col("_place").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ran = narrow.withColumns(_merged("_h_", head) | _merged("_t_", tail))
-    if parts > 1:
-        totals = narrow.groupBy(*group, "_part").agg(
+    ran = narrow.drop("_span", "_parts").withColumns(_merged("_h_", head) | _merged("_t_", tail))
+    if cut:
+        totals = narrow.filter("_parts > 1").groupBy(*group, "_part").agg(
             F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"),
             F.min("_low").alias("_low"), F.max("_high").alias("_high"))
         across = Window.partitionBy(*group)
         before = across.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
         after = across.orderBy(F.col("_part").desc()).rowsBetween(Window.unboundedPreceding, -1)
         around = totals.withColumns(_merged("_b_", before) | _merged("_a_", after)).drop("_sum", "_n", "_low", "_high")
-        ran = ran.join(around, [*group, "_part"])
+        ran = ran.join(around, [*group, "_part"], "left")
 
     def sides(own: str, beside: str) -> Column:
         zero = F.lit(0)
-        if parts == 1:
+        if not cut:
             return F.struct(F.coalesce(own + "sum", zero).cast(LIMIT_TYPE).alias("s"), F.coalesce(own + "n", zero).alias("n"),
                             F.col(own + "low").alias("low"), F.col(own + "high").alias("high"))
         return F.struct((F.coalesce(own + "sum", zero) + F.coalesce(beside + "sum", zero)).cast(LIMIT_TYPE).alias("s"),
@@ -373,20 +388,20 @@ def alerting_moments(told: DataFrame, since: int | None = None, parts: int | Non
                         F.least(own + "low", beside + "low").alias("low"), F.greatest(own + "high", beside + "high").alias("high"))
 
     half = F.when(F.col("_of").isNull(), sides("_h_", "_b_")).otherwise(sides("_t_", "_a_"))
-    windows = (ran.select("rule_id", "key", F.coalesce("_of", "_place").alias("_ts"), *_ASKED, half.alias("_half"))
-               .groupBy("rule_id", "key", "_ts").agg(
+    windows = (ran.select("rule_id", "key", F.coalesce("_of", "_place").alias("_ts"), half.alias("_half"))
+               .groupBy("_ts", "rule_id", "key").agg(
                    F.sum("_half.s").alias("s"), F.sum("_half.n").alias("n"), F.min("_half.low").alias("low"),
-                   F.max("_half.high").alias("high"), *[F.first(name).alias(name) for name in _ASKED]))
+                   F.max("_half.high").alias("high")))
     if since is not None:
         windows = windows.filter(F.col("_ts") > since)
     value = rule_value(F.col("s"), F.col("n"), F.col("low"), F.col("high"))
-    return (windows.withColumn("value", F.when(F.col("n") > 0, value)).filter(exceeds(F.col("value")))
+    return (windows.join(asked.drop("_parts"), "rule_id").withColumn("value", F.when(F.col("n") > 0, value)).filter(exceeds(F.col("value")))
             .select("rule_id", "key", "_ts", "value"))
 
 
 def alerted(fanned: DataFrame, alerting: DataFrame, ts: str = "eventTime") -> DataFrame:
     """The transactions of the alerting moments, with the value that alerts."""
-    found = fanned.withColumn("_ts", F.col(ts)).join(alerting, ["rule_id", "key", "_ts"])
+    found = fanned.withColumn("_ts", F.col(ts)).join(alerting, ["_ts", "rule_id", "key"])
     return found.select(*[name for name in fanned.columns if name != "amount"], "value")
 
 

@@ -49,9 +49,12 @@ def alert_changing(transactions: DataFrame, read_rules: Callable[[], DataFrame],
     included.  What comes after its moment was answered is late: it goes to ``folder/late`` and
     counts for no window.  Every micro-batch replaces what an earlier attempt of it left.
     """
+    # Judged in the caller's session: that of a micro-batch plans without adaptive execution.
+    spark = transactions.sparkSession
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, now = batch.sparkSession, _State(batch.sparkSession, folder, batch_id)
-        last = _State(spark, folder, batch_id - 1) if batch_id else None
+        now, last = _State(spark, folder, batch_id), _State(spark, folder, batch_id - 1) if batch_id else None
+        batch = now.put(batch, "batch")
         in_force = rules.usable_rules(now.put(read_rules(), "rules"))
         fresh = now.put(rules.fan_out(batch, in_force), "fresh")
         seen, until = last.get("clock").first() if last else (None, _LONG_AGO)
