@@ -3,8 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemart.operators import rules, visits
+from tidemart.operators import rules, stats, visits
 from tidemart.plans.catalog import registry, warehouse
 
 FOLDER = "/root/testdata/sf0.001"
@@ -95,3 +96,14 @@ def test_rules_of_whole_and_of_cut_blocks_go_together(spark, monkeypatch):
     monkeypatch.setattr(rules, "PART_ROWS", 2)
     assert whole and blocks > 2 and alerts() == whole
     told.unpersist()
+
+
+def test_a_window_parses_its_time_once(spark):
+    """Also: the province statistics need no other column of the wide row than those their stream keeps."""
+    orders = warehouse(spark, FOLDER).inputs.orders().withColumn("order_id", F.col("id")).withColumn(
+        "split_total_amount", F.col("total_amount"))
+    names = getattr(stats, "PROVINCE_INPUTS", ())
+    wide = orders.withColumns({name: F.lit("x") for name in (
+        "province_name", "province_area_code", "province_iso_code", "province_3166_2_code")})
+    wide = wide.select(*names) if names else wide
+    assert plan_of(stats.province_stats(wide, "1 hour")).count("+00:00") == 1
