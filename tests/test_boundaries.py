@@ -275,6 +275,22 @@ def test_product_stats_count_orders_once(spark):
     assert single.first().refund_order_ct <= 1
 
 
+def test_product_sums_of_parts_and_of_all_events_agree(spark):
+    lines = spark.createDataFrame(
+        [(1, 5, "1970-01-01 08:00:00", True, False, "2.50", None), (1, 5, "1970-01-01 08:00:01", False, True, "0.00", "1201"),
+         (1, 6, "1970-01-01 08:00:02", False, False, None, "1202"), (1, None, "1970-01-01 08:00:00", False, False, "4.00", None),
+         (None, 7, "1970-01-01 08:00:00", True, False, "9.00", None), (1, 8, "no time", True, False, "9.00", None)],
+        "sku_id BIGINT, order_id BIGINT, create_time STRING, favor BOOLEAN, cart BOOLEAN, refund_amount STRING, appraise STRING"
+    ).withColumn("refund_amount", F.col("refund_amount").cast("decimal(18,2)"))
+    clicks = stats.product_clicks(pages(spark, [page("a", 1_500, 1, page_id="good_detail", item="1")]))
+    whole = stats.product_stats(stats.product_line_events(lines).unionByName(clicks))
+    parts = stats.product_result(stats.product_sums(clicks, stats.product_line_rows(lines)))
+    assert whole.schema == parts.schema
+    rows = [sorted((r.stt[-2:], r.favor_ct, r.cart_ct, r.comment_ct, r.good_comment_ct, r.click_ct, str(r.refund_amount),
+                    str(r.order_amount), r.refund_order_ct, r.order_ct) for r in found.collect()) for found in (whole, parts)]
+    assert rows[0] == rows[1] == [("00", 1, 1, 1, 1, 1, "6.50", "0.00", 1, 0), ("02", 0, 0, 1, 0, 0, "0.00", "0.00", 0, 0)]
+
+
 def test_keywords(spark):
     df = pages(spark, [page("a", 1_500, 1, item="Big RED ring, red!", item_type="keyword"),
                        page("a", 1_500, 2, item="--", item_type="keyword"),

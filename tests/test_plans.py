@@ -107,3 +107,17 @@ def test_a_window_parses_its_time_once(spark):
         "province_name", "province_area_code", "province_iso_code", "province_3166_2_code")})
     wide = wide.select(*names) if names else wide
     assert plan_of(stats.province_stats(wide, "1 hour")).count("+00:00") == 1
+
+
+@pytest.mark.parametrize("name", ["product_stats", "product_stats_enriched", "sink_projection"])
+def test_product_events_move_once_and_their_lines_are_shuffled_once(spark, name):
+    """Rows are reduced per order where the join on the order left them; all steps ask for the same lines."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    plan = plan_of(registry()[name](spark, FOLDER))
+    spark.conf.set(threshold, before)
+    assert len(re.findall(r"Exchange hashpartitioning\((?:window|_start)#", plan)) == 1
+    assert "order_id" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*sku_id[^)]*\)", plan))
+    lines = [re.sub(r"#\d+L?", "", scan) for scan in re.findall(r"FileScan parquet (\[l_.*)", plan)]
+    assert len(lines) == 3 and len(set(lines)) == 1

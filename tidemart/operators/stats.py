@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -104,22 +105,25 @@ PRODUCT_AMOUNTS = ("order_amount", "order_split_amount", "payment_amount", "refu
 PRODUCT_ORDERS = {"order_ct": "order", "paid_order_ct": "paid", "refund_order_ct": "refund"}
 
 
-def _product_columns(sku: Column, ts: Column, kind: str | None = None,
-                     order_id: Column | None = None, **measures: Column) -> list[Column]:
+def _product_columns(sku: Column, ts: Column, **measures: Column) -> list[Column]:
     def measure(name: str, kind_of: str) -> Column:
         value = F.coalesce(measures[name], F.lit(0)) if name in measures else F.lit(0)
         return value.cast(kind_of).alias(name)
     return [
         sku.cast("bigint").alias("sku_id"), ts.cast("bigint").alias("ts"),
         *[measure(name, "bigint") for name in PRODUCT_COUNTS],
-        *[measure(name, "decimal(18,2)") for name in PRODUCT_AMOUNTS],
-        F.lit(kind).cast("string").alias("order_kind"),
-        (F.lit(None) if order_id is None else order_id).cast("bigint").alias("order_id")]
+        *[measure(name, "decimal(18,2)") for name in PRODUCT_AMOUNTS]]
+
+
+def _of_order(kind: str | None = None, order_id: Column | None = None) -> list[Column]:
+    # The kind stands beside a generator, never inside one, so that Spark sees which rows have which.
+    return [F.lit(kind).cast("string").alias("order_kind"),
+            (F.lit(None) if order_id is None else order_id).cast("bigint").alias("order_id")]
 
 
 def _product_row(df: DataFrame, sku: Column, ts: Column, kind: str | None = None,
                  order_id: Column | None = None, **measures: Column) -> DataFrame:
-    return df.select(*_product_columns(sku, ts, kind, order_id, **measures))
+    return df.select(*_product_columns(sku, ts, **measures), *_of_order(kind, order_id))
 
 
 def product_clicks(pages: DataFrame) -> DataFrame:
@@ -186,35 +190,88 @@ def product_page_events(pages: DataFrame) -> DataFrame:
     shown = F.transform(
         F.filter("displays", lambda d: d["item_type"] == "sku_id"),
         lambda d: F.struct(*_product_columns(d["item"], F.col("ts"), display_ct=one)))
-    return pages.select(F.inline(F.concat(clicks, F.coalesce(shown, F.slice(clicks, 1, 0)))))
+    return pages.select(F.inline(F.concat(clicks, F.coalesce(shown, F.slice(clicks, 1, 0))))).select("*", *_of_order())
 
 
-def product_line_events(lines: DataFrame) -> DataFrame:
-    """Favors, carts, refunds and comments of rows that may be several of them at once.
+def product_line_rows(lines: DataFrame) -> DataFrame:
+    """Favors, carts, refunds and comments of rows that may be several of them at once, all with the
+    order of their line.
 
     A row tells by ``favor``, ``cart``, ``refund_amount`` and ``appraise`` what it is; their
-    common input is read, joined and its time parsed once.
+    common input is read, joined and its time parsed once.  The order stands beside the generator, so
+    that rows which come out of a join on it need not move to be reduced per order.
     """
     sku, ts, one = F.col("sku_id"), F.col("_ts"), F.lit(1)
     good = F.coalesce((F.col("appraise") == GOOD_APPRAISE).cast("bigint"), F.lit(0))
+
+    def row(when: Column, kind: str | None = None, **measures: Column) -> Column:
+        return F.when(when, F.struct(*_product_columns(sku, ts, **measures),
+                                     F.lit(kind).cast("string").alias("order_kind")))
+
     kinds = [
-        F.when(F.col("favor"), F.struct(*_product_columns(sku, ts, favor_ct=one))),
-        F.when(F.col("cart"), F.struct(*_product_columns(sku, ts, cart_ct=one))),
-        F.when(F.col("refund_amount").isNotNull(), F.struct(*_product_columns(
-            sku, ts, "refund", F.col("order_id"), refund_amount=F.col("refund_amount")))),
-        F.when(F.col("appraise").isNotNull(), F.struct(*_product_columns(
-            sku, ts, comment_ct=one, good_comment_ct=good)))]
+        row(F.col("favor"), favor_ct=one), row(F.col("cart"), cart_ct=one),
+        row(F.col("refund_amount").isNotNull(), "refund", refund_amount=F.col("refund_amount")),
+        row(F.col("appraise").isNotNull(), comment_ct=one, good_comment_ct=good)]
     timed = with_evaluated(lines, "_ts", parse_ms_plus8("create_time"))
-    return timed.select(F.inline(F.array_compact(F.array(*kinds))))
+    return timed.select(F.inline(F.array_compact(F.array(*kinds))), F.col("order_id").cast("bigint").alias("order_id"))
 
 
-def product_stats(events: DataFrame, size: str = "2 seconds",
-                  delay: str = "10 seconds") -> DataFrame:
-    """Sums and exact distinct order counts per product and window.
+def product_line_events(lines: DataFrame) -> DataFrame:
+    """The rows above as events: only those that count an order name it."""
+    return product_line_rows(lines).withColumn(
+        "order_id", F.when(F.col("order_kind").isNotNull(), F.col("order_id")))
+
 
-    Rows are first reduced per order.  That makes every order count once without keeping
-    sets of ids, and spreads the rows of a hot product over its orders.
+def product_sums(plain: DataFrame, *of_orders: DataFrame, size: str = "2 seconds") -> DataFrame:
+    """Sums and exact distinct order counts per product and window, which is known by its ``_start``.
+
+    ``plain`` are events that count no order.  Those of orders are first reduced per order; all events
+    of a kind of order are in one part.  That makes every order count once without keeping sets of ids,
+    spreads the rows of a hot product over its orders, and moves no row where a part comes out of
+    a join on the order.  The others are reduced per product at once.
     """
+    counts = [F.sum(name).alias(name) for name in PRODUCT_COUNTS]
+
+    def money(least: Column | None = None) -> list[Column]:
+        sums = {name: F.sum(name).cast("decimal(28,2)") for name in PRODUCT_AMOUNTS}
+        return [(value if least is None else F.coalesce(value, least)).alias(name) for name, value in sums.items()]
+
+    def timed(events: DataFrame) -> DataFrame:
+        # The time may be parsed text, and a window looks at it several times.
+        told = with_evaluated(events.filter(F.col("sku_id").isNotNull()), "event_time", event_time("ts"))
+        # Most rows have one amount of four: decimals that are left out need not be added up.
+        return told.select(tumbling("event_time", size)["start"].alias("_start"), "sku_id", "order_kind", "order_id",
+                           *PRODUCT_COUNTS, *[F.when(F.col(name) != 0, F.col(name)).alias(name) for name in PRODUCT_AMOUNTS])
+
+    def reduced(events: DataFrame, counted: bool = True) -> DataFrame:
+        def orders(kind: str) -> Column:
+            told = (F.col("order_kind") == kind) & F.col("order_id").isNotNull()
+            return F.coalesce(told, F.lit(False)).cast("bigint") if counted else F.lit(0).cast("bigint")
+
+        rows = timed(events)
+        if counted:
+            rows = rows.groupBy("_start", "sku_id", "order_kind", "order_id").agg(*counts, *money())
+        return rows.select("_start", "sku_id", *PRODUCT_COUNTS, *PRODUCT_AMOUNTS,
+                           *[orders(kind).alias(name) for name, kind in PRODUCT_ORDERS.items()])
+
+    union = reduce(DataFrame.unionByName, [reduced(plain, False), *map(reduced, of_orders)])
+    return union.groupBy("_start", "sku_id").agg(
+        *counts, *money(F.lit(0).cast("decimal(28,2)")), *[F.sum(name).alias(name) for name in PRODUCT_ORDERS])
+
+
+def product_result(sums: DataFrame, size: str = "2 seconds") -> DataFrame:
+    """The sums with the bounds of their windows as text: what goes on carries a number instead."""
+    told = sums.withColumn("window", tumbling("_start", size))
+    return told.select(*_bounds(), *[name for name in sums.columns if name != "_start"])
+
+
+def product_stats(events: DataFrame, size: str = "2 seconds",
+                  delay: str = "10 seconds") -> DataFrame:
+    """Sums and exact distinct order counts per product and window, of a stream by two aggregates
+    that share its watermark."""
+    if not events.isStreaming:
+        counted = F.coalesce(F.col("order_kind").isin(*PRODUCT_ORDERS.values()), F.lit(False))
+        return product_result(product_sums(events.filter(~counted), events.filter(counted), size=size), size)
     sums = [F.sum(name).alias(name) for name in PRODUCT_COUNTS]
     money = [F.sum(name).cast("decimal(28,2)").alias(name) for name in PRODUCT_AMOUNTS]
     per_order = (_timed(events.filter(F.col("sku_id").isNotNull()), delay)

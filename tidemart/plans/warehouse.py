@@ -140,11 +140,20 @@ class Warehouse:
                 .unionByName(stats.product_orders(self.order_rows))
                 .unionByName(stats.product_payments(self.payment_rows)))
 
+    def product_sums(self) -> DataFrame:
+        """The events above, part by part: those of lines, orders and payments are reduced where they are joined."""
+        self.inputs.share_lines()
+        return stats.product_sums(
+            stats.product_page_events(self.raw_pages), stats.product_line_rows(self.inputs.line_marks()),
+            stats.product_orders(self.order_rows), stats.product_payments(self.payment_rows), size=self.settings.window)
+
     def product_stats(self) -> DataFrame:
-        return stats.product_stats(self.product_events(), self.settings.window)
+        return stats.product_result(self.product_sums(), self.settings.window)
 
     def product_stats_enriched(self) -> DataFrame:
-        return dims.with_product(self.product_stats(), self.products, price=True)
+        # Looked up before the windows' bounds are written out as text.
+        sums = dims.with_product(self.product_sums(), self.products, price=True)
+        return stats.product_result(sums, self.settings.window)
 
     # ---- rules
     @cached_property

@@ -145,6 +145,13 @@ class Inputs:
         shift = (F.col("l_partkey") * 7 + F.col("l_suppkey") * 3 + F.col("l_linenumber")) % 15 - 7
         return lines.withColumn("create_time", clock(F.col("_order_ms") + shift * 1000))
 
+    def share_lines(self) -> None:
+        """Lines for a job that joins them several times: all its steps ask for the same columns, which
+        the generator keeps together, so that Spark shuffles the lines once and reads that again."""
+        lines = self._lines().select("l_orderkey", F.inline(F.array(F.struct(
+            "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag", "create_time"))))
+        self._lines = lambda: lines
+
     def keep_lines(self) -> None:
         """Write the lines with their times once, for jobs that look at them several times."""
         lines = stored(self._lines().select(
