@@ -109,15 +109,29 @@ def test_a_window_parses_its_time_once(spark):
     assert plan_of(stats.province_stats(wide, "1 hour")).count("+00:00") == 1
 
 
-@pytest.mark.parametrize("name", ["product_stats", "product_stats_enriched", "sink_projection"])
-def test_product_events_move_once_and_their_lines_are_shuffled_once(spark, name):
-    """Rows are reduced per order where the join on the order left them; all steps ask for the same lines."""
+def plan_of_large(spark, name: str) -> str:
+    """The plan where no side is small enough to be sent to all."""
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)
     spark.conf.set(threshold, "-1")
-    plan = plan_of(registry()[name](spark, FOLDER))
-    spark.conf.set(threshold, before)
+    try:
+        return plan_of(registry()[name](spark, FOLDER))
+    finally:
+        spark.conf.set(threshold, before)
+
+
+@pytest.mark.parametrize("name", ["product_stats", "product_stats_enriched", "sink_projection"])
+def test_product_events_move_once_and_their_lines_are_shuffled_once(spark, name):
+    """Rows are reduced per order where the join on the order left them; all steps ask for the same lines."""
+    plan = plan_of_large(spark, name)
     assert len(re.findall(r"Exchange hashpartitioning\((?:window|_start)#", plan)) == 1
     assert "order_id" not in "".join(re.findall(r"Exchange hashpartitioning\([^)]*sku_id[^)]*\)", plan))
     lines = [re.sub(r"#\d+L?", "", scan) for scan in re.findall(r"FileScan parquet (\[l_.*)", plan)]
     assert len(lines) == 3 and len(set(lines)) == 1
+
+
+def test_payments_meet_wide_rows_where_these_were_joined(spark):
+    """Wide rows move once, for their products; orders are looked up before they are joined with their lines."""
+    plan = plan_of_large(spark, "payment_wide")
+    assert not re.search(r"Exchange hashpartitioning\(r_order_id#", plan)
+    assert len(re.findall(r"Exchange hashpartitioning\(cast\(sku_id#", plan)) == 1

@@ -65,13 +65,19 @@ _FROM_DETAIL = {
     "sku_num": "sku_num", "split_activity_amount": "split_activity_amount",
     "split_coupon_amount": "split_coupon_amount", "split_total_amount": "split_total_amount"}
 # Filled by lookups, or never filled.
+_LOOKED_UP = ("user_age", "user_gender", "province_name", "province_area_code", "province_iso_code",
+              "province_3166_2_code")
 _TYPES_OF_EMPTY = {"split_feight_fee": MONEY, "user_age": "int", "spu_id": "bigint",
                    "tm_id": "bigint", "category3_id": "bigint"}
 
 
 def order_wide(pairs: DataFrame) -> DataFrame:
-    """Wide order row of a joined pair; dimension columns are still null."""
+    """Wide order row of a joined pair; dimension columns are null but for those the order knows already."""
+    known = set(pairs.columns)
+
     def column(name: str):
+        if name in _LOOKED_UP and "l_" + name in known:
+            return F.col("l_" + name).cast(_TYPES_OF_EMPTY.get(name, "string")).alias(name)
         if name in _FROM_ORDER:
             return F.col("l_" + _FROM_ORDER[name]).alias(name)
         if name in _FROM_DETAIL:

@@ -123,15 +123,22 @@ class Warehouse:
     def payment_rows(self) -> DataFrame:
         return wide.payment_wide(wide.join_payments(self.inputs.payments(), self.order_rows))
 
+    @cached_property
+    def _known_rows(self) -> DataFrame:
+        """Wide order rows that know user and province: an order is looked up once, not with every line."""
+        i = self.inputs
+        orders = dims.with_province(dims.with_user(i.orders(), i.users(), self.settings.as_of_ms), i.provinces())
+        return wide.order_wide(wide.join_order_details(orders, i.details()))
+
     @cached_property
     def order_wide(self) -> DataFrame:
-        rows = dims.with_user(self.order_rows, self.inputs.users(), self.settings.as_of_ms)
-        rows = dims.with_province(rows, self.inputs.provinces())
-        return dims.with_product(rows, self.products)
+        return dims.with_product(self._known_rows, self.products)
 
     @cached_property
     def payment_wide(self) -> DataFrame:
-        return wide.payment_wide(wide.join_payments(self.inputs.payments(), self.order_wide))
+        """Products are looked up last, where the rows to be moved are those that were paid."""
+        paid = wide.payment_wide(wide.join_payments(self.inputs.payments(), self._known_rows))
+        return dims.with_product(paid, self.products)
 
     # ---- products
     def product_events(self) -> DataFrame:
