@@ -2,8 +2,10 @@
 
 import os
 import random
+import re
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.rows import LOG_WITH_SEQ, page, pages, seqs
@@ -53,6 +55,32 @@ def test_odd_rules_do_not_stop_a_stream(spark):
     assert found_alerts(alerts_of(spark, stream, lambda: active)) == WANTED
 
 
+@pytest.mark.parametrize("run_blocks,block_rows", [(1, 1 << 30), (3, 1 << 30), (16, 1 << 30), (3, 60)])
+def test_alerts_are_dealt_out_once_and_agree_with_brute_force(spark, monkeypatch, run_blocks, block_rows):
+    """Also where some rules have blocks that are too long for a task, and go through their moments."""
+    monkeypatch.setattr(rules, "RUN_BLOCKS", run_blocks)
+    monkeypatch.setattr(rules, "BLOCK_ROWS", block_rows)
+    rng = random.Random(5)
+    rows = [(n, rng.randrange(-60, 60) * 10_000, rng.randrange(2), 1, str(rng.randrange(100))) for n in range(200)]
+    lines = [(1, "", "SUM", 2), (2, "payeeId", "MAX", 3), (3, "payeeId", "MIN", 0), (4, "", "AVG", 7)]
+    active = rules.valid_rules(rules.parse_rules(feed(spark, *[
+        f"{n},(active),({keys}),(),(paymentAmount),({kind}),(>=),(0),({minutes})" for n, keys, kind, minutes in lines])))
+    fanned = rules.fan_out(transactions(spark, rows), active)
+    assert bool(rules.long_blocks(fanned)) == (block_rows == 60)
+    alerts = rules.rule_alerts(fanned)
+    if block_rows > 60:
+        plan = alerts._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning\([^)]*key#", plan)) == 1
+    found = alerts.collect()
+    got = {(r.rule_id, r.transactionId): r.value for r in found}
+    assert len(found) == len(got) == 4 * len(rows)
+    of = {"SUM": sum, "MAX": max, "MIN": min, "AVG": lambda x: round(Decimal(sum(x)) / len(x), 4)}
+    for n, ts, payee, _, _ in rows:
+        for rule, keys, kind, minutes in lines:
+            window = [Decimal(a) for _, t, p, _, a in rows if ts - minutes * 60_000 <= t <= ts and (p == payee or not keys)]
+            assert abs(got[rule, n] - of[kind](window)) <= Decimal("0.0001")
+
+
 def test_a_hot_key_over_many_parts(spark):
     rng = random.Random(3)
     rows = [(n, rng.randrange(-600_000, 600_000), 1, 1, str(rng.randrange(100))) for n in range(400)]

@@ -405,11 +405,80 @@ def alerted(fanned: DataFrame, alerting: DataFrame, ts: str = "eventTime") -> Da
     return found.select(*[name for name in fanned.columns if name != "amount"], "value")
 
 
+# Rows of one key and block that one task goes through, blocks that go to a task together, and counts
+# that tell how long the longest block may be.
+BLOCK_ROWS, RUN_BLOCKS, COUNTERS = 1_000_000, 16, 1 << 16
+
+
+def _blocked(fanned: DataFrame, ts: str) -> DataFrame:
+    """Rows that have a moment, a key and a rule, with the block of time as long as the rule's window."""
+    span = F.greatest(F.col("window_minutes").cast("bigint") * 60_000, F.lit(1))
+    told = fanned.filter(F.col(ts).isNotNull() & F.col("rule_id").isNotNull() & F.col("key").isNotNull())
+    return told.withColumn("_ts", F.col(ts).cast("bigint")).withColumn("_span", span).withColumn(
+        "_block", F.call_function("div", F.col("_ts") - F.pmod("_ts", "_span"), F.col("_span")))
+
+
+def long_blocks(fanned: DataFrame, ts: str = "eventTime") -> list[int]:
+    """Rules that may have a block of over ``BLOCK_ROWS`` rows.
+
+    Blocks share counters by hash, so what is counted is never less than a block, and what
+    is shuffled does not grow with the keys.  One number a rule is read on the driver.
+    """
+    slot = F.pmod(F.xxhash64("key", "_block"), F.lit(COUNTERS)).alias("_slot")
+    counts = _blocked(fanned, ts).groupBy("rule_id", slot).count().groupBy("rule_id").agg(F.max("count").alias("most"))
+    return sorted(r.rule_id for r in counts.filter(F.col("most") > BLOCK_ROWS).toLocalIterator())
+
+
+def alerts_in_runs(fanned: DataFrame, ts: str = "eventTime") -> DataFrame:
+    """The alerts of `rule_alerts`, of rules whose blocks fit a task: rows are dealt out once, by rule, key and
+    run of ``RUN_BLOCKS`` blocks.
+
+    A window is the head of its own block and the tail of the block before.  So every row counts in
+    two pairs of blocks: in the pair that ends with its block it asks, in the next it only adds.
+    Inside a pair both are running aggregates, by the place in the block.  A row of the last block
+    of a run goes to the next run too, to add there.
+    """
+    length, plain = F.col("window_minutes").cast("bigint") * 60_000, fanned.columns
+    run = lambda block: F.call_function("div", block - F.pmod(block, F.lit(RUN_BLOCKS)), F.lit(RUN_BLOCKS))
+    own, after = run(F.col("_block")), run(F.col("_block") + 1)
+    dealt = _blocked(fanned, ts).select(*plain, "_ts", F.explode(
+        F.when(own == after, F.array(own)).otherwise(F.array(own, after))).alias("_run"))
+    dealt = _blocked(dealt.repartition("rule_id", "key", "_run").drop("_ts"), ts)
+    asks, adds = F.struct(F.col("_block").alias("_pair"), F.lit(True).alias("_asks")), F.struct(
+        (F.col("_block") + 1).alias("_pair"), F.lit(False).alias("_asks"))
+    paired = dealt.select("*", F.inline(F.when(own == after, F.array(asks, adds)).otherwise(
+        F.when(own == F.col("_run"), F.array(asks)).otherwise(F.array(adds)))))
+    place = F.col("_ts") - F.col("_block") * F.col("_span")
+    paired = paired.withColumns({
+        # A window of 0 is the moment itself: nothing of the block before.
+        "_head": place, "_tail": F.when(F.col("_asks"), place + F.col("_span") - length).otherwise(place),
+        "_h": F.when(F.col("_asks"), F.col("amount")), "_t": F.when(~F.col("_asks"), F.col("amount"))})
+
+    pair = Window.partitionBy("rule_id", "key", "_run", "_pair")
+    head = pair.orderBy("_head").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    tail = pair.orderBy(F.col("_tail").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ran = paired.withColumns({name + of: value for name, window in (("_h", head), ("_t", tail)) for of, value in (
+        ("_sum", F.sum(name).over(window)), ("_n", F.count(name).over(window)), ("_low", F.min(name).over(window)),
+        ("_high", F.max(name).over(window)))}).filter("_asks")
+    zero, n = F.lit(0).cast("decimal(38,4)"), F.col("_h_n") + F.col("_t_n")
+    total = (F.coalesce("_h_sum", zero) + F.coalesce("_t_sum", zero)).cast("decimal(38,4)")
+    value = rule_value(total, n, F.least("_h_low", "_t_low"), F.greatest("_h_high", "_t_high"))
+    return ran.withColumn("value", F.when(n > 0, value)).filter(exceeds(F.col("value"))).select(
+        *[name for name in plain if name != "amount"], "value")
+
+
 def rule_alerts(fanned: DataFrame, ts: str = "eventTime", parts: int | None = None) -> DataFrame:
     """Transactions whose rule aggregate over ``[ts - window, ts]`` meets the limit.
 
-    The moments are written once; windows are judged on them, and only the alerting ones are
+    Blocks that fit a task are answered row by row.  Rules that may have longer ones, all with ``parts``,
+    write their moments once; windows are judged on them, cut into panes, and only the alerting ones are
     joined with the transactions.
     """
-    told = stored(moments(fanned, ts), "rule-moments")
-    return alerted(fanned, alerting_moments(told, parts=parts), ts)
+    long = long_blocks(fanned, ts) if parts is None else []
+    if parts is None and not long:
+        return alerts_in_runs(fanned, ts)
+    cut = fanned.filter(F.col("rule_id").isin(long)) if parts is None else fanned
+    told = stored(moments(cut, ts), "rule-moments")
+    alerts = alerted(cut, alerting_moments(told, parts=parts), ts)
+    return alerts if parts is not None else alerts.unionByName(
+        alerts_in_runs(fanned.filter(~F.col("rule_id").isin(long)), ts))
