@@ -125,20 +125,23 @@ class Warehouse:
 
     @cached_property
     def _known_rows(self) -> DataFrame:
-        """Wide order rows that know user and province: an order is looked up once, not with every line."""
-        i = self.inputs
-        orders = dims.with_province(dims.with_user(i.orders(), i.users(), self.settings.as_of_ms), i.provinces())
-        return wide.order_wide(wide.join_order_details(orders, i.details()))
+        """Wide order rows that know their user: an order is looked up once, not with every line."""
+        orders = dims.with_user(self.inputs.orders(), self.inputs.users(), self.settings.as_of_ms)
+        return wide.order_wide(wide.join_order_details(orders, self.inputs.details()))
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        """Products and, last, provinces: what these add is long, and they are few enough to be sent to the rows."""
+        return dims.with_province(dims.with_product(rows, self.products), self.inputs.provinces())
 
     @cached_property
     def order_wide(self) -> DataFrame:
-        return dims.with_product(self._known_rows, self.products)
+        return self._placed(self._known_rows)
 
     @cached_property
     def payment_wide(self) -> DataFrame:
         """Products are looked up last, where the rows to be moved are those that were paid."""
         paid = wide.payment_wide(wide.join_payments(self.inputs.payments(), self._known_rows))
-        return dims.with_product(paid, self.products)
+        return self._placed(paid)
 
     # ---- products
     def product_events(self) -> DataFrame:
