@@ -9,7 +9,7 @@ from tests.test_boundaries import detail, order, orders_and_details
 from tests.test_streams import as_set
 from tidemart.functions.times import parse_ms
 from tidemart.operators import wide
-from tidemart.session import run_folder
+from tidemart.session import run_folder, shuffles_let_go
 from tidemart.sources.topics import subscribe
 from tidemart.streaming.intervals import join_changing
 
@@ -85,3 +85,25 @@ def test_one_side_waits_for_the_other(spark):
     job.take_up(orders.collect(), [])
     found = job.take_up([], details.collect())
     assert [r.detail_id for r in found.collect()] == [1]
+
+
+def test_a_micro_batch_leaves_no_copy_of_its_rows_and_shuffles_nothing_twice(spark):
+    """What only it looks at is deleted; the clock and the held rows stay for the next."""
+    orders, details = orders_and_details(spark, [order(n, clock(100 + n)) for n in range(6)],
+                                         [detail(n, n % 6, clock(100 + n % 6)) for n in range(12)])
+    job = Job(spark, orders, details)
+    first = [r for r in orders.collect() if r.id < 3], [r for r in details.collect() if r.order_id < 3]
+    job.take_up(*first)
+    found = job.take_up(orders.filter("id >= 3").collect(), details.filter("order_id >= 3").collect())
+    assert as_set(found) == as_set(rows_of(orders, details))
+    for turn in (0, 1):
+        assert sorted(os.listdir(os.path.join(job.folder, "state", f"turn-{turn}"))) == ["clock", "held_left", "held_right"]
+
+
+def test_shuffled_rows_go_with_the_action_inside_and_stay_outside(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    with shuffles_let_go(spark):
+        assert spark.conf.get(key) == "true"
+        assert spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().count() == 7
+    assert spark.conf.get(key) == before
